@@ -336,9 +336,13 @@ def c4(spark, sf_dir):
     return rules.classify_majority(texts(spark, sf_dir), "text", KW0, KW1).select("post_id", "score0", "score1", "pred")
 
 
+def weak_labels(spark, sf_dir, **lists):
+    return rules.weak_label(labelled_texts(spark, sf_dir), **lists).select("post_id", "label")
+
+
 @query("c5_weak_label", with_posts(f"SELECT post_id, coalesce(label, {RULE_SQL}) AS label FROM posts"))
 def c5(spark, sf_dir):
-    return rules.weak_label(labelled_texts(spark, sf_dir), kw0=KW0, kw1=KW1).select("post_id", "label")
+    return weak_labels(spark, sf_dir, kw0=KW0, kw1=KW1)
 
 
 _WEAK_RULE_SQL = " ".join(
@@ -352,7 +356,7 @@ _WEAK_RULE_SQL = " ".join(
     with_posts(f"SELECT post_id, coalesce(label, CASE {_WEAK_RULE_SQL} ELSE 2 END) AS label FROM posts"),
 )
 def c5_default(spark, sf_dir):
-    return rules.weak_label(labelled_texts(spark, sf_dir)).select("post_id", "label")
+    return weak_labels(spark, sf_dir)
 
 
 @query(

@@ -12,6 +12,8 @@ from postlens.catalog.tables import (
     labelled_texts,
     posts,
     table,
+    texts,
+    with_labels,
     with_posts,
 )
 from postlens.operators import cleaning, evaluation, latency, quality, rules
@@ -21,8 +23,9 @@ _CLASSES = "(VALUES (0), (1), (2)) c(k)"
 
 def pairs(spark, sf_dir):
     """Posts with their label, the first-match rule and the majority rule."""
-    ruled = rules.classify_first(labelled_texts(spark, sf_dir), "text", KW0, KW1, out="rule")
-    return rules.classify_majority(ruled, "text", KW0, KW1).select("post_id", "text", "label", "rule", "pred")
+    ruled = rules.classify_first(texts(spark, sf_dir), "text", KW0, KW1, out="rule")
+    both = rules.classify_majority(ruled, "text", KW0, KW1)
+    return with_labels(both, spark, sf_dir).select("post_id", "text", "label", "rule", "pred")
 
 
 def labelled_pairs(spark, sf_dir):

@@ -122,8 +122,7 @@ def c10(spark, sf_dir):
 @query("c11_fit_classifier")
 def c11(spark, sf_dir):
     """Held-out metrics of the fitted stages."""
-    metrics = classifier.model_metrics(classifier.score(held_out(spark, sf_dir), trained(spark, sf_dir)))
-    return spark.createDataFrame([metrics])
+    return classifier.model_metrics(classifier.score(held_out(spark, sf_dir), trained(spark, sf_dir)))
 
 
 @query(
@@ -195,7 +194,7 @@ def c19_model(spark, sf_dir):
     """Held-out metrics of the n-gram features with their logistic regression."""
     train, test = classifier.split(cleaning.filter_labelled(labelled_texts(spark, sf_dir)), "post_id")
     stages = [*classifier.ngram_stages(), classifier.logistic(max_iter=1000, reg=0.01)]
-    return spark.createDataFrame([classifier.model_metrics(classifier.score(test, classifier.fit_classifier(train, stages)))])
+    return classifier.model_metrics(classifier.score(test, classifier.fit_classifier(train, stages)))
 
 
 @query("c20_prediction_confidence")
@@ -230,11 +229,14 @@ def c21(spark, sf_dir):
         "bayes": [*classifier.feature_stages(), classifier.model_stage("bayes")],
         "forest": [*classifier.word_vector_stages(), classifier.model_stage("forest")],
     }
-    rows = []
-    for kind, stages in variants.items():
-        scored = classifier.score(test, classifier.fit_classifier(train, stages))
-        rows.append((kind, classifier.model_metrics(scored)["accuracy"]))
-    return spark.createDataFrame(rows, "model string, accuracy double")
+    return cleaning.union_sources(
+        [
+            classifier.model_metrics(classifier.score(test, classifier.fit_classifier(train, stages))).select(
+                F.lit(kind).alias("model"), "accuracy"
+            )
+            for kind, stages in variants.items()
+        ]
+    )
 
 
 @query("c22_grid_search")

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from postlens.catalog.registry import query
-from postlens.catalog.tables import KW0, KW1, RULE_SQL, name_sql, posts, texts, with_posts
+from postlens.catalog.tables import KW0, KW1, RULE_SQL, name_sql, texts, with_events, with_posts
 from postlens.operators import rules, state
+from postlens.operators.cleaning import recent_posts
 from postlens.plans import views
+from postlens.schema import STATE_TABLES
 
 # English posts are the stored part, the other languages the arriving batch.
 _STORED = "subreddit = 'r/en'"
@@ -28,27 +30,30 @@ def stored_and_batch(df):
     return df.filter(stored), df.filter(~stored)
 
 
-def upserted(df, delta, name):
-    from postlens.schema import STATE_TABLES
+def classified_posts(spark, sf_dir):
+    """Classified posts with their time; the text is left behind before the join."""
+    return with_events(classified(texts(spark, sf_dir)).drop("text"), spark, sf_dir)
+
 
-    stored, batch = stored_and_batch(classified(df))
+def upserted(df, delta, name):
+    stored, batch = stored_and_batch(df)
     keys, value = STATE_TABLES[name]
     return state.upsert_additive(delta(stored), delta(batch), keys, value)
 
 
 def daily_state(spark, sf_dir):
-    return upserted(posts(spark, sf_dir), state.daily_delta, "daily_stats")
+    return upserted(classified_posts(spark, sf_dir), state.daily_delta, "daily_stats")
 
 
 def overall_state(spark, sf_dir):
-    rows = texts(spark, sf_dir)
+    rows = classified(texts(spark, sf_dir))
     return upserted(
         rows, lambda df: df.groupBy("category").agg(F.count(F.lit(1)).alias("total_count")), "overall_stats"
     )
 
 
 def keyword_state(spark, sf_dir):
-    return upserted(texts(spark, sf_dir), state.keyword_delta, "top_keywords")
+    return upserted(classified(texts(spark, sf_dir)), state.keyword_delta, "top_keywords")
 
 
 @query(
@@ -182,9 +187,7 @@ def h3(spark, sf_dir):
     ),
 )
 def h4(spark, sf_dir):
-    from postlens.operators.cleaning import recent_posts
-
-    recent = recent_posts(classified(posts(spark, sf_dir)), "timestamp", days=1)
+    recent = recent_posts(classified_posts(spark, sf_dir), "timestamp", days=1)
     return recent.groupBy("category_name", "source").agg(F.count(F.lit(1)).alias("count"))
 
 
@@ -198,7 +201,7 @@ def h4(spark, sf_dir):
 )
 def j3(spark, sf_dir):
     """The match the upserts rest on: full outer equality of state and batch on the key."""
-    stored, batch = stored_and_batch(classified(posts(spark, sf_dir)))
+    stored, batch = stored_and_batch(classified_posts(spark, sf_dir))
     keys = ["stat_date", "category", "source"]
     a = state.daily_delta(stored).withColumnRenamed("post_count", "stored")
     b = state.daily_delta(batch).withColumnRenamed("post_count", "arriving")

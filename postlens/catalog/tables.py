@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postlens.sources.readers import spread
+
 # Keywords that occur in the given texts; the rules take any list.
 KW0 = ["license", "token", "free"]
 KW1 = ["thing", "ering", "ation"]
@@ -56,32 +58,43 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts without the columns that take a join."""
-    return table(spark, sf_dir, "documents").select(
+    documents = spread(table(spark, sf_dir, "documents"), "doc_id")
+    return documents.select(
         F.col("doc_id").alias("post_id"), "source", F.concat(F.lit("r/"), "lang").alias("subreddit"), "text"
     )
 
 
-def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts with their class, null where none is known."""
+def with_labels(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Add the class of each post, null where none is known.
+
+    Rules go before this join, so that their result is shuffled and not the text.
+    """
     labels = table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("post_id"),
         F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 1, 1).when(F.col("quality") == 0, 2).alias("label"),
     )
-    return texts(spark, sf_dir).join(labels, "post_id", "left")
+    return df.join(labels, "post_id", "left")
 
 
-def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All post columns: text, class, and time and counters of the event of the same id."""
+def with_events(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Add time and counters: those of the event of the same id."""
     events = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("post_id"),
         F.col("ts").alias("timestamp"),
         F.floor("value").cast("int").alias("upvotes"),
         F.get_json_object("props", "$.k").cast("int").alias("comments"),
     )
-    return (
-        labelled_texts(spark, sf_dir)
-        .join(events, "post_id")
-        .select("post_id", "timestamp", "source", "subreddit", "text", "upvotes", "comments", "label")
+    return df.join(events, "post_id")
+
+
+def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_labels(texts(spark, sf_dir), spark, sf_dir)
+
+
+def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All post columns."""
+    return with_events(labelled_texts(spark, sf_dir), spark, sf_dir).select(
+        "post_id", "timestamp", "source", "subreddit", "text", "upvotes", "comments", "label"
     )
 
 

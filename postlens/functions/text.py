@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 from operator import add, or_
@@ -76,10 +77,28 @@ def is_quality(
     patterns: Sequence[str] = tuple(presets.SPAM_PATTERNS),
 ) -> Column:
     """Long enough without `[...]` groups, and free of spam phrases; never null."""
-    body = strip(F.regexp_replace(text, r"(?d)\[.*?\]", ""))
-    # Flag d: only \n ends a line, so a dot spans anything else.
-    spam = reduce(or_, (text.rlike(f"(?iud){p}") for p in patterns), F.lit(False))
-    return F.coalesce((F.length(body) >= min_len) & ~spam, F.lit(False))
+    body = F.regexp_replace(text, r"(?d)\[.*?\]", "")
+    long_enough = has_length(body, min_len)
+    # Plain phrases are looked up in the lowered text, which is far cheaper than a
+    # case-blind regex. Flag d: only \n ends a line, so a dot spans anything else.
+    plain = [p for p in patterns if re.fullmatch(r"[\w ]+", p)]
+    spam = contains_any(text, plain)
+    for pattern in patterns:
+        if pattern not in plain:
+            spam = spam | text.rlike(f"(?iud){pattern}")
+    return F.coalesce(long_enough & ~spam, F.lit(False))
+
+
+def has_length(text: Column, n: int) -> Column:
+    """Whether the text is `n` characters or longer without whitespace at its ends.
+
+    Stops at the first end that is far enough instead of building the stripped text.
+    """
+    if n <= 0:
+        return text.isNotNull()
+    if n == 1:
+        return text.rlike(r"(?U)\S")
+    return text.rlike(rf"(?Us)\S.{{{n - 2}}}.*?\S")
 
 
 def parsed_label(reply: Column, strict: bool = False, missing: int = -1) -> Column:

@@ -25,9 +25,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlens.functions.labels import label_name
+from postlens.functions.numbers import ratio
 from postlens.operators.cleaning import fill_nulls
-from postlens.operators.evaluation import valid_pairs
-from postlens.schema import LABEL_NAMES, NEUTRAL
+from postlens.operators.evaluation import class_metrics, valid_pairs
+from postlens.schema import LABEL_NAMES, LABELS, NEUTRAL
 
 # Stages come from pyspark.ml, which has no public common type for them.
 Stages = list
@@ -143,35 +144,43 @@ def random_split(df: DataFrame, frac: float = 0.8, seed: int = 42) -> tuple[Data
 
 
 def stratified_split(
-    df: DataFrame, label: str = "label", key: str = "post_id", frac: float = 0.8, seed: int = 42
+    df: DataFrame, label: str = "label", key: str = "post_id", frac: float = 0.8, seed: int = 42,
+    labels: Sequence[int] = LABELS,
 ) -> DataFrame:
     """Mark `ceil(frac * count)` rows of every label as train, in hash order of a unique key.
 
-    No class is sorted as a whole: a count per 3-digit hash prefix finds the prefix
-    that holds the cut, and only the keys below that prefix are ordered.
+    Rows with any other label, or none, are one more class. No class is sorted as a
+    whole: a count per 4-digit hash prefix finds the prefix that holds the cut, and
+    only the keys below that prefix are ordered. What is broadcast has one row per
+    class.
     """
-    hashed = df.select(F.col(label).alias("_label"), key_hash(key, seed).alias("_hash"))
-    prefixed = hashed.withColumn("_prefix", F.substring("_hash", 1, 3))
-    by_prefix = Window.partitionBy("_label").orderBy("_prefix")
-    counts = prefixed.groupBy("_label", "_prefix").agg(F.count(F.lit(1)).alias("c"))
-    wanted = F.ceil(F.sum("c").over(Window.partitionBy("_label")) * F.lit(frac))
-    placed = counts.withColumns({"upto": F.sum("c").over(by_prefix), "wanted": wanted})
-    cut_prefix = placed.filter((F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("c") < F.col("wanted")))
-    cut_prefix = cut_prefix.select(
-        F.col("_label").alias("_l"), F.col("_prefix").alias("_p"), (F.col("wanted") - F.col("upto") + F.col("c")).alias("rest")
+    stratum = F.when(F.col(label).isin(*labels), F.col(label).cast("int")).otherwise(-1)
+    prefixed = df.select(stratum.alias("_s"), key_hash(key, seed).alias("_hash")).withColumn(
+        "_prefix", F.substring("_hash", 1, 4)
     )
-    edge = prefixed.join(
-        cut_prefix, F.col("_label").eqNullSafe(F.col("_l")) & (F.col("_prefix") == F.col("_p"))
-    ).groupBy("_label", "_hash", "rest").agg(F.count(F.lit(1)).alias("c"))
-    upto = F.sum("c").over(Window.partitionBy("_label").orderBy("_hash"))
-    cut = (
-        edge.withColumn("upto", upto)
-        .filter(F.col("upto") >= F.col("rest"))
-        .groupBy(F.col("_label").alias("_l"))
-        .agg(F.min("_hash").alias("_cut"))
+    whole = Window.partitionBy("_s")
+    placed = (
+        prefixed.groupBy("_s", "_prefix")
+        .agg(F.count(F.lit(1)).alias("c"))
+        .withColumns(
+            {
+                "before": F.sum("c").over(whole.orderBy("_prefix")) - F.col("c"),
+                "wanted": F.ceil(F.sum("c").over(whole) * F.lit(frac)),
+            }
+        )
     )
+    holds_cut = (F.col("before") < F.col("wanted")) & (F.col("wanted") <= F.col("before") + F.col("c"))
+    edge = placed.filter(holds_cut).select("_s", "_prefix", (F.col("wanted") - F.col("before")).alias("rest"))
+    near = (
+        prefixed.join(F.broadcast(edge), ["_s", "_prefix"])
+        .groupBy("_s", "_hash", "rest")
+        .agg(F.count(F.lit(1)).alias("c"))
+        .withColumn("upto", F.sum("c").over(whole.orderBy("_hash")))
+    )
+    cut = near.filter(F.col("upto") >= F.col("rest")).groupBy("_s").agg(F.min("_hash").alias("_cut"))
     is_train = F.coalesce(key_hash(key, seed) <= F.col("_cut"), F.lit(False))
-    return df.join(cut, F.col(label).eqNullSafe(F.col("_l")), "left").withColumn("is_train", is_train).drop("_l", "_cut")
+    marked = df.withColumn("_s", stratum).join(F.broadcast(cut), "_s", "left").withColumn("is_train", is_train)
+    return marked.select(*df.columns, "is_train")
 
 
 # --- scoring --------------------------------------------------------------
@@ -213,14 +222,22 @@ def uncertain(df: DataFrame, prob: str = "probability", cls: int = 0, lo: float
 # --- evaluation and tuning ------------------------------------------------
 
 
-def model_metrics(scored: DataFrame, label: str = "label") -> dict[str, float]:
-    """Accuracy and weighted precision, recall and F1 of scored rows."""
-    names = {"accuracy": "accuracy", "weightedPrecision": "w_precision", "weightedRecall": "w_recall", "f1": "w_f1"}
-    scored = scored.select(F.col(label).cast("double").alias(label), "prediction")
-    return {
-        out: MulticlassClassificationEvaluator(labelCol=label, metricName=metric).evaluate(scored)
-        for metric, out in names.items()
-    }
+def model_metrics(
+    scored: DataFrame, label: str = "label", pred: str = "prediction", labels: Sequence[int] = LABELS
+) -> DataFrame:
+    """Accuracy and support-weighted precision, recall and F1, from one pass over scored rows.
+
+    The figures of `MulticlassClassificationEvaluator`, which takes a pass for each.
+    """
+    per_class = class_metrics(scored, label, pred, labels)
+    weight = F.sum("support")
+    return per_class.agg(
+        ratio(F.sum(F.col("recall") * F.col("support")), weight).alias("accuracy"),
+        *[
+            ratio(F.sum(F.col(m) * F.col("support")), weight).alias(f"w_{m}")
+            for m in ("precision", "recall", "f1")
+        ],
+    )
 
 
 def tune(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from postlens.functions import presets, times
 from postlens.functions import text as tx
 from postlens.functions.labels import label_name
+from postlens.functions.numbers import percent
 from postlens.operators.ranking import dedup_first
 from postlens.schema import LABEL_NAMES, NEUTRAL
 
@@ -172,16 +173,13 @@ def union_sources(dfs: Sequence[DataFrame]) -> DataFrame:
 
 def clean_attrition(df: DataFrame, key: str = "post_id", text: str = "text") -> DataFrame:
     """Rows in, rows dropped for quality (and their share), duplicates, rows out; one scan."""
-    from postlens.functions.numbers import percent
-
-    good = tx.is_quality(F.col(text))
-    kept_key = F.when(good, F.col(key))
-    # Rows without a key are copies of each other too, and countDistinct skips them.
-    null_key = F.max((good & F.col(key).isNull()).cast("int"))
-    counted = df.agg(
+    flagged = df.select(F.col(key).alias("k"), tx.is_quality(F.col(text)).alias("good"))
+    # Rows without a key are copies of each other too, and count_distinct skips them.
+    null_key = F.max((F.col("good") & F.col("k").isNull()).cast("int"))
+    counted = flagged.agg(
         F.count(F.lit(1)).alias("rows_in"),
-        F.count_if(~good).alias("low_quality"),
-        (F.count_distinct(kept_key) + F.coalesce(null_key, F.lit(0))).alias("rows_out"),
+        F.count_if(~F.col("good")).alias("low_quality"),
+        (F.count_distinct(F.when(F.col("good"), F.col("k"))) + F.coalesce(null_key, F.lit(0))).alias("rows_out"),
     )
     return counted.select(
         "rows_in",

@@ -19,7 +19,7 @@ def post_rules(
     """Condition that each row must meet, by rule name."""
     rules = {f"{c}_present": F.col(c).isNotNull() for c in required}
     rules["label_in_range"] = F.col("label").isin(*labels)
-    rules["text_not_empty"] = F.length(tx.strip(F.col("text"))) > 0
+    rules["text_not_empty"] = tx.has_length(F.col("text"), 1)
     rules["upvotes_not_negative"] = F.col("upvotes") >= 0
     rules["comments_not_negative"] = F.col("comments") >= 0
     rules["source_allowed"] = F.col("source").isin(*sources)

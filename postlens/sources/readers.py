@@ -29,6 +29,16 @@ def read_posts_csv(
     return spark.read.schema(schema).options(**options).csv(path)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Repartition a frame whose scan has fewer tasks than the cluster has cores.
+
+    Meant for small or unsplittable inputs. A large input has tasks enough and is
+    returned as it is, without a shuffle. Only the plan is looked at.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_api_dump(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Landed web API responses, one JSON document per line."""
     return spark.read.schema(API_RESPONSE_SCHEMA).json(path)

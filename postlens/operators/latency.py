@@ -26,7 +26,7 @@ def quantile_columns(
     Neither the rows nor their distinct values are ever sorted in one task. A first
     pass takes approximate quantiles a guaranteed distance on each side of every
     q; a second pass counts the rows outside each bracket and, per distinct value,
-    those inside, so that only a few rows in `accuracy` are left to be ordered.
+    those inside, so that only about 4 rows in `accuracy` are left to be ordered.
     """
     margin = 2.0 / accuracy
     fractions: list[float] = []
@@ -47,7 +47,7 @@ def quantile_columns(
         df.select(F.explode(F.array(*places)).alias("p"))
         .select("p.*")
         .groupBy("i", "side", "inside")
-        .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("v"))
+        .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("least"), F.max("v").alias("most"))
     )
     by_value = Window.partitionBy("i").orderBy("side", "inside")
     ranked = counted.withColumns(
@@ -55,8 +55,15 @@ def quantile_columns(
     )
 
     def at(i: int, index: Column) -> Column:
-        covers = (F.col("i") == i) & (F.col("upto") - F.col("c") <= index) & (index < F.col("upto"))
-        return F.max(F.when(covers, F.col("v")))
+        # With few rows a bracket may miss the wanted row by one place; that row is
+        # then the last one below the bracket or the first one above it.
+        first, last = F.col("upto") - F.col("c"), F.col("upto") - 1
+        found = (
+            F.when((F.col("side") == 0) & index.between(first, last), F.col("least"))
+            .when((F.col("side") == -1) & (index == last), F.col("most"))
+            .when((F.col("side") == 1) & (index == first), F.col("least"))
+        )
+        return F.max(F.when(F.col("i") == i, found))
 
     parts, results = [], []
     for i, (name, (q, kind)) in enumerate(quantiles.items()):

@@ -11,13 +11,17 @@ from postlens.sources.codec import to_payload
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int = 500_000) -> None:
-    """CSV with a header. Files stay small because quoted newlines make them unsplittable."""
+    """CSV with a header. Files stay small because quoted newlines make them unsplittable.
+
+    An empty text reads back as null: CSV does not tell the two apart.
+    """
     (
         df.write.mode(mode)
         .option("header", "true")
         .option("quote", '"')
         .option("escape", '"')
-        .option("emptyValue", '""')
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
         .option("maxRecordsPerFile", rows_per_file)
         .csv(path)
     )

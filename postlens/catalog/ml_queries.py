@@ -7,14 +7,14 @@ from pathlib import Path
 
 import pyspark
 from pyspark.ml import Pipeline
-from pyspark.ml.stat import Summarizer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from postlens.catalog.registry import query
 from postlens.catalog.stream_queries import message_files, source
-from postlens.catalog.tables import KW0, KW1, labelled_texts, texts, with_posts
-from postlens.operators import classifier, cleaning, evaluation, reports, rules
+from postlens.catalog.tables import KW0, KW1, labelled_texts, texts, with_labels, with_posts
+from postlens.operators import classifier, cleaning, evaluation, reports, rules, words
 from postlens.session import new_path
 from postlens.sources import codec
 
@@ -61,7 +61,7 @@ def c6(spark, sf_dir):
 )
 def c7(spark, sf_dir):
     kept = classifier.stop_word_remover().transform(classifier.tokenizer().transform(texts(spark, sf_dir)))
-    return kept.select(F.explode("filtered").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return words.explode_tokens(kept, "filtered").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def term_frequencies(df):
@@ -103,13 +103,17 @@ def trained(spark, sf_dir):
     """Model fitted on the train part of the labelled texts, once per session and folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
-        train, _ = classifier.split(cleaning.filter_labelled(labelled_texts(spark, sf_dir)), "post_id")
-        _MODELS[key] = classifier.fit_classifier(train)
+        _MODELS[key] = classifier.fit_classifier(train_and_test(spark, sf_dir)[0])
     return _MODELS[key]
 
 
+def train_and_test(spark, sf_dir):
+    labelled = with_labels(texts(spark, sf_dir, even=False), spark, sf_dir)
+    return classifier.split(cleaning.filter_labelled(labelled), "post_id")
+
+
 def held_out(spark, sf_dir):
-    return classifier.split(cleaning.filter_labelled(labelled_texts(spark, sf_dir)), "post_id")[1]
+    return train_and_test(spark, sf_dir)[1]
 
 
 @query("c10_logreg")
@@ -159,16 +163,33 @@ def c15(spark, sf_dir):
     return reports.overall_breakdown(filled)
 
 
-@query("c16_score_stream")
+@query(
+    "c15_known_labels_kept",
+    with_posts("SELECT label AS known, label, count(*) AS rows FROM posts WHERE label IS NOT NULL GROUP BY label"),
+)
+def c15_kept(spark, sf_dir):
+    """Filling in labels leaves the known ones alone."""
+    rows = labelled_texts(spark, sf_dir)
+    filled = classifier.ensure_label(rows.withColumn("known", F.col("label")), trained(spark, sf_dir))
+    kept = filled.filter(F.col("known").isNotNull())
+    return kept.groupBy("known", "label").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("c16_score_stream", "SELECT true AS same, count(*) AS rows FROM documents")
 def c16(spark, sf_dir):
-    """The batch model over a stream of messages."""
+    """The model gives every post of a stream of messages the class it gives in a batch."""
     messages = codec.decode_posts(source(spark, message_files(spark, sf_dir)))
     scored = classifier.score(messages, trained(spark, sf_dir)).select("post_id", "prediction")
     out = new_path(spark, "scored")
     scored.writeStream.format("parquet").option("checkpointLocation", new_path(spark, "checkpoint")).trigger(
         availableNow=True
     ).start(out).awaitTermination()
-    return reports.value_counts(spark.read.schema("post_id bigint, prediction double").parquet(out), "prediction")
+    streamed = spark.read.schema("post_id bigint, prediction double").parquet(out)
+    batch = classifier.score(texts(spark, sf_dir), trained(spark, sf_dir))
+    both = streamed.join(batch.select("post_id", F.col("prediction").alias("batch")), "post_id", "full_outer")
+    return both.groupBy(F.col("prediction").eqNullSafe(F.col("batch")).alias("same")).agg(
+        F.count(F.lit(1)).alias("rows")
+    )
 
 
 _GRAMS_SQL = f"""filtered AS (
@@ -186,13 +207,13 @@ def c19(spark, sf_dir):
     """How often each 1- and 2-gram occurs: what the vocabulary of the features is chosen from."""
     df = texts(spark, sf_dir)
     grams = Pipeline(stages=classifier.ngram_stages()[:4]).fit(df).transform(df)
-    return grams.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    return words.explode_tokens(grams, "grams", out="gram").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("c19_ngram_classifier")
 def c19_model(spark, sf_dir):
     """Held-out metrics of the n-gram features with their logistic regression."""
-    train, test = classifier.split(cleaning.filter_labelled(labelled_texts(spark, sf_dir)), "post_id")
+    train, test = train_and_test(spark, sf_dir)
     stages = [*classifier.ngram_stages(), classifier.logistic(max_iter=1000, reg=0.01)]
     return classifier.model_metrics(classifier.score(test, classifier.fit_classifier(train, stages)))
 
@@ -209,9 +230,9 @@ def b19(spark, sf_dir):
     return classifier.uncertain(scored).select("post_id", "predicted_category")
 
 
-@query("a11_model_save_load")
+@query("a11_model_save_load", "SELECT true AS same, count(*) AS rows FROM documents")
 def a11(spark, sf_dir):
-    """Predictions of the saved and reloaded model that differ from the fitted one's: none."""
+    """The saved and reloaded model predicts what the fitted one does, on every post."""
     path = new_path(spark, "model")
     model = trained(spark, sf_dir)
     classifier.save_model(model, path)
@@ -224,7 +245,7 @@ def a11(spark, sf_dir):
 @query("c21_alt_models")
 def c21(spark, sf_dir):
     """Held-out accuracy of naive Bayes and of a random forest on word vectors."""
-    train, test = classifier.split(cleaning.filter_labelled(labelled_texts(spark, sf_dir)), "post_id")
+    train, test = train_and_test(spark, sf_dir)
     variants = {
         "bayes": [*classifier.feature_stages(), classifier.model_stage("bayes")],
         "forest": [*classifier.word_vector_stages(), classifier.model_stage("forest")],
@@ -241,7 +262,7 @@ def c21(spark, sf_dir):
 
 @query("c22_grid_search")
 def c22(spark, sf_dir):
-    train, _ = classifier.split(cleaning.filter_labelled(labelled_texts(spark, sf_dir)), "post_id")
+    train, _ = train_and_test(spark, sf_dir)
     _, grid = classifier.tune(train, classifier.feature_stages(), reg=(0.01, 0.1), folds=2, max_iter=20)
     return spark.createDataFrame(grid, "reg double, accuracy double")
 
@@ -249,7 +270,7 @@ def c22(spark, sf_dir):
 @query("c23_train_on_rule_labels")
 def c23(spark, sf_dir):
     """Train on the rule's labels; how often the model then differs from them, per class."""
-    ruled = rules.classify_first(texts(spark, sf_dir), "text", KW0, KW1, out="rule")
+    ruled = rules.classify_first(texts(spark, sf_dir, even=False), "text", KW0, KW1, out="rule")
     _, differ = classifier.retrain(ruled, "rule")
     return reports.distribution_filled(differ, "rule")
 

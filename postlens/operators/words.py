@@ -16,6 +16,16 @@ def explode_words(df: DataFrame, keys: Sequence[str] = ("label",), text: str = "
     return df.select(*keys, F.explode(tx.split_words(F.col(text))).alias("word"))
 
 
+def explode_tokens(df: DataFrame, tokens: str, keys: Sequence[str] = (), out: str = "word") -> DataFrame:
+    """One row per entry of a token array that feature stages computed.
+
+    For a plain `explode` the optimizer adds a filter on the array's size, and with
+    it one more run of every tokenizer stage for each use of its output; the outer
+    form with the null rows dropped gives the same rows and runs the stages once.
+    """
+    return df.select(*keys, F.explode_outer(tokens).alias(out)).filter(F.col(out).isNotNull())
+
+
 def filter_words(df: DataFrame, word: str = "word", pattern: str = tx.WORD_PATTERN) -> DataFrame:
     return df.filter(F.col(word).rlike(pattern))
 

@@ -33,7 +33,8 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Repartition a frame whose scan has fewer tasks than the cluster has cores.
 
     Meant for small or unsplittable inputs. A large input has tasks enough and is
-    returned as it is, without a shuffle. Only the plan is looked at.
+    returned as it is, without a shuffle. Give it a plain scan: its tasks are known
+    from the plan, while a plan with shuffles would have to run first.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df

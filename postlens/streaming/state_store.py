@@ -7,6 +7,9 @@ the folders up. `compact` folds old batches into one snapshot.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,11 +61,23 @@ def write_batch(
     batch.write.mode("overwrite").parquet(rows_path)
     stored = spark.read.schema(batch.schema).parquet(rows_path)
 
-    daily_path = f"{_table(state_dir, 'daily_stats')}/{own}"
-    st.daily_delta(stored, day).write.mode("overwrite").parquet(daily_path)
-    daily = spark.read.schema(STATE_SCHEMAS["daily_stats"]).parquet(daily_path)
-    st.overall_delta(daily).write.mode("overwrite").parquet(f"{_table(state_dir, 'overall_stats')}/{own}")
-    st.keyword_delta(stored).write.mode("overwrite").parquet(f"{_table(state_dir, 'top_keywords')}/{own}")
+    def write(delta: DataFrame, name: str) -> str:
+        path = f"{_table(state_dir, name)}/{own}"
+        delta.write.mode("overwrite").parquet(path)
+        return path
+
+    def counts() -> None:
+        daily_path = write(st.daily_delta(stored, day), "daily_stats")
+        daily = spark.read.schema(STATE_SCHEMAS["daily_stats"]).parquet(daily_path)
+        write(st.overall_delta(daily), "overall_stats")
+
+    def keywords() -> None:
+        write(st.keyword_delta(stored), "top_keywords")
+
+    # Two independent chains of jobs; the threads only submit them to Spark.
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        for chain in [pool.submit(inheritable_thread_target(spark)(f)) for f in (counts, keywords)]:
+            chain.result()
 
 
 def read_classified(spark: SparkSession, state_dir: str, schema: T.StructType) -> DataFrame:

@@ -180,18 +180,22 @@ _LATENCY_SQL = """gaps AS (
 
 def consumed_events(spark, sf_dir):
     delay = F.make_dt_interval(secs=F.round(F.col("value") / 1000, 6).cast("decimal(18,6)"))
-    return table(spark, sf_dir, "events").select("event_id", "ts", (F.col("ts") + delay).alias("consumed"))
+    return table(spark, sf_dir, "events").select(
+        "event_id", "event_type", "ts", (F.col("ts") + delay).alias("consumed")
+    )
+
+
+_GAP_STATS_SQL = """ordered AS (
+  SELECT v, row_number() OVER (ORDER BY v) - 1 AS i, count(*) OVER () AS n FROM gaps
+), gap_stats AS (
+  SELECT count(*) AS n, round(avg(v), 2) AS avg, round(median(v), 2) AS median,
+         round(max(v) FILTER (i = floor(n * 0.95::DOUBLE)), 2) AS p95,
+         round(max(v) FILTER (i = floor(n * 0.99::DOUBLE)), 2) AS p99,
+         round(min(v), 2) AS min, round(max(v), 2) AS max FROM ordered
+)"""
 
 
-@query(
-    "d17_latency_stats",
-    f"""WITH {_LATENCY_SQL}, ordered AS (
-          SELECT v, row_number() OVER (ORDER BY v) - 1 AS i, count(*) OVER () AS n FROM gaps)
-        SELECT count(*) AS n, round(avg(v), 2) AS avg, round(median(v), 2) AS median,
-               round(max(v) FILTER (i = floor(n * 0.95::DOUBLE)), 2) AS p95,
-               round(max(v) FILTER (i = floor(n * 0.99::DOUBLE)), 2) AS p99,
-               round(min(v), 2) AS min, round(max(v), 2) AS max FROM ordered""",
-)
+@query("d17_latency_stats", f"WITH {_LATENCY_SQL}, {_GAP_STATS_SQL} SELECT * FROM gap_stats")
 def d17(spark, sf_dir):
     return latency.latency_stats(consumed_events(spark, sf_dir), "ts", "consumed")
 
@@ -215,6 +219,18 @@ def d18(spark, sf_dir):
     return latency.throughput_stats(table(spark, sf_dir, "events"), "ts", F.col("event_type") == "error")
 
 
+@query(
+    "d18_performance_report",
+    f"""WITH {_LATENCY_SQL}, {_GAP_STATS_SQL}, {_THROUGHPUT_SQL}
+        SELECT total AS total_posts, duration AS duration_seconds, avg_rate AS average_throughput,
+               peak_rate AS peak_throughput, avg AS avg_latency_ms, median AS median_latency_ms,
+               p95 AS p95_latency_ms, p99 AS p99_latency_ms, min AS min_latency_ms, max AS max_latency_ms,
+               errors AS error_count, error_rate FROM throughput, gap_stats""",
+)
+def d18_report(spark, sf_dir):
+    return latency.performance_report(consumed_events(spark, sf_dir), "ts", "consumed", F.col("event_type") == "error")
+
+
 @query(
     "d19_threshold_flags",
     f"""WITH {_THROUGHPUT_SQL}

@@ -97,6 +97,8 @@ def c9(spark, sf_dir):
 
 
 _MODELS: dict = {}
+# Up to four partitions are summed in one stage per iteration of a fit.
+FIT_TASKS = 4
 
 
 def trained(spark, sf_dir):
@@ -108,7 +110,7 @@ def trained(spark, sf_dir):
 
 
 def train_and_test(spark, sf_dir):
-    labelled = with_labels(texts(spark, sf_dir, even=False), spark, sf_dir)
+    labelled = with_labels(texts(spark, sf_dir, tasks=FIT_TASKS), spark, sf_dir)
     return classifier.split(cleaning.filter_labelled(labelled), "post_id")
 
 
@@ -270,7 +272,7 @@ def c22(spark, sf_dir):
 @query("c23_train_on_rule_labels")
 def c23(spark, sf_dir):
     """Train on the rule's labels; how often the model then differs from them, per class."""
-    ruled = rules.classify_first(texts(spark, sf_dir, even=False), "text", KW0, KW1, out="rule")
+    ruled = rules.classify_first(texts(spark, sf_dir, tasks=FIT_TASKS), "text", KW0, KW1, out="rule")
     _, differ = classifier.retrain(ruled, "rule")
     return reports.distribution_filled(differ, "rule")
 

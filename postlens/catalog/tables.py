@@ -56,15 +56,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def texts(spark: SparkSession, sf_dir: str, even: bool = True) -> DataFrame:
+def texts(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
     """Posts without the columns that take a join.
 
-    `even=False` leaves a small scan as it is: an iterative fit over few rows is
-    faster in few tasks.
+    `tasks` is for small scans: an iterative fit over few rows is faster in few tasks.
     """
-    documents = table(spark, sf_dir, "documents")
-    if even:
-        documents = spread(documents, "doc_id")
+    documents = spread(table(spark, sf_dir, "documents"), "doc_id", tasks=tasks)
     return documents.select(
         F.col("doc_id").alias("post_id"), "source", F.concat(F.lit("r/"), "lang").alias("subreddit"), "text"
     )

@@ -127,3 +127,20 @@ def throughput_stats(df: DataFrame, ts: str = "ts", error: str | Column | None =
         "errors",
         F.round(ratio(F.col("errors"), F.col("total")) * 100, 2).alias("error_rate"),
     )
+
+
+def performance_report(
+    df: DataFrame, start: str, end: str, error: str | Column | None = None
+) -> DataFrame:
+    """One row with throughput by `start` and latency from `start` to `end`."""
+    gaps = latency_stats(df, start, end).select(F.struct("*").alias("s")).scalar()
+    fields = ("avg", "median", "p95", "p99", "min", "max")
+    return throughput_stats(df, start, error).select(
+        F.col("total").alias("total_posts"),
+        F.col("duration").alias("duration_seconds"),
+        F.col("avg_rate").alias("average_throughput"),
+        F.col("peak_rate").alias("peak_throughput"),
+        *[gaps.getField(c).alias(f"{c}_latency_ms") for c in fields],
+        F.col("errors").alias("error_count"),
+        "error_rate",
+    )

@@ -27,12 +27,12 @@ def build_session(app_name: str = "postlens", master: str | None = None, **conf:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by `spark.checkpoint.dir`.
+    """Folder every executor can reach: `spark.checkpoint.dir`, else the context's checkpoint folder.
 
     Only a local-mode session may fall back to a temporary folder: there the
     driver and the executors are one process on one machine.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):

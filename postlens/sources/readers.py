@@ -29,15 +29,17 @@ def read_posts_csv(
     return spark.read.schema(schema).options(**options).csv(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
+def spread(df: DataFrame, *keys: str, tasks: int | None = None) -> DataFrame:
     """Repartition a frame whose scan has fewer tasks than the cluster has cores.
 
+    It gets `tasks` partitions, by default one per core.
+
     Meant for small or unsplittable inputs. A large input has tasks enough and is
     returned as it is, without a shuffle. Give it a plain scan: its tasks are known
     from the plan, while a plan with shuffles would have to run first.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(tasks or cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
 
 def read_api_dump(spark: SparkSession, path: str | list[str]) -> DataFrame:

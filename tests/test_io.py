@@ -149,8 +149,12 @@ def test_shared_dir_must_be_set_on_a_cluster():
         def get(self, name, default=None):
             return {"spark.master": "yarn"}.get(name, default)
 
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
     class Cluster:
-        conf = Conf()
+        conf, sparkContext = Conf(), Context()
 
     with pytest.raises(ValueError):
         session.shared_dir(Cluster)

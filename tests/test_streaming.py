@@ -196,3 +196,20 @@ def test_rows_are_stored_with_the_batch(spark, tmp_path, run):
     stored = state_store.read_classified(spark, str(tmp_path / "state"), schema)
     assert {(r["post_id"], r["category"], r["batch_id"]) for r in stored.collect()} == {(1, 0, 0), (2, 0, 0)}
     assert Path(tmp_path / "state" / "classified_posts" / "batch_id=0").is_dir()
+
+
+def test_job_with_a_trained_model(spark, tmp_path, run):
+    from postlens.operators import classifier
+
+    data = [(i, i % 2, "a leak of keys" if i % 2 == 0 else "fast and easy work") for i in range(40)]
+    labelled = spark.createDataFrame(data, "post_id int, label int, text string")
+    stages = [*classifier.feature_stages(buckets=200), classifier.logistic(max_iter=10)]
+    model = classifier.fit_classifier(labelled, stages)
+    put(tmp_path / "in", "part0", [post(1, text="leak keys"), post(2, text="easy work"), post(3, text=None)])
+    messages = readers.read_stream(spark, "text", path=str(tmp_path / "in"))
+    job.start_classify(
+        messages, lambda df: classifier.score(df, model), str(tmp_path / "state"), str(tmp_path / "checkpoint"),
+        pred="prediction",
+    ).awaitTermination()
+    got = totals(spark, tmp_path)
+    assert sum(got.values()) == 3 and got[0,] >= 1 and got[1,] >= 1

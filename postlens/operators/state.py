@@ -59,9 +59,19 @@ def insert_if_absent(
 def new_rows(
     target: DataFrame, batch: DataFrame, key: str, order: Sequence[str | Column] | None = None
 ) -> DataFrame:
-    """Batch rows whose key the target lacks, one per key; only the target's key is read."""
-    first = dedup_first(batch, key, order or [c for c in batch.columns if c != key])
-    return first.join(target.select(key), key, "left_anti")
+    """Batch rows whose key the target lacks, one per key."""
+    return absent(target, dedup_first(batch, key, order or [c for c in batch.columns if c != key]), key)
+
+
+def absent(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """Batch rows whose key the target lacks; of the target only the key is read.
+
+    The target is first narrowed to the keys of the batch. In that join the batch is
+    the side Spark may broadcast once its size allows, so that a large target is
+    scanned in place and not shuffled; a large batch falls back to a shuffled join.
+    """
+    seen = target.select(key).join(batch.select(key), key, "left_semi")
+    return batch.join(seen, key, "left_anti")
 
 
 def seed_classes(

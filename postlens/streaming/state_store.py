@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postlens.operators import state as st
+from postlens.operators.ranking import dedup_first
 from postlens.schema import STATE_SCHEMAS, STATE_TABLES
 
 CLASSIFIED = "classified_posts"
@@ -56,8 +57,12 @@ def write_batch(
     own = f"batch_id={batch_id}"
     rows_path = f"{_table(state_dir, CLASSIFIED)}/{own}"
     if dedup:
+        # Scored once into a folder of its own, whose size then tells Spark how to join.
+        incoming_path = f"{state_dir}/_incoming"
+        dedup_first(batch, "post_id", ["timestamp", "source", "text"]).write.mode("overwrite").parquet(incoming_path)
+        incoming = spark.read.schema(batch.schema).parquet(incoming_path)
         earlier = _read(spark, _table(state_dir, CLASSIFIED), batch.schema).filter(F.col("batch_id") < batch_id)
-        batch = st.new_rows(earlier, batch, "post_id", ["timestamp", "source", "text"]).select(*batch.columns)
+        batch = st.absent(earlier, incoming, "post_id").select(*batch.columns)
     batch.write.mode("overwrite").parquet(rows_path)
     stored = spark.read.schema(batch.schema).parquet(rows_path)
 

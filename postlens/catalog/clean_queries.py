@@ -19,6 +19,7 @@ from postlens.catalog.tables import (
     posts_as_text,
     table,
     texts,
+    utc,
     with_posts,
 )
 from postlens.functions import presets
@@ -217,7 +218,7 @@ def b12(spark, sf_dir):
               ELSE ts END), '%Y-%m-%d %H:%M:%S') AS "timestamp" FROM events""",
 )
 def b13(spark, sf_dir):
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    micros = F.unix_micros(utc(F.col("ts")))
     epoch = F.when(F.col("event_type") != "error", micros / F.lit(1e6))
     rows = table(spark, sf_dir, "events").select("event_id", epoch.alias("created_utc"))
     return cleaning.epoch_to_ts(rows).select("event_id", "timestamp")

@@ -17,6 +17,7 @@ from postlens.catalog.tables import (
     posts,
     posts_as_text,
     table,
+    utc,
     with_posts,
 )
 from postlens.operators import cleaning, evaluation, rules, words
@@ -113,7 +114,7 @@ def api_responses(spark, sf_dir):
         F.concat(F.lit("t3_"), "post_id").alias("id"),
         F.col("source").alias("title"),
         F.when(F.col("label").isNotNull(), F.col("text")).alias("selftext"),
-        F.unix_seconds(F.col("timestamp").cast("timestamp")).alias("created_utc"),
+        F.unix_seconds(utc(F.col("timestamp"))).alias("created_utc"),
         F.when(F.col("upvotes") > 20, F.col("upvotes")).alias("ups"),
         F.col("comments").alias("num_comments"),
         F.when(F.col("label") == 1, F.col("source")).alias("author"),

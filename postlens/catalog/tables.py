@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlens.sources.readers import spread
@@ -67,6 +67,11 @@ def texts(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFra
     )
 
 
+def utc(ts: Column) -> Column:
+    """The zone-free times of the tables as instants, read as UTC in any session."""
+    return F.concat(ts.cast("string"), F.lit("Z")).cast("timestamp")
+
+
 def with_labels(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Add the class of each post, null where none is known.
 

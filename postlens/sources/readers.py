@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,15 +18,29 @@ CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"
 
 
 def read_posts_csv(
-    spark: SparkSession, path: str | list[str], schema: T.StructType, multi_line: bool = True
+    spark: SparkSession, path: str | list[str], schema: T.StructType | str, multi_line: bool = True
 ) -> DataFrame:
-    """CSV with a header row and a fixed schema (no inference pass over the data).
+    """CSV with a header row, its columns taken by name and cast to the given types.
 
-    A file whose fields hold newlines cannot be split between tasks, so large data
-    wants many files (see `write_csv`); `multi_line=False` splits files without them.
+    Nothing is inferred from the data. A column the file lacks is null, as is a value
+    that does not cast; columns the schema lacks are not parsed. A file whose fields
+    hold newlines cannot be split between tasks, so large data wants many files (see
+    `write_csv`); `multi_line=False` splits files without them.
     """
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
     options = {**CSV_OPTIONS, "multiLine": str(multi_line).lower()}
-    return spark.read.schema(schema).options(**options).csv(path)
+    raw = spark.read.options(**options).csv(path)
+
+    def typed(field: T.StructField) -> Column:
+        if field.name not in raw.columns:
+            return F.lit(None).cast(field.dataType)
+        value = F.col(f"`{field.name}`").try_cast(field.dataType)
+        if isinstance(field.dataType, T.IntegralType):
+            # Counters of a column with gaps are often written as 3.0.
+            return F.coalesce(value, F.col(f"`{field.name}`").try_cast("double").try_cast(field.dataType))
+        return value
+
+    return raw.select(*[typed(f).alias(f.name) for f in fields])
 
 
 def spread(df: DataFrame, *keys: str, tasks: int | None = None) -> DataFrame:
@@ -47,11 +61,18 @@ def read_api_dump(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.schema(API_RESPONSE_SCHEMA).json(path)
 
 
-def flatten_posts(responses: DataFrame, subreddit: str | None = None, limit: int | None = None) -> DataFrame:
+def flatten_posts(
+    responses: DataFrame,
+    subreddit: str | None = None,
+    limit: int | None = None,
+    sep: str = " ",
+    skip: str = "blank",
+) -> DataFrame:
     """One row per post of every successful response, absent fields filled in.
 
     `subreddit` fixes the group name; by default each post names its own. `limit`
-    keeps that many posts of a response.
+    keeps that many posts of a response. `sep` and `skip` say how title and body
+    make the text (see `functions.text.combined`).
     """
     posts = F.col("data.posts")
     if limit is not None:
@@ -72,7 +93,7 @@ def flatten_posts(responses: DataFrame, subreddit: str | None = None, limit: int
         F.concat(F.lit("r/"), group).alias("subreddit"),
         F.lit("unknown").alias("post_type"),
         F.coalesce("link_flair_text", F.lit("")).alias("link_flair"),
-        tx.combined(title, body).alias("text"),
+        tx.combined(title, body, sep, skip).alias("text"),
         title.alias("title"),
         body.alias("selftext"),
         counter("ups").alias("upvotes"),

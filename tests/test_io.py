@@ -9,7 +9,10 @@ from postlens import session
 from postlens.schema import post_schema
 from postlens.sources import readers, writers
 
-TEXTS = ["plain", 'with "quotes", commas', "two\nlines\n\nand more", "back\\slash", "", None, " edge blanks ", "tab\tend\t", "line\r\nbreaks\rof\nall kinds", "\nstarts and ends\n", "#hash", "é 漢字 \U0001f600"]
+TEXTS = [
+    "plain", 'with "quotes", commas', "two\nlines\n\nand more", "back\\slash", "", None, " edge blanks ",
+    "tab\tend\t", "line\r\nbreaks\rof\nall kinds", "\nstarts and ends\n", "#hash", "é 漢字 \U0001f600",
+]
 
 
 def test_csv_keeps_every_text(spark, tmp_path):
@@ -26,6 +29,17 @@ def test_csv_keeps_every_text(spark, tmp_path):
         assert got[f"1r{i}"]["subreddit"] is None
 
 
+def test_csv_columns_go_by_name(spark, tmp_path):
+    (tmp_path / "web.csv").write_text(
+        "label,text,extra,upvotes,post_id,comments\n1.0,\"a, b\",x,7,9007199254740993,many\n,c,y,,2,3\n"
+    )
+    got = readers.read_posts_csv(spark, str(tmp_path / "web.csv"), post_schema(labelled=True))
+    assert got.schema == post_schema(labelled=True)
+    assert [(r["post_id"], r["text"], r["upvotes"], r["comments"], r["label"], r["source"]) for r in got.collect()] == [
+        (9007199254740993, "a, b", 7, None, 1, None), (2, "c", None, 3, None, None),
+    ]
+
+
 def test_csv_overwrite_and_file_size(spark, tmp_path):
     path = str(tmp_path / "out")
     writers.write_csv(spark.range(10), path)
@@ -56,6 +70,8 @@ def test_api_dump(spark, tmp_path):
     assert (got["a2"]["author"], got["a2"]["upvotes"], got["a2"]["timestamp"]) == ("unknown", 0, "1970-01-01 00:00:00")
     limited = readers.flatten_posts(readers.read_api_dump(spark, str(tmp_path / "dump.json")), "fixed", limit=1)
     assert {r["subreddit"] for r in limited.collect()} == {"r/fixed"} and limited.count() == 2
+    dotted = readers.flatten_posts(readers.read_api_dump(spark, str(tmp_path / "dump.json")), sep=". ", skip="never")
+    assert {r["text"] for r in dotted.collect()} == {"T. body", "only title.   ", ". "}
 
 
 def test_report(spark, tmp_path):

@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import zipfile
-from pathlib import Path
-
-import pyspark
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -14,22 +10,13 @@ from pyspark.sql import functions as F
 from postlens.catalog.registry import query
 from postlens.catalog.stream_queries import message_files, source
 from postlens.catalog.tables import KW0, KW1, labelled_texts, texts, with_labels, with_posts
+from postlens.functions.stop_words import ENGLISH
 from postlens.operators import classifier, cleaning, evaluation, reports, rules, words
 from postlens.session import new_path
 from postlens.sources import codec
 
 
-def _stop_words() -> list[str]:
-    """Spark's English stop words, read from its own jar so that SQL needs no session."""
-    jars = Path(pyspark.__path__[0], "jars")
-    for jar in jars.glob("spark-mllib_*.jar"):
-        with zipfile.ZipFile(jar) as archive:
-            text = archive.read("org/apache/spark/ml/feature/stopwords/english.txt").decode()
-            return text.split("\n")[:-1] if text.endswith("\n") else text.split("\n")
-    raise FileNotFoundError("spark-mllib jar")
-
-
-_STOP_SQL = "(" + ", ".join("'" + w.replace("'", "''") + "'" for w in _stop_words()) + ")"
+_STOP_SQL = "(" + ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH) + ")"
 # A split in the JVM leaves out empty tokens at the end.
 _TOKENS_SQL = r"""tokens AS (
   SELECT post_id, label, unnest(string_split_regex(regexp_replace(lower(text), '[\s\x0b]+$', ''), '[\s\x0b]')) AS word

@@ -27,6 +27,39 @@ def payload(column: str) -> Column:
     return F.coalesce(F.col(f"`{column}`").cast("binary"), F.lit(b""))
 
 
+def text_key(column: str) -> Column:
+    """64 bits of a text, null as empty."""
+    return F.xxhash64(payload(column))
+
+
+def keep_rows(
+    docs: DataFrame, kept: DataFrame, id_col: str, text_col: str, repeats: Column | None = None
+) -> DataFrame:
+    """The rows of `docs`, with all columns, whose (doc_id, tkey) is in `kept`.
+
+    The kept keys are a written table, and Spark's size check decides whether it is sent
+    to all tasks or the rows are shuffled to it. `kept` has a row for each row of
+    `docs` that may stay; rows that repeat id and text become one, unless `repeats`, a
+    condition on `kept`, holds.
+    """
+    several = F.lit(True) if repeats is None else ~repeats
+    keys = kept.groupBy(F.col("doc_id").alias("_id"), F.col("tkey").alias("_key")).agg(
+        ((F.count(F.lit(1)) > 1) & F.max(several)).alias("_repeated")
+    )
+    keys = saved(keys, "kept")
+    key = text_key(text_col)
+
+    def rows(which: DataFrame) -> DataFrame:
+        same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_id")) & (key == F.col("_key"))
+        return docs.join(which, same, "left_semi")
+
+    repeated = keys.filter("_repeated")
+    if repeated.isEmpty():
+        return rows(keys)
+    once = rows(repeated).withColumn("_key", key).dropDuplicates([id_col, "_key"]).drop("_key")
+    return rows(keys.filter("NOT _repeated")).unionByName(once)
+
+
 def packs(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
     """Ranges of neighbours whose sizes add up to `limit` at most, or of one larger item."""
     start = total = 0

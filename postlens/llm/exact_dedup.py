@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlens.llm.common import payload, saved
+from postlens.llm.common import keep_rows, payload, saved, text_key
 
 BLOCK_BYTES = 4096
 BUCKETS = 1 << 20
@@ -34,7 +34,7 @@ NO_NAME = -1
 KNOWN_BYTES = 64 << 20
 _SPACE = bytes(32 if b in range(9, 14) else b for b in range(256))
 CUT_SCHEMA = (
-    "row long, id long, n_blocks long, pos long, first_row long, first_pos long, block binary, digest string"
+    "row long, id long, tkey long, n_blocks long, pos long, first_row long, first_pos long, block binary, digest string"
 )
 
 
@@ -53,7 +53,7 @@ def _cutter(block_bytes: int):
         for batch in batches:
             rows: list[tuple] = []
             size = 0
-            for row, key, text in zip(*[c.to_pylist() for c in batch.columns]):
+            for row, key, tkey, text in zip(*[c.to_pylist() for c in batch.columns]):
                 text = normalised(text)
                 n = max(1, -(-len(text) // block_bytes))
                 for pos in range(n):
@@ -68,7 +68,7 @@ def _cutter(block_bytes: int):
                         held += len(block) + 100
                         size += len(block)
                     digest = hashlib.sha256(text).hexdigest() if pos == 0 else None
-                    rows.append((row, key, n, pos, *first, block if new else None, digest))
+                    rows.append((row, key, tkey, n, pos, *first, block if new else None, digest))
                 if size > 16 << 20:
                     yield _batch(rows)
                     rows, size = [], 0
@@ -79,7 +79,7 @@ def _cutter(block_bytes: int):
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64()] * 6 + [pa.binary(), pa.string()]
+    kinds = [pa.int64()] * 7 + [pa.binary(), pa.string()]
     names = [f.split()[0] for f in CUT_SCHEMA.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
@@ -118,21 +118,27 @@ def identities(cuts: DataFrame) -> DataFrame:
     return done.select("row", "n_blocks", "name")
 
 
-def exact_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES
-) -> DataFrame:
-    """(doc_id, keep_id, group_size, kept, text_sha256) for every row."""
+def classified(docs: DataFrame, id_col: str, text_col: str, block_bytes: int) -> DataFrame:
+    """(row, id, tkey, digest, group_size, first) of every row; `first` is the row that stays."""
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"), payload(text_col)
+        F.monotonically_increasing_id().alias("row"),
+        F.col(f"`{id_col}`").cast("long").alias("id"),
+        text_key(text_col).alias("tkey"),
+        payload(text_col).alias("text"),
     )
     cuts = saved(rows.mapInArrow(_cutter(block_bytes), CUT_SCHEMA), "blocks")
-    heads = cuts.filter("pos = 0").select("row", "id", "digest")
+    heads = cuts.filter("pos = 0").select("row", "id", "tkey", "digest")
     named = saved(heads.join(identities(cuts), "row"), "identities")
-    groups = named.groupBy("n_blocks", "name").agg(
-        F.count(F.lit(1)).alias("group_size"),
-        F.min(F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("row"))).alias("first"),
-    )
-    return named.join(groups, ["n_blocks", "name"]).select(
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "row", "tkey")
+    groups = named.groupBy("n_blocks", "name").agg(F.count(F.lit(1)).alias("group_size"), F.min(place).alias("first"))
+    return named.join(groups, ["n_blocks", "name"])
+
+
+def exact_dedup(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """(doc_id, keep_id, group_size, kept, text_sha256) for every row."""
+    return classified(docs, id_col, text_col, block_bytes).select(
         F.col("id").alias("doc_id"),
         F.col("first.id").alias("keep_id"),
         "group_size",
@@ -141,13 +147,10 @@ def exact_dedup(
     )
 
 
-def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` that stay, with all columns; of rows that repeat an id, one.
-
-    The kept ids are a written table; Spark's size check decides whether it is sent to
-    all tasks or the rows are shuffled to it.
-    """
-    verdict = exact_dedup(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias("_keep"))
-    keep = saved(verdict.distinct(), "kept")
-    texts = docs.join(keep, F.col(f"`{id_col}`").eqNullSafe(F.col("_keep")), "left_semi")
-    return texts
+def kept_rows(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """The rows of `docs` that stay, with all columns."""
+    found = classified(docs, id_col, text_col, block_bytes)
+    stays = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("tkey") == F.col("first.tkey"))
+    return keep_rows(docs, found.filter(stays).select(F.col("id").alias("doc_id"), "tkey"), id_col, text_col)

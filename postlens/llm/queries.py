@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from postlens.catalog.registry import query
 from postlens.catalog.tables import table
-from postlens.llm import bpe, chat_format, exact_dedup, language_id, mixing, secrets, simhash, warc
+from postlens.llm import bpe, chat_format, exact_dedup, language_id, mixing, ngram_join, secrets, simhash, warc
 
 VOCABULARY = "word_bpe_49k.json"
 # Every source is to have the same share.
@@ -75,6 +75,11 @@ def op8(spark, sf_dir):
     return scored.drop("text")
 
 
+@query("op9_ngram_join")
+def op9(spark, sf_dir):
+    return ngram_join.link_classes(table(spark, sf_dir, "documents"))
+
+
 @query("op10_chat_format")
 def op10(spark, sf_dir):
     own = spark.createDataFrame(

@@ -86,7 +86,7 @@ def mix(
 
 
 def mix_sql(targets: Mapping[str, float], seed: int = 17) -> str:
-    """SQL over `documents` for the columns doc_id, source and copy of a mix."""
+    """SQL over `documents` for the rows of a mix."""
     listed = ", ".join(f"('{s}', {w!r}::DOUBLE)" for s, w in targets.items())
     return f"""WITH target(source, w) AS (VALUES {listed}),
 rows AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
@@ -101,4 +101,5 @@ drawn AS (
 copies AS (
   SELECT doc_id, d.source, CASE WHEN cs IS NULL THEN 1 ELSE len(list_filter(cs, lambda c: c <= u)) END AS n
   FROM drawn d LEFT JOIN steps s ON s.source = d.source)
-SELECT doc_id, source, CAST(copy AS INTEGER) AS copy FROM copies, range(1, n + 1) t(copy)"""
+SELECT d.*, CAST(copy AS INTEGER) AS copy
+FROM copies c JOIN documents d ON d.doc_id = c.doc_id, range(1, c.n + 1) t(copy)"""

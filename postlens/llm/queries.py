@@ -58,7 +58,7 @@ def op4(spark, sf_dir):
 
 @query("op5_mixing", mixing.mix_sql(TARGETS))
 def op5(spark, sf_dir):
-    return mixing.mix(table(spark, sf_dir, "documents"), TARGETS).select("doc_id", "source", "copy")
+    return mixing.mix(table(spark, sf_dir, "documents"), TARGETS)
 
 
 @query("op7_secrets")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from postlens.catalog.registry import query
 from postlens.catalog.tables import table
-from postlens.llm import bpe, chat_format, exact_dedup, language_id, mixing, ngram_join, secrets, simhash, warc
+from postlens.llm import bpe, chat_format, exact_dedup, language_id, mixing, ngram_join, secrets, simhash, suffix_dedup, warc
 
 VOCABULARY = "word_bpe_49k.json"
 # Every source is to have the same share.
@@ -61,6 +61,11 @@ def op5(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"), TARGETS)
 
 
+@query("op6_suffix_dedup")
+def op6(spark, sf_dir):
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 @query("op7_secrets")
 def op7(spark, sf_dir):
     return secrets.find_secrets(table(spark, sf_dir, "documents"))

@@ -20,6 +20,7 @@ from postlens.catalog.tables import (
     table,
     texts,
     utc,
+    with_labels,
     with_posts,
 )
 from postlens.functions import presets
@@ -272,7 +273,8 @@ def b16(spark, sf_dir):
     ),
 )
 def b17(spark, sf_dir):
-    return cleaning.preview(labelled_texts(spark, sf_dir), category="label").select("post_id", "line")
+    starts = texts(spark, sf_dir).withColumn("text", F.substring("text", 1, 80))
+    return cleaning.preview(with_labels(starts, spark, sf_dir), category="label").select("post_id", "line")
 
 
 @query(
@@ -329,6 +331,36 @@ def c3(spark, sf_dir):
     return rules.classify_first(texts(spark, sf_dir), "text", KW0, KW1).select("post_id", "pred")
 
 
+_PAIRS = {
+    "weak": (presets.WEAK_LABEL_SECURITY, presets.WEAK_LABEL_PRODUCTIVITY),
+    "first": (presets.FIRST_MATCH_SECURITY, presets.FIRST_MATCH_PRODUCTIVITY),
+    "bilingual": (presets.BILINGUAL_SECURITY, presets.BILINGUAL_PRODUCTIVITY),
+    "leak": (presets.LEAK_SECURITY, presets.LEAK_PRODUCTIVITY),
+    "supply_chain": (presets.SUPPLY_CHAIN_SECURITY, presets.SUPPLY_CHAIN_PRODUCTIVITY),
+    "short": (presets.SHORT_SECURITY, presets.SHORT_PRODUCTIVITY),
+    "majority": (presets.MAJORITY_SECURITY, presets.MAJORITY_PRODUCTIVITY),
+}
+
+
+def _first_match_sql(kw0, kw1):
+    has = [" OR ".join(f"contains(lower(coalesce(text, '')), {k!r})" for k in kws) for kws in (kw0, kw1)]
+    return f"CASE WHEN {has[0]} THEN 0 WHEN {has[1]} THEN 1 ELSE 2 END"
+
+
+@query(
+    "c3_all_list_pairs",
+    with_posts(
+        "SELECT post_id, " + ", ".join(f"{_first_match_sql(*pair)} AS {name}" for name, pair in _PAIRS.items()) + " FROM posts"
+    ),
+)
+def c3_pairs(spark, sf_dir):
+    """Every pair of keyword lists as a first-match rule, one column for each."""
+    rows = texts(spark, sf_dir)
+    for name, (kw0, kw1) in _PAIRS.items():
+        rows = rules.classify_first(rows, "text", kw0, kw1, out=name)
+    return rows.select("post_id", *_PAIRS)
+
+
 @query(
     "c4_keyword_classify_majority",
     with_posts(f"SELECT post_id, {SCORE0_SQL} AS score0, {SCORE1_SQL} AS score1, {MAJORITY_SQL} AS pred FROM posts"),
@@ -337,8 +369,10 @@ def c4(spark, sf_dir):
     return rules.classify_majority(texts(spark, sf_dir), "text", KW0, KW1).select("post_id", "score0", "score1", "pred")
 
 
-def weak_labels(spark, sf_dir, **lists):
-    return rules.weak_label(labelled_texts(spark, sf_dir), **lists).select("post_id", "label")
+def weak_labels(spark, sf_dir, kw0, kw1):
+    """The rule goes before the join, which then has no text."""
+    ruled = rules.classify_first(texts(spark, sf_dir), "text", kw0, kw1, out="rule").select("post_id", "rule")
+    return rules.fill_from_rule(with_labels(ruled, spark, sf_dir), "rule").select("post_id", "label")
 
 
 @query("c5_weak_label", with_posts(f"SELECT post_id, coalesce(label, {RULE_SQL}) AS label FROM posts"))
@@ -357,7 +391,7 @@ _WEAK_RULE_SQL = " ".join(
     with_posts(f"SELECT post_id, coalesce(label, CASE {_WEAK_RULE_SQL} ELSE 2 END) AS label FROM posts"),
 )
 def c5_default(spark, sf_dir):
-    return weak_labels(spark, sf_dir)
+    return weak_labels(spark, sf_dir, presets.WEAK_LABEL_SECURITY, presets.WEAK_LABEL_PRODUCTIVITY)
 
 
 @query(
@@ -373,8 +407,9 @@ def c5_default(spark, sf_dir):
     ),
 )
 def d10(spark, sf_dir):
-    raw = raw_posts(labelled_texts(spark, sf_dir))
-    return cleaning.clean_attrition(raw.unionByName(cleaning.filter_labelled(raw)))
+    flagged = cleaning.with_quality(raw_posts(texts(spark, sf_dir))).select("post_id", "good")
+    raw = with_labels(flagged, spark, sf_dir)
+    return cleaning.clean_attrition(raw.unionByName(cleaning.filter_labelled(raw)), good="good")
 
 
 @query(

@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from postlens.catalog.registry import query
-from postlens.catalog.stream_queries import message_files, source
-from postlens.catalog.tables import KW0, KW1, labelled_texts, texts, with_labels, with_posts
+from postlens.catalog.stream_queries import message_files, run_job, source
+from postlens.catalog.tables import KW0, KW1, labelled_texts, posts, texts, with_labels, with_posts
 from postlens.functions.stop_words import ENGLISH
 from postlens.operators import classifier, cleaning, evaluation, reports, rules, words
+from postlens.plans.reports import export_reports
+from postlens.schema import LABEL_NAMES
 from postlens.session import new_path
-from postlens.sources import codec
+from postlens.sources import codec, readers
+from postlens.streaming import state_store
 
 
 _STOP_SQL = "(" + ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH) + ")"
@@ -65,18 +67,16 @@ def term_frequencies(df):
 )
 def c8(spark, sf_dir):
     """Terms in all buckets together, per class: hashing moves terms but loses none."""
-    hashed = term_frequencies(labelled_texts(spark, sf_dir))
-    summed = hashed.groupBy("label").agg(
-        F.count(F.lit(1)).alias("posts"), Summarizer.sum(F.col("raw_features")).alias("s")
-    )
-    total = F.aggregate(vector_to_array("s"), F.lit(0.0), lambda a, x: a + x)
-    return summed.select("label", "posts", total.cast("bigint").alias("terms"))
+    hashed = term_frequencies(texts(spark, sf_dir))
+    counted = hashed.select("post_id", F.aggregate(vector_to_array("raw_features"), F.lit(0.0), lambda a, x: a + x).alias("n"))
+    by_label = with_labels(counted, spark, sf_dir).groupBy("label")
+    return by_label.agg(F.count(F.lit(1)).alias("posts"), F.sum("n").cast("bigint").alias("terms"))
 
 
 @query("c9_idf")
 def c9(spark, sf_dir):
     """Document frequency and weight of each bucket in use; below two documents the weight is 0."""
-    df = labelled_texts(spark, sf_dir)
+    df = texts(spark, sf_dir)
     model = classifier.idf().fit(term_frequencies(df))
     # One entry per bucket, whatever the data.
     rows = [(i, int(n), float(w)) for i, (n, w) in enumerate(zip(model.docFreq, model.idf.toArray())) if n]
@@ -84,8 +84,6 @@ def c9(spark, sf_dir):
 
 
 _MODELS: dict = {}
-# Up to four partitions are summed in one stage per iteration of a fit.
-FIT_TASKS = 4
 
 
 def trained(spark, sf_dir):
@@ -97,7 +95,7 @@ def trained(spark, sf_dir):
 
 
 def train_and_test(spark, sf_dir):
-    labelled = with_labels(texts(spark, sf_dir, tasks=FIT_TASKS), spark, sf_dir)
+    labelled = with_labels(texts(spark, sf_dir), spark, sf_dir)
     return classifier.split(cleaning.filter_labelled(labelled), "post_id")
 
 
@@ -146,10 +144,16 @@ def c14(spark, sf_dir):
     return reports.value_counts(scored, "predicted_category")
 
 
+def filled_labels(spark, sf_dir):
+    """(post_id, known, label): scored before the join, so that no text is shuffled."""
+    scored = classifier.score(texts(spark, sf_dir), trained(spark, sf_dir)).select("post_id", "prediction")
+    known = with_labels(scored, spark, sf_dir).withColumnRenamed("label", "known")
+    return classifier.fill_label(known, "known").select("post_id", "known", "label")
+
+
 @query("c15_score_unlabelled")
 def c15(spark, sf_dir):
-    filled = classifier.ensure_label(labelled_texts(spark, sf_dir), trained(spark, sf_dir))
-    return reports.overall_breakdown(filled)
+    return reports.overall_breakdown(filled_labels(spark, sf_dir))
 
 
 @query(
@@ -158,9 +162,7 @@ def c15(spark, sf_dir):
 )
 def c15_kept(spark, sf_dir):
     """Filling in labels leaves the known ones alone."""
-    rows = labelled_texts(spark, sf_dir)
-    filled = classifier.ensure_label(rows.withColumn("known", F.col("label")), trained(spark, sf_dir))
-    kept = filled.filter(F.col("known").isNotNull())
+    kept = filled_labels(spark, sf_dir).filter(F.col("known").isNotNull())
     return kept.groupBy("known", "label").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -181,6 +183,84 @@ def c16(spark, sf_dir):
     )
 
 
+def model_job(spark, sf_dir):
+    """The job with the trained model as its scorer; returns the folder of its state."""
+    model = trained(spark, sf_dir)
+    path = message_files(spark, sf_dir)
+    return run_job(spark, path, scorer=lambda df: classifier.score(df, model), pred="prediction")
+
+
+@query(
+    "i1_model_stream_job",
+    with_posts("""SELECT CAST("timestamp" AS DATE) AS stat_date, source, count(*) AS post_count FROM posts GROUP BY 1, 2"""),
+)
+def i1_model(spark, sf_dir):
+    """Posts a day and source over all predicted classes."""
+    daily = state_store.read_state(spark, model_job(spark, sf_dir), "daily_stats")
+    return daily.groupBy("stat_date", "source").agg(F.sum("post_count").alias("post_count"))
+
+
+@query(
+    "i1_model_stream_words",
+    with_posts(
+        r"""SELECT word AS keyword, count(*) AS frequency
+            FROM (SELECT unnest(regexp_split_to_array(lower(trim(text)), '\s+')) AS word FROM posts)
+            WHERE regexp_matches(word, '^[a-z]{4,}$') GROUP BY word"""
+    ),
+)
+def i1_words(spark, sf_dir):
+    """Words over all predicted classes."""
+    words_state = state_store.read_state(spark, model_job(spark, sf_dir), "top_keywords")
+    return words_state.groupBy("keyword").agg(F.sum("frequency").alias("frequency"))
+
+
+@query(
+    "c15_export_reports",
+    with_posts(
+        """SELECT name, count(*) AS total FROM posts, (VALUES ('overall_breakdown'), ('daily_trend'), ('by_source')) t(name)
+           GROUP BY name"""
+    ),
+)
+def c15_export(spark, sf_dir):
+    """Labels filled in by the model, then every report exported and read back; posts in each."""
+    filled = classifier.ensure_label(posts(spark, sf_dir), trained(spark, sf_dir))
+    paths = export_reports(filled, new_path(spark, "exports"))
+    totals = [
+        readers.read_posts_csv(spark, paths[name], "count bigint").agg(F.lit(name).alias("name"), F.sum("count").alias("total"))
+        for name in ("overall_breakdown", "daily_trend", "by_source")
+    ]
+    return cleaning.union_sources(totals)
+
+
+@query(
+    "c10_held_out_sizes",
+    with_posts(
+        """SELECT label, count(*) AS rows FROM posts
+           WHERE label IS NOT NULL AND CAST('0x' || substr(md5('42:' || post_id), 1, 8) AS BIGINT) % 10000 >= 8000 GROUP BY label"""
+    ),
+)
+def c10_sizes(spark, sf_dir):
+    """How many rows of each class the model is judged on: the actual side of its confusion matrix."""
+    scored = classifier.score(held_out(spark, sf_dir), trained(spark, sf_dir))
+    return scored.filter(F.col("prediction").isNotNull()).groupBy("label").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("c14_scored_rows", "SELECT count(*) AS rows, true AS known FROM documents")
+def c14_rows(spark, sf_dir):
+    """The model gives every post one of the known classes."""
+    counts = reports.value_counts(classifier.score(texts(spark, sf_dir), trained(spark, sf_dir)), "predicted_category")
+    known = F.col("predicted_category").isin(*LABEL_NAMES.values())
+    return counts.agg(F.sum("count").alias("rows"), F.every(known).alias("known"))
+
+
+@query("c20_confidence_bounds", "SELECT count(*) AS rows, true AS bounded FROM documents")
+def c20_bounds(spark, sf_dir):
+    """The confidence of the likeliest of three classes lies between a third and one."""
+    scored = classifier.with_confidence(classifier.score(texts(spark, sf_dir), trained(spark, sf_dir)))
+    bounded = (F.col("confidence") >= 1 / 3) & (F.col("confidence") <= 1)
+    return scored.agg(F.count("post_id").alias("rows"), F.every(bounded).alias("bounded"))
+
+
 _GRAMS_SQL = f"""filtered AS (
   SELECT post_id, list_filter(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{M}}\\p{{N}}_]{{2,}}'),
                               lambda w: w NOT IN {_STOP_SQL}) AS t FROM posts
@@ -233,10 +313,11 @@ def a11(spark, sf_dir):
 
 @query("c21_alt_models")
 def c21(spark, sf_dir):
-    """Held-out accuracy of naive Bayes and of a random forest on word vectors."""
+    """Held-out accuracy of naive Bayes, of 3-gram features and of a random forest on word vectors."""
     train, test = train_and_test(spark, sf_dir)
     variants = {
         "bayes": [*classifier.feature_stages(), classifier.model_stage("bayes")],
+        "three_grams": [*classifier.ngram_stages(n=3), classifier.logistic(max_iter=100, reg=0.01)],
         "forest": [*classifier.word_vector_stages(), classifier.model_stage("forest")],
     }
     return cleaning.union_sources(
@@ -252,14 +333,14 @@ def c21(spark, sf_dir):
 @query("c22_grid_search")
 def c22(spark, sf_dir):
     train, _ = train_and_test(spark, sf_dir)
-    _, grid = classifier.tune(train, classifier.feature_stages(), reg=(0.01, 0.1), folds=2, max_iter=20)
+    _, grid = classifier.tune(train, classifier.feature_stages())
     return spark.createDataFrame(grid, "reg double, accuracy double")
 
 
 @query("c23_train_on_rule_labels")
 def c23(spark, sf_dir):
     """Train on the rule's labels; how often the model then differs from them, per class."""
-    ruled = rules.classify_first(texts(spark, sf_dir, tasks=FIT_TASKS), "text", KW0, KW1, out="rule")
+    ruled = rules.classify_first(texts(spark, sf_dir), "text", KW0, KW1, out="rule")
     _, differ = classifier.retrain(ruled, "rule")
     return reports.distribution_filled(differ, "rule")
 

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from postlens.catalog.registry import query
-from postlens.catalog.tables import labelled_texts, name_sql, posts, table, texts, with_posts
+from postlens.catalog.tables import labelled_texts, name_sql, posts, table, texts, with_labels, with_posts
 from postlens.operators import cleaning, ranking, reports, words
 
 _WORDS_SQL = """words AS (
@@ -44,11 +44,11 @@ def c2(spark, sf_dir):
         f"""SELECT label, n AS count, ((2000 * n + t) // (2 * t)) / 10.0::DOUBLE AS percentage,
                    {name_sql('label')} AS category
             FROM (SELECT label, count(*) AS n, CAST(sum(count(*)) OVER () AS BIGINT) AS t
-                  FROM posts WHERE label IS NOT NULL GROUP BY label) ORDER BY label"""
+                  FROM posts GROUP BY label) ORDER BY label"""
     ),
 )
 def d1(spark, sf_dir):
-    return reports.overall_breakdown(cleaning.filter_labelled(labelled_texts(spark, sf_dir)))
+    return reports.overall_breakdown(labelled_texts(spark, sf_dir))
 
 
 @query(
@@ -83,9 +83,14 @@ def d3(spark, sf_dir):
     return reports.by_source(labelled_texts(spark, sf_dir))
 
 
+def labelled_words(spark, sf_dir):
+    """The real words of each post with its label: words are picked before the join."""
+    return with_labels(words.real_words(texts(spark, sf_dir).select("post_id", "text")), spark, sf_dir)
+
+
 @query("d4_word_freq", with_posts("SELECT label, word, freq FROM words", _WORDS_SQL))
 def d4(spark, sf_dir):
-    return words.word_freq(labelled_texts(spark, sf_dir))
+    return words.word_freq(labelled_words(spark, sf_dir))
 
 
 @query(
@@ -147,7 +152,7 @@ def d9(spark, sf_dir):
     ),
 )
 def e1(spark, sf_dir):
-    return words.top_keywords(labelled_texts(spark, sf_dir))
+    return words.top_keywords(labelled_words(spark, sf_dir))
 
 
 @query(

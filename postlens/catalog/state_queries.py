@@ -10,6 +10,7 @@ from postlens.operators import rules, state
 from postlens.operators.cleaning import recent_posts
 from postlens.plans import views
 from postlens.schema import STATE_TABLES
+from postlens.session import new_path
 
 # English posts are the stored part, the other languages the arriving batch.
 _STORED = "subreddit = 'r/en'"
@@ -187,7 +188,11 @@ def h3(spark, sf_dir):
     ),
 )
 def h4(spark, sf_dir):
-    recent = recent_posts(classified_posts(spark, sf_dir), "timestamp", days=1)
+    # Joined once and stored: the newest time and the posts near it are both read from there.
+    path = new_path(spark, "classified")
+    rows = classified_posts(spark, sf_dir).select("post_id", "timestamp", "source", "category")
+    rows.write.parquet(path)
+    recent = recent_posts(spark.read.schema(rows.schema).parquet(path), "timestamp", days=1)
     return recent.groupBy("category_name", "source").agg(F.count(F.lit(1)).alias("count"))
 
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postlens.catalog.registry import query
 from postlens.catalog.state_queries import _CLASSIFIED_SQL, _OVERALL_SQL, _TOP50_SQL, _WORDS_SQL
 from postlens.catalog.tables import KW0, KW1, RULE_SQL, name_sql, posts_as_text, table, with_posts
-from postlens.operators import rules, state
+from postlens.operators import latency, rules, state
 from postlens.plans import views
 from postlens.schema import classified_schema, post_schema
 from postlens.session import new_path
@@ -35,7 +36,7 @@ def source(spark, path, **options):
     return readers.read_stream(spark, "text", path=path, **options)
 
 
-def run_job(spark, path, rate_limit=None, state_dir=None, checkpoint=None, **options):
+def run_job(spark, path, rate_limit=None, state_dir=None, checkpoint=None, scorer=scorer, **options):
     """Run the job over all waiting files; returns the folder of its state."""
     state_dir = state_dir or new_path(spark, "state")
     checkpoint = checkpoint or new_path(spark, "checkpoint")
@@ -92,6 +93,29 @@ def i1(spark, sf_dir):
     return state_store.read_state(spark, run_job(spark, message_files(spark, sf_dir)), "daily_stats")
 
 
+@query("i1_processing_day", with_posts("SELECT category, source, count(*) AS post_count FROM classified GROUP BY 1, 2", _CLASSIFIED_SQL))
+def i1_processing_day(spark, sf_dir):
+    """Daily counts by the day of processing: at most the two days a run can touch."""
+    state_dir = run_job(spark, message_files(spark, sf_dir), day="created_at")
+    daily = state_store.read_state(spark, state_dir, "daily_stats")
+    near = F.abs(F.date_diff("stat_date", F.current_date())) <= 1
+    return daily.filter(near).groupBy("category", "source").agg(F.sum("post_count").alias("post_count"))
+
+
+@query(
+    "i8_job_latency",
+    with_posts("SELECT count(*) AS count, true AS ordered, true AS positive FROM classified", _CLASSIFIED_SQL),
+)
+def i8_job(spark, sf_dir):
+    """From a post's own time to its classification, for every post that the job stored."""
+    state_dir = run_job(spark, message_files(spark, sf_dir))
+    columns = "post_id bigint, timestamp timestamp, created_at timestamp"
+    rows = state_store.read_classified(spark, state_dir, T.StructType.fromDDL(columns))
+    s = latency.latency_stats(rows, "timestamp", "created_at")
+    ordered = (F.col("min") <= F.col("median")) & (F.col("median") <= F.col("p99")) & (F.col("p99") <= F.col("max"))
+    return s.select(F.col("n").alias("count"), ordered.alias("ordered"), (F.col("min") > 0).alias("positive"))
+
+
 @query(
     "i2_foreach_batch_multi_sink",
     with_posts(
@@ -205,18 +229,15 @@ def i6_views(spark, sf_dir):
        UNION ALL SELECT 'dead_letter', count(*) FROM events WHERE event_type IN ('error', 'signup')""",
 )
 def i9(spark, sf_dir):
-    """Broken JSON and string ids among the messages go to the dead letters, raw text and all."""
+    """Broken JSON and string ids among the messages go to the dead letters, raw text and all, in one job."""
     kind = F.col("event_type")
     broken = F.when(kind == "error", F.format_string('{"post_id": %d, "text"', "event_id")).otherwise(
         F.format_string('{"post_id": "1rih%d", "source": "reddit"}', "event_id")
     )
     bad = table(spark, sf_dir, "events").filter(kind.isin("error", "signup")).select(broken.alias("value"))
-    path = message_files(spark, sf_dir, bad)
-    dead = new_path(spark, "dead-letters")
-    job.start_dead_letters(source(spark, path), dead, new_path(spark, "checkpoint")).awaitTermination()
-    state_dir = run_job(spark, path)
+    state_dir = run_job(spark, message_files(spark, sf_dir, bad))
     good = state_store.read_state(spark, state_dir, "overall_stats")
-    letters = spark.read.schema("value string").parquet(dead)
+    letters = state_store.read_dead_letters(spark, state_dir)
     return good.agg(F.lit("good").alias("side"), F.sum("total_count").alias("rows")).unionByName(
         letters.agg(F.lit("dead_letter").alias("side"), F.count("value").alias("rows"))
     )

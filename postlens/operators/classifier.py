@@ -205,7 +205,12 @@ def ensure_label(df: DataFrame, model: PipelineModel, mode: str = "missing", lab
         raise ValueError(f"unknown mode {mode!r}")
     columns = [c for c in df.columns if c != label]
     scored = score(df.withColumn("_known", known).drop(label), model)
-    return scored.select(*columns, F.coalesce("_known", F.col("prediction").cast("int")).alias(label))
+    return fill_label(scored, "_known", label).select(*columns, label)
+
+
+def fill_label(scored: DataFrame, known: str, label: str = "label") -> DataFrame:
+    """The known label of a scored row, or its prediction where there is none."""
+    return scored.withColumn(label, F.coalesce(F.col(known), F.col("prediction").cast("int")))
 
 
 def with_confidence(df: DataFrame, prob: str = "probability", out: str = "confidence") -> DataFrame:

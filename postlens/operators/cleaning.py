@@ -43,7 +43,9 @@ def join_label_name(
     return df.join(F.broadcast(dimension), F.col(label) == F.col("_cls"), "left").drop("_cls")
 
 
-def project_classified(df: DataFrame, pred: str = "prediction", key: str = "post_id") -> DataFrame:
+def project_classified(
+    df: DataFrame, pred: str = "prediction", key: str = "post_id", keep: Sequence[str] = ()
+) -> DataFrame:
     """Columns of a classified post; the model's double prediction becomes an int."""
     return df.select(
         F.col(key).alias("post_id"),
@@ -51,6 +53,7 @@ def project_classified(df: DataFrame, pred: str = "prediction", key: str = "post
         "source",
         "text",
         F.col(pred).cast("int").alias("category"),
+        *keep,
     )
 
 
@@ -171,9 +174,18 @@ def union_sources(dfs: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
 
 
-def clean_attrition(df: DataFrame, key: str = "post_id", text: str = "text") -> DataFrame:
-    """Rows in, rows dropped for quality (and their share), duplicates, rows out; one scan."""
-    flagged = df.select(F.col(key).alias("k"), tx.is_quality(F.col(text)).alias("good"))
+def with_quality(df: DataFrame, text: str = "text", out: str = "good") -> DataFrame:
+    """Whether the text passes the quality filter."""
+    return df.withColumn(out, tx.is_quality(F.col(text)))
+
+
+def clean_attrition(df: DataFrame, key: str = "post_id", text: str = "text", good: str | None = None) -> DataFrame:
+    """Rows in, rows dropped for quality (and their share), duplicates, rows out; one scan.
+
+    `good` names a column that already says which rows pass.
+    """
+    passes = tx.is_quality(F.col(text)) if good is None else F.col(good)
+    flagged = df.select(F.col(key).alias("k"), passes.alias("good"))
     # Rows without a key are copies of each other too, and count_distinct skips them.
     null_key = F.max((F.col("good") & F.col("k").isNull()).cast("int"))
     counted = flagged.agg(

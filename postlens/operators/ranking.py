@@ -7,33 +7,32 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# From this n on the optimizer no longer cuts groups before the shuffle
-# (spark.sql.optimizer.windowGroupLimitThreshold, default 1000).
-GROUP_LIMIT_THRESHOLD = 1000
+# Parts of a group that are ranked apart before the whole group is.
+SALTS = 64
+
 
 def _columns(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
 def top_per_group(
-    df: DataFrame, group: Sequence[str], n: int, order: Sequence[str | Column], salts: int = 4096
+    df: DataFrame, group: Sequence[str], n: int, order: Sequence[str | Column], salts: int = SALTS
 ) -> DataFrame:
     """The first `n` rows of every group in the given order.
 
-    A hot group never reaches one task whole. Below the threshold Spark limits
-    each group in every map task before the shuffle; above it the group is first
-    cut to `n` rows in each of its salted parts, which is exact because the first
-    `n` rows of the group are among the first `n` of their parts.
+    Every group is first cut to `n` rows in each of its salted parts, which is exact
+    because the first `n` rows of a group are among the first `n` of their parts; the
+    rest, at most `salts * n` rows of a group, is ranked once more. The plan is the same
+    for any `n`. Where Spark itself limits groups in the map tasks, the first step moves
+    few rows. Rows that are equal in all columns share a part.
     """
     order = _columns(order)
-    if n >= GROUP_LIMIT_THRESHOLD:
-        hashable = [name for name, kind in df.dtypes if "map<" not in kind]
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)))
-        part = Window.partitionBy(*group, "_salt").orderBy(*order)
-        df = salted.withColumn("_rn", F.row_number().over(part)).filter(F.col("_rn") <= n)
-        df = df.drop("_salt", "_rn")
+    hashable = [name for name, kind in df.dtypes if "map<" not in kind]
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashable]), F.lit(salts)))
+    part = Window.partitionBy(*group, "_salt").orderBy(*order)
+    cut = salted.withColumn("_rn", F.row_number().over(part)).filter(F.col("_rn") <= n).drop("_salt", "_rn")
     whole = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(whole)).filter(F.col("_rn") <= n).drop("_rn")
+    return cut.withColumn("_rn", F.row_number().over(whole)).filter(F.col("_rn") <= n).drop("_rn")
 
 
 def cap_per_group(df: DataFrame, group: str, n: int, order: Sequence[str | Column]) -> DataFrame:
@@ -47,8 +46,12 @@ def sample_per_class(df: DataFrame, label: str, order: Sequence[str | Column], n
 
 
 def dedup_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """One row per key: the first in the given order (a frame has no input order)."""
-    return top_per_group(df, [key] if isinstance(key, str) else list(key), 1, order)
+    """One row per key: the first in the given order (a frame has no input order).
+
+    A task passes on one row of each of its keys, so a hot key is cut before the shuffle.
+    """
+    first = Window.partitionBy(*([key] if isinstance(key, str) else key)).orderBy(*_columns(order))
+    return df.withColumn("_rn", F.row_number().over(first)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def top_posts(df: DataFrame, by: str = "upvotes", key: str = "post_id", n: int | None = None) -> DataFrame:

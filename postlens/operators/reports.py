@@ -81,20 +81,24 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 
 def describe_length(df: DataFrame, text: str = "text") -> DataFrame:
-    """Count, mean, sample deviation, extremes and interpolated quartiles of the text length."""
+    """Count, mean, sample deviation, extremes and interpolated quartiles of the text length.
+
+    Rows are counted by length first; there are as many different lengths as the longest
+    text has characters, at most, and the rest works on those.
+    """
     lengths = df.select(F.length(text).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    return quantile_columns(
-        lengths,
-        "v",
-        {"p25": (0.25, "linear"), "p50": (0.5, "linear"), "p75": (0.75, "linear")},
-        [
-            F.count(F.lit(1)).alias("count"),
-            F.avg("v").alias("mean"),
-            F.stddev_samp("v").alias("std"),
-            F.min("v").alias("min"),
-            F.max("v").alias("max"),
-        ],
-    ).select("count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    counted = lengths.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    total, summed = F.sum("n"), F.sum(F.col("v") * F.col("n"))
+    squares = F.sum(F.col("v") * F.col("v") * F.col("n"))
+    spread = F.greatest(squares - summed * summed / total, F.lit(0.0)) / F.nullif(total - 1, F.lit(0))
+    return counted.agg(
+        F.coalesce(total, F.lit(0)).alias("count"),
+        F.try_divide(summed, total).alias("mean"),
+        F.when(total > 1, F.sqrt(spread)).alias("std"),
+        F.min("v").alias("min"),
+        *[F.percentile("v", q, F.col("n")).alias(f"p{round(100 * q)}") for q in (0.25, 0.5, 0.75)],
+        F.max("v").alias("max"),
+    )
 
 
 def row_total(df: DataFrame) -> DataFrame:

@@ -49,8 +49,12 @@ def weak_label(
     kw1: Sequence[str] = tuple(presets.WEAK_LABEL_PRODUCTIVITY),
 ) -> DataFrame:
     """Fill a missing label with the first-match rule."""
-    ruled = classify_first(df, text, kw0, kw1, out="_rule")
-    return ruled.withColumn(label, F.coalesce(F.col(label), F.col("_rule"))).drop("_rule")
+    return fill_from_rule(classify_first(df, text, kw0, kw1, out="_rule"), "_rule", label).drop("_rule")
+
+
+def fill_from_rule(df: DataFrame, rule: str, label: str = "label") -> DataFrame:
+    """Fill a missing label with a rule's class that is there already."""
+    return df.withColumn(label, F.coalesce(F.col(label), F.col(rule)))
 
 
 def parse_label(

@@ -30,9 +30,21 @@ def filter_words(df: DataFrame, word: str = "word", pattern: str = tx.WORD_PATTE
     return df.filter(F.col(word).rlike(pattern))
 
 
+def real_words(df: DataFrame, text: str = "text", out: str = "words") -> DataFrame:
+    """Replaces the text by the array of its real words, repeats kept; smaller to shuffle."""
+    found = F.filter(tx.split_words(F.col(text)), lambda w: w.rlike(tx.WORD_PATTERN))
+    return df.withColumn(out, found).drop(text)
+
+
 def word_counts(df: DataFrame, keys: Sequence[str] = ("label",), text: str = "text", out: str = "freq") -> DataFrame:
-    """Occurrences of each real word per key, unordered; counted in the map tasks first."""
-    words = filter_words(explode_words(df, keys, text))
+    """Occurrences of each real word per key, unordered; counted in the map tasks first.
+
+    Takes a text column, or the `words` that `real_words` made of it.
+    """
+    if "words" in df.columns:
+        words = df.select(*keys, F.explode("words").alias("word"))
+    else:
+        words = filter_words(explode_words(df, keys, text))
     return words.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias(out))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from postlens.schema import post_schema
 
 _RAW = "_raw_message"
+BAD = "bad_message"
 
 
 def decode_posts(df: DataFrame, schema: T.StructType | None = None, value: str = "value") -> DataFrame:
@@ -25,6 +26,17 @@ def split_bad(
     A dead letter keeps the raw text: broken JSON, a field of the wrong type, a null
     message, or one without the `key` field.
     """
+    marked = mark_bad(df, schema, value, key)
+    return marked.filter(F.col(BAD).isNull()).drop(BAD), marked.filter(F.col(BAD).isNotNull()).select(F.col(BAD).alias("value"))
+
+
+def mark_bad(
+    df: DataFrame, schema: T.StructType | None = None, value: str = "value", key: str | None = None
+) -> DataFrame:
+    """Decoded post columns, and `bad_message`: the raw text of a message that is no good, else null.
+
+    A null message has the empty string there.
+    """
     schema = schema or post_schema()
     with_raw = T.StructType(schema.fields + [T.StructField(_RAW, T.StringType())])
     text = F.col(value).cast("string")
@@ -35,8 +47,8 @@ def split_bad(
     is_bad = F.col("value").isNull() | F.col(f"d.{_RAW}").isNotNull()
     if key is not None:
         is_bad = is_bad | F.col(f"d.{key}").isNull()
-    good = parsed.filter(~is_bad).select(*[f"d.{f.name}" for f in schema.fields])
-    return good, parsed.filter(is_bad).select("value")
+    raw = F.when(is_bad, F.coalesce("value", F.lit("")))
+    return parsed.select(*[f"d.{f.name}" for f in schema.fields], raw.alias(BAD))
 
 
 def to_payload(df: DataFrame, key: str | None = None) -> DataFrame:

@@ -18,18 +18,30 @@ CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"
 
 
 def read_posts_csv(
-    spark: SparkSession, path: str | list[str], schema: T.StructType | str, multi_line: bool = True
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType | str,
+    multi_line: bool = True,
+    null_mark: str | None = None,
 ) -> DataFrame:
     """CSV with a header row, its columns taken by name and cast to the given types.
 
-    Nothing is inferred from the data. A column the file lacks is null, as is a value
-    that does not cast; columns the schema lacks are not parsed. A file whose fields
-    hold newlines cannot be split between tasks, so large data wants many files (see
-    `write_csv`); `multi_line=False` splits files without them.
+    Nothing is inferred from the data. A column the files lack is null, as is a value
+    that does not cast; columns the schema lacks are not parsed. All files of one call
+    must have the same header: each is compared to the first one's, and the read fails
+    if its columns differ or stand in another order; read such files in calls of their
+    own and unite them by name. A file whose fields hold newlines cannot be split
+    between tasks, so large data wants many files (see `write_csv`); `multi_line=False`
+    splits files without them. `null_mark` is the text that stands for null; without
+    one, an empty text is null, too.
     """
     fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
     options = {**CSV_OPTIONS, "multiLine": str(multi_line).lower()}
-    raw = spark.read.options(**options).csv(path)
+    if null_mark is not None:
+        options |= {"nullValue": null_mark, "emptyValue": ""}
+    header = spark.read.options(**options).csv(path).schema
+    # With a schema given and not enforced, every file's header is checked against it.
+    raw = spark.read.options(**options, enforceSchema="false").schema(header).csv(path)
 
     def typed(field: T.StructField) -> Column:
         if field.name not in raw.columns:
@@ -43,19 +55,6 @@ def read_posts_csv(
     return raw.select(*[typed(f).alias(f.name) for f in fields])
 
 
-def spread(df: DataFrame, *keys: str, tasks: int | None = None) -> DataFrame:
-    """Repartition a frame whose scan has fewer tasks than the cluster has cores.
-
-    It gets `tasks` partitions, by default one per core.
-
-    Meant for small or unsplittable inputs. A large input has tasks enough and is
-    returned as it is, without a shuffle. Give it a plain scan: its tasks are known
-    from the plan, while a plan with shuffles would have to run first.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(tasks or cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_api_dump(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Landed web API responses, one JSON document per line."""
     return spark.read.schema(API_RESPONSE_SCHEMA).json(path)

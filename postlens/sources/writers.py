@@ -10,13 +10,17 @@ from pyspark.sql.streaming import StreamingQuery
 from postlens.sources.codec import to_payload
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int = 500_000) -> None:
+def write_csv(
+    df: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int = 500_000, null_mark: str | None = None
+) -> None:
     """CSV with a header. Files stay small because quoted newlines make them unsplittable.
 
-    An empty text reads back as null: CSV does not tell the two apart.
+    An empty text reads back as null, unless nulls have a mark of their own.
     """
+    marks = {} if null_mark is None else {"nullValue": null_mark}
     (
         df.write.mode(mode)
+        .options(**marks)
         .option("header", "true")
         .option("quote", '"')
         .option("escape", '"')

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from postlens.operators.cleaning import preview, project_classified, stamp_processing
 from postlens.schema import classified_schema, post_schema
-from postlens.sources.codec import decode_posts, split_bad
+from postlens.sources.codec import BAD, decode_posts, mark_bad, split_bad
 from postlens.sources.readers import read_stream
 from postlens.streaming.state_store import write_batch
 
@@ -26,27 +26,36 @@ def classify_stream(
     pred: str = "pred",
     dedup: str = "none",
     late: str = "1 day",
+    keep_bad: bool = False,
 ) -> DataFrame:
     """Messages -> classified posts stamped with the processing time.
 
-    Messages that do not decode, or lack a key, belong to `start_dead_letters`. With
-    `dedup='watermark'` repeats of a post within `late` of each other are dropped
-    as they arrive.
+    Messages that do not decode, or lack a key, are left out; with `keep_bad` they are
+    rows, too, with their raw text in `bad_message`, which is null in all others. With
+    `dedup='watermark'` a repeat of a post that arrives within `late` of the first one
+    is dropped. The mark follows the time of arrival, so a post with an old timestamp is
+    no late one, and every post that is not a repeat goes through.
     """
-    posts, _ = split_bad(messages, schema or post_schema(), key="post_id")
+    posts = mark_bad(messages, schema or post_schema(), key="post_id")
+    if not keep_bad:
+        posts = posts.filter(F.col(BAD).isNull())
     if dedup == "watermark":
-        posts = (
-            posts.withColumn("_event_time", F.try_to_timestamp("timestamp"))
-            .withWatermark("_event_time", late)
+        good = (
+            posts.filter(F.col(BAD).isNull())
+            .withColumn("_arrival", F.current_timestamp())
+            .withWatermark("_arrival", late)
             .dropDuplicatesWithinWatermark(["post_id"])
-            .drop("_event_time")
+            .drop("_arrival")
         )
-    return stamp_processing(project_with_day(scorer(posts), pred))
+        posts = good.unionByName(posts.filter(F.col(BAD).isNotNull())) if keep_bad else good
+    return stamp_processing(project_with_day(scorer(posts), pred, keep_bad))
 
 
-def project_with_day(scored: DataFrame, pred: str) -> DataFrame:
+def project_with_day(scored: DataFrame, pred: str, keep_bad: bool = False) -> DataFrame:
     """Classified columns with the event time parsed; an unreadable one is null."""
-    return project_classified(scored, pred).withColumn("timestamp", F.try_to_timestamp("timestamp"))
+    more = [BAD] if keep_bad else []
+    columns = project_classified(scored, pred, keep=more)
+    return columns.withColumn("timestamp", F.try_to_timestamp("timestamp"))
 
 
 def start_classify(
@@ -66,11 +75,13 @@ def start_classify(
 
     `dedup`: "none" counts every message; "state" leaves out posts an earlier batch
     stored (reads the stored keys in every batch); "watermark" bounds that memory to
-    a time span. A replayed batch never counts twice in any mode.
+    a time span after the first arrival. A replayed batch never counts twice in any mode.
+    Messages that are no good are stored with the batch they came in; see
+    `state_store.read_dead_letters`.
     """
     if dedup not in DEDUP_MODES:
         raise ValueError(f"dedup is one of {DEDUP_MODES}, not {dedup!r}")
-    classified = classify_stream(messages, scorer, schema, pred, dedup, late)
+    classified = classify_stream(messages, scorer, schema, pred, dedup, late, keep_bad=True)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         write_batch(batch, batch_id, state_dir, dedup == "state", day)
@@ -91,7 +102,10 @@ def start_dead_letters(
     schema: T.StructType | None = None,
     trigger: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
-    """Append the raw text of every message that `classify_stream` cannot use to parquet."""
+    """Append the raw text of every message that `classify_stream` cannot use to parquet.
+
+    For a topic whose posts no job classifies; `start_classify` stores its own.
+    """
     _, bad = split_bad(messages, schema or post_schema(), key="post_id")
     return (
         bad.writeStream.format("parquet")

@@ -18,8 +18,12 @@ from pyspark.sql import types as T
 from postlens.operators import state as st
 from postlens.operators.ranking import dedup_first
 from postlens.schema import STATE_SCHEMAS, STATE_TABLES
+from postlens.sources.codec import BAD
 
 CLASSIFIED = "classified_posts"
+FINISHED = "finished_batches"
+# Partition of the stored rows that tells messages that were no good from posts.
+SIDE = "is_bad"
 
 
 def _table(state_dir: str, name: str) -> str:
@@ -46,7 +50,7 @@ def write_batch(
     dedup: bool = False,
     day: str = "timestamp",
 ) -> None:
-    """Store the classified rows of a batch, then its three deltas.
+    """Store the classified rows of a batch, and its messages that were no good, then its three deltas.
 
     The rows are scored once, by the first write; the deltas read that folder back,
     each with just its own columns. `dedup` leaves out posts that an earlier batch
@@ -56,15 +60,26 @@ def write_batch(
     spark = batch.sparkSession
     own = f"batch_id={batch_id}"
     rows_path = f"{_table(state_dir, CLASSIFIED)}/{own}"
+    if BAD not in batch.columns:
+        batch = batch.withColumn(BAD, F.lit(None).cast("string"))
+    batch = batch.withColumn(SIDE, F.col(BAD).isNotNull())
+
+    def stored_at(path: str) -> DataFrame:
+        return spark.read.schema(batch.schema).parquet(path)
+
     if dedup:
         # Scored once into a folder of its own, whose size then tells Spark how to join.
-        incoming_path = f"{state_dir}/_incoming"
-        dedup_first(batch, "post_id", ["timestamp", "source", "text"]).write.mode("overwrite").parquet(incoming_path)
-        incoming = spark.read.schema(batch.schema).parquet(incoming_path)
-        earlier = _read(spark, _table(state_dir, CLASSIFIED), batch.schema).filter(F.col("batch_id") < batch_id)
-        batch = st.absent(earlier, incoming, "post_id").select(*batch.columns)
-    batch.write.mode("overwrite").parquet(rows_path)
-    stored = spark.read.schema(batch.schema).parquet(rows_path)
+        incoming_path = f"{state_dir}/_incoming/{own}"
+        batch.write.mode("overwrite").partitionBy(SIDE).parquet(incoming_path)
+        incoming = stored_at(incoming_path)
+        good = dedup_first(incoming.filter(~F.col(SIDE)), "post_id", ["timestamp", "source", "text"])
+        earlier = _read(spark, _table(state_dir, CLASSIFIED), batch.schema).filter(
+            (F.col("batch_id") < batch_id) & ~F.col(SIDE)
+        )
+        new = st.absent(earlier, good, "post_id").select(*batch.columns)
+        batch = new.unionByName(incoming.filter(F.col(SIDE)).select(*batch.columns))
+    batch.write.mode("overwrite").partitionBy(SIDE).parquet(rows_path)
+    stored = stored_at(rows_path).filter(~F.col(SIDE))
 
     def write(delta: DataFrame, name: str) -> str:
         path = f"{_table(state_dir, name)}/{own}"
@@ -83,10 +98,20 @@ def write_batch(
     with ThreadPoolExecutor(max_workers=2) as pool:
         for chain in [pool.submit(inheritable_thread_target(spark)(f)) for f in (counts, keywords)]:
             chain.result()
+    # The mark comes last: a batch that has it is complete in every table.
+    spark.range(1).select(F.current_timestamp().alias("at")).write.mode("overwrite").parquet(f"{_table(state_dir, FINISHED)}/{own}")
 
 
 def read_classified(spark: SparkSession, state_dir: str, schema: T.StructType) -> DataFrame:
-    return _read(spark, _table(state_dir, CLASSIFIED), schema)
+    """Stored posts of all batches with their `batch_id`."""
+    sided = T.StructType([*schema.fields, T.StructField(SIDE, T.BooleanType())])
+    return _read(spark, _table(state_dir, CLASSIFIED), sided).filter(~F.col(SIDE)).drop(SIDE)
+
+
+def read_dead_letters(spark: SparkSession, state_dir: str) -> DataFrame:
+    """Raw text of the messages that were no good, with the batch they came in."""
+    rows = _read(spark, _table(state_dir, CLASSIFIED), f"{BAD} string, {SIDE} boolean")
+    return rows.filter(F.col(SIDE)).select(F.col(BAD).alias("value"), "batch_id")
 
 
 def read_state(spark: SparkSession, state_dir: str, name: str) -> DataFrame:
@@ -109,8 +134,14 @@ def _snapshot_upto(snapshots: DataFrame) -> int | None:
 def compact(spark: SparkSession, state_dir: str, upto: int) -> None:
     """Fold all batches up to and including `upto` into a snapshot of each table.
 
-    Batch folders stay until their owner removes them; readers skip the folded ones.
+    `upto` must be a batch that is complete in all tables; as batches are written one
+    after another, the ones before it are, too. Any other number is refused: readers
+    skip every batch up to it, so one that is written later would be lost. Batch folders
+    stay until their owner removes them; readers skip the folded ones.
     """
+    finished = _read(spark, _table(state_dir, FINISHED), "at timestamp")
+    if finished.filter(F.col("batch_id") == upto).isEmpty():
+        raise ValueError(f"batch {upto} is not complete")
     for name, (keys, value) in STATE_TABLES.items():
         batches = _read(spark, _table(state_dir, name), STATE_SCHEMAS[name])
         snapshots = _read(spark, f"{_table(state_dir, name)}_snapshot", STATE_SCHEMAS[name])

@@ -150,10 +150,26 @@ def test_stream_options_for_a_topic():
     }
 
 
-def test_spread_only_touches_small_scans(spark):
-    assert readers.spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == 8
-    wide = spark.range(100, numPartitions=20)
-    assert readers.spread(wide) is wide
+@pytest.mark.parametrize("other, same", [("post_id,comments,upvotes\n3,10,20\n", False), ("post_id,upvotes,comments\n3,20,10\n", True)])
+def test_columns_are_never_taken_by_place(spark, tmp_path, other, same):
+    (tmp_path / "a.csv").write_text("post_id,upvotes,comments\n1,5,6\n2,7,8\n")
+    (tmp_path / "b.csv").write_text(other)
+    schema = "post_id long, upvotes int, comments int"
+    both = readers.read_posts_csv(spark, str(tmp_path), schema)
+    if same:
+        assert sorted(tuple(r) for r in both.collect()) == [(1, 5, 6), (2, 7, 8), (3, 20, 10)]
+        return
+    with pytest.raises(Exception, match="(?i)header"):
+        both.collect()
+    apart = [readers.read_posts_csv(spark, str(tmp_path / n), schema) for n in ("a.csv", "b.csv")]
+    assert sorted(tuple(r) for r in apart[0].unionByName(apart[1]).collect()) == [(1, 5, 6), (2, 7, 8), (3, 20, 10)]
+
+
+def test_a_null_mark_tells_null_from_empty(spark, tmp_path):
+    rows = spark.createDataFrame([(1, ""), (2, None), (3, "x\ny")], "post_id long, text string")
+    writers.write_csv(rows, str(tmp_path / "out"), null_mark="\\N")
+    back = readers.read_posts_csv(spark, str(tmp_path / "out"), rows.schema, null_mark="\\N")
+    assert sorted(tuple(r) for r in back.collect()) == [(1, ""), (2, None), (3, "x\ny")]
 
 
 def test_shared_dir_is_the_configured_one(spark):

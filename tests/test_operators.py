@@ -209,6 +209,26 @@ def test_describe_length_against_brute_force(spark):
     assert row["std"] == pytest.approx(statistics.stdev(lengths))
 
 
+@pytest.mark.parametrize("n", [1, 999, 1000, 1001, 2000])
+def test_top_rows_of_a_hot_group(spark, n):
+    df = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, F.col("id") % 5).otherwise(-1).alias("g"), (F.col("id") * 7919 % 6007).alias("v"), "id"
+    )
+    got = ranking.top_per_group(df, ["g"], n, [F.desc("v"), "id"], salts=5)
+    by_group = {}
+    for r in df.collect():
+        by_group.setdefault(r["g"], []).append((-r["v"], r["id"]))
+    expected = sorted((g, k) for g, rows in by_group.items() for _, k in sorted(rows)[:n])
+    assert sorted((r["g"], r["id"]) for r in got.collect()) == expected
+
+
+def test_describe_length_of_one_or_no_text(spark):
+    [one] = reports.describe_length(frame(spark, [("abc",)], "text string")).collect()
+    assert tuple(one) == (1, 3.0, None, 3.0, 3.0, 3.0, 3.0, 3.0)
+    [none] = reports.describe_length(frame(spark, [(None,)], "text string")).collect()
+    assert tuple(none) == (0, *[None] * 7)
+
+
 # --- order statistics -----------------------------------------------------
 
 

@@ -130,6 +130,38 @@ def test_compaction_keeps_totals_and_takes_later_batches(spark, tmp_path, run):
     assert totals(spark, tmp_path) == {(0,): 5}
 
 
+def test_compaction_refuses_batches_that_are_not_there(spark, tmp_path, run):
+    put(tmp_path / "in", "part0", [post(1)])
+    run()
+    folder = str(tmp_path / "state")
+    for upto in (5, 1, -1):
+        with pytest.raises(ValueError):
+            state_store.compact(spark, folder, upto)
+    state_store.compact(spark, folder, 0)
+    put(tmp_path / "in", "part1", [post(2)])
+    run()
+    assert totals(spark, tmp_path) == {(0,): 2}
+
+
+def test_watermark_mode_loses_no_post_with_an_old_time(spark, tmp_path, run):
+    for i, day in enumerate((10, 20, 1)):
+        put(tmp_path / "in", f"part{i}", [post(i, day=day), post(i, day=day)])
+        run(dedup="watermark")
+    assert totals(spark, tmp_path) == {(0,): 3}
+
+
+@pytest.mark.parametrize("mode", ["none", "state", "watermark"])
+def test_one_job_stores_good_and_bad_messages(spark, tmp_path, run, mode):
+    put(tmp_path / "in", "part0", [post(1), *BAD, post(2)])
+    run(dedup=mode)
+    put(tmp_path / "in", "part1", [BAD[0], post(3)])
+    run(dedup=mode)
+    assert totals(spark, tmp_path) == {(0,): 3}
+    letters = state_store.read_dead_letters(spark, str(tmp_path / "state")).collect()
+    assert sorted(r["value"] for r in letters) == sorted([*BAD, BAD[0]])
+    assert {r["value"] for r in letters if r["batch_id"] == 0} == set(BAD)
+
+
 BAD = ['{"post_id": 1, "text"', '{"post_id": "1rihows", "source": "reddit"}', '{"source": "reddit"}', "not json"]
 
 

@@ -40,24 +40,28 @@ class Model:
     log_prob: np.ndarray  # buckets x languages
 
 
-def _segments(texts: Iterable[str]) -> Iterator[tuple[int, str]]:
+def _segments(texts: Iterable[str]) -> Iterator[tuple[int, str, int]]:
+    """(number of the text, segment, number of its places where n-grams start)."""
     for i, text in enumerate(texts):
         lowered = f" {text.lower()} "
         for at in range(0, max(1, len(lowered) - 2), SEGMENT):
-            yield i, lowered[at : at + SEGMENT + 2]
+            part = lowered[at : at + SEGMENT + 2]
+            yield i, part, len(part) if at + SEGMENT + 2 >= len(lowered) else SEGMENT
 
 
-def _ngrams(segments: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each n: the bucket of every n-gram and the segment it lies in, in order."""
+def _ngrams(segments: list[str], starts: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each n: the bucket of every n-gram and the segment it starts in, in order."""
     points = np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    owner = np.repeat(np.arange(len(segments)), [len(s) for s in segments])
+    size = np.array([len(s) for s in segments])
+    owner = np.repeat(np.arange(len(segments)), size)
+    own = np.arange(len(points)) - np.repeat(np.cumsum(size) - size, size) < np.repeat(starts, size)
     code = np.zeros(len(points), np.uint64)
     for n, factor in enumerate(_FACTORS):
         size = len(points) - n
         if size <= 0:
             return
         code = code[:size] + (points[n:] + np.uint64(1)) * factor
-        inside = owner[:size] == owner[n:]
+        inside = (owner[:size] == owner[n:]) & own[:size]
         spread = code * np.uint64(0xD6E8FEB86659FD93)
         yield (spread[inside] >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), owner[:size][inside]
 
@@ -68,9 +72,9 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = [t.decode("utf-8", "replace") for t in batch.column("text").to_pylist()]
         langs = batch.column("lang").to_pylist()
         cut = list(_segments(texts))
-        for a, b in packs([len(s) for _, s in cut], SEGMENT):
-            owners = [langs[i] for i, _ in cut[a:b]]
-            for buckets, owner in _ngrams([s for _, s in cut[a:b]]):
+        for a, b in packs([len(s) for _, s, _ in cut], SEGMENT):
+            owners = [langs[i] for i, _, _ in cut[a:b]]
+            for buckets, owner in _ngrams(*map(list, list(zip(*cut[a:b]))[1:])):
                 for lang in set(owners):
                     mine = np.array([x == lang for x in owners])[owner]
                     total = counts.setdefault(lang, np.zeros(1 << BUCKET_BITS, np.int64))
@@ -125,14 +129,14 @@ def _scores(texts: list[str], model: Model) -> np.ndarray:
     out = np.tile(model.log_prior, (len(texts), 1))
     cut = list(_segments(texts))
     step = max(1, (1 << 22) // len(model.languages))
-    for a, b in packs([len(s) for _, s in cut], min(SEGMENT, step)):
+    for a, b in packs([len(s) for _, s, _ in cut], min(SEGMENT, step)):
         added = np.zeros((b - a, len(model.languages)))
-        for buckets, owner in _ngrams([s for _, s in cut[a:b]]):
+        for buckets, owner in _ngrams(*map(list, list(zip(*cut[a:b]))[1:])):
             for at in range(0, len(buckets), step):
                 part = owner[at : at + step]
                 first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
                 added[part[first]] += np.add.reduceat(model.log_prob[buckets[at : at + step]], first, axis=0, dtype=np.float64)
-        np.add.at(out, [i for i, _ in cut[a:b]], added)
+        np.add.at(out, [i for i, _, _ in cut[a:b]], added)
     return out
 
 

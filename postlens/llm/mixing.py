@@ -79,10 +79,12 @@ def mix(
         mine = F.try_element_at(steps, F.col(f"`{source_col}`"))
         drawn = uniform(key, seed)
         copies = F.when(mine.isNull(), 1).otherwise(F.size(F.filter(mine, lambda c: c <= drawn)))
-    exploded = docs.withColumn("_copies", copies).filter("_copies > 0")
-    exploded = exploded.withColumn(copy_col, F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copies")
-    placed = exploded.withColumn("_place", F.xxhash64(F.lit(seed), key, F.col(copy_col)))
-    return placed.repartition("_place").sortWithinPartitions("_place", copy_col).drop("_place")
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    drawn_rows = docs.select(F.struct(*own).alias("doc"), copies.alias("copies"), key.alias("key")).filter("copies > 0")
+    exploded = drawn_rows.select("doc", "key", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    placed = exploded.select("doc", "copy", F.xxhash64(F.lit(seed), "key", "copy").alias("place"))
+    shuffled = placed.repartition("place").sortWithinPartitions("place", "copy")
+    return shuffled.select("doc.*", F.col("copy").alias(copy_col))
 
 
 def mix_sql(targets: Mapping[str, float], seed: int = 17) -> str:

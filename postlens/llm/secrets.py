@@ -2,11 +2,11 @@
 
 The base kinds are found by their patterns. A further kind, `markov`, comes from two
 first-order character models: one of random strings, trained on the values that the
-base patterns found, and one of ordinary identifiers, trained on words outside of them
-(whole texts of a sample of `sample_rows` rows, drawn by hash). A run of token
+base patterns found, and one of ordinary identifiers, trained on words outside of
+them that are shorter than a run (whole texts of a sample of `sample_rows` rows, drawn by hash). A run of token
 characters that is long enough and touches no base span is added if its mean log-
-likelihood ratio per character pair exceeds a threshold. Both models start from equal
-counts for all pairs; without any sample nothing scores above zero and nothing is added.
+likelihood ratio per character pair exceeds a threshold. Pairs are smoothed towards the share of
+their second character; without any sample both models are equal and nothing is added.
 
 All of it is column expressions. Positions come from splitting a text at its matches:
 the lengths of the parts and matches before one add up to its start. Counts of pairs
@@ -34,6 +34,7 @@ BASE = {
 }
 MARKOV = "markov"
 MIN_VALUE = 12
+PRIOR = 20
 ALPHABET = string.ascii_letters + string.digits + "+/_.=-"
 _RUN = r"[A-Za-z0-9+/_.=-]"
 _IDENTIFIER = r"[A-Za-z_][A-Za-z0-9_.-]{5,}"
@@ -62,7 +63,8 @@ def scan(docs: DataFrame, id_col: str, text_col: str, min_run: int, sample_rows:
         )
         columns.append(F.when(F.size(kind) > 0, spans).alias(kind))
     drawn = F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(1 << 30)) < int(min(1.0, sample_rows / total) * (1 << 30))
-    identifiers = F.when(drawn, F.regexp_extract_all("text", F.lit(_IDENTIFIER), F.lit(0)))
+    outside = F.regexp_replace("text", "|".join(f"(?:{p})" for p in BASE.values()), " ")
+    identifiers = F.when(drawn, F.regexp_extract_all(outside, F.lit(_IDENTIFIER), F.lit(0)))
     return saved(found.select("row", "doc_id", *columns, identifiers.alias("identifiers")), "secrets")
 
 
@@ -99,18 +101,20 @@ def train(random: DataFrame, identifiers: DataFrame) -> list[float]:
     Both inputs are samples in a column `value`.
     """
     size = len(ALPHABET)
-    counts = {label: [[1.0] * size for _ in range(size)] for label in ("random", "identifier")}
+    counts = {label: [[0] * size for _ in range(size)] for label in ("random", "identifier")}
     for r in _pairs(random, "random").unionByName(_pairs(identifiers, "identifier")).collect():  # alphabet squared at most
         if len(r["pair"]) == 2 and all(c in ALPHABET for c in r["pair"]):
             counts[r["label"]][ALPHABET.index(r["pair"][0])][ALPHABET.index(r["pair"][1])] += r["n"]
-    ratio = []
-    for a in range(size):
-        sums = {label: sum(table[a]) for label, table in counts.items()}
-        for b in range(size):
-            ratio.append(
-                math.log(counts["random"][a][b] / sums["random"]) - math.log(counts["identifier"][a][b] / sums["identifier"])
-            )
-    return ratio
+    random_one, identifier = (_transitions(counts[label]) for label in ("random", "identifier"))
+    return [math.log(x) - math.log(y) for x, y in zip(random_one, identifier)]
+
+
+def _transitions(counts: list[list[int]]) -> list[float]:
+    """Probability of the second character after the first, drawn towards its overall share."""
+    size = len(counts)
+    seen = [sum(row[b] for row in counts) + 0.5 for b in range(size)]
+    share = [x / sum(seen) for x in seen]
+    return [(row[b] + PRIOR * share[b]) / (sum(row) + PRIOR) for row in counts for b in range(size)]
 
 
 def mean_ratio(value: Column, ratio: list[float]) -> Column:
@@ -139,9 +143,9 @@ def find_secrets(
     base = matches.filter(
         (F.col("kind") != MARKOV) & ((F.col("kind") != "assign") | (F.char_length("value") >= MIN_VALUE))
     )
-    words = found.select(F.explode("identifiers").alias("value"))
+    words = found.select(F.explode("identifiers").alias("value")).filter(F.char_length("value") < min_run)
     values = base.select("value")
-    ratio = train(values, words.filter(~F.col("value").rlike("|".join([BASE["access"], BASE["hex"]]))))
+    ratio = train(values, words)
     runs = matches.filter(F.col("kind") == MARKOV)
     random = runs.filter(mean_ratio(F.col("value"), ratio) > threshold)
     # A run that touches a base span of its document is no new one.

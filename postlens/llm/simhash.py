@@ -77,11 +77,11 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     ranges = min(MAX_RANGES, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     ids = docs.select(F.col(f"`{id_col}`").cast("double").alias("_at")).filter("_at IS NOT NULL")
     bounds = ids.approxQuantile("_at", [i / ranges for i in range(1, ranges)], 0.25 / ranges)
+    if not bounds:
+        return lone
     splits = [-float("inf"), *sorted(set(bounds)), float("inf")]
     cut = Bucketizer(splits=splits, inputCol="_at", outputCol="_range")
     firsts = cut.transform(ids).groupBy("_range").agg(F.min("_at").alias("first")).orderBy("_range").collect()
-    if not firsts:
-        return lone
     before = F.create_map(
         *[F.lit(x) for i, r in enumerate(firsts) for x in (r["_range"], firsts[i - 1]["_range"])]
     )

@@ -2,24 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlens.session import new_path
 
+BITMAP_BITS = 1 << 26
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+
+def saved(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
     """The frame written to the shared folder and read again.
 
     It cuts the lineage, so that a lost executor repeats no earlier work, and fixes
-    ids that were dealt out by partition.
+    ids that were dealt out by partition. `batch_rows` bounds the rows that go to a
+    Python function at once, where rows are large.
     """
-    path = new_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    before = spark.conf.get(BATCH_ROWS)
+    if batch_rows is not None:
+        spark.conf.set(BATCH_ROWS, str(min(batch_rows, int(before)) if int(before) > 0 else batch_rows))
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def payload(column: str) -> Column:
@@ -43,23 +55,53 @@ def keep_rows(
     condition on `kept`, holds.
     """
     several = F.lit(True) if repeats is None else ~repeats
-    keys = kept.groupBy(F.col("doc_id").alias("_id"), F.col("tkey").alias("_key")).agg(
+    keys = kept.groupBy(F.col("doc_id").alias("_kept_id"), F.col("tkey").alias("_kept_key")).agg(
         ((F.count(F.lit(1)) > 1) & F.max(several)).alias("_repeated")
     )
     keys = saved(keys, "kept")
-    key = text_key(text_col)
+    key = F.xxhash64(F.coalesce(docs[f"`{text_col}`"].cast("binary"), F.lit(b"")))
 
     def rows(which: DataFrame) -> DataFrame:
-        same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_id")) & (key == F.col("_key"))
+        of_docs = docs[f"`{id_col}`"].cast("long")
+        same = of_docs.eqNullSafe(which["_kept_id"]) & (key == which["_kept_key"])
         return docs.join(which, same, "left_semi")
 
     repeated = keys.filter("_repeated")
     if repeated.isEmpty():
         return rows(keys)
-    once = rows(repeated).withColumn("_key", key).dropDuplicates([id_col, "_key"]).drop("_key")
+    once = rows(repeated).withColumn("_once_key", text_key(text_col)).dropDuplicates([id_col, "_once_key"]).drop("_once_key")
     return rows(keys.filter("NOT _repeated")).unionByName(once)
 
 
+def possible(
+    rows: DataFrame, wanted: DataFrame, key: str, then: Callable | None = None, schema: str | None = None
+) -> DataFrame:
+    """The rows whose 64-bit key may be among the wanted ones, to join the rest with fewer bytes.
+
+    A bitmap of fixed size, whatever the data, marks the wanted keys by their low bits.
+    It never drops a wanted row; the more keys there are, the fewer rows it can drop.
+    `then` works on the batches that are left, in the same Python process.
+    """
+    place = F.col(key).bitwiseAND(F.lit(BITMAP_BITS - 1))
+    word, bit = F.shiftright(place, 6), place.bitwiseAND(F.lit(63))
+    table = wanted.select(word.alias("word"), bit.cast("int").alias("bit")).groupBy("word").agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))).alias("bits")
+    ).toArrow()
+    bitmap = np.zeros(BITMAP_BITS // 64, np.int64)
+    bitmap[table.column("word").to_numpy()] = table.column("bits").to_numpy()
+    shared = rows.sparkSession.sparkContext.broadcast(bitmap)
+
+    def marked_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        for batch in batches:
+            low = batch.column(key).to_numpy() & (BITMAP_BITS - 1)
+            yield batch.filter(pa.array((bits[low >> 6] >> (low & 63) & 1).astype(bool)))
+
+    if then is None:
+        return rows.mapInArrow(marked_only, rows.schema)
+    return rows.mapInArrow(lambda batches: then(marked_only(batches)), schema)
+
+
 def packs(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
     """Ranges of neighbours whose sizes add up to `limit` at most, or of one larger item."""
     start = total = 0

@@ -38,13 +38,13 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlens.llm.common import mixed, payload, saved, text_key
+from postlens.llm.common import mixed, payload, possible, saved, text_key
 
 MIN_LEN = 100
 GRAM = 24
-SEGMENT = 4 << 20
-CHUNK_ANCHORS = 1 << 21
-CHUNK_RUNS = 1 << 16
+SEGMENT = 1 << 20
+CHUNK_ANCHORS = 1 << 19
+CHUNK_RUNS = 1 << 15
 CHUNK_WINDOWS = 1 << 17
 LAST = (1 << 63) - 1
 _BASE = np.uint64(0x9E3779B97F4A7C55)
@@ -416,15 +416,19 @@ def removed_texts(docs: DataFrame, min_len: int, id_col: str, text_col: str) ->
     listed = places.groupBy("tkey").agg(F.collect_list("places").alias("places"))
     wanted = listed.join(firsts.select("tkey", F.col("first").alias("key")), "tkey")
     wanted = saved(wanted, "wanted")
-    packed = rows.select("key", "tkey", "text").mapInArrow(_packed, PACKED_TEXT)
-    found = saved(packed.join(wanted, ["key", "tkey"]).mapInArrow(_runs_of_repeats(min_len), RUNS), "runs")
+    texts = rows.select("key", "tkey", "text")
+
+    def packed(some: DataFrame) -> DataFrame:
+        return possible(texts, some, "tkey", _packed, PACKED_TEXT).join(some, ["key", "tkey"])
+
+    found = saved(packed(wanted).mapInArrow(_runs_of_repeats(min_len), RUNS), "runs", batch_rows=1000)
     sent = found.filter("gram IS NOT NULL").repartition("gram").sortWithinPartitions("gram")
     spans = sent.mapInArrow(_matches(min_len), SPANS).unionByName(
         found.filter("gram IS NULL").select("key", "tkey", "first", "bytes").mapInArrow(_covered, SPANS)
     )
     grouped = spans.groupBy("key", "tkey").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
     grouped = saved(grouped, "spans")
-    kept = packed.join(grouped, ["key", "tkey"]).mapInArrow(_kept, KEPT)
+    kept = packed(grouped).mapInArrow(_kept, KEPT)
     return marked, kept
 
 

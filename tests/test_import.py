@@ -1,5 +1,6 @@
 """The entry module loads without a session, a jar or any other file of Spark."""
 
+import shutil
 import subprocess
 import sys
 from pathlib import Path
@@ -31,3 +32,13 @@ def test_entry_imports_in_a_fresh_process_without_jars(tmp_path):
 
 def test_stop_words_are_those_of_spark(spark):
     assert StopWordsRemover.loadDefaultStopWords("english") == ENGLISH
+
+
+def test_entry_loads_without_the_text_preparation_part(tmp_path):
+    shutil.copytree(ROOT / "postlens", tmp_path / "postlens", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(ROOT / "__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; print(len(e.queries()), sum(n.startswith('op') or n == 'pipeline' for n in e.queries()))"
+    said = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert said.returncode == 0, said.stderr
+    every, optional = map(int, said.stdout.split()[-2:])
+    assert every > 100 and optional == 0

@@ -6,10 +6,11 @@ few of each (their prefixes) in any common order. Grams that very many documents
 go last in that order: a bounded table of the most frequent ones is counted over all
 documents and sent to the tasks. The order only decides how many candidates there are.
 
-1. Index lists: gram -> sets with it in their prefix, with size and position. Lists of
-   one set fall away. Within a list a pair is skipped by size, by position (what is left
-   after the positions cannot reach the overlap), and by a small histogram of each set
-   whose common part bounds the overlap from above. No bound skips a pair that links.
+1. Index lists: gram -> sets with it in their prefix, with size and position. Entries
+   without a partner of a size that can link fall away. Within a list a pair is skipped
+   by size, by position (what is left after the positions cannot reach the overlap), and
+   by a histogram of each set, finer for larger sets, whose common part bounds the overlap
+   from above. No bound skips a pair that links.
 2. What is left connects sets to candidate groups, each list passing on only the edges
    that connect its members. Long lists are cut in blocks, and each pair of blocks is a
    unit of its own, so no task holds a hot list.
@@ -39,17 +40,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlens.llm.common import keep_rows, mixed, packs, payload, saved, text_key
+from postlens.llm.common import keep_rows, mixed, packs, payload, possible, saved, text_key
 from postlens.llm.components import components
 
 SEGMENT = 1 << 20
 HOT_GRAMS = 1 << 16
 HOT_IN_CHUNK = 3
-CHUNK_GRAMS = 1 << 21
+CHUNK_GRAMS = 1 << 20
 LIST_BLOCK = 1024
-GROUP_BLOCK = 128
-GROUP_GRAMS = 1 << 16
-BINS = 64
+GROUP_BLOCK = 256
+GROUP_GRAMS = 1 << 20
+BINS = (64, 512, 4096)
 FULL_BIN = 65535
 KNOWN_SETS = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C55)
@@ -144,11 +145,37 @@ def set_id(grams: np.ndarray) -> int:
 
 
 def histogram(grams: np.ndarray) -> bytes:
-    """How many grams fall in each of a few bins."""
-    counts = np.bincount((grams >> np.uint64(58)).astype(np.int64), minlength=BINS)
+    """How many grams fall in each bin; larger sets have finer bins, which add up to the coarse ones."""
+    bins = BINS[0] if len(grams) < 8 * BINS[0] else BINS[1] if len(grams) < 40 * BINS[1] else BINS[2]
+    shift = np.uint64(64 - (bins.bit_length() - 1))
+    counts = np.bincount((grams >> shift).astype(np.int64), minlength=bins)
     return np.minimum(counts, FULL_BIN).astype("<u2").tobytes()
 
 
+class Histograms:
+    """Those of the rows of some lists, each as fine as its set has it."""
+
+    def __init__(self, raw: list[bytes]):
+        self.raw = raw
+        self.size = np.array([len(x) // 2 for x in raw])
+        self.coarse = np.zeros((len(raw), BINS[0]), np.int64)
+        for bins in BINS:
+            at = np.flatnonzero(self.size == bins)
+            if len(at):
+                table = np.frombuffer(b"".join(raw[i] for i in at.tolist()), "<u2").reshape(len(at), BINS[0], -1)
+                self.coarse[at] = table.sum(axis=2, dtype=np.int64)
+
+    def common(self, a: np.ndarray, b: np.ndarray, least: np.ndarray) -> np.ndarray:
+        """Bounds from above on the overlaps of pairs (a, b), looked at closely if they reach `least`."""
+        out = np.minimum(self.coarse[a], self.coarse[b]).sum(axis=1)
+        for k in np.flatnonzero((out >= least) & (np.minimum(self.size[a], self.size[b]) > BINS[0])).tolist():
+            x, y = (np.frombuffer(self.raw[i], "<u2").astype(np.int64) for i in (a[k], b[k]))
+            bins = min(len(x), len(y))
+            x, y = (z.reshape(bins, -1).sum(axis=1) for z in (x, y))
+            out[k] = np.minimum(x, y).sum()
+        return out
+
+
 def needed(a, b, num: int, den: int):
     """The least overlap of two sets of these sizes that reaches num / den."""
     return -(-num * (a + b) // (num + den))
@@ -218,6 +245,7 @@ def _sets(n: int):
     return sets
 
 
+LIST_KEYS = ["gram", "part", "other"]
 POSTINGS = "gram long, part int, other int, sid long, n int, pos int"
 
 
@@ -291,13 +319,9 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tab
     for batch in batches:
         if not batch.num_rows:
             continue
-        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
-        change = np.zeros(batch.num_rows - 1, bool)
-        for c in columns:
-            change |= c[1:] != c[:-1]
-        cuts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+        cuts = [*_starts(batch, keys).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
-            key = tuple(c[a] for c in columns)
+            key = tuple(batch.column(k)[a].as_py() for k in keys)
             if held and key != last:
                 yield pa.Table.from_batches(held)
                 held = []
@@ -307,29 +331,36 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tab
         yield pa.Table.from_batches(held)
 
 
-def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Drops the lists of one set; input is sorted by list and set."""
-    held: pa.RecordBatch | None = None
-    for batch in batches:
-        joined = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-        if not joined.num_rows:
-            continue
-        keys = [joined.column(k).to_numpy(zero_copy_only=False) for k in ("gram", "part", "other")]
-        sid = joined.column("sid").to_numpy(zero_copy_only=False)
-        same = np.ones(joined.num_rows - 1, bool)
-        for k in keys:
-            same &= k[1:] == k[:-1]
-        start = np.flatnonzero(np.r_[True, ~same])
-        new = np.r_[True, ~same | (sid[1:] != sid[:-1])]
-        different = np.add.reduceat(new.astype(np.int64), start)
-        size = np.diff(np.r_[start, joined.num_rows])
-        keep = np.repeat(different > 1, size) & new
-        keep[start[-1] :] = False  # the last list may go on
-        yield joined.filter(pa.array(keep))
-        tail = joined.slice(start[-1])
-        held = tail.filter(pa.array(new[start[-1] :]))
-    if held is not None and held.num_rows > 1:
-        yield held
+def _partnered(num: int, den: int):
+    """Keeps the rows of a list that have a partner of a size that can link; one row for each set.
+
+    Input is sorted by list, size and set, so that the sizes next to a row's own decide.
+    """
+
+    def fit(rows: pa.RecordBatch) -> pa.RecordBatch:
+        start = _starts(rows, LIST_KEYS)
+        sid, n = (rows.column(c).to_numpy().astype(np.int64) for c in ("sid", "n"))
+        first = np.zeros(len(sid), bool)
+        first[start] = True
+        new = first | np.r_[True, sid[1:] != sid[:-1]]
+        rows, first, n = rows.filter(pa.array(new)), first[new], n[new]
+        after = np.r_[~first[1:] & (den * n[:-1] >= num * n[1:]), False]
+        return rows.filter(pa.array(after | np.r_[False, after[:-1]]))
+
+    def partnered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.RecordBatch | None = None  # the last list, which may go on
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            joined = batch if held is None else _joined([held, batch])
+            last = int(_starts(joined, LIST_KEYS)[-1])
+            if last:
+                yield fit(joined.slice(0, last))
+            held = joined.slice(last)
+        if held is not None:
+            yield fit(held)
+
+    return partnered
 
 
 EDGES = "a long, b long"
@@ -351,47 +382,90 @@ def _spread(links) -> list[tuple[int, int]]:
     return edges
 
 
+def _may_link(n, pos, bins, i, j, num: int, den: int) -> np.ndarray:
+    """Which pairs (i, j) of one index list size, position and histogram do not rule out."""
+    small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+    least = needed(n[i], n[j], num, den)
+    hit = den * small >= num * large
+    hit &= np.minimum(n[i] - pos[i], n[j] - pos[j]) >= least
+    near = np.flatnonzero(hit)
+    a, b = (np.broadcast_to(x, hit.shape)[near] for x in (i, j))
+    hit[near] = (bins.common(a, b, least[near]) >= least[near]) | (small[near] > FULL_BIN)  # a full bin says nothing
+    return hit
+
+
 class _ListLinks:
-    """Pairs of one index list that size, position and histogram do not rule out."""
+    """The pairs of one index list, `rows` of all, that may link."""
 
-    def __init__(self, n, pos, bins, num: int, den: int):
-        self.n, self.pos, self.bins, self.num, self.den = n, pos, bins, num, den
+    def __init__(self, rows, n, pos, bins: Histograms, num: int, den: int):
+        self.rows, self.n, self.pos, self.bins, self.num, self.den = rows, n, pos, bins, num, den
 
     def everything(self) -> np.ndarray:
-        return np.argsort(self.n, kind="stable")
+        return self.rows[np.argsort(self.n[self.rows], kind="stable")]
 
     def __call__(self, i: int, rest: np.ndarray) -> np.ndarray:
-        n = self.n[rest]
-        least = needed(n, self.n[i], self.num, self.den)
-        hit = self.den * np.minimum(n, self.n[i]) >= self.num * np.maximum(n, self.n[i])
-        hit &= 1 + np.minimum(n - self.pos[rest], self.n[i] - self.pos[i]) - 1 >= least
-        near = np.flatnonzero(hit)
-        common = np.minimum(self.bins[rest[near]], self.bins[i]).sum(axis=1, dtype=np.int64)
-        clipped = (n[near] > FULL_BIN) & (self.n[i] > FULL_BIN)  # a full bin says nothing
-        hit[near] = clipped | (common >= least[near])
-        return hit
+        return _may_link(self.n, self.pos, self.bins, rest, np.int64(i), self.num, self.den)
 
 
 def _list_edges(num: int, den: int):
-    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a: list[int] = []
-        b: list[int] = []
-        for run in _runs(batches, ["gram", "part", "other"]):
-            sid = run.column("sid").to_numpy()
-            bins = np.stack([np.frombuffer(x, "<u2") for x in run.column("bins").to_pylist()])
-            links = _ListLinks(run.column("n").to_numpy().astype(np.int64), run.column("pos").to_numpy().astype(np.int64), bins, num, den)
-            for i, j in _spread(links):
+    """Edges that connect what may link in each list; input is sorted by list."""
+
+    def of_lists(rows: pa.RecordBatch, start: np.ndarray) -> pa.RecordBatch:
+        sid, n, pos = (rows.column(c).to_numpy().astype(np.int64) for c in ("sid", "n", "pos"))
+        bins = Histograms(rows.column("bins").to_pylist())
+        size = np.diff(np.r_[start, len(sid)])
+        pairs = start[size == 2]  # most lists: all of them at once
+        pairs = pairs[_may_link(n, pos, bins, pairs, pairs + 1, num, den)]
+        a, b = [sid[pairs]], [sid[pairs + 1]]
+        for first, count in zip(start[size > 2].tolist(), size[size > 2].tolist()):
+            found = _spread(_ListLinks(np.arange(first, first + count), n, pos, bins, num, den))
+            if found:
+                i, j = np.array(found).T
                 a.append(sid[i])
                 b.append(sid[j])
-            if len(a) > 10_000:
-                yield _batch(EDGES, a, b)
-                a, b = [], []
-        if a:
-            yield _batch(EDGES, a, b)
+        return _batch(EDGES, np.concatenate(a), np.concatenate(b))
+
+    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # of a list that may go on
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            start = _starts(batch, LIST_KEYS)
+            goes_on = bool(held) and _key(held[-1], held[-1].num_rows - 1) == _key(batch, 0)
+            if goes_on and len(start) == 1:
+                held.append(batch)
+                continue
+            if goes_on:
+                held.append(batch.slice(0, start[1]))
+                batch, start = batch.slice(start[1]), start[1:] - start[1]
+            if held:
+                yield of_lists(_joined(held), np.zeros(1, np.int64))
+            held = [batch.slice(start[-1])]
+            if len(start) > 1:
+                yield of_lists(batch.slice(0, start[-1]), start[:-1])
+        if held:
+            yield of_lists(_joined(held), np.zeros(1, np.int64))
 
     return edges
 
 
+def _key(batch: pa.RecordBatch, at: int) -> tuple:
+    return tuple(batch.column(k)[at].as_py() for k in LIST_KEYS)
+
+
+def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+
+
+def _starts(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
+    """Where runs of equal keys begin."""
+    change = np.zeros(batch.num_rows - 1, bool)
+    for k in keys:
+        c = batch.column(k).to_numpy(zero_copy_only=False)
+        change |= c[1:] != c[:-1]
+    return np.flatnonzero(np.r_[True, change])
+
+
 MEMBERS = "root long, sid long, n int, grams binary"
 
 
@@ -464,9 +538,9 @@ def _group_edges(num: int, den: int):
 
 def _candidates(postings: DataFrame, bins: DataFrame, num: int, den: int) -> DataFrame:
     """(node, root): sets that may link, by group."""
-    keys = ["gram", "part", "other"]
-    lists = postings.repartition(*keys).sortWithinPartitions(*keys, "sid")
-    lists = saved(lists.mapInArrow(_repeated, lists.schema), "lists")
+    keys = LIST_KEYS
+    lists = postings.repartition(*keys).sortWithinPartitions(*keys, "n", "sid")
+    lists = saved(lists.mapInArrow(_partnered(num, den), lists.schema), "lists")
     units = lists.join(bins, "sid").repartition(*keys).sortWithinPartitions(*keys)
     return saved(components(units.mapInArrow(_list_edges(num, den), EDGES)), "candidates")
 
@@ -476,10 +550,11 @@ def _links(docs: DataFrame, sets: DataFrame, groups: DataFrame, n: int, num: int
     first = sets.groupBy("sid").agg(F.min(F.struct("key", "tkey")).alias("first"))
     wanted = groups.join(first, groups["node"] == first["sid"]).select("root", "sid", "first.key", "first.tkey")
     wanted = saved(wanted, "wanted")
-    texts = docs.join(wanted, ["key", "tkey"]).select("root", "sid", "text")
-    members = saved(texts.mapInArrow(_members(n), MEMBERS), "members")
+    texts = possible(docs.select("key", "tkey", "text"), wanted, "tkey").join(wanted, ["key", "tkey"])
+    texts = texts.select("root", "sid", "text")
+    members = saved(texts.mapInArrow(_members(n), MEMBERS), "members", batch_rows=1000)
     pivots = members.filter("root = sid").groupBy("root").agg(F.min("grams").alias("pivot"))
-    diffs = saved(members.join(pivots, "root").mapInArrow(_differences, DIFFERENCES), "differences")
+    diffs = saved(members.join(pivots, "root").mapInArrow(_differences, DIFFERENCES), "differences", batch_rows=500)
     sizes = diffs.groupBy("root").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("diff")).alias("bytes"))
     blocks = F.greatest(F.ceil(F.col("rows") / GROUP_BLOCK), F.ceil(F.col("bytes") / (8 * GROUP_GRAMS)))
     sized = diffs.join(sizes.select("root", blocks.cast("int").alias("blocks")), "root")
@@ -518,7 +593,8 @@ def classified(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_co
     labelled = saved(labelled, "labels")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("tkey"))
     full = labelled.filter("n > 0")
-    linked = full.join(full.groupBy("label").agg(F.min(place).alias("first")), "label")
+    firsts = saved(full.groupBy("label").agg(F.min(place).alias("first")), "firsts")
+    linked = full.join(firsts, "label")
     return linked.unionByName(labelled.filter("n = 0").withColumn("first", place))
 
 

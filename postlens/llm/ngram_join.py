@@ -50,7 +50,7 @@ CHUNK_GRAMS = 1 << 20
 LIST_BLOCK = 1024
 GROUP_BLOCK = 256
 GROUP_GRAMS = 1 << 20
-BINS = (64, 512, 4096)
+BINS = (64, 256, 1024, 4096)
 FULL_BIN = 65535
 KNOWN_SETS = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C55)
@@ -144,9 +144,15 @@ def set_id(grams: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(grams.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def histogram(grams: np.ndarray) -> bytes:
-    """How many grams fall in each bin; larger sets have finer bins, which add up to the coarse ones."""
-    bins = BINS[0] if len(grams) < 8 * BINS[0] else BINS[1] if len(grams) < 40 * BINS[1] else BINS[2]
+def histogram(grams: np.ndarray, num: int, den: int) -> bytes:
+    """How many grams fall in each bin; larger sets have finer bins, which add up to the coarse ones.
+
+    Two sets of n grams that share none differ by about 1.13 * sqrt(n * bins) over the bins;
+    there are as many bins as make that half as much again as sets that link can differ.
+    """
+    apart = 2 * (den - num) / (den + num)  # of sets that just link, in units of n
+    wanted = (1.5 * apart / 1.13) ** 2 * len(grams)
+    bins = next((b for b in BINS if b >= wanted), BINS[-1])
     shift = np.uint64(64 - (bins.bit_length() - 1))
     counts = np.bincount((grams >> shift).astype(np.int64), minlength=bins)
     return np.minimum(counts, FULL_BIN).astype("<u2").tobytes()
@@ -202,7 +208,7 @@ def _texts(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[
 SETS = "doc_id long, tkey long, n long, sid long, gram long, seen long, bins binary"
 
 
-def _sets(n: int):
+def _sets(n: int, num: int, den: int):
     """A row for each document, and the grams that many documents of a chunk share.
 
     The first document with a set carries the set's histogram.
@@ -227,7 +233,7 @@ def _sets(n: int):
             for grams in gram_sets(words, texts, n):
                 size.append(len(grams))
                 sid.append(set_id(grams))
-                bins.append(None if sid[-1] in known else histogram(grams))
+                bins.append(None if sid[-1] in known else histogram(grams, num, den))
                 known.add(sid[-1])
                 chunk.append(grams)
                 held += len(grams)
@@ -576,7 +582,7 @@ def classified(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_co
         text_key(text_col).alias("tkey"),
         payload(text_col).alias("text"),
     )
-    found = saved(rows.select("doc_id", "tkey", "text").mapInArrow(_sets(n), SETS), "sets")
+    found = saved(rows.select("doc_id", "tkey", "text").mapInArrow(_sets(n, num, den), SETS), "sets")
     top = found.filter("gram IS NOT NULL").groupBy("gram").agg(F.sum("seen").alias("seen"))
     top = top.orderBy(F.desc("seen"), "gram").limit(HOT_GRAMS).toArrow()
     hot = top.column("gram").to_numpy().view(np.uint64)

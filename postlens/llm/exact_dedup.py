@@ -131,7 +131,8 @@ def classified(docs: DataFrame, id_col: str, text_col: str, block_bytes: int) ->
     named = saved(heads.join(identities(cuts), "row"), "identities")
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "row", "tkey")
     groups = named.groupBy("n_blocks", "name").agg(F.count(F.lit(1)).alias("group_size"), F.min(place).alias("first"))
-    return named.join(groups, ["n_blocks", "name"])
+    # Written, so that the join's shuffle is for the join alone and a large group in it can be split.
+    return named.join(saved(groups, "groups"), ["n_blocks", "name"])
 
 
 def exact_dedup(

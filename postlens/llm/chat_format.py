@@ -201,8 +201,10 @@ def pack_conversations(named: DataFrame) -> DataFrame:
         F.min(F.struct(F.col("conv_id").isNull().alias("no_id"), F.col("conv_id"))).alias("first"),
         F.max("depth").alias("turns"),
     )
+    # A number of its own: paths are small, and Spark would join them to packs far too large in text.
+    packs = int(named.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = saved(
-        paths.repartitionByRange("path")
+        paths.repartitionByRange(packs, "path")
         .sortWithinPartitions("path")
         .select(
             F.col("first.conv_id").alias("first"), "turns", F.spark_partition_id().cast("long").alias("pack"),
@@ -212,13 +214,14 @@ def pack_conversations(named: DataFrame) -> DataFrame:
     )
     rows = named.join(ordered, F.col("conv_id").eqNullSafe(F.col("first")))
     laid = rows.select("pack", "place", "depth", "name", "role", "text", "turns")
-    return laid.repartition("pack").sortWithinPartitions("pack", "place", "depth").mapInArrow(_packed, NODE_SCHEMA)
+    return laid.repartition(packs, "pack").sortWithinPartitions("pack", "place", "depth").mapInArrow(_packed, NODE_SCHEMA)
 
 
 def digests(packs: DataFrame) -> DataFrame:
     """What the packs say about each path."""
     rows = packs.select("pack", "seq", "depth", "offset", "loss_start", "loss_end", "piece", "leaf")
-    ordered = rows.repartition("pack").sortWithinPartitions("pack", "seq").drop("pack", "seq")
+    packs_at_once = int(packs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = rows.repartition(packs_at_once, "pack").sortWithinPartitions("pack", "seq").drop("pack", "seq")
     return ordered.mapInArrow(_read_back, DIGEST_SCHEMA)
 
 

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from postlens.llm.common import payload
 
 SEGMENT = 1 << 20
-KNOWN_WORDS = 1 << 20
+KNOWN_WORDS = 1 << 18
 WORKER_STATE = "_postlens_bpe"
 # White space and words as the vocabulary's own file defines them.
 _SPACE = re.compile("[\t-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")

@@ -16,6 +16,9 @@ that share their first `min_len` bytes are sorted in the same place:
    their suffixes are sorted. In suffix order, neighbours that share `min_len` bytes
    form a stretch, and a suffix has an earlier factor of that length exactly if its
    previous or next smaller position lies in its stretch: its window is removed.
+   Runs of a hot gram, one with many windows, are cut into single windows first, each
+   named by a hash of all its bytes: equal windows still meet, but the gram is spread.
+   Tasks send the earliest of equal windows only, found in the same way.
 4. Each text loses the union of its windows.
 
 Equal texts are found first by SHA-256: the first is kept as one, and the others are
@@ -46,6 +49,7 @@ SEGMENT = 1 << 20
 CHUNK_ANCHORS = 1 << 19
 CHUNK_RUNS = 1 << 15
 CHUNK_WINDOWS = 1 << 17
+HOT_WINDOWS = 1 << 17
 LAST = (1 << 63) - 1
 _BASE = np.uint64(0x9E3779B97F4A7C55)
 _LOW = np.uint64(0xFFFFFFFF)
@@ -309,44 +313,108 @@ def _runs_of_repeats(min_len: int):
 SPANS = "key long, tkey long, start long, end long"
 
 
+def _suffixes(group: list[tuple[int, int, int, bytes]], min_len: int) -> tuple[np.ndarray, ...]:
+    """(key, tkey, start, hash, bytes, whether it has an earlier factor) for each window of runs (key, tkey, first, bytes)."""
+    keys, tkeys, firsts = (np.array(x, np.int64) for x in list(zip(*group))[:3])
+    size = np.array([len(run[3]) for run in group])
+    flat = np.frombuffer(b"".join(run[3] for run in group), np.uint8)
+    n = size - min_len + 1
+    owner = np.repeat(np.arange(len(group)), n)
+    within = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+    at = (np.cumsum(size) - size)[owner] + within
+    windows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(flat, min_len)[at]).view(f"S{min_len}").ravel()
+    key, tkey, start = keys[owner], tkeys[owner], firsts[owner] + within
+    order = np.lexsort((start, tkey, key))
+    # The same place of a row that repeats id and text has the same position.
+    new = np.zeros(len(order), np.int64)
+    for column in (key, tkey, start):
+        new[1:] |= column[order][1:] != column[order][:-1]
+    position = np.empty(len(order), np.int64)
+    position[order] = np.cumsum(new)
+    return key, tkey, start, gram_hashes(flat, min_len)[at].view(np.int64), windows, earlier_factor(windows, position)
+
+
+def _stretches(key: np.ndarray, tkey: np.ndarray, start: np.ndarray, hit: np.ndarray, min_len: int) -> tuple[np.ndarray, ...]:
+    """(key, tkey, start, end) of the windows hit, neighbours in one."""
+    next_ = np.r_[False, (key[1:] == key[:-1]) & (tkey[1:] == tkey[:-1]) & (start[1:] == start[:-1] + 1)]
+    first = np.flatnonzero(hit & ~(np.r_[False, hit[:-1]] & next_))
+    last = np.flatnonzero(hit & ~np.r_[hit[1:] & next_[1:], False])
+    return key[first], tkey[first], start[first], start[last] + min_len
+
+
+def _single_windows(min_len: int):
+    """Runs as single windows, each with the hash of its bytes as its gram.
+
+    Of equal windows in a chunk only the earliest is sent as bytes; the others (gram
+    null) are covered, and come with the number of their bytes.
+    """
+
+    def cut(group: list[tuple[int, int, int, bytes]]) -> Iterator[pa.RecordBatch]:
+        key, tkey, start, hashed, windows, hit = _suffixes(group, min_len)
+        *place, end = _stretches(key, tkey, start, hit, min_len)
+        if len(end):
+            sizes = [n.to_bytes(8, "little") for n in (end - place[2]).tolist()]
+            yield _batch(RUNS, [None] * len(end), *place, sizes)
+        left = np.flatnonzero(~hit)
+        for some in np.split(left, range(10000, len(left), 10000)):
+            raw = windows[some].tobytes()
+            yield _batch(RUNS, hashed[some], key[some], tkey[some], start[some], [raw[i : i + min_len] for i in range(0, len(raw), min_len)])
+
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: list[tuple[int, int, int, bytes]] = []
+        windows = 0
+        for batch in batches:
+            for row in zip(*[batch.column(c).to_pylist() for c in ("key", "tkey", "first", "bytes")]):
+                group.append(row)
+                windows += len(row[3]) - min_len + 1
+                if windows > CHUNK_WINDOWS:
+                    yield from cut(group)
+                    group, windows = [], 0
+        if group:
+            yield from cut(group)
+
+    return single
+
+
+def dealt_runs(found: DataFrame, min_len: int) -> DataFrame:
+    """The runs found, those of hot grams as single windows: no gram is left with more windows than one task takes,
+    other than equal ones of different chunks."""
+    sent = found.filter("gram IS NOT NULL")
+    n = F.octet_length("bytes").cast("long") - (min_len - 1)
+    hot = saved(sent.groupBy("gram").agg(F.sum(n).alias("n")).filter(F.col("n") > HOT_WINDOWS).select("gram"), "hot")
+    if hot.isEmpty():
+        return found
+    cut = saved(sent.join(hot, "gram", "left_semi").select(*found.columns).mapInArrow(_single_windows(min_len), RUNS), "windows")
+    rest = sent.join(hot, "gram", "left_anti").select(*found.columns)
+    return rest.unionByName(found.filter("gram IS NULL")).unionByName(cut)
+
+
 def _matches(min_len: int):
     """Removed spans of the runs of each gram; input is sorted by gram."""
 
     def matched(group: list[tuple[int, int, int, int, bytes]]) -> Iterator[pa.RecordBatch]:
         """Of runs (gram, key, tkey, first, bytes) of whole grams."""
         earliest: dict[tuple[int, bytes], tuple[int, int, int]] = {}
+        singles: list[tuple[int, int, int, bytes]] = []
         spans: list[tuple[int, int, int, int]] = []
+        variants: dict[int, int] = {}
         for gram, key, tkey, first, data in group:
+            if len(data) == min_len:
+                singles.append((key, tkey, first, data))
+                variants[gram] = variants.get(gram, 0) + 1
+                continue
             place = (key, tkey, first)
             known = earliest.setdefault((gram, data), place)
             if known != place:
                 earliest[gram, data], later = min(known, place), max(known, place)
                 spans.append((*later, later[2] + len(data)))
-        variants: dict[int, int] = {}
         for gram, _ in earliest:
             variants[gram] = variants.get(gram, 0) + 1
-        several = sorted((place, data) for (gram, data), place in earliest.items() if variants[gram] > 1)
+        several = sorted((*place, data) for (gram, data), place in earliest.items() if variants[gram] > 1)
+        several += singles
         if several:
-            windows, starts, owner = [], [], []
-            for i, ((_, _, first), data) in enumerate(several):
-                flat = np.frombuffer(data, np.uint8)
-                windows.append(np.lib.stride_tricks.sliding_window_view(flat, min_len))
-                n = len(data) - min_len + 1
-                starts.append(np.arange(first, first + n))
-                owner.append(np.full(n, i))
-            suffixes = np.ascontiguousarray(np.concatenate(windows)).view(f"S{min_len}").ravel()
-            start, owner_of = np.concatenate(starts), np.concatenate(owner)
-            # Runs are in order of position; windows of one text do not leave it when runs touch.
-            texts = {}
-            text = np.array([texts.setdefault(place[:2], len(texts)) for place, _ in several])[owner_of]
-            position = np.empty(len(start), np.int64)
-            position[np.lexsort((start, text))] = np.arange(len(start))
-            hit = earlier_factor(suffixes, position)
-            first = np.flatnonzero(hit & ~np.r_[False, hit[:-1] & (owner_of[1:] == owner_of[:-1])])
-            last = np.flatnonzero(hit & ~np.r_[hit[1:] & (owner_of[1:] == owner_of[:-1]), False])
-            for a, b in zip(first.tolist(), last.tolist()):
-                key, tkey, _ = several[owner_of[a]][0]
-                spans.append((key, tkey, int(start[a]), int(start[b]) + min_len))
+            key, tkey, start, _, _, hit = _suffixes(several, min_len)
+            spans.extend(zip(*[x.tolist() for x in _stretches(key, tkey, start, hit, min_len)]))
         if spans:
             yield _batch(SPANS, *zip(*spans))
 
@@ -422,9 +490,10 @@ def removed_texts(docs: DataFrame, min_len: int, id_col: str, text_col: str) ->
         return possible(texts, some, "tkey", _packed, PACKED_TEXT).join(some, ["key", "tkey"])
 
     found = saved(packed(wanted).mapInArrow(_runs_of_repeats(min_len), RUNS), "runs", batch_rows=1000)
-    sent = found.filter("gram IS NOT NULL").repartition("gram").sortWithinPartitions("gram")
+    dealt = dealt_runs(found, min_len)
+    sent = dealt.filter("gram IS NOT NULL").repartition("gram").sortWithinPartitions("gram")
     spans = sent.mapInArrow(_matches(min_len), SPANS).unionByName(
-        found.filter("gram IS NULL").select("key", "tkey", "first", "bytes").mapInArrow(_covered, SPANS)
+        dealt.filter("gram IS NULL").select("key", "tkey", "first", "bytes").mapInArrow(_covered, SPANS)
     )
     grouped = spans.groupBy("key", "tkey").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
     grouped = saved(grouped, "spans")

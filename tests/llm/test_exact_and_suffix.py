@@ -81,6 +81,29 @@ def test_suffix_dedup_equals_brute_force(spark, size, monkeypatch):
     assert got == removed([(i, (t or "").encode()) for i, t in enumerate(texts)], size)
 
 
+def test_suffix_dedup_splits_a_hot_passage(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HOT_WINDOWS", 200, raising=False)
+    monkeypatch.setattr(suffix_dedup, "CHUNK_WINDOWS", 300)
+    rng = random.Random(3)
+    passage = words(rng, 20, 50)
+    texts = ["\x00" * 45, *(f"{words(rng, 9)} {passage} {words(rng, 9)}" for _ in range(150)), "\x00" * 44 + "\x01"]
+    texts += texts[5:9]
+    docs = documents(spark, texts + ["again " + passage] * 2, [*range(len(texts)), 900, 900])
+    dealt = []
+    whole = suffix_dedup.dealt_runs
+    monkeypatch.setattr(suffix_dedup, "dealt_runs", lambda *a: dealt.append((a[0], whole(*a))) or dealt[-1][1])
+    got = sorted(tuple(r) for r in suffix_dedup.suffix_dedup(docs, 40).collect())
+    expected = removed([(i, t.encode()) for i, t in enumerate(texts)] + [(900, b"again " + passage.encode())] * 2, 40)
+    assert got == sorted(expected)
+
+    def most(runs):
+        each = runs.filter("gram IS NOT NULL").selectExpr("gram", "octet_length(bytes) - 39 AS n").groupBy("gram")
+        return max(r.n for r in each.agg({"n": "sum"}).toDF("gram", "n").collect())
+
+    [(found, after)] = dealt
+    assert most(found) > 200 >= most(after)
+
+
 def test_suffix_dedup_ids_that_are_null_or_repeat(spark):
     text = "0123456789" * 2
     docs = documents(spark, [text, text, text, text], [None, 5, 5, 9])

@@ -12,8 +12,10 @@ offset of its successor. Offsets are sums of line lengths over the blocks of a f
 Pointer jumping from the start of each file then doubles, round by round, the part of
 the chain that is known, and only candidates on the chain are records: a magic inside a
 payload is on none. A record whose payload holds a magic is put together from its
-lines by a second look at the archive, which only happens if there is one. A cut-off
-last record is left out.
+lines by a second look at the archive, which only happens if there is one: the lines of
+such archives are written with the offsets that this look itself gives, as it may cut
+files into other blocks than the first. A cut-off last record is left out; a complete
+one whose payload cannot be put together is an error.
 
 Edge cases: a null payload is empty, a null URL too; control characters and spaces of a URL are
 percent-encoded. A null id comes after all others: among equal payloads without any id
@@ -189,7 +191,9 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for at, line in _numbered(batches):
-        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (*at, line)], ["file", "block", "seq", "line"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([x]) for x in (*at, len(line) + len(MAGIC), line)], ["file", "block", "seq", "size", "line"]
+        )
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
@@ -201,16 +205,21 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 
 def candidates(spark: SparkSession, path: str) -> DataFrame:
     """Every magic of every archive: its offset and, if a header follows, its successor's offset."""
-    lines = saved(_lines(spark, path).mapInArrow(_described, LINE_SCHEMA), "lines")
+    placed = _placed(saved(_lines(spark, path).mapInArrow(_described, LINE_SCHEMA), "lines"))
+    return placed.withColumn("after", F.col("offset") + len(MAGIC) + F.col("head") + F.col("length") + len(END))
+
+
+def _placed(lines: DataFrame) -> DataFrame:
+    """The lines of one look at the archives, with their offsets and the ends of their files."""
     in_block = Window.partitionBy("file", "block").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     in_file = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     sizes = lines.groupBy("file", "block").agg(F.sum("size").alias("n"))
-    starts = sizes.select("file", "block", F.coalesce(F.sum("n").over(in_file), F.lit(0)).alias("base"))
+    end = F.sum("n").over(Window.partitionBy("file")) - len(MAGIC)
+    starts = sizes.select("file", "block", F.coalesce(F.sum("n").over(in_file), F.lit(0)).alias("base"), end.alias("end"))
     placed = lines.withColumn("inner", F.coalesce(F.sum("size").over(in_block), F.lit(0))).join(starts, ["file", "block"])
     # A line starts after the magic that ended the line before it; the empty first line has none.
     offset = F.col("base") + F.col("inner") - len(MAGIC)
-    after = F.col("offset") + len(MAGIC) + F.col("head") + F.col("length") + len(END)
-    return placed.withColumn("offset", offset).withColumn("after", after).drop("base", "inner")
+    return placed.withColumn("offset", offset).drop("base", "inner")
 
 
 def chain(found: DataFrame) -> DataFrame:
@@ -225,16 +234,17 @@ def chain(found: DataFrame) -> DataFrame:
     return reached
 
 
-def _joined(spark: SparkSession, path: str, found: DataFrame, broken: DataFrame) -> DataFrame:
+def _joined(spark: SparkSession, path: str, broken: DataFrame) -> DataFrame:
     """Payload size and digest of the records that span several lines."""
+    raw = _lines(spark, path).mapInArrow(_raw, "file string, block long, seq long, size long, line binary")
+    raw = saved(raw.join(broken.select("file").distinct(), "file", "left_semi"), "raw", batch_rows=1000)
     starts = broken.select("file", "offset", F.col("offset").alias("owner"), F.col("after").alias("until"))
     order = Window.partitionBy("file").orderBy("offset").rowsBetween(Window.unboundedPreceding, 0)
-    owned = found.select("file", "block", "seq", "offset").join(starts, ["file", "offset"], "left")
+    owned = _placed(raw.select("file", "block", "seq", "size")).join(starts, ["file", "offset"], "left")
     for column in ("owner", "until"):
         owned = owned.withColumn(column, F.last(column, ignorenulls=True).over(order))
     needed = owned.filter("offset < until").select("file", "block", "seq", "offset", "owner")
-    raw = _lines(spark, path).mapInArrow(_raw, "file string, block long, seq long, line binary")
-    pieces = raw.join(needed, ["file", "block", "seq"]).groupBy("file", "owner").agg(
+    pieces = raw.drop("size").join(needed, ["file", "block", "seq"]).groupBy("file", "owner").agg(
         F.sort_array(F.collect_list(F.struct("offset", "line"))).alias("lines")
     )
 
@@ -264,10 +274,11 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     records = saved(found.join(chain(found), ["file", "offset"], "left_semi"), "records")
     broken = records.filter("NOT whole AND after IS NOT NULL")
     if not broken.isEmpty():
-        joined = saved(_joined(spark, path, found, broken), "joined")
+        joined = saved(_joined(spark, path, broken), "joined")
+        lost = F.raise_error(F.concat(F.lit("no payload of the record at "), "offset", F.lit(" of "), "file")).cast("long")
         records = records.join(joined, ["file", "offset"], "left").withColumns(
             {
-                "payload_bytes": F.coalesce("payload_bytes", "whole_bytes"),
+                "payload_bytes": F.coalesce("payload_bytes", "whole_bytes", F.when(F.col("after") <= F.col("end"), lost)),
                 "payload_digest": F.coalesce("payload_digest", "whole_digest"),
             }
         )

@@ -58,6 +58,33 @@ def test_one_archive_is_read_by_many_tasks(spark):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_a_second_look_may_cut_archives_into_other_blocks(spark, monkeypatch):
+    pages = PAGES + [(100 + i, "u", f"{i} " * (i * 37 % 400) + (FORGED if i % 7 == 0 else "")) for i in range(100)]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    sizes, lines = iter(["5000", "3100"]), warc._lines
+
+    def cut(*args):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", next(sizes))
+        return lines(*args)
+
+    path = new_path(spark, "warc")
+    warc.write_archive(spark.createDataFrame(pages, SCHEMA).coalesce(1), path)
+    monkeypatch.setattr(warc, "_lines", cut)
+    try:
+        assert sorted(tuple(r) for r in warc.read_archive(spark, path).collect()) == expected(pages)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_complete_record_without_its_payload_is_an_error(spark, monkeypatch):
+    path = new_path(spark, "warc")
+    warc.write_archive(spark.createDataFrame(PAGES, SCHEMA).coalesce(1), path)
+    joined = warc._joined
+    monkeypatch.setattr(warc, "_joined", lambda *a: joined(*a).limit(0))
+    with pytest.raises(Exception, match="no payload of the record"):
+        warc.read_archive(spark, path).collect()
+
+
 def test_a_cut_off_archive_loses_its_last_record_only(spark, tmp_path):
     path = new_path(spark, "warc")
     warc.write_archive(spark.createDataFrame(PAGES[:1] + PAGES[11:12], SCHEMA).coalesce(1), path)

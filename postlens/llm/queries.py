@@ -43,6 +43,12 @@ def op3(spark, sf_dir):
     return simhash.simhash(table(spark, sf_dir, "documents"))
 
 
+@query("op3_near_copies")
+def op3_near(spark, sf_dir):
+    """The fingerprints near each query row; `op3_simhash` lists the rows of each fingerprint."""
+    return simhash.near_copies(table(spark, sf_dir, "documents"))[0]
+
+
 @query(
     "op4_warc",
     """SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,

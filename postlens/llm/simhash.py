@@ -9,6 +9,8 @@ A search cuts the 64 bits into blocks. If two fingerprints differ in at most r b
 b - r of b blocks agree; for every choice of b - r blocks there is a table keyed by
 them, and candidates from the tables are compared in full. Tables hold each different
 fingerprint once, with its number of documents, so a large group of copies is one row.
+`near_copies` gives the fingerprints found for each query row, and the rows of each
+fingerprint: together they name every near copy, without a row for each pair of rows.
 
 `edited` builds the text with its end replaced from the next document. Ids are cut into
 ranges of about equal counts; the texts are shuffled once by range, and the first row of
@@ -120,8 +122,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return saved(wide, "fingerprints")
 
 
-def near_counts(found: DataFrame, queries: Column, radius: int = 3, blocks: int = 5) -> DataFrame:
-    """(bits, n_near): for each fingerprint of a query row, the rows within `radius` bits, itself included."""
+def near_pairs(found: DataFrame, queries: Column, radius: int = 3, blocks: int = 5) -> DataFrame:
+    """(bits, near_bits, n): for each fingerprint of a query row, those within `radius` bits, itself included, and their rows."""
     counted = found.groupBy("bits").agg(F.count(F.lit(1)).alias("n"))
     asked = found.filter(queries).select(F.col("bits").alias("q")).distinct()
     edges = [round(i * BITS / blocks) for i in range(blocks + 1)]
@@ -137,7 +139,34 @@ def near_counts(found: DataFrame, queries: Column, radius: int = 3, blocks: int
     pairs = table(asked, "q").join(table(counted, "bits"), ["t", "key"])
     close = pairs.filter(F.bit_count(F.col("q").bitwiseXOR(F.col("bits"))) <= radius)
     # A pair can meet in several tables: each pair counts once.
-    return close.groupBy("q", "bits").agg(F.max("n").alias("n")).groupBy(F.col("q").alias("bits")).agg(F.sum("n").alias("n_near"))
+    return close.groupBy(F.col("q").alias("bits"), F.col("bits").alias("near_bits")).agg(F.max("n").alias("n"))
+
+
+def near_counts(found: DataFrame, queries: Column, radius: int = 3, blocks: int = 5) -> DataFrame:
+    """(bits, n_near): for each fingerprint of a query row, the rows within `radius` bits, itself included."""
+    return near_pairs(found, queries, radius, blocks).groupBy("bits").agg(F.sum("n").alias("n_near"))
+
+
+def near_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 3, query_step: int = 100
+) -> tuple[DataFrame, DataFrame]:
+    """What the search finds for the rows whose id is divisible by `query_step`, as (doc_id, fingerprint,
+    near_fingerprint, distance), and (fingerprint, doc_id) of all rows.
+
+    Rows that repeat an id and a fingerprint are found once.
+    """
+    texts = docs.select(
+        F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")
+    ).withColumn("row", F.monotonically_increasing_id())
+    found = saved(votes(texts, ["row", "doc_id"], "text").drop("row"), "fingerprints")
+    asked = F.col("doc_id") % query_step == 0
+    pairs = found.filter(asked).distinct().join(near_pairs(found, asked, radius), "bits").select(
+        "doc_id",
+        as_text(F.col("bits")).alias("fingerprint"),
+        as_text(F.col("near_bits")).alias("near_fingerprint"),
+        F.bit_count(F.col("bits").bitwiseXOR(F.col("near_bits"))).alias("distance"),
+    )
+    return pairs, found.select(as_text(F.col("bits")).alias("fingerprint"), "doc_id")
 
 
 def simhash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 3, query_step: int = 100) -> DataFrame:

@@ -60,6 +60,27 @@ def test_block_tables_find_all_within_the_radius(spark):
         assert got == {s: sum(bin(v ^ w).count("1") <= radius for w in values) for s, v in zip(signed, values)}
 
 
+def test_near_copies_are_named(spark):
+    rng = random.Random(6)
+    base = [words(rng, 150) for _ in range(6)]
+    texts = [None, ""] + base + [f"{b} {words(rng, k)}" for b in base for k in (0, 1, 2, 5)] + [base[0]]
+    ids = [None, *range(1, len(texts) - 1), 3]
+    docs = with_clashes(documents(spark, texts, ids), "bits", "near_bits", "row", "q")
+    pairs, members = simhash.near_copies(docs, query_step=3)
+    bits = [fingerprint(t or "") for t in texts]
+    assert sorted((r.fingerprint, str(r.doc_id)) for r in members.collect()) == sorted((f"{b:016x}", str(i)) for i, b in zip(ids, bits))
+    near = lambda a, b: bin(a ^ b).count("1")
+    expected = {(i, f"{a:016x}", f"{b:016x}", near(a, b)) for i, a in zip(ids, bits) if i is not None and i % 3 == 0 for b in bits if near(a, b) <= 3}
+    got = [tuple(r) for r in pairs.collect()]
+    assert len(got) == len(set(got)) and set(got) == expected
+    assert any(d > 0 for *_, d in got)
+    # Named by both tables: as many rows as the operator counts.
+    named = pairs.join(members.withColumnsRenamed({"fingerprint": "near_fingerprint", "doc_id": "near_id"}), "near_fingerprint")
+    counted = {(r.doc_id, r.fingerprint): r.n for r in named.groupBy("doc_id", "fingerprint").count().toDF("doc_id", "fingerprint", "n").collect()}
+    rows = simhash.simhash(docs, query_step=3).filter("n_near IS NOT NULL").collect()
+    assert counted == {(r.doc_id, r.fingerprint): r.n_near for r in rows}
+
+
 def test_simhash_null_ids_single_rows_and_empty_tables(spark):
     assert simhash.simhash(documents(spark, [])).collect() == []
     [one] = simhash.simhash(documents(spark, ["abcd efgh"], [4])).collect()

@@ -279,6 +279,56 @@ def c19(spark, sf_dir):
     return words.explode_tokens(grams, "grams", out="gram").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
 
 
+_VECTORS_SQL = f"""filtered AS (
+  SELECT post_id, list_filter(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{M}}\\p{{N}}_]{{2,}}'),
+                              lambda w: w NOT IN {_STOP_SQL}) AS t FROM posts
+), grams AS (
+  SELECT post_id, unnest(t) AS gram FROM filtered
+  UNION ALL
+  SELECT post_id, unnest(list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) FROM filtered
+), vocabulary AS (
+  SELECT gram, count(DISTINCT post_id) AS df FROM grams GROUP BY gram ORDER BY count(*) DESC, gram LIMIT 5000
+), weighted AS (
+  SELECT post_id, gram, count(*) * ln(((SELECT count(*) FROM posts) + 1.0) / (df + 1.0)) AS w
+  FROM grams JOIN vocabulary USING (gram) GROUP BY post_id, gram, df
+), lengths AS (SELECT post_id, sqrt(sum(w * w)) AS length FROM weighted GROUP BY post_id
+), units AS (
+  SELECT post_id, gram, CASE WHEN length > 0 THEN w / length ELSE 0 END AS x FROM weighted JOIN lengths USING (post_id)
+)"""
+
+
+@query(
+    "c19_ngram_vectors",
+    with_posts(
+        """SELECT 'gram' AS kind, gram AS name, df AS n, round(coalesce(sum(x), 0.0), 4) AS value
+           FROM vocabulary LEFT JOIN units USING (gram) GROUP BY gram, df
+           UNION ALL
+           SELECT 'post', CAST(post_id AS VARCHAR), count(*) FILTER (x > 0), round(sqrt(coalesce(sum(x * x), 0.0)), 6)
+           FROM posts LEFT JOIN units USING (post_id) GROUP BY post_id""",
+        _VECTORS_SQL,
+    ),
+)
+def c19_vectors(spark, sf_dir):
+    """The finished features: posts and weight of each gram of the vocabulary, grams and length of each post's vector."""
+    df = texts(spark, sf_dir)
+    model = classifier.fit_ngram_features(df)
+    vectors = model.transform(df).select("post_id", F.unwrap_udt("features").alias("v"))
+    entries = vectors.select("post_id", F.explode_outer(F.arrays_zip("v.indices", "v.values")).alias("e"))
+    entries = entries.select("post_id", F.col("e.indices").alias("i"), F.col("e.values").alias("x"))
+    counted, idf = model.stages[-3], model.stages[-2]
+    known = spark.createDataFrame(
+        [(i, g, int(n)) for i, (g, n) in enumerate(zip(counted.vocabulary, idf.docFreq))], "i int, gram string, df bigint"
+    )
+    weights = entries.filter("i IS NOT NULL").groupBy("i").agg(F.sum("x").alias("x"))
+    by_gram = known.join(weights, "i", "left").select(
+        F.lit("gram").alias("kind"), F.col("gram").alias("name"), F.col("df").alias("n"), F.round(F.coalesce("x", F.lit(0.0)), 4).alias("value")
+    )
+    by_post = entries.groupBy("post_id").agg(
+        F.count_if(F.col("x") > 0).alias("n"), F.round(F.sqrt(F.coalesce(F.sum(F.col("x") * F.col("x")), F.lit(0.0))), 6).alias("value")
+    )
+    return by_gram.unionByName(by_post.select(F.lit("post").alias("kind"), F.col("post_id").cast("string").alias("name"), "n", "value"))
+
+
 @query("c19_ngram_classifier")
 def c19_model(spark, sf_dir):
     """Held-out metrics of the n-gram features with their logistic regression."""

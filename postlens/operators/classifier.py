@@ -10,6 +10,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
     IDF,
     CountVectorizer,
+    CountVectorizerModel,
     HashingTF,
     NGram,
     Normalizer,
@@ -78,6 +79,20 @@ def ngram_stages(text: str = "text", n: int = 2, vocab: int = 5_000) -> Stages:
     return stages
 
 
+def fit_ngram_features(df: DataFrame, text: str = "text", n: int = 2, vocab: int = 5_000) -> PipelineModel:
+    """The stages of `ngram_stages`, fitted with a fixed vocabulary: the grams that occur most often, ties in byte order.
+
+    `CountVectorizer` leaves open which of the grams that tie for the last places it takes.
+    """
+    *first, count, idf_stage, unit = ngram_stages(text, n, vocab)
+    split = Pipeline(stages=first).fit(df)
+    counted = split.transform(df).select(F.explode_outer("grams").alias("gram")).filter("gram IS NOT NULL")
+    top = counted.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "gram").limit(vocab)
+    words = [r["gram"] for r in top.collect()]  # a row per entry of the vocabulary
+    known = CountVectorizerModel.from_vocabulary(words, inputCol=count.getInputCol(), outputCol=count.getOutputCol())
+    return Pipeline(stages=[*split.stages, known, idf_stage, unit]).fit(df)
+
+
 def word_vector_stages(text: str = "text", size: int = 100, min_count: int = 5, seed: int = 42) -> Stages:
     """Mean word vector of each text."""
     return [

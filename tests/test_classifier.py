@@ -162,3 +162,11 @@ def test_model_on_the_given_texts_beats_a_constant(spark):
     metrics = classifier.model_metrics(scored).first()
     # Recall of the smaller classes is what always naming the largest class cannot give.
     assert metrics["w_precision"] > (max(counts.values()) / sum(counts.values())) ** 2
+
+
+def test_ngram_vocabulary_takes_ties_in_byte_order(spark):
+    df = spark.createDataFrame([(1, "zeta beta"), (2, "zeta alpha"), (3, ""), (4, "zeta")], "post_id int, text string")
+    model = classifier.fit_ngram_features(df, vocab=2)
+    assert model.stages[-3].vocabulary == ["zeta", "alpha"]
+    rows = model.transform(df).orderBy("post_id").collect()
+    assert [round(float(r.features.norm(2)), 9) for r in rows] == [1.0, 1.0, 0.0, 1.0]

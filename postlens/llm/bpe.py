@@ -4,15 +4,16 @@ The distinct words of a batch form one flat list of symbols. An index maps each
 neighbours that has a merge to all its positions; a heap holds the ranks of the pairs
 that occur. The smallest active rank is applied at all its positions at once, and
 only the pairs next to them change lists. The ids of every word are then put in the
-order of the texts. A worker process remembers the strings between spaces it has met, up
-to a limit, so a frequent word is merged once.
+order of the texts. A task remembers the strings between spaces it has met, up to a number
+of bytes, so a frequent word is merged once; nothing is kept after the task.
 
 The vocabulary is read by its path on the driver and sent to the tasks; its size does
 not depend on the data.
 
 Edge cases: a null text is empty and has no ids. A special token's exact string in a
 text becomes its id. A text is cut at spaces, between words, into segments, so a very
-long one needs no more than its own length in memory. Only id and text are read, so
+long one needs no more than its own length in memory; a very long string without spaces is
+forgotten once it is encoded. Only id and text are read, so
 other columns cannot clash. An empty table gives no rows.
 """
 
@@ -22,10 +23,8 @@ import hashlib
 import heapq
 import json
 import re
-import sys
 import unicodedata
 from collections.abc import Iterable, Iterator
-from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -33,11 +32,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlens.llm.common import payload
+from postlens.llm.common import lean, payload, smaller
 
 SEGMENT = 1 << 20
-KNOWN_WORDS = 1 << 18
-WORKER_STATE = "_postlens_bpe"
+FLUSH_STRINGS = 1 << 16
+KNOWN_BYTES = 1 << 25
+# A string as an object and dictionary key with its places, besides its characters.
+STRING_BYTES = 200
+TEXT_BYTES = 1 << 20
 # White space and words as the vocabulary's own file defines them.
 _SPACE = re.compile("[\t-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^ \p{L}\p{N}]+")
@@ -205,18 +207,6 @@ def _gathered(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.nda
     return flat[np.repeat(start - (ends - length), length) + np.arange(total)]
 
 
-def worker_encoder(definition: str) -> Encoder:
-    """The encoder of this worker process, which later tasks find with all it has learned.
-
-    Functions are sent to the workers by value, so a global of this module would not last.
-    """
-    kept = sys.modules.setdefault(WORKER_STATE, ModuleType(WORKER_STATE)).__dict__
-    name = hashlib.sha256(definition.encode()).hexdigest()
-    if kept.get("name") != name:
-        kept["name"], kept["encoder"] = name, Encoder(Vocabulary(definition))
-    return kept["encoder"]
-
-
 class Encoder:
     """Encodes texts, keeping the ids of the strings between spaces that it has met."""
 
@@ -225,6 +215,7 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
+        self.held = 0
         self.place: dict[str, int] = {}
         self.flat = np.zeros(0, np.uint32)
         self.start = np.zeros(0, np.int64)
@@ -235,9 +226,11 @@ class Encoder:
         new = sorted(met.difference(self.place))
         if not new:
             return
-        if len(self.place) + len(new) > KNOWN_WORDS:
+        if self.held > KNOWN_BYTES:
             self.forget()
             new = sorted(met)
+        # Four bytes a character at most, and as many ids as bytes.
+        self.held += sum(STRING_BYTES + 8 * len(s) for s in new)
         words = [_words(s) for s in new]
         known = {w: i for i, w in enumerate(dict.fromkeys(w for ws in words for w in ws))}
         ids, size = merge_words(list(known), self.vocabulary)
@@ -251,7 +244,7 @@ class Encoder:
         self.flat = np.concatenate([self.flat, flat])
         self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[int, np.ndarray]]:
+    def encode(self, texts: Iterable[str]) -> Iterator[tuple[int, np.ndarray]]:
         """(number of the text, ids) in order; a text may come in several parts."""
         waiting: list[tuple[int, int | list[str]]] = []
         size = 0
@@ -259,7 +252,7 @@ class Encoder:
             for piece in pieces(text, self.vocabulary):
                 waiting.append((i, piece))
                 size += len(piece) if isinstance(piece, list) else 1
-                if size > SEGMENT:
+                if size > FLUSH_STRINGS:
                     yield from self._flush(waiting)
                     waiting, size = [], 0
         yield from self._flush(waiting)
@@ -272,6 +265,8 @@ class Encoder:
                 continue
             at = np.fromiter(map(self.place.__getitem__, piece), np.int64, len(piece))
             yield i, _gathered(self.flat, self.start[at], self.length[at])
+        if self.held > KNOWN_BYTES:
+            self.forget()
 
 
 def decode(ids: Iterable[int], vocabulary: Vocabulary) -> str:
@@ -295,9 +290,9 @@ def encode_documents(
     schema = f"doc_id {kind}, n_tokens long, {'ids array<int>, ' if with_ids else ''}ids_sha256 string, decoded_sha256 string"
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(shared.value)
-        vocabulary = encoder.vocabulary
-        for batch in batches:
+        vocabulary = Vocabulary(shared.value)
+        encoder = Encoder(vocabulary)
+        for batch in smaller(batches, "text", TEXT_BYTES):
             texts = [t.decode("utf-8", "replace") for t in batch.column("text").to_pylist()]
             count = [0] * len(texts)
             all_ids: list[list[np.ndarray]] = [[] for _ in texts]
@@ -319,4 +314,4 @@ def encode_documents(
             columns += [pa.array([h.hexdigest() for h in hs], pa.string()) for hs in (of_ids, of_text)]
             yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in schema.split(", ")])
 
-    return rows.mapInArrow(encoded, schema)
+    return rows.mapInArrow(lean(encoded), schema)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlens.llm.common import saved
+from postlens.llm.common import lean, saved
 
 OPEN, CLOSE, STOP = "[INST]", "[/INST]", "</s>"
 CONTROL = [OPEN, CLOSE, STOP, "<s>", "<<SYS>>", "<</SYS>>"]
@@ -192,7 +192,7 @@ def named_turns(
         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
     )
     ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return saved(ordered.mapInArrow(_named, NAMED_SCHEMA), "turns")
+    return saved(ordered.mapInArrow(lean(_named), NAMED_SCHEMA), "turns")
 
 
 def pack_conversations(named: DataFrame) -> DataFrame:
@@ -214,7 +214,7 @@ def pack_conversations(named: DataFrame) -> DataFrame:
     )
     rows = named.join(ordered, F.col("conv_id").eqNullSafe(F.col("first")))
     laid = rows.select("pack", "place", "depth", "name", "role", "text", "turns")
-    return laid.repartition(packs, "pack").sortWithinPartitions("pack", "place", "depth").mapInArrow(_packed, NODE_SCHEMA)
+    return laid.repartition(packs, "pack").sortWithinPartitions("pack", "place", "depth").mapInArrow(lean(_packed), NODE_SCHEMA)
 
 
 def digests(packs: DataFrame) -> DataFrame:
@@ -222,7 +222,7 @@ def digests(packs: DataFrame) -> DataFrame:
     rows = packs.select("pack", "seq", "depth", "offset", "loss_start", "loss_end", "piece", "leaf")
     packs_at_once = int(packs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartition(packs_at_once, "pack").sortWithinPartitions("pack", "seq").drop("pack", "seq")
-    return ordered.mapInArrow(_read_back, DIGEST_SCHEMA)
+    return ordered.mapInArrow(lean(_read_back), DIGEST_SCHEMA)
 
 
 def format_conversations(conversations: DataFrame, **columns: str) -> DataFrame:

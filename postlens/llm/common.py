@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +36,29 @@ def saved(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def lean(function: Callable) -> Callable:
+    """A function on batches that leaves no memory behind in its worker, which lives on through later stages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            # What the allocator keeps; only the GNU library has this call.
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return run
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def payload(column: str) -> Column:
     """UTF-8 bytes of a text column, null as empty."""
     return F.coalesce(F.col(f"`{column}`").cast("binary"), F.lit(b""))
@@ -98,8 +123,8 @@ def possible(
             yield batch.filter(pa.array((bits[low >> 6] >> (low & 63) & 1).astype(bool)))
 
     if then is None:
-        return rows.mapInArrow(marked_only, rows.schema)
-    return rows.mapInArrow(lambda batches: then(marked_only(batches)), schema)
+        return rows.mapInArrow(lean(marked_only), rows.schema)
+    return rows.mapInArrow(lean(lambda batches: then(marked_only(batches))), schema)
 
 
 def packs(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
@@ -114,6 +139,13 @@ def packs(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
+def smaller(batches: Iterator[pa.RecordBatch], column: str | int, limit: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices with about `limit` bytes of a text column at most, or one row."""
+    for batch in batches:
+        for a, b in packs(pc.binary_length(batch.column(column)).fill_null(0).to_pylist(), limit):
+            yield batch.slice(a, b - a)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A one-to-one scrambling of 64-bit numbers (wraps round)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from postlens.llm.common import payload, saved
+from postlens.llm.common import lean, payload, saved
 
 PIECE_IDS = 8192
 ROOT = hashlib.sha256(b"").digest()
@@ -124,7 +124,7 @@ def chains(rows: DataFrame) -> DataFrame:
     `node` and `parent` are digests, `bytes` those of the last text and `upto` those of all texts.
     """
     ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "part", "place")
-    return saved(ordered.mapInArrow(_chain, CHAIN), "trie-chains")
+    return saved(ordered.mapInArrow(lean(_chain), CHAIN), "trie-chains")
 
 
 def sequences(chained: DataFrame) -> DataFrame:
@@ -190,7 +190,7 @@ def end_lists(chained: DataFrame) -> DataFrame:
     """(node, first_id, piece): the ids of the conversations that end at a node, ascending over its pieces."""
     ends = chained.filter("last").select("node", "conv_id")
     ordered = ends.repartitionByRange("node", "conv_id").sortWithinPartitions("node", "conv_id")
-    return saved(ordered.mapInArrow(_pieces, "node binary, first_id long, piece string"), "trie-ends")
+    return saved(ordered.mapInArrow(lean(_pieces), "node binary, first_id long, piece string"), "trie-ends")
 
 
 def trie(chained: DataFrame) -> DataFrame:
@@ -217,7 +217,7 @@ def trie(chained: DataFrame) -> DataFrame:
     children = nodes.filter("parent IS NOT NULL").groupBy(F.col("parent").alias("node")).agg(F.count(F.lit(1)).alias("n_children"))
     parents = nodes.select(F.col("node").alias("parent"), F.col("conv_id").alias("parent_conv_id"))
     ends = end_lists(chained).repartition("node").sortWithinPartitions("node", "first_id")
-    digests = ends.mapInArrow(_digests, "node binary, ends_sha256 string")
+    digests = ends.mapInArrow(lean(_digests), "node binary, ends_sha256 string")
     # The owner's path counts from this node on, not from where it begins to own.
     distinct = F.col("own_ends") + F.col("shared") - F.col("before")
     return (

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlens.llm.common import keep_rows, payload, saved, text_key
+from postlens.llm.common import keep_rows, lean, payload, saved, text_key
 
 BLOCK_BYTES = 4096
 BUCKETS = 1 << 20
@@ -126,7 +126,7 @@ def classified(docs: DataFrame, id_col: str, text_col: str, block_bytes: int) ->
         text_key(text_col).alias("tkey"),
         payload(text_col).alias("text"),
     )
-    cuts = saved(rows.mapInArrow(_cutter(block_bytes), CUT_SCHEMA), "blocks")
+    cuts = saved(rows.mapInArrow(lean(_cutter(block_bytes)), CUT_SCHEMA), "blocks")
     heads = cuts.filter("pos = 0").select("row", "id", "tkey", "digest")
     named = saved(heads.join(identities(cuts), "row"), "identities")
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "row", "tkey")

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlens.llm.common import saved
+from postlens.llm.common import lean, saved
 
 ANCHOR_BLOCK = 1024
 CANDIDATE_BLOCK = 4096
@@ -191,7 +191,7 @@ def _searched(cells: DataFrame, width: int, search: Search) -> DataFrame:
                         ["anchor", "place", "uid", "vec_id", "score"],
                     )
 
-    return cells.mapInArrow(run, HITS)
+    return cells.mapInArrow(lean(run), HITS)
 
 
 def _tiles(anchors: dict, candidates: dict) -> Iterator[tuple[slice, slice, np.ndarray]]:

@@ -2,19 +2,22 @@
 
 Fitting counts the n-grams (1 to 3 code points of the lower-case text) of a sample of
 labelled rows per language in a fixed number of hash buckets. The log-probability
-matrix has buckets x languages entries, whatever the data, and is broadcast. Scoring
+matrix has buckets x languages entries and is broadcast; to bound it, at most the
+`MAX_LANGUAGES` most frequent languages of the usable rows are learned (ties by name).
+A task that has the counts of one language makes its column of the matrix, so the
+driver gets one array per language. Scoring
 gathers its rows for all n-grams of a pack of texts at once and adds them up by text.
 
 Edge cases: a null text or one without a letter gets `und` and score 0, as does every
-text if nothing could be learned (no labelled rows). Null languages are never learned.
+text if nothing could be learned (no labelled rows). Letters are the Unicode categories L,
+so a fraction or a circled digit is none. Null languages are never learned.
 Input columns named like an output column are replaced. Long texts are scored in
 segments that overlap by two code points, and never cut short.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,13 +26,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlens.llm.common import packs
+from postlens.llm.common import lean, packs, smaller
 
 BUCKET_BITS = 16
 MAX_LANGUAGES = 512
 SEGMENT = 1 << 19
+TEXT_BYTES = 1 << 21
+LANGUAGES_AT_ONCE = 64
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 _FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -67,26 +71,42 @@ def _ngrams(segments: list[str], starts: list[int]) -> Iterator[tuple[np.ndarray
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: dict[str, np.ndarray] = {}
-    for batch in batches:
+    counts: dict[int, np.ndarray] = {}
+    for batch in smaller(batches, "text", TEXT_BYTES):
         texts = [t.decode("utf-8", "replace") for t in batch.column("text").to_pylist()]
         langs = batch.column("lang").to_pylist()
         cut = list(_segments(texts))
         for a, b in packs([len(s) for _, s, _ in cut], SEGMENT):
-            owners = [langs[i] for i, _, _ in cut[a:b]]
+            owners = np.array([langs[i] for i, _, _ in cut[a:b]])
             for buckets, owner in _ngrams(*map(list, list(zip(*cut[a:b]))[1:])):
-                for lang in set(owners):
-                    mine = np.array([x == lang for x in owners])[owner]
+                for lang in set(owners.tolist()):
                     total = counts.setdefault(lang, np.zeros(1 << BUCKET_BITS, np.int64))
-                    total += np.bincount(buckets[mine], minlength=1 << BUCKET_BITS)
-    for lang, total in counts.items():
+                    total += np.bincount(buckets[owners[owner] == lang], minlength=1 << BUCKET_BITS)
+        if len(counts) > LANGUAGES_AT_ONCE:
+            yield from _emptied(counts)
+    yield from _emptied(counts)
+
+
+def _emptied(counts: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    while counts:
+        lang, total = counts.popitem()
         used = np.nonzero(total)[0]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(used), pa.string()), pa.array(used, pa.int64()), pa.array(total[used], pa.int64())],
-            ["lang", "bucket", "n"],
+            [pa.array(np.full(len(used), lang)), pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["lang", "bucket", "n"]
         )
 
 
+def _column(smoothing: float) -> Callable:
+    """The log-probabilities of all buckets from the counts of one language."""
+
+    def column(key: tuple, table: pa.Table) -> pa.Table:
+        counts = np.full(1 << BUCKET_BITS, smoothing)
+        counts[table.column("bucket").to_numpy()] += table.column("n").to_numpy()
+        return pa.table({"lang": [key[0].as_py()], "log_prob": [np.log(counts / counts.sum()).astype("<f4").tobytes()]})
+
+    return column
+
+
 def train(
     docs: DataFrame,
     usable: Column,
@@ -106,22 +126,23 @@ def train(
         F.coalesce(F.col(f"`{text_col}`").cast("binary"), F.lit(b"")).alias("text"),
         (F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))).alias("draw"),
     )
-    totals = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).take(MAX_LANGUAGES + 1)}
-    if len(totals) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    frequent = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
+    totals = {r["lang"]: r["n"] for r in frequent.collect()}
     languages = sorted(totals)
     if not languages:
         return Model([], np.zeros(0), np.zeros((1 << BUCKET_BITS, 0), np.float32))
-    rates = F.create_map(*[F.lit(x) for lang in languages for x in (lang, sample_per_language / totals[lang])])
-    sample = rows.filter(F.col("draw") < F.try_element_at(rates, F.col("lang"))).select("lang", "text")
-    counted = sample.mapInArrow(_counted, "lang string, bucket long, n long")
-    table = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.full((1 << BUCKET_BITS, len(languages)), smoothing)
-    place = {lang: i for i, lang in enumerate(languages)}
-    columns = np.array([place[x] for x in table.column("lang").to_pylist()], np.int64)
-    np.add.at(counts, (table.column("bucket").to_numpy(), columns), table.column("n").to_numpy())
+    codes = F.create_map(*[F.lit(x) for code, lang in enumerate(languages) for x in (lang, code)])
+    rates = F.array(*[F.lit(sample_per_language / totals[lang]) for lang in languages])
+    coded = rows.withColumn("lang", F.try_element_at(codes, F.col("lang")).cast("long")).filter("lang IS NOT NULL")
+    sample = coded.filter(F.col("draw") < F.get(rates, F.col("lang"))).select("lang", "text")
+    counted = sample.mapInArrow(lean(_counted), "lang long, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    columns = counted.groupBy("lang").applyInArrow(_column(smoothing), "lang long, log_prob binary").toArrow()
+    # A language whose rows were all left out by the draw has nothing but the smoothing.
+    log_prob = np.full((1 << BUCKET_BITS, len(languages)), -BUCKET_BITS * np.log(2), np.float32)
+    for lang, column in zip(columns.column("lang").to_pylist(), columns.column("log_prob").to_pylist()):
+        log_prob[:, lang] = np.frombuffer(column, "<f4")
     prior = np.array([totals[x] for x in languages], float)
-    return Model(languages, np.log(prior / prior.sum()), np.log(counts / counts.sum(axis=0)).astype(np.float32))
+    return Model(languages, np.log(prior / prior.sum()), log_prob)
 
 
 def _scores(texts: list[str], model: Model) -> np.ndarray:
@@ -151,9 +172,9 @@ def predict(
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*shared.value)
-        for batch in batches:
+        for batch in smaller(batches, at, TEXT_BYTES):
             texts = [(t or b"").decode("utf-8", "replace") for t in batch.column(at).cast(pa.binary()).to_pylist()]
-            known = [bool(model.languages) and bool(_LETTER.search(t)) for t in texts]
+            known = [bool(model.languages) and any(map(str.isalpha, t)) for t in texts]
             names, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
             if any(known):
                 log = _scores([t for t, k in zip(texts, known) if k], model)
@@ -166,7 +187,7 @@ def predict(
                 [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], schema.fieldNames()
             )
 
-    return kept.mapInArrow(scored, schema)
+    return kept.mapInArrow(lean(scored), schema)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

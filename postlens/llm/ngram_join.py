@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlens.llm.common import keep_rows, mixed, packs, payload, possible, saved, text_key
+from postlens.llm.common import keep_rows, lean, mixed, packs, payload, possible, saved, smaller, text_key
 from postlens.llm.components import components
 
 SEGMENT = 1 << 20
@@ -52,7 +52,8 @@ GROUP_BLOCK = 256
 GROUP_GRAMS = 1 << 20
 BINS = (64, 256, 1024, 4096)
 FULL_BIN = 65535
-KNOWN_SETS = 1 << 20
+KNOWN_SETS = 1 << 18
+TEXT_BYTES = 1 << 22
 _BASE = np.uint64(0x9E3779B97F4A7C55)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C55, -1, 1 << 64))
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -199,10 +200,8 @@ def _batch(schema: str, *columns) -> pa.RecordBatch:
 
 
 def _texts(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, 2000):
-            part = batch.slice(at, 2000)
-            yield part, part.column(column).to_pylist()
+    for part in smaller(batches, column, TEXT_BYTES):
+        yield part, part.column(column).to_pylist()
 
 
 SETS = "doc_id long, tkey long, n long, sid long, gram long, seen long, bins binary"
@@ -546,9 +545,9 @@ def _candidates(postings: DataFrame, bins: DataFrame, num: int, den: int) -> Dat
     """(node, root): sets that may link, by group."""
     keys = LIST_KEYS
     lists = postings.repartition(*keys).sortWithinPartitions(*keys, "n", "sid")
-    lists = saved(lists.mapInArrow(_partnered(num, den), lists.schema), "lists")
+    lists = saved(lists.mapInArrow(lean(_partnered(num, den)), lists.schema), "lists")
     units = lists.join(bins, "sid").repartition(*keys).sortWithinPartitions(*keys)
-    return saved(components(units.mapInArrow(_list_edges(num, den), EDGES)), "candidates")
+    return saved(components(units.mapInArrow(lean(_list_edges(num, den)), EDGES)), "candidates")
 
 
 def _links(docs: DataFrame, sets: DataFrame, groups: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -558,9 +557,9 @@ def _links(docs: DataFrame, sets: DataFrame, groups: DataFrame, n: int, num: int
     wanted = saved(wanted, "wanted")
     texts = possible(docs.select("key", "tkey", "text"), wanted, "tkey").join(wanted, ["key", "tkey"])
     texts = texts.select("root", "sid", "text")
-    members = saved(texts.mapInArrow(_members(n), MEMBERS), "members", batch_rows=1000)
+    members = saved(texts.mapInArrow(lean(_members(n)), MEMBERS), "members", batch_rows=1000)
     pivots = members.filter("root = sid").groupBy("root").agg(F.min("grams").alias("pivot"))
-    diffs = saved(members.join(pivots, "root").mapInArrow(_differences, DIFFERENCES), "differences", batch_rows=500)
+    diffs = saved(members.join(pivots, "root").mapInArrow(lean(_differences), DIFFERENCES), "differences", batch_rows=500)
     sizes = diffs.groupBy("root").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("diff")).alias("bytes"))
     blocks = F.greatest(F.ceil(F.col("rows") / GROUP_BLOCK), F.ceil(F.col("bytes") / (8 * GROUP_GRAMS)))
     sized = diffs.join(sizes.select("root", blocks.cast("int").alias("blocks")), "root")
@@ -570,7 +569,7 @@ def _links(docs: DataFrame, sets: DataFrame, groups: DataFrame, n: int, num: int
         "root", "sid", "n", "diff", F.least("mine", "k").alias("part"), F.greatest("mine", "k").alias("other")
     )
     keys = ["root", "part", "other"]
-    return units.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_group_edges(num, den), EDGES)
+    return units.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lean(_group_edges(num, den)), EDGES)
 
 
 def classified(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
@@ -582,13 +581,13 @@ def classified(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_co
         text_key(text_col).alias("tkey"),
         payload(text_col).alias("text"),
     )
-    found = saved(rows.select("doc_id", "tkey", "text").mapInArrow(_sets(n, num, den), SETS), "sets")
+    found = saved(rows.select("doc_id", "tkey", "text").mapInArrow(lean(_sets(n, num, den)), SETS), "sets")
     top = found.filter("gram IS NOT NULL").groupBy("gram").agg(F.sum("seen").alias("seen"))
     top = top.orderBy(F.desc("seen"), "gram").limit(HOT_GRAMS).toArrow()
     hot = top.column("gram").to_numpy().view(np.uint64)
     order = np.argsort(hot)
     shared = spark.sparkContext.broadcast((hot[order], top.column("seen").to_numpy()[order]))
-    postings = rows.select("text").mapInArrow(_postings(n, num, den, shared), POSTINGS)
+    postings = rows.select("text").mapInArrow(lean(_postings(n, num, den, shared)), POSTINGS)
     bins = found.filter("bins IS NOT NULL").groupBy("sid").agg(F.min("bins").alias("bins"))
     sets = found.filter("n IS NOT NULL").select("doc_id", F.coalesce("doc_id", F.lit(-1)).alias("key"), "tkey", "n", "sid")
     groups = _candidates(postings, bins, num, den)

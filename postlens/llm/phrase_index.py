@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlens.llm.common import packs, payload, saved
+from postlens.llm.common import lean, packs, payload, saved
 
 CHUNK_BYTES = 1 << 23
 ROWS_AT_ONCE = 2000
@@ -117,7 +117,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 chunk += 1
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), payload(text_col).alias("text"))
-    return saved(rows.mapInArrow(index, INDEX), "phrase-index", batch_rows=ROWS_AT_ONCE)
+    return saved(rows.mapInArrow(lean(index), INDEX), "phrase-index", batch_rows=ROWS_AT_ONCE)
 
 
 def documents_of(index: DataFrame) -> DataFrame:

@@ -41,7 +41,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlens.llm.common import mixed, payload, possible, saved, text_key
+from postlens.llm.common import lean, mixed, payload, possible, saved, text_key
 
 MIN_LEN = 100
 GRAM = 24
@@ -384,7 +384,7 @@ def dealt_runs(found: DataFrame, min_len: int) -> DataFrame:
     hot = saved(sent.groupBy("gram").agg(F.sum(n).alias("n")).filter(F.col("n") > HOT_WINDOWS).select("gram"), "hot")
     if hot.isEmpty():
         return found
-    cut = saved(sent.join(hot, "gram", "left_semi").select(*found.columns).mapInArrow(_single_windows(min_len), RUNS), "windows")
+    cut = saved(sent.join(hot, "gram", "left_semi").select(*found.columns).mapInArrow(lean(_single_windows(min_len)), RUNS), "windows")
     rest = sent.join(hot, "gram", "left_anti").select(*found.columns)
     return rest.unionByName(found.filter("gram IS NULL")).unionByName(cut)
 
@@ -479,8 +479,8 @@ def removed_texts(docs: DataFrame, min_len: int, id_col: str, text_col: str) ->
     marked = marked.withColumn("is_first", (F.col("key") == F.col("first")) & (F.col("copy") == 1)).drop("first", "copy")
 
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packets = rows.select("tkey", "text").mapInArrow(_anchors(min_len, buckets), ANCHORS)
-    places = packets.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_repeated, PLACES)
+    packets = rows.select("tkey", "text").mapInArrow(lean(_anchors(min_len, buckets)), ANCHORS)
+    places = packets.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lean(_repeated), PLACES)
     listed = places.groupBy("tkey").agg(F.collect_list("places").alias("places"))
     wanted = listed.join(firsts.select("tkey", F.col("first").alias("key")), "tkey")
     wanted = saved(wanted, "wanted")
@@ -489,15 +489,15 @@ def removed_texts(docs: DataFrame, min_len: int, id_col: str, text_col: str) ->
     def packed(some: DataFrame) -> DataFrame:
         return possible(texts, some, "tkey", _packed, PACKED_TEXT).join(some, ["key", "tkey"])
 
-    found = saved(packed(wanted).mapInArrow(_runs_of_repeats(min_len), RUNS), "runs", batch_rows=1000)
+    found = saved(packed(wanted).mapInArrow(lean(_runs_of_repeats(min_len)), RUNS), "runs", batch_rows=1000)
     dealt = dealt_runs(found, min_len)
     sent = dealt.filter("gram IS NOT NULL").repartition("gram").sortWithinPartitions("gram")
-    spans = sent.mapInArrow(_matches(min_len), SPANS).unionByName(
-        dealt.filter("gram IS NULL").select("key", "tkey", "first", "bytes").mapInArrow(_covered, SPANS)
+    spans = sent.mapInArrow(lean(_matches(min_len)), SPANS).unionByName(
+        dealt.filter("gram IS NULL").select("key", "tkey", "first", "bytes").mapInArrow(lean(_covered), SPANS)
     )
     grouped = spans.groupBy("key", "tkey").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
     grouped = saved(grouped, "spans")
-    kept = packed(grouped).mapInArrow(_kept, KEPT)
+    kept = packed(grouped).mapInArrow(lean(_kept), KEPT)
     return marked, kept
 
 

@@ -34,7 +34,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from postlens.llm.common import payload, saved
+from postlens.llm.common import lean, payload, saved
 from postlens.session import new_path
 
 MAGIC = "WARC/1.1\r\n"
@@ -205,7 +205,7 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 
 def candidates(spark: SparkSession, path: str) -> DataFrame:
     """Every magic of every archive: its offset and, if a header follows, its successor's offset."""
-    placed = _placed(saved(_lines(spark, path).mapInArrow(_described, LINE_SCHEMA), "lines"))
+    placed = _placed(saved(_lines(spark, path).mapInArrow(lean(_described), LINE_SCHEMA), "lines"))
     return placed.withColumn("after", F.col("offset") + len(MAGIC) + F.col("head") + F.col("length") + len(END))
 
 
@@ -236,7 +236,7 @@ def chain(found: DataFrame) -> DataFrame:
 
 def _joined(spark: SparkSession, path: str, broken: DataFrame) -> DataFrame:
     """Payload size and digest of the records that span several lines."""
-    raw = _lines(spark, path).mapInArrow(_raw, "file string, block long, seq long, size long, line binary")
+    raw = _lines(spark, path).mapInArrow(lean(_raw), "file string, block long, seq long, size long, line binary")
     raw = saved(raw.join(broken.select("file").distinct(), "file", "left_semi"), "raw", batch_rows=1000)
     starts = broken.select("file", "offset", F.col("offset").alias("owner"), F.col("after").alias("until"))
     order = Window.partitionBy("file").orderBy("offset").rowsBetween(Window.unboundedPreceding, 0)
@@ -260,7 +260,7 @@ def _joined(spark: SparkSession, path: str, broken: DataFrame) -> DataFrame:
                     [pa.array([v], k) for v, k in zip(values, kinds)], ["file", "offset", "whole_bytes", "whole_digest"]
                 )
 
-    return pieces.mapInArrow(measured, "file string, offset long, whole_bytes long, whole_digest string")
+    return pieces.mapInArrow(lean(measured), "file string, offset long, whole_bytes long, whole_digest string")
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:

@@ -41,12 +41,32 @@ def test_empty_table_null_and_repeated_ids(spark):
     assert sorted((str(r.doc_id), r.n_tokens) for r in rows) == [("1", 0), ("1", 1), ("None", 1)]
 
 
-def test_the_worker_forgets_words_beyond_its_limit(library, monkeypatch):
-    monkeypatch.setattr(bpe, "KNOWN_WORDS", 5)
+def test_memory_is_bounded_in_bytes_and_ends_with_the_task(spark, library, monkeypatch):
+    monkeypatch.setattr(bpe, "KNOWN_BYTES", 5 * bpe.STRING_BYTES)
+    monkeypatch.setattr(bpe, "FLUSH_STRINGS", 4)
     encoder = bpe.Encoder(bpe.Vocabulary(vocabulary()))
     for text in ("one two three four", "five six seven", "one two eight nine ten eleven twelve"):
         ids = np.concatenate([x for _, x in encoder.encode([text])]).tolist()
         assert ids == library.encode(text, add_special_tokens=False).ids
+        assert encoder.held <= bpe.KNOWN_BYTES
+    # One very long string is forgotten as soon as its text is done.
+    long = "xyzzy" * 200_000
+    assert sum(len(x) for _, x in encoder.encode([long, "one"])) > 200_000
+    assert encoder.held == 0 and not encoder.place
+    # No worker keeps an encoder: what a later task finds there are modules only.
+    bpe.encode_documents(documents(spark, ["one two"] * 50), vocabulary()).collect()
+
+    def left(batches):
+        import gc
+        import sys
+
+        import pyarrow as pa
+
+        for batch in batches:
+            kept = sum(type(x).__name__ == "Encoder" for x in gc.get_objects()) + sum("postlens_bpe" in m for m in sys.modules)
+            yield pa.RecordBatch.from_arrays([pa.array([kept] * batch.num_rows)], ["kept"])
+
+    assert {r.kept for r in spark.range(100).repartition(8).mapInArrow(left, "kept long").collect()} == {0}
 
 
 def test_merges_that_use_a_symbol_before_it_is_made_are_refused():

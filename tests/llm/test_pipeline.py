@@ -52,6 +52,21 @@ def test_stages_keep_the_columns(spark, sf_dir):
     assert sorted(r.doc_id for r in stage("language_id")(spark, frame, sf_dir).collect()) == [0, 2]
 
 
+def test_stages_lose_no_column_whatever_its_name_and_take_long_texts(spark, sf_dir):
+    long = "the and of " * 200_000
+    frame = documents(spark, [long, long + "x", None, "the and of", "the and of"], ids=[3, 4, 5, None, None])
+    names = ["_likeliest_language", "_language_odds", "_copy_number", "_Copy_Number_", "tkey", "text_sha256", "copy"]
+    frame = frame.select("*", *[F.concat(F.lit(f"{n} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(n) for n in names])
+    for name, function in corpus_pipeline.STAGES[:-1]:
+        out = function(spark, frame, sf_dir)
+        assert out.columns == frame.columns, name
+        for r in out.select("doc_id", *names).collect():
+            said = "none" if r.doc_id is None else r.doc_id
+            assert [r[n] for n in names] == [f"{n} of {said}" for n in names], name
+    rows = stage("bpe")(spark, frame, sf_dir).collect()
+    assert sorted((str(r.doc_id), r.n_tokens) for r in rows) == [("3", 600_000), ("4", 600_001), ("5", 0), ("None", 3), ("None", 3)]
+
+
 def test_stages_take_empty_tables(spark, sf_dir):
     for name, function in corpus_pipeline.STAGES:
         assert function(spark, documents(spark, []), sf_dir).collect() == [], name

@@ -1,13 +1,16 @@
 import hashlib
+import math
 import random
 import re
 import string
+import unicodedata
 import zlib
+from collections import Counter
 
 from llm_data import documents, with_clashes, words
 from pyspark.sql import functions as F
 
-from postlens.llm import language_id, secrets
+from postlens.llm import language_id, queries, secrets
 
 PATTERNS = {
     "assign": re.compile(
@@ -100,6 +103,60 @@ def test_scores_of_long_texts_equal_plain_sums(spark, monkeypatch):
     assert abs(language_id._scores(texts, model) - whole).max() < 1e-6
 
 
+def bayes(learned, texts):
+    """Brute force: (language, posterior) of each text, from all learned (text, language)."""
+    def buckets(text):
+        points = [ord(c) for c in f" {text.lower()} "]
+        for n in range(1, 4):
+            for i in range(len(points) - n + 1):
+                code = sum((p + 1) * int(f) for p, f in zip(points[i : i + n], language_id._FACTORS))
+                yield (code * 0xD6E8FEB86659FD93 % 2**64) >> (64 - language_id.BUCKET_BITS)
+
+    counts = {}
+    for text, lang in learned:
+        counts.setdefault(lang, Counter()).update(buckets(text))
+    total = {lang: sum(c.values()) + 0.1 * 2**language_id.BUCKET_BITS for lang, c in counts.items()}
+    prior = Counter(lang for _, lang in learned)
+    for text in texts:
+        if not any(unicodedata.category(c)[0] == "L" for c in text or ""):
+            yield "und", 0.0
+            continue
+        log = {
+            lang: math.log(prior[lang] / len(learned)) + sum(math.log((counts[lang][b] + 0.1) / total[lang]) for b in buckets(text))
+            for lang in counts
+        }
+        best = max(log.values())
+        yield min(lang for lang in log if log[lang] == best), 1 / sum(math.exp(x - best) for x in log.values())
+
+
+def test_registered_language_query_equals_brute_force(spark, sf_dir):
+    rows = [r for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    held = {r.doc_id: zlib.crc32(str(r.doc_id).encode()) % 5 == 0 for r in rows}
+    learned = [(r.text or "", r.lang) for r in rows if not held[r.doc_id] and r.lang is not None]
+    assert len(learned) < 4000  # so that the sample of every language is all of its rows
+    got = {r.doc_id: r for r in queries.op8(spark, sf_dir).collect()}
+    assert len(got) == len(rows)
+    for r, (lang, score) in zip(rows, bayes(learned, [r.text for r in rows])):
+        assert (got[r.doc_id].held_out, got[r.doc_id].lang_pred) == (held[r.doc_id], lang), r.doc_id
+        assert abs(got[r.doc_id].score - score) < 1e-3, r.doc_id
+
+
+def test_letters_are_unicode_letters(spark):
+    model = language_id.train(documents(spark, ["the and of"]), F.lit(True), F.col("doc_id"))
+    texts = ["½ ²", "① 12", "Ⅷ", "_", "ª", "中", "1a"]
+    got = {r.doc_id: r.lang_pred for r in language_id.predict(documents(spark, texts), model).collect()}
+    assert got == {0: "und", 1: "und", 2: "und", 3: "und", 4: "en", 5: "en", 6: "en"}
+
+
+def test_more_languages_than_are_learned(spark, monkeypatch):
+    texts, langs = ["the and of"] * 1300, [f"l{i % 600:03d}" for i in range(1200)] + ["l599"] * 100
+    docs = documents(spark, texts, langs=langs)
+    model = language_id.train(docs, F.lit(True), F.col("doc_id"))
+    assert model.languages == [f"l{i:03d}" for i in range(511)] + ["l599"]
+    assert model.log_prob.shape == (1 << language_id.BUCKET_BITS, 512)
+    assert {r.lang_pred for r in language_id.predict(docs, model).collect()} == {"l599"}
+
+
 def test_language_edges(spark):
     docs = documents(spark, [None, "", "123 !", "the and of"], langs=[None, "en", "en", "en"])
     docs = with_clashes(docs, "lang_pred", "score")

@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and returns rows; they are written as Parquet
 below the shared folder and read again as the next stage's documents. All stages but
 the last return the columns of `documents`.
+
+Nulls, empty and very long texts, ties, repeated rows and empty tables are as each operator
+states for itself: a null text has no letter and goes with the first stage. Columns that
+stages add and drop again are named so that no column of the documents is lost, whatever
+its name.
 """
 
 from __future__ import annotations
@@ -15,7 +20,7 @@ from pyspark.sql import functions as F
 from postlens.catalog.registry import query
 from postlens.catalog.tables import table
 from postlens.llm import bpe, exact_dedup, language_id, mixing, ngram_join
-from postlens.llm.common import saved
+from postlens.llm.common import saved, unused
 from postlens.llm.queries import TARGETS, vocabulary
 
 MIN_SCORE = 0.5
@@ -24,9 +29,10 @@ MIN_SCORE = 0.5
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter and those whose likeliest language is less than even odds."""
     model = language_id.train(docs, ~language_id.held_out(), F.col("doc_id"))
-    scored = language_id.predict(docs, model, pred_col="_likeliest_language", score_col="_language_odds")
-    known = (F.col("_likeliest_language") != language_id.UNDETERMINED) & (F.col("_language_odds") >= MIN_SCORE)
-    return scored.filter(known).select(*docs.columns)
+    language, odds = unused(docs, "_likeliest_language"), unused(docs, "_language_odds")
+    scored = language_id.predict(docs, model, pred_col=language, score_col=odds)
+    known = (F.col(language) != language_id.UNDETERMINED) & (F.col(odds) >= MIN_SCORE)
+    return scored.filter(known).drop(language, odds)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +47,8 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated or left out so that every source has the same share on average."""
-    return mixing.mix(docs, TARGETS, copy_col="_copy_number").drop("_copy_number")
+    number = unused(docs, "_copy_number")
+    return mixing.mix(docs, TARGETS, copy_col=number).drop(number)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,14 +6,15 @@ from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from postlens.catalog.hash_sql import bucket_sql
 from postlens.catalog.registry import query
 from postlens.catalog.stream_queries import message_files, run_job, source
 from postlens.catalog.tables import KW0, KW1, labelled_texts, posts, texts, with_labels, with_posts
 from postlens.functions.stop_words import ENGLISH
-from postlens.operators import classifier, cleaning, evaluation, reports, rules, words
+from postlens.operators import classifier, cleaning, evaluation, reports, rules, word_vectors, words
 from postlens.plans.reports import export_reports
 from postlens.schema import LABEL_NAMES
-from postlens.session import new_path
+from postlens.session import new_path, written
 from postlens.sources import codec, readers
 from postlens.streaming import state_store
 
@@ -73,13 +74,27 @@ def c8(spark, sf_dir):
     return by_label.agg(F.count(F.lit(1)).alias("posts"), F.sum("n").cast("bigint").alias("terms"))
 
 
-@query("c9_idf")
+_HASHED_SQL = f"""kept AS (SELECT DISTINCT post_id, word FROM tokens WHERE word NOT IN {_STOP_SQL}),
+terms AS (SELECT word AS term, count(*) AS doc_freq FROM kept GROUP BY word),
+placed AS (SELECT term, doc_freq, CAST({bucket_sql('term')} AS INTEGER) AS bucket FROM terms)"""
+
+
+@query(
+    "c9_idf",
+    with_posts(
+        """SELECT bucket, count(DISTINCT post_id) AS doc_freq,
+                  round(ln(((SELECT count(*) FROM posts) + 1.0) / (count(DISTINCT post_id) + 1.0)), 9) AS weight
+           FROM placed JOIN kept ON kept.word = placed.term GROUP BY bucket HAVING count(DISTINCT post_id) >= 2""",
+        _TOKENS_SQL,
+        _HASHED_SQL,
+    ),
+)
 def c9(spark, sf_dir):
-    """Document frequency and weight of each bucket in use; below two documents the weight is 0."""
+    """Document frequency and weight of each bucket that two documents or more use; all others weigh 0."""
     df = texts(spark, sf_dir)
     model = classifier.idf().fit(term_frequencies(df))
     # One entry per bucket, whatever the data.
-    rows = [(i, int(n), float(w)) for i, (n, w) in enumerate(zip(model.docFreq, model.idf.toArray())) if n]
+    rows = [(i, int(n), round(float(w), 9)) for i, (n, w) in enumerate(zip(model.docFreq, model.idf.toArray())) if n]
     return spark.createDataFrame(rows, "bucket int, doc_freq bigint, weight double")
 
 
@@ -363,20 +378,21 @@ def a11(spark, sf_dir):
 
 @query("c21_alt_models")
 def c21(spark, sf_dir):
-    """Held-out accuracy of naive Bayes, of 3-gram features and of a random forest on word vectors."""
+    """Held-out accuracy of naive Bayes, of 3-gram features and of a random forest on word vectors from counts."""
     train, test = train_and_test(spark, sf_dir)
     variants = {
         "bayes": [*classifier.feature_stages(), classifier.model_stage("bayes")],
         "three_grams": [*classifier.ngram_stages(n=3), classifier.logistic(max_iter=100, reg=0.01)],
-        "forest": [*classifier.word_vector_stages(), classifier.model_stage("forest")],
     }
+    scored = {kind: classifier.score(test, classifier.fit_classifier(train, stages)) for kind, stages in variants.items()}
+    split = Pipeline(stages=[classifier.tokenizer(), classifier.stop_word_remover()]).fit(train)
+    train, test = (split.transform(cleaning.fill_nulls(df, {"text": ""})).select("post_id", "label", "filtered") for df in (train, test))
+    vectors = word_vectors.fit_word_vectors(train)
+    known = written(word_vectors.mean_vectors(train, vectors, "post_id").select("label", "features"), "text-vectors")
+    forest = classifier.model_stage("forest").fit(known)
+    scored["forest"] = forest.transform(word_vectors.mean_vectors(test, vectors, "post_id"))
     return cleaning.union_sources(
-        [
-            classifier.model_metrics(classifier.score(test, classifier.fit_classifier(train, stages))).select(
-                F.lit(kind).alias("model"), "accuracy"
-            )
-            for kind, stages in variants.items()
-        ]
+        [classifier.model_metrics(rows).select(F.lit(kind).alias("model"), "accuracy") for kind, rows in scored.items()]
     )
 
 

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, NaiveBayes, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
     IDF,
     CountVectorizer,
@@ -21,7 +20,6 @@ from pyspark.ml.feature import (
     Word2Vec,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +28,7 @@ from postlens.functions.numbers import ratio
 from postlens.operators.cleaning import fill_nulls
 from postlens.operators.evaluation import class_metrics, valid_pairs
 from postlens.schema import LABEL_NAMES, LABELS, NEUTRAL
+from postlens.session import written
 
 # Stages come from pyspark.ml, which has no public common type for them.
 Stages = list
@@ -93,12 +92,12 @@ def fit_ngram_features(df: DataFrame, text: str = "text", n: int = 2, vocab: int
     return Pipeline(stages=[*split.stages, known, idf_stage, unit]).fit(df)
 
 
-def word_vector_stages(text: str = "text", size: int = 100, min_count: int = 5, seed: int = 42) -> Stages:
-    """Mean word vector of each text."""
+def word_vector_stages(text: str = "text", size: int = 100, min_count: int = 5, seed: int = 42, partitions: int = 8) -> Stages:
+    """Mean learned word vector of each text; `word_vectors` has vectors from counts, without a model on the driver."""
     return [
         tokenizer(text),
         stop_word_remover(),
-        Word2Vec(inputCol="filtered", outputCol="features", vectorSize=size, minCount=min_count, seed=seed),
+        Word2Vec(inputCol="filtered", outputCol="features", vectorSize=size, minCount=min_count, seed=seed, numPartitions=partitions),
     ]
 
 
@@ -136,6 +135,23 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def term_buckets(terms: DataFrame, buckets: int = 20_000) -> DataFrame:
+    """(term, bucket) of distinct terms: where the hashed features count each of them."""
+    hashed = hashing_tf(words="_words", out="_v", buckets=buckets).transform(terms.select("term", F.array("term").alias("_words")))
+    return hashed.select("term", F.unwrap_udt("_v")["indices"][0].alias("bucket"))
+
+
+def term_dictionary(df: DataFrame, words: str = "filtered", buckets: int = 20_000) -> DataFrame:
+    """(term, doc_freq, bucket, collides): the terms behind each hashed feature, and whether another has the same.
+
+    A bucket's document frequency can be traced to its terms; what hashing mixes up is seen.
+    """
+    counts = df.select(F.explode(F.array_distinct(words)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
+    placed = written(term_buckets(counts, buckets).join(counts, "term"), "terms")
+    shared = placed.groupBy("bucket").agg((F.count(F.lit(1)) > 1).alias("collides"))  # at most `buckets` rows
+    return placed.join(shared, "bucket").select("term", "doc_freq", "bucket", "collides")
+
+
 # --- splits ---------------------------------------------------------------
 
 
@@ -260,24 +276,61 @@ def model_metrics(
     )
 
 
+def fold_of(key: str, folds: int, seed: int = 42) -> Column:
+    """The fold of a row, from 0 on, by a hash of its key: the same on any cluster and in any rerun."""
+    drawn = F.conv(F.substring(key_hash(key, seed), 9, 8), 16, 10).cast("long")
+    return F.pmod(drawn, F.lit(folds)).cast("int")
+
+
+def out_of_fold(
+    df: DataFrame, features: Stages, key: str, reg: Sequence[float] = (0.001, 0.01, 0.1), folds: int = 3,
+    label: str = "label", text: str = "text", max_iter: int = 100, seed: int = 42,
+) -> DataFrame:
+    """(key, label, fold, reg, prediction, confidence): every labelled row once for each strength, by a model that never saw its fold.
+
+    Features are fitted and written once a fold and serve all strengths. The table is
+    written to the shared folder.
+    """
+    labelled = fill_nulls(df.filter(F.col(label).isNotNull()), {text: ""})
+    labelled = written(labelled.select(key, label, text, fold_of(key, folds, seed).alias("fold")), "folds")
+    parts = []
+    for fold in range(folds):
+        seen, unseen = labelled.filter(F.col("fold") != fold), labelled.filter(F.col("fold") == fold)
+        if seen.isEmpty() or unseen.isEmpty():
+            if not unseen.isEmpty():
+                raise ValueError("all labelled rows are in one fold")
+            continue
+        fitted = Pipeline(stages=list(features)).fit(seen)
+        kept = written(fitted.transform(labelled).select(key, label, "fold", "features"), "fold-features")
+        for strength in reg:
+            model = logistic(label, max_iter=max_iter, reg=strength).fit(kept.filter(F.col("fold") != fold))
+            scored = with_confidence(model.transform(kept.filter(F.col("fold") == fold)))
+            row = scored.select(key, label, "fold", F.lit(float(strength)).alias("reg"), F.col("prediction").cast("int").alias("prediction"), "confidence")
+            parts.append(written(row, "out-of-fold"))
+    if not parts:
+        raise ValueError("no labelled rows")
+    table = parts[0]
+    for part in parts[1:]:
+        table = table.unionByName(part)
+    return table
+
+
+def strength_accuracy(scored: DataFrame, label: str = "label") -> DataFrame:
+    """(reg, rows, correct, accuracy) of an out-of-fold table."""
+    right = F.count_if(F.col(label) == F.col("prediction"))
+    by_reg = scored.groupBy("reg").agg(F.count(F.lit(1)).alias("rows"), right.alias("correct"))
+    return by_reg.withColumn("accuracy", F.col("correct") / F.col("rows"))
+
+
 def tune(
-    df: DataFrame, features: Stages, reg: Sequence[float] = (0.001, 0.01, 0.1), folds: int = 3,
+    df: DataFrame, features: Stages, key: str = "post_id", reg: Sequence[float] = (0.001, 0.01, 0.1), folds: int = 3,
     label: str = "label", text: str = "text", max_iter: int = 100, seed: int = 42,
 ) -> tuple[PipelineModel, list[tuple[float, float]]]:
-    """Best model over a grid of regularisation strengths, and (strength, accuracy) of each."""
-    lr = logistic(label, max_iter=max_iter)
-    grid = ParamGridBuilder().addGrid(lr.regParam, list(reg)).build()
-    validator = CrossValidator(
-        estimator=Pipeline(stages=[*features, lr]),
-        estimatorParamMaps=grid,
-        evaluator=MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy"),
-        numFolds=folds,
-        seed=seed,
-        parallelism=2,
-    )
-    labelled = fill_nulls(df.filter(F.col(label).isNotNull()), {text: ""})
-    fitted: CrossValidatorModel = validator.fit(labelled)
-    return fitted.bestModel, [(float(r), float(m)) for r, m in zip(reg, fitted.avgMetrics)]
+    """Model of the strength that is right most often out of fold (ties: the smaller), and (strength, accuracy) of each."""
+    scored = out_of_fold(df, features, key, reg, folds, label, text, max_iter, seed)
+    grid = sorted((r["reg"], r["accuracy"]) for r in strength_accuracy(scored, label).collect())
+    best = max(grid, key=lambda g: (g[1], -g[0]))[0]
+    return fit_classifier(df, [*features, logistic(label, max_iter=max_iter, reg=best)], label, text), grid
 
 
 def retrain(

@@ -1,10 +1,12 @@
 """The entry module loads without a session, a jar or any other file of Spark."""
 
+import re
 import shutil
 import subprocess
 import sys
 from pathlib import Path
 
+import pytest
 from pyspark.ml.feature import StopWordsRemover
 
 from postlens.functions.stop_words import ENGLISH
@@ -42,3 +44,32 @@ def test_entry_loads_without_the_text_preparation_part(tmp_path):
     assert said.returncode == 0, said.stderr
     every, optional = map(int, said.stdout.split()[-2:])
     assert every > 100 and optional == 0
+
+
+def third_party():
+    """The packages that modules of the optional part import at their top, besides those the rest needs too."""
+    found = set()
+    for path in [*(ROOT / "postlens" / "llm").glob("*.py"), ROOT / "corpus_pipeline.py"]:
+        if path.exists():
+            found |= set(re.findall(r"^(?:import|from) (\w+)", path.read_text(), re.M))
+    return sorted(found - set(sys.stdlib_module_names) - {"postlens", "pyspark", "__future__"})
+
+
+@pytest.mark.parametrize("package", third_party())
+def test_entry_loads_without_a_package_of_the_optional_part(package):
+    if package in ("numpy", "pyarrow"):
+        pytest.skip("Spark's own Python functions need it")
+    code = (
+        "import sys, builtins\n"
+        "real = builtins.__import__\n"
+        "def hidden(name, *args, **kwargs):\n"
+        f"    if name.split('.')[0] == {package!r}: raise ModuleNotFoundError(f'No module named {{name!r}}', name=name)\n"
+        "    return real(name, *args, **kwargs)\n"
+        "builtins.__import__ = hidden\n"
+        "import __spark_entry__ as e\n"
+        "print(len(e.queries()), sum(n == 'pipeline' or (n.startswith('op') and n[2].isdigit()) for n in {**e.queries(), **e.oracle_sql()}))\n"
+    )
+    said = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=300)
+    assert said.returncode == 0, said.stderr
+    every, optional = map(int, said.stdout.split()[-2:])
+    assert every > 100 and optional == 0 and package in said.stderr

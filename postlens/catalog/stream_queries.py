@@ -12,7 +12,7 @@ from postlens.operators import latency, rules, state
 from postlens.plans import views
 from postlens.schema import classified_schema, post_schema
 from postlens.session import new_path
-from postlens.sources import codec, readers, writers
+from postlens.sources import codec, offset_topic, readers, writers
 from postlens.streaming import job, state_store
 
 
@@ -172,22 +172,63 @@ def i4(spark, sf_dir):
     return state_store.read_state(spark, state_dir, "overall_stats")
 
 
+TOPIC_PARTITIONS = 4
+
+
+def landed(spark, sf_dir, path, which):
+    """Posts for which `which` holds, appended to a topic in the order of their ids."""
+    posts = posts_as_text(spark, sf_dir).drop("label").filter(which)
+    messages = codec.to_payload(posts, key="post_id").withColumn("post_id", F.col("key").cast("bigint"))
+    offset_topic.land(messages, path, F.col("post_id") % TOPIC_PARTITIONS, "post_id")
+
+
+def decoded_topic(spark, path, offsets, out, checkpoint):
+    """Run a stream over what waits in a topic, appending to `out`."""
+    messages = readers.read_stream(spark, offset_topic.FORMAT, path=path, starting_offsets=offsets)
+    writer = codec.decode_posts(messages).writeStream.format("parquet").option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start(out).awaitTermination()
+    return spark.read.schema(post_schema()).parquet(out)
+
+
 @query(
     "i5_starting_offsets",
     with_posts("SELECT source, count(*) AS count FROM posts GROUP BY source"),
 )
 def i5(spark, sf_dir):
     """Start from the earliest message: everything already there is read."""
-    messages = source(spark, message_files(spark, sf_dir), starting_offsets="earliest", latestFirst="true")
-    out = new_path(spark, "decoded")
-    writer = codec.decode_posts(messages).writeStream.format("parquet")
-    writer.option("checkpointLocation", new_path(spark, "checkpoint")).trigger(availableNow=True).start(
-        out
-    ).awaitTermination()
-    rows = spark.read.schema(post_schema()).parquet(out)
+    path = new_path(spark, "topic")
+    landed(spark, sf_dir, path, F.lit(True))
+    rows = decoded_topic(spark, path, "earliest", new_path(spark, "decoded"), new_path(spark, "checkpoint"))
     return rows.groupBy("source").agg(F.count(F.lit(1)).alias("count"))
 
 
+@query("i5_latest", with_posts("SELECT post_id, source FROM posts WHERE post_id % 3 = 0"))
+def i5_latest(spark, sf_dir):
+    """Start from the latest message: what was there before is passed over, what is landed later is read once."""
+    path, out, checkpoint = (new_path(spark, n) for n in ("topic", "decoded", "checkpoint"))
+    landed(spark, sf_dir, path, "post_id % 3 > 0")
+    decoded_topic(spark, path, "latest", out, checkpoint)
+    landed(spark, sf_dir, path, "post_id % 3 = 0")
+    decoded_topic(spark, path, "latest", out, checkpoint)
+    return decoded_topic(spark, path, "latest", out, checkpoint).select("post_id", "source")
+
+
+@query(
+    "i5_explicit",
+    with_posts(
+        f"""SELECT post_id, source FROM (
+              SELECT post_id, source, post_id % {TOPIC_PARTITIONS} AS p, row_number() OVER (PARTITION BY post_id % {TOPIC_PARTITIONS} ORDER BY post_id) - 1 AS o FROM posts)
+            WHERE p = 0 AND o >= 7 OR p = 1 OR p = 3"""
+    ),
+)
+def i5_explicit(spark, sf_dir):
+    """Offsets by partition: one from its eighth message, one from the earliest, one from the latest, one not named."""
+    path = new_path(spark, "topic")
+    landed(spark, sf_dir, path, F.lit(True))
+    offsets = '{"0": 7, "1": -2, "2": -1}'
+    return decoded_topic(spark, path, offsets, new_path(spark, "decoded"), new_path(spark, "checkpoint")).select("post_id", "source")
+
+
 @query(
     "i6_rate_limit",
     with_posts("SELECT category, keyword, frequency FROM keywords", _CLASSIFIED_SQL, _WORDS_SQL),

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from postlens.functions import text as tx
 from postlens.functions import times
 from postlens.schema import API_RESPONSE_SCHEMA
+from postlens.sources import offset_topic
 
 # A quoted field may hold newlines and doubled quotes.
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
@@ -109,18 +110,28 @@ def read_stream(
     fmt: str,
     schema: T.StructType | str | None = None,
     path: str | None = None,
-    starting_offsets: str = "latest",
+    starting_offsets: str | None = None,
     rate_limit: int | None = None,
     **options: str,
 ) -> DataFrame:
     """Unbounded messages with a `value` column.
 
-    For `kafka` the offsets and the rate limit become `startingOffsets` and
-    `maxOffsetsPerTrigger`; for file formats the limit is files per trigger.
+    For `kafka` the offsets (default: latest) and the rate limit become `startingOffsets`
+    and `maxOffsetsPerTrigger`; for file formats the limit is files per trigger. The format
+    `offset_topic` reads what `offset_topic.land` has landed, from the same kinds of
+    offsets. Formats without offsets, or without a limit, refuse the option.
     """
+    if fmt == offset_topic.FORMAT:
+        offset_topic.register(spark)
+        if rate_limit is not None:
+            raise ValueError(f"{fmt} has no rate limit")
+    elif fmt != "kafka" and starting_offsets is not None:
+        raise ValueError(f"{fmt} has no offsets to start from")
     reader = spark.readStream.format(fmt)
+    if fmt in ("kafka", offset_topic.FORMAT):
+        offsets = starting_offsets or "latest"
+        reader = reader.option("startingOffsets", offsets if fmt == "kafka" else offset_topic.checked_offsets(offsets))
     if fmt == "kafka":
-        reader = reader.option("startingOffsets", starting_offsets)
         if rate_limit is not None:
             reader = reader.option("maxOffsetsPerTrigger", str(rate_limit))
     elif rate_limit is not None:

@@ -172,6 +172,21 @@ def i4(spark, sf_dir):
     return state_store.read_state(spark, state_dir, "overall_stats")
 
 
+@query(
+    "i4_keyed_repeats",
+    with_posts("SELECT category, count(*) AS total_count FROM classified GROUP BY category", _CLASSIFIED_SQL),
+)
+def i4_keyed(spark, sf_dir):
+    """All messages twice, then a batch once more; repeats are found through the filters of the key buckets."""
+    path, state_dir, checkpoint = message_files(spark, sf_dir), new_path(spark, "state"), new_path(spark, "checkpoint")
+    run_job(spark, path, state_dir=state_dir, checkpoint=checkpoint, dedup="keyed")
+    spark.read.text(path).write.mode("append").text(path)
+    run_job(spark, path, state_dir=state_dir, checkpoint=checkpoint, dedup="keyed")
+    again = job.classify_stream(spark.read.text(path), scorer)
+    state_store.write_batch(again, 1, state_dir, dedup="keyed")
+    return state_store.read_state(spark, state_dir, "overall_stats")
+
+
 TOPIC_PARTITIONS = 4
 
 

@@ -16,7 +16,7 @@ from postlens.sources.readers import read_stream
 from postlens.streaming.state_store import write_batch
 
 Scorer = Callable[[DataFrame], DataFrame]
-DEDUP_MODES = ("none", "state", "watermark")
+DEDUP_MODES = ("none", "state", "keyed", "watermark")
 
 
 def classify_stream(
@@ -74,7 +74,8 @@ def start_classify(
     by default all waiting messages are taken and the query ends.
 
     `dedup`: "none" counts every message; "state" leaves out posts an earlier batch
-    stored (reads the stored keys in every batch); "watermark" bounds that memory to
+    stored (reads the stored keys in every batch); "keyed" does the same through filters
+    next to the keys, and opens only key buckets that may hold a repeat; "watermark" bounds that memory to
     a time span after the first arrival. A replayed batch never counts twice in any mode.
     Messages that are no good are stored with the batch they came in; see
     `state_store.read_dead_letters`.
@@ -84,7 +85,7 @@ def start_classify(
     classified = classify_stream(messages, scorer, schema, pred, dedup, late, keep_bad=True)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, batch_id, state_dir, dedup == "state", day)
+        write_batch(batch, batch_id, state_dir, dedup if dedup in ("state", "keyed") else False, day)
 
     return (
         classified.writeStream.foreachBatch(sink)

@@ -19,9 +19,11 @@ from postlens.operators import state as st
 from postlens.operators.ranking import dedup_first
 from postlens.schema import STATE_SCHEMAS, STATE_TABLES
 from postlens.sources.codec import BAD
+from postlens.streaming.key_store import KeyStore
 
 CLASSIFIED = "classified_posts"
 FINISHED = "finished_batches"
+KEYS = "keys"
 # Partition of the stored rows that tells messages that were no good from posts.
 SIDE = "is_bad"
 
@@ -47,14 +49,15 @@ def write_batch(
     batch: DataFrame,
     batch_id: int,
     state_dir: str,
-    dedup: bool = False,
+    dedup: bool | str = False,
     day: str = "timestamp",
 ) -> None:
     """Store the classified rows of a batch, and its messages that were no good, then its three deltas.
 
     The rows are scored once, by the first write; the deltas read that folder back,
     each with just its own columns. `dedup` leaves out posts that an earlier batch
-    has stored. `day` is the column the daily counts go by: event time
+    has stored; with `"keyed"` they are found through the filters of a `KeyStore`, which
+    then has to have been on from the first batch. `day` is the column the daily counts go by: event time
     (`timestamp`) or processing time (`created_at`).
     """
     spark = batch.sparkSession
@@ -67,16 +70,20 @@ def write_batch(
     def stored_at(path: str) -> DataFrame:
         return spark.read.schema(batch.schema).parquet(path)
 
+    keys = KeyStore(spark, f"{state_dir}/{KEYS}", "post_id")
     if dedup:
         # Scored once into a folder of its own, whose size then tells Spark how to join.
         incoming_path = f"{state_dir}/_incoming/{own}"
         batch.write.mode("overwrite").partitionBy(SIDE).parquet(incoming_path)
         incoming = stored_at(incoming_path)
         good = dedup_first(incoming.filter(~F.col(SIDE)), "post_id", ["timestamp", "source", "text"])
-        earlier = _read(spark, _table(state_dir, CLASSIFIED), batch.schema).filter(
-            (F.col("batch_id") < batch_id) & ~F.col(SIDE)
-        )
-        new = st.absent(earlier, good, "post_id").select(*batch.columns)
+        if dedup == "keyed":
+            new = keys.unseen(good, batch_id).select(*batch.columns)
+        else:
+            earlier = _read(spark, _table(state_dir, CLASSIFIED), batch.schema).filter(
+                (F.col("batch_id") < batch_id) & ~F.col(SIDE)
+            )
+            new = st.absent(earlier, good, "post_id").select(*batch.columns)
         batch = new.unionByName(incoming.filter(F.col(SIDE)).select(*batch.columns))
     batch.write.mode("overwrite").partitionBy(SIDE).parquet(rows_path)
     stored = stored_at(rows_path).filter(~F.col(SIDE))
@@ -98,6 +105,8 @@ def write_batch(
     with ThreadPoolExecutor(max_workers=2) as pool:
         for chain in [pool.submit(inheritable_thread_target(spark)(f)) for f in (counts, keywords)]:
             chain.result()
+    if dedup == "keyed":
+        keys.store(stored.select("post_id"), batch_id)
     # The mark comes last: a batch that has it is complete in every table.
     spark.range(1).select(F.current_timestamp().alias("at")).write.mode("overwrite").parquet(f"{_table(state_dir, FINISHED)}/{own}")
 

@@ -91,7 +91,7 @@ def test_restart_goes_on_from_the_checkpoint(spark, tmp_path, run):
     assert totals(spark, tmp_path) == {(0,): 2, (1,): 1}
 
 
-@pytest.mark.parametrize("mode, expected", [("none", 6), ("state", 3), ("watermark", 3)])
+@pytest.mark.parametrize("mode, expected", [("none", 6), ("state", 3), ("keyed", 3), ("watermark", 3)])
 def test_repeated_posts(spark, tmp_path, run, mode, expected):
     put(tmp_path / "in", "part0", [post(1), post(2), post(2)])
     run(dedup=mode)

@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from postlens.llm.common import lean, payload, smaller
 
 SEGMENT = 1 << 20
-FLUSH_STRINGS = 1 << 16
-KNOWN_BYTES = 1 << 25
+FLUSH_STRINGS = 1 << 17
+KNOWN_BYTES = 96 << 20
 # A string as an object and dictionary key with its places, besides its characters.
 STRING_BYTES = 200
 TEXT_BYTES = 1 << 20

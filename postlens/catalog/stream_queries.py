@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from postlens.catalog.registry import query
 from postlens.catalog.state_queries import _CLASSIFIED_SQL, _OVERALL_SQL, _TOP50_SQL, _WORDS_SQL
 from postlens.catalog.tables import KW0, KW1, RULE_SQL, name_sql, posts_as_text, table, with_posts
-from postlens.operators import latency, rules, state
+from postlens.operators import cleaning, latency, rules, state
 from postlens.plans import views
 from postlens.schema import classified_schema, post_schema
 from postlens.session import new_path
@@ -271,6 +271,33 @@ def i7(spark, sf_dir):
     return state.with_percentage(state_store.read_state(spark, state_dir, "overall_stats"))
 
 
+@query(
+    "i3_compacted_state",
+    with_posts(
+        """SELECT 'daily_stats' AS name, count(*) AS rows, CAST(sum(n) AS BIGINT) AS total FROM (
+             SELECT count(*) AS n FROM classified GROUP BY CAST("timestamp" AS DATE), category, source)
+           UNION ALL SELECT 'overall_stats', count(*), CAST(sum(total_count) AS BIGINT) FROM overall
+           UNION ALL SELECT 'top_keywords', count(*), CAST(sum(frequency) AS BIGINT) FROM keywords""",
+        _CLASSIFIED_SQL,
+        _OVERALL_SQL,
+        _WORDS_SQL,
+    ),
+)
+def i3_compacted(spark, sf_dir):
+    """Three compactions, each followed by the removal of folded folders: every table still counts all posts."""
+    state_dir = run_job(spark, message_files(spark, sf_dir), rate_limit=1)
+    for upto in (0, 1, 3):
+        state_store.compact(spark, state_dir, upto)
+        state_store.expire(spark, state_dir, keep=0)
+    values = (("daily_stats", "post_count"), ("overall_stats", "total_count"), ("top_keywords", "frequency"))
+    return cleaning.union_sources(
+        [
+            state_store.read_state(spark, state_dir, name).agg(F.lit(name).alias("name"), F.count(value).alias("rows"), F.sum(value).alias("total"))
+            for name, value in values
+        ]
+    )
+
+
 @query("i6_stream_views", _TOP50_SQL)
 def i6_views(spark, sf_dir):
     """Compacted state serves the same view as the batches it folds."""

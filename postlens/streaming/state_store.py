@@ -2,11 +2,14 @@
 
 Every batch overwrites only its own `batch_id=<n>` folder of every table, so a
 replayed batch replaces what it wrote before and nothing counts twice. Readers add
-the folders up. `compact` folds old batches into one snapshot.
+the folders up. `compact` folds old batches into one snapshot of every table and then
+marks it as live for all tables at once; readers open the live snapshot and later batches,
+and `expire` removes what no reader opens any more.
 """
 
 from __future__ import annotations
 
+import re
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -24,6 +27,7 @@ from postlens.streaming.key_store import KeyStore
 CLASSIFIED = "classified_posts"
 FINISHED = "finished_batches"
 KEYS = "keys"
+LIVE = "live_snapshots"
 # Partition of the stored rows that tells messages that were no good from posts.
 SIDE = "is_bad"
 
@@ -123,21 +127,42 @@ def read_dead_letters(spark: SparkSession, state_dir: str) -> DataFrame:
     return rows.filter(F.col(SIDE)).select(F.col(BAD).alias("value"), "batch_id")
 
 
+def _numbers(spark: SparkSession, path: str) -> list[int]:
+    """Batches that have a folder below a path, from one listing."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return []
+    names = [s.getPath().getName() for s in system.listStatus(folder) if s.isDirectory()]
+    return sorted(int(n.removeprefix("batch_id=")) for n in names if re.fullmatch(r"batch_id=\d+", n))
+
+
+def _snapshot(state_dir: str, name: str, upto: int) -> str:
+    return f"{_table(state_dir, name)}_snapshot/batch_id={upto}"
+
+
+def live_snapshots(spark: SparkSession, state_dir: str) -> list[int]:
+    """Batches up to which there is a complete snapshot of every table; readers take the last."""
+    marks = _read(spark, _table(state_dir, LIVE), "at timestamp")
+    return sorted(r["batch_id"] for r in marks.select("batch_id").distinct().collect())  # a row per compaction
+
+
+def live_folders(spark: SparkSession, state_dir: str, name: str) -> list[str]:
+    """What a reader of a table opens: the live snapshot and the batches after it."""
+    live = live_snapshots(spark, state_dir)
+    later = [n for n in _numbers(spark, _table(state_dir, name)) if not live or n > live[-1]]
+    return [*[_snapshot(state_dir, name, n) for n in live[-1:]], *[f"{_table(state_dir, name)}/batch_id={n}" for n in later]]
+
+
 def read_state(spark: SparkSession, state_dir: str, name: str) -> DataFrame:
-    """Current counters of one aggregate table: the newest snapshot plus later batches."""
+    """Current counters of one aggregate table."""
     keys, value = STATE_TABLES[name]
-    batches = _read(spark, _table(state_dir, name), STATE_SCHEMAS[name])
-    snapshots = _read(spark, f"{_table(state_dir, name)}_snapshot", STATE_SCHEMAS[name])
-    upto = _snapshot_upto(snapshots)
-    if upto is not None:
-        later = batches.filter(F.col("batch_id") > upto)
-        batches = later.unionByName(snapshots.filter(F.col("batch_id") == upto))
-    return batches.groupBy(*keys).agg(F.sum(value).alias(value))
+    return _summed(spark, live_folders(spark, state_dir, name), name).groupBy(*keys).agg(F.sum(value).alias(value))
 
 
-def _snapshot_upto(snapshots: DataFrame) -> int | None:
-    """Newest snapshot. The batch number is a folder name, so no column is read for it."""
-    return snapshots.agg(F.max("batch_id")).first()[0]
+def _summed(spark: SparkSession, folders: list[str], name: str) -> DataFrame:
+    schema = STATE_SCHEMAS[name]
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
 def compact(spark: SparkSession, state_dir: str, upto: int) -> None:
@@ -145,21 +170,41 @@ def compact(spark: SparkSession, state_dir: str, upto: int) -> None:
 
     `upto` must be a batch that is complete in all tables; as batches are written one
     after another, the ones before it are, too. Any other number is refused: readers
-    skip every batch up to it, so one that is written later would be lost. Batch folders
-    stay until their owner removes them; readers skip the folded ones.
+    skip every batch up to it, so one that is written later would be lost. The snapshots
+    become live by one mark, a single small file that is written last: a reader sees those
+    of all tables or none, and what a crash leaves behind is never read and written anew.
+    A batch that is folded already changes nothing. Folders stay until `expire`.
     """
     finished = _read(spark, _table(state_dir, FINISHED), "at timestamp")
     if finished.filter(F.col("batch_id") == upto).isEmpty():
         raise ValueError(f"batch {upto} is not complete")
+    live = live_snapshots(spark, state_dir)
+    if live and upto <= live[-1]:
+        return
     for name, (keys, value) in STATE_TABLES.items():
-        batches = _read(spark, _table(state_dir, name), STATE_SCHEMAS[name])
-        snapshots = _read(spark, f"{_table(state_dir, name)}_snapshot", STATE_SCHEMAS[name])
-        base = _snapshot_upto(snapshots.filter(F.col("batch_id") < upto))
-        todo = batches.filter(F.col("batch_id") <= upto)
-        if base is not None:
-            folded = snapshots.filter(F.col("batch_id") == base)
-            todo = todo.filter(F.col("batch_id") > base).unionByName(folded)
-        whole = todo.groupBy(*keys).agg(F.sum(value).alias(value))
-        whole.write.mode("overwrite").parquet(f"{_table(state_dir, name)}_snapshot/batch_id={upto}")
+        later = [n for n in _numbers(spark, _table(state_dir, name)) if n <= upto and (not live or n > live[-1])]
+        folders = [*[_snapshot(state_dir, name, n) for n in live[-1:]], *[f"{_table(state_dir, name)}/batch_id={n}" for n in later]]
+        whole = _summed(spark, folders, name).groupBy(*keys).agg(F.sum(value).alias(value))
+        whole.write.mode("overwrite").parquet(_snapshot(state_dir, name, upto))
+    mark = spark.range(1).select(F.current_timestamp().alias("at")).coalesce(1)
+    mark.write.mode("overwrite").parquet(f"{_table(state_dir, LIVE)}/batch_id={upto}")
 
 
+def expire(spark: SparkSession, state_dir: str, keep: int = 1) -> list[str]:
+    """Remove the batch folders and snapshots that newer snapshots stand for; returns what was removed.
+
+    What readers opened before each of the last `keep` compactions stays, so a reader that
+    has begun can end. Only the aggregate tables lose folders; the stored posts stay.
+    """
+    live = live_snapshots(spark, state_dir)
+    if len(live) <= keep:
+        return []
+    oldest = live[-1 - keep]
+    gone = [f"{_table(state_dir, LIVE)}/batch_id={n}" for n in live if n < oldest]
+    for name in STATE_TABLES:
+        gone += [f"{_table(state_dir, name)}/batch_id={n}" for n in _numbers(spark, _table(state_dir, name)) if n <= oldest]
+        gone += [_snapshot(state_dir, name, n) for n in _numbers(spark, f"{_table(state_dir, name)}_snapshot") if n < oldest]
+    for path in gone:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return gone

@@ -130,6 +130,59 @@ def test_compaction_keeps_totals_and_takes_later_batches(spark, tmp_path, run):
     assert totals(spark, tmp_path) == {(0,): 5}
 
 
+def test_readers_open_the_live_snapshot_and_later_batches_only(spark, tmp_path, run):
+    for i in range(6):
+        put(tmp_path / "in", f"part{i}", [post(i)])
+    run(rate_limit=1)
+    folder, before = str(tmp_path / "state"), totals(spark, tmp_path, "top_keywords")
+    names = lambda: [f.rpartition("/state/")[2] for f in state_store.live_folders(spark, folder, "top_keywords")]
+    assert names() == [f"top_keywords/batch_id={i}" for i in range(6)] and state_store.expire(spark, folder) == []
+    state_store.compact(spark, folder, 1)
+    state_store.compact(spark, folder, 3)
+    assert names() == ["top_keywords_snapshot/batch_id=3", "top_keywords/batch_id=4", "top_keywords/batch_id=5"]
+    during = state_store.read_state(spark, folder, "top_keywords")
+    state_store.compact(spark, folder, 4)
+    gone = state_store.expire(spark, folder, keep=1)
+    assert f"{folder}/top_keywords/batch_id=3" in gone and f"{folder}/top_keywords_snapshot/batch_id=1" in gone
+    assert not any("classified" in g or "batch_id=4" in g or "batch_id=5" in g for g in gone)
+    # A reader that began before the last compaction ends; all see the same counters.
+    assert {tuple(r)[:2]: r[2] for r in during.collect()} == before == totals(spark, tmp_path, "top_keywords")
+    state_store.compact(spark, folder, 4)
+    assert names() == ["top_keywords_snapshot/batch_id=4", "top_keywords/batch_id=5"]
+    put(tmp_path / "in", "part9", [post(9)])
+    run()
+    assert totals(spark, tmp_path) == {(0,): 7}
+
+
+def test_a_crash_within_a_compaction_loses_nothing(spark, tmp_path, run, monkeypatch):
+    for i in range(4):
+        put(tmp_path / "in", f"part{i}", [post(i)])
+    run(rate_limit=1)
+    folder, tables = str(tmp_path / "state"), ("daily_stats", "overall_stats", "top_keywords")
+    before = [totals(spark, tmp_path, t) for t in tables]
+    state_store.compact(spark, folder, 0)
+    real = state_store._summed
+    for crash_at in range(3):
+        calls = []
+
+        def failing(spark_, folders, name):
+            calls.append(name)
+            if len(calls) > crash_at:
+                raise RuntimeError("lost")
+            return real(spark_, folders, name)
+
+        with monkeypatch.context() as patch, pytest.raises(RuntimeError):
+            patch.setattr(state_store, "_summed", failing)
+            state_store.compact(spark, folder, 2)
+        # Part of a snapshot that was being written is no part of the state.
+        (tmp_path / "state" / "daily_stats_snapshot" / "batch_id=2").mkdir(parents=True, exist_ok=True)
+        assert [totals(spark, tmp_path, t) for t in tables] == before
+        assert state_store.expire(spark, folder) == []
+    state_store.compact(spark, folder, 2)
+    state_store.expire(spark, folder, keep=0)
+    assert [totals(spark, tmp_path, t) for t in tables] == before
+
+
 def test_compaction_refuses_batches_that_are_not_there(spark, tmp_path, run):
     put(tmp_path / "in", "part0", [post(1)])
     run()

@@ -166,15 +166,15 @@ def f2(spark, sf_dir):
     return views.top_keywords_view(keyword_state(spark, sf_dir))
 
 
-@query(
-    "h3_vw_top_keywords",
-    with_posts(
-        f"""SELECT {name_sql('category')} AS category, keyword, frequency
-            FROM (SELECT * FROM keywords ORDER BY category, frequency DESC, keyword LIMIT 500)""",
-        _CLASSIFIED_SQL,
-        _WORDS_SQL,
-    ),
+_TOP500_SQL = with_posts(
+    f"""SELECT {name_sql('category')} AS category, keyword, frequency
+        FROM (SELECT * FROM keywords ORDER BY category, frequency DESC, keyword LIMIT 500)""",
+    _CLASSIFIED_SQL,
+    _WORDS_SQL,
 )
+
+
+@query("h3_vw_top_keywords", _TOP500_SQL)
 def h3(spark, sf_dir):
     return views.top_keywords_view(keyword_state(spark, sf_dir), 500)
 

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postlens.catalog.registry import query
-from postlens.catalog.state_queries import _CLASSIFIED_SQL, _OVERALL_SQL, _TOP50_SQL, _WORDS_SQL
+from postlens.catalog.state_queries import _CLASSIFIED_SQL, _OVERALL_SQL, _TOP50_SQL, _TOP500_SQL, _WORDS_SQL
 from postlens.catalog.tables import KW0, KW1, RULE_SQL, name_sql, posts_as_text, table, with_posts
-from postlens.operators import cleaning, latency, rules, state
+from postlens.catalog.evaluation_queries import _LATENCY_SQL, consumed_events
+from postlens.operators import cleaning, latency, rank_summary, rules, state
 from postlens.plans import views
 from postlens.schema import classified_schema, post_schema
 from postlens.session import new_path
@@ -306,6 +307,50 @@ def i6_views(spark, sf_dir):
     return views.top_keywords_view(state_store.read_state(spark, state_dir, "top_keywords"))
 
 
+@query("h3_bounded_top", _TOP500_SQL)
+def h3_bounded(spark, sf_dir):
+    """The view of all keywords, from summaries of 600 words a class that the job keeps instead of them."""
+    state_dir = run_job(spark, message_files(spark, sf_dir), rate_limit=3, keyword_size=600)
+    return views.top_keywords_view(state_store.read_top_keywords(spark, state_dir, 500, 600), 500)
+
+
+STREAM_QUANTILES = (0.5, 0.95, 0.99)
+
+
+@query(
+    "i8_stream_quantiles",
+    f"""WITH {_LATENCY_SQL}, ordered AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS i, count(*) OVER () AS n FROM gaps)
+        SELECT q AS quantile, max(n) AS rows, round(max(v) FILTER (i = least(floor(n * q), n - 1)), 2) AS exact, true AS within
+        FROM ordered, (VALUES {', '.join(f'({q}::DOUBLE)' for q in STREAM_QUANTILES)}) t(q) GROUP BY q""",
+)
+def i8_stream(spark, sf_dir):
+    """Latency quantiles of a stream's batches: the exact value, and whether the merged summaries' value is as near in rank as they say, and within 1 % of the rows."""
+    arriving, state_dir = new_path(spark, "consumed"), new_path(spark, "state")
+    events = consumed_events(spark, sf_dir)
+    events.repartition(4, "event_id").write.parquet(arriving)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(arriving)
+
+    def sink(batch, batch_id):
+        state_store.write_latency(batch, batch_id, state_dir, "ts", "consumed")
+
+    writer = stream.writeStream.foreachBatch(sink).option("checkpointLocation", new_path(spark, "checkpoint"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    summaries = state_store.read_summary(spark, state_dir, state_store.LATENCY_SUMMARY)
+    found = rank_summary.quantiles(summaries, STREAM_QUANTILES).collect()  # a row per quantile
+    gaps = latency.with_latency(events, "ts", "consumed", "v").filter("v IS NOT NULL")
+    names = {r["quantile"]: f"q{i}" for i, r in enumerate(found)}
+    counts = [c for r in found for c in (F.count_if(F.col("v") < r["value"]).alias(f"below_{names[r['quantile']]}"), F.count_if(F.col("v") <= r["value"]).alias(f"upto_{names[r['quantile']]}"))]
+    exact = latency.quantile_columns(gaps, "v", {names[q]: (q, "nearest") for q in names}, counts)
+
+    def judged(r):
+        name = names[r["quantile"]]
+        near = (F.col(f"below_{name}") < r["rank"] + r["error"]) & (F.col(f"upto_{name}") >= r["rank"])
+        within = near & F.lit(r["error"] <= r["rows"] // 100)
+        return F.struct(F.lit(r["quantile"]).alias("quantile"), F.lit(r["rows"]).cast("bigint").alias("rows"), F.round(name, 2).alias("exact"), within.alias("within"))
+
+    return exact.select(F.explode(F.array(*[judged(r) for r in found])).alias("r")).select("r.*")
+
+
 @query(
     "i9_bad_record_split",
     """SELECT 'good' AS side, count(*) AS rows FROM documents

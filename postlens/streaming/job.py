@@ -69,6 +69,8 @@ def start_classify(
     dedup: str = "none",
     late: str = "1 day",
     day: str = "timestamp",
+    keyword_size: int | None = None,
+    latency_steps: int | None = None,
 ) -> StreamingQuery:
     """Start the job. `trigger` is passed on, e.g. `{"processingTime": "10 seconds"}`;
     by default all waiting messages are taken and the query ends.
@@ -78,14 +80,15 @@ def start_classify(
     next to the keys, and opens only key buckets that may hold a repeat; "watermark" bounds that memory to
     a time span after the first arrival. A replayed batch never counts twice in any mode.
     Messages that are no good are stored with the batch they came in; see
-    `state_store.read_dead_letters`.
+    `state_store.read_dead_letters`. `keyword_size` and `latency_steps` keep summaries of
+    bounded size; see `state_store.write_batch`.
     """
     if dedup not in DEDUP_MODES:
         raise ValueError(f"dedup is one of {DEDUP_MODES}, not {dedup!r}")
     classified = classify_stream(messages, scorer, schema, pred, dedup, late, keep_bad=True)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, batch_id, state_dir, dedup if dedup in ("state", "keyed") else False, day)
+        write_batch(batch, batch_id, state_dir, dedup if dedup in ("state", "keyed") else False, day, keyword_size, latency_steps)
 
     return (
         classified.writeStream.foreachBatch(sink)

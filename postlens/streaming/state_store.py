@@ -10,6 +10,7 @@ and `expire` removes what no reader opens any more.
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -18,8 +19,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postlens.operators import heavy_hitters, rank_summary
 from postlens.operators import state as st
+from postlens.operators.latency import with_latency
 from postlens.operators.ranking import dedup_first
+from postlens.operators.words import explode_words, filter_words
 from postlens.schema import STATE_SCHEMAS, STATE_TABLES
 from postlens.sources.codec import BAD
 from postlens.streaming.key_store import KeyStore
@@ -28,6 +32,11 @@ CLASSIFIED = "classified_posts"
 FINISHED = "finished_batches"
 KEYS = "keys"
 LIVE = "live_snapshots"
+# Tables of bounded summaries, kept by jobs that ask for them.
+KEYWORD_SUMMARY = "keyword_summary"
+LATENCY_SUMMARY = "latency_summary"
+SUMMARY_SCHEMAS = {KEYWORD_SUMMARY: heavy_hitters.SUMMARY_SCHEMA, LATENCY_SUMMARY: rank_summary.SUMMARY_SCHEMA}
+SUMMARY_SIZES = {KEYWORD_SUMMARY: 10_000, LATENCY_SUMMARY: rank_summary.STEPS}
 # Partition of the stored rows that tells messages that were no good from posts.
 SIDE = "is_bad"
 
@@ -55,6 +64,8 @@ def write_batch(
     state_dir: str,
     dedup: bool | str = False,
     day: str = "timestamp",
+    keyword_size: int | None = None,
+    latency_steps: int | None = None,
 ) -> None:
     """Store the classified rows of a batch, and its messages that were no good, then its three deltas.
 
@@ -62,7 +73,9 @@ def write_batch(
     each with just its own columns. `dedup` leaves out posts that an earlier batch
     has stored; with `"keyed"` they are found through the filters of a `KeyStore`, which
     then has to have been on from the first batch. `day` is the column the daily counts go by: event time
-    (`timestamp`) or processing time (`created_at`).
+    (`timestamp`) or processing time (`created_at`). With `keyword_size` a summary of that many
+    words a class is kept instead of the count of every word; with `latency_steps`, a
+    summary of the time from a post's own to its classification.
     """
     spark = batch.sparkSession
     own = f"batch_id={batch_id}"
@@ -103,11 +116,18 @@ def write_batch(
         write(st.overall_delta(daily), "overall_stats")
 
     def keywords() -> None:
-        write(st.keyword_delta(stored), "top_keywords")
+        if keyword_size is None:
+            write(st.keyword_delta(stored), "top_keywords")
+        else:
+            write(heavy_hitters.summarize(st.keyword_delta(stored), keyword_size), KEYWORD_SUMMARY)
+
+    def latencies() -> None:
+        if latency_steps is not None:
+            write_latency(stored, batch_id, state_dir, "timestamp", "created_at", latency_steps)
 
-    # Two independent chains of jobs; the threads only submit them to Spark.
+    # Independent chains of jobs; the threads only submit them to Spark.
     with ThreadPoolExecutor(max_workers=2) as pool:
-        for chain in [pool.submit(inheritable_thread_target(spark)(f)) for f in (counts, keywords)]:
+        for chain in [pool.submit(inheritable_thread_target(spark)(f)) for f in (counts, keywords, latencies)]:
             chain.result()
     if dedup == "keyed":
         keys.store(stored.select("post_id"), batch_id)
@@ -115,6 +135,29 @@ def write_batch(
     spark.range(1).select(F.current_timestamp().alias("at")).write.mode("overwrite").parquet(f"{_table(state_dir, FINISHED)}/{own}")
 
 
+def write_latency(
+    batch: DataFrame, batch_id: int, state_dir: str, start: str, end: str, steps: int = SUMMARY_SIZES[LATENCY_SUMMARY]
+) -> None:
+    """The summary of a batch's milliseconds from `start` to `end`; a replayed batch replaces its own."""
+    summary = rank_summary.summarize(with_latency(batch, start, end), "latency_ms", steps)
+    summary.write.mode("overwrite").parquet(f"{_table(state_dir, LATENCY_SUMMARY)}/batch_id={batch_id}")
+
+
+def read_summary(spark: SparkSession, state_dir: str, name: str) -> DataFrame:
+    """The rows of all live summaries of a table, to be merged by the functions of its module."""
+    return _summed(spark, live_folders(spark, state_dir, name), name)
+
+
+def read_top_keywords(
+    spark: SparkSession, state_dir: str, n: int, size: int = SUMMARY_SIZES[KEYWORD_SUMMARY]
+) -> DataFrame:
+    """The first `n` keywords of every class, exact; stored posts are read only where the summaries leave a word open."""
+    merged = heavy_hitters.merge(read_summary(spark, state_dir, KEYWORD_SUMMARY), size)
+    posts = read_classified(spark, state_dir, T.StructType.fromDDL("category int, text string"))
+    occurrences = filter_words(explode_words(posts, ["category"])).select("category", F.col("word").alias("keyword"), F.lit(1).alias("frequency"))
+    return heavy_hitters.exact_top(merged, occurrences, n)
+
+
 def read_classified(spark: SparkSession, state_dir: str, schema: T.StructType) -> DataFrame:
     """Stored posts of all batches with their `batch_id`."""
     sided = T.StructType([*schema.fields, T.StructField(SIDE, T.BooleanType())])
@@ -141,6 +184,14 @@ def _snapshot(state_dir: str, name: str, upto: int) -> str:
     return f"{_table(state_dir, name)}_snapshot/batch_id={upto}"
 
 
+def _snapshots(spark: SparkSession, state_dir: str, name: str, live: list[int]) -> list[str]:
+    """Folders of live snapshots; a table of summaries has none from before it was kept."""
+    if name in SUMMARY_SCHEMAS:
+        there = set(_numbers(spark, f"{_table(state_dir, name)}_snapshot"))
+        live = [n for n in live if n in there]
+    return [_snapshot(state_dir, name, n) for n in live]
+
+
 def live_snapshots(spark: SparkSession, state_dir: str) -> list[int]:
     """Batches up to which there is a complete snapshot of every table; readers take the last."""
     marks = _read(spark, _table(state_dir, LIVE), "at timestamp")
@@ -151,7 +202,7 @@ def live_folders(spark: SparkSession, state_dir: str, name: str) -> list[str]:
     """What a reader of a table opens: the live snapshot and the batches after it."""
     live = live_snapshots(spark, state_dir)
     later = [n for n in _numbers(spark, _table(state_dir, name)) if not live or n > live[-1]]
-    return [*[_snapshot(state_dir, name, n) for n in live[-1:]], *[f"{_table(state_dir, name)}/batch_id={n}" for n in later]]
+    return [*_snapshots(spark, state_dir, name, live[-1:]), *[f"{_table(state_dir, name)}/batch_id={n}" for n in later]]
 
 
 def read_state(spark: SparkSession, state_dir: str, name: str) -> DataFrame:
@@ -161,11 +212,21 @@ def read_state(spark: SparkSession, state_dir: str, name: str) -> DataFrame:
 
 
 def _summed(spark: SparkSession, folders: list[str], name: str) -> DataFrame:
-    schema = STATE_SCHEMAS[name]
+    schema = STATE_SCHEMAS.get(name) or SUMMARY_SCHEMAS[name]
     return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
-def compact(spark: SparkSession, state_dir: str, upto: int) -> None:
+def _folded(rows: DataFrame, name: str, sizes: Mapping[str, int]) -> DataFrame:
+    """The rows of one snapshot from those of several batches."""
+    if name == KEYWORD_SUMMARY:
+        return heavy_hitters.merge(rows, sizes[name])
+    if name == LATENCY_SUMMARY:
+        return rank_summary.fold(rows, sizes[name])
+    keys, value = STATE_TABLES[name]
+    return rows.groupBy(*keys).agg(F.sum(value).alias(value))
+
+
+def compact(spark: SparkSession, state_dir: str, upto: int, sizes: Mapping[str, int] = SUMMARY_SIZES) -> None:
     """Fold all batches up to and including `upto` into a snapshot of each table.
 
     `upto` must be a batch that is complete in all tables; as batches are written one
@@ -173,7 +234,8 @@ def compact(spark: SparkSession, state_dir: str, upto: int) -> None:
     skip every batch up to it, so one that is written later would be lost. The snapshots
     become live by one mark, a single small file that is written last: a reader sees those
     of all tables or none, and what a crash leaves behind is never read and written anew.
-    A batch that is folded already changes nothing. Folders stay until `expire`.
+    A batch that is folded already changes nothing. Folders stay until `expire`. Summaries
+    are folded to `sizes`; their bounds stay true, and a rank's grows by one step a compaction.
     """
     finished = _read(spark, _table(state_dir, FINISHED), "at timestamp")
     if finished.filter(F.col("batch_id") == upto).isEmpty():
@@ -181,11 +243,10 @@ def compact(spark: SparkSession, state_dir: str, upto: int) -> None:
     live = live_snapshots(spark, state_dir)
     if live and upto <= live[-1]:
         return
-    for name, (keys, value) in STATE_TABLES.items():
+    for name in (*STATE_TABLES, *SUMMARY_SCHEMAS):
         later = [n for n in _numbers(spark, _table(state_dir, name)) if n <= upto and (not live or n > live[-1])]
-        folders = [*[_snapshot(state_dir, name, n) for n in live[-1:]], *[f"{_table(state_dir, name)}/batch_id={n}" for n in later]]
-        whole = _summed(spark, folders, name).groupBy(*keys).agg(F.sum(value).alias(value))
-        whole.write.mode("overwrite").parquet(_snapshot(state_dir, name, upto))
+        folders = [*_snapshots(spark, state_dir, name, live[-1:]), *[f"{_table(state_dir, name)}/batch_id={n}" for n in later]]
+        _folded(_summed(spark, folders, name), name, sizes).write.mode("overwrite").parquet(_snapshot(state_dir, name, upto))
     mark = spark.range(1).select(F.current_timestamp().alias("at")).coalesce(1)
     mark.write.mode("overwrite").parquet(f"{_table(state_dir, LIVE)}/batch_id={upto}")
 
@@ -201,7 +262,7 @@ def expire(spark: SparkSession, state_dir: str, keep: int = 1) -> list[str]:
         return []
     oldest = live[-1 - keep]
     gone = [f"{_table(state_dir, LIVE)}/batch_id={n}" for n in live if n < oldest]
-    for name in STATE_TABLES:
+    for name in (*STATE_TABLES, *SUMMARY_SCHEMAS):
         gone += [f"{_table(state_dir, name)}/batch_id={n}" for n in _numbers(spark, _table(state_dir, name)) if n <= oldest]
         gone += [_snapshot(state_dir, name, n) for n in _numbers(spark, f"{_table(state_dir, name)}_snapshot") if n < oldest]
     for path in gone:

@@ -1,13 +1,15 @@
 """Stream results against batch results, with replay, restart, repeats and bad messages."""
 
 import json
+import random
+from collections import Counter
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlens.operators import rules, state
+from postlens.operators import rank_summary, rules, state
 from postlens.schema import STATE_TABLES, classified_schema, post_schema
 from postlens.sources import codec, readers, writers
 from postlens.streaming import job, state_store
@@ -298,3 +300,30 @@ def test_job_with_a_trained_model(spark, tmp_path, run):
     ).awaitTermination()
     got = totals(spark, tmp_path)
     assert sum(got.values()) == 3 and got[0,] >= 1 and got[1,] >= 1
+
+
+def test_bounded_keywords_and_latency_over_compactions(spark, tmp_path, run):
+    rng = random.Random(2)
+    names = ["alpha", "bravo", "delta", "hotel", "india", "oscar", "tango", "victor"]
+    word = lambda: names[min(int(rng.expovariate(0.5)), 7)]
+    texts = [" ".join([rng.choice(["leak", "fast", "plain"]), *(word() for _ in range(6))]) for _ in range(60)]
+    for i in range(4):
+        put(tmp_path / "in", f"part{i}", [post(k, text=texts[k]) for k in range(i * 15, i * 15 + 15)])
+    sizes = {state_store.KEYWORD_SUMMARY: 6, state_store.LATENCY_SUMMARY: 10}
+    run(rate_limit=1, keyword_size=6, latency_steps=10)
+    folder = str(tmp_path / "state")
+    category = {"leak": 0, "fast": 1, "plain": 2}
+    counts = Counter((category[t.split()[0]], w) for t in texts for w in t.split())
+    expected = {
+        (c, w, n) for c in range(3)
+        for w, n in sorted(((w, n) for (d, w), n in counts.items() if d == c), key=lambda x: (-x[1], x[0]))[:3]
+    }
+    assert totals(spark, tmp_path, "top_keywords") == {}
+    for upto in (None, 1, 2):
+        if upto is not None:
+            state_store.compact(spark, folder, upto, sizes)
+            state_store.expire(spark, folder, keep=0)
+        assert {tuple(r) for r in state_store.read_top_keywords(spark, folder, 3, 6).collect()} == expected
+        latencies = state_store.read_summary(spark, folder, state_store.LATENCY_SUMMARY)
+        [r] = rank_summary.quantiles(latencies, [0.5]).collect()
+        assert (r.rows, r["rank"]) == (60, 31) and r.error <= 60 / 10 * 3

@@ -8,7 +8,10 @@ and dealt out by another hash, and ordered by it, which shuffles the whole mix.
 
 All of it is column expressions. Rates are one entry per target (a Python dict), so
 nothing is joined and a hot source is not gathered anywhere; the shuffle key differs
-for every copy.
+for every copy. A rate over `MOST` is split into equal parts of at most `MOST`, each with
+a draw of its own: sums of Poisson numbers are Poisson numbers of the summed rate. So a table
+of steps is short at any rate, and all tables together are one text in the plan. The copies
+of a row are generated one by one, as they are dealt out.
 
 Edge cases: a source without a target, also null, keeps the rate 1, exactly one copy
 of each row. Targets without rows are left out of the shares. A null key is replaced by
@@ -18,6 +21,7 @@ an empty output. A column named like the copy number is replaced.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Mapping
 
@@ -26,6 +30,7 @@ from pyspark.sql import functions as F
 
 MAX_TARGETS = 10_000
 HASH_DIGITS = 13  # 52 bits of the md5 digest, exact in a double
+MOST = 32.0  # largest mean of one draw
 
 
 def poisson_cdf(rate: float) -> list[float]:
@@ -52,9 +57,15 @@ def rates(docs: DataFrame, targets: Mapping[str, float], source_col: str = "sour
     return {s: targets[s] / whole * sum(rows.values()) / n for s, n in sorted(rows.items())}
 
 
-def uniform(key: Column, seed: int) -> Column:
-    """A number in [0, 1) fixed by key and seed."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), key).cast("binary"))
+def draws_of(rate: float) -> int:
+    """How many equal draws make up a rate."""
+    return max(1, math.ceil(rate / MOST))
+
+
+def uniform(key: Column, seed: int, draw: Column) -> Column:
+    """A number in [0, 1) fixed by key, seed and the number of the draw."""
+    later = F.when(draw > 0, F.concat(F.lit("/"), draw.cast("string"))).otherwise("")
+    digest = F.md5(F.concat(F.lit(str(seed)), later, F.lit(":"), key).cast("binary"))
     return F.conv(F.substring(digest, 1, HASH_DIGITS), 16, 10).cast("double") / F.lit(float(16**HASH_DIGITS))
 
 
@@ -73,12 +84,12 @@ def mix(
     rate = rates(docs, targets, source_col)
     copies = F.lit(1)
     if rate:
-        steps = F.create_map(
-            *[x for s, r in rate.items() for x in (F.lit(s), F.array(*[F.lit(c) for c in poisson_cdf(r)]))]
-        )
-        mine = F.try_element_at(steps, F.col(f"`{source_col}`"))
-        drawn = uniform(key, seed)
-        copies = F.when(mine.isNull(), 1).otherwise(F.size(F.filter(mine, lambda c: c <= drawn)))
+        tables = {x: {"draws": draws_of(r), "steps": poisson_cdf(r / draws_of(r))} for x, r in rate.items()}
+        known = F.from_json(F.lit(json.dumps(tables)), "map<string, struct<draws: int, steps: array<double>>>")
+        mine = F.try_element_at(known, F.col(f"`{source_col}`"))
+        numbers = F.transform(F.sequence(F.lit(0), mine["draws"] - 1), lambda j: uniform(key, seed, j))
+        total = F.aggregate(numbers, F.lit(0), lambda n, u: n + F.size(F.filter(mine["steps"], lambda c: c <= u)))
+        copies = F.when(mine.isNull(), 1).otherwise(total)
     own = [F.col(f"`{c}`") for c in docs.columns]
     drawn_rows = docs.select(F.struct(*own).alias("doc"), copies.alias("copies"), key.alias("key")).filter("copies > 0")
     exploded = drawn_rows.select("doc", "key", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
@@ -93,15 +104,13 @@ def mix_sql(targets: Mapping[str, float], seed: int = 17) -> str:
     return f"""WITH target(source, w) AS (VALUES {listed}),
 rows AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 rate AS (SELECT source, w / sum(w) OVER () * sum(n) OVER () / n AS r FROM rows JOIN target USING (source)),
-pmf AS (SELECT source, k, exp(k * ln(r) - r - lgamma(k + 1)) AS p FROM rate, range(0, 400) t(k)),
-cdf AS (SELECT source, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM pmf),
-steps AS (SELECT source, list(c) AS cs FROM cdf GROUP BY source),
-drawn AS (
-  SELECT doc_id, source,
-         CAST('0x' || substr(md5('{seed}:' || CAST(doc_id AS VARCHAR)), 1, {HASH_DIGITS}) AS BIGINT) / {16**HASH_DIGITS}.0 AS u
-  FROM documents),
+parts AS (SELECT source, r / m AS r, m FROM (SELECT source, r, greatest(1, ceil(r / {MOST!r}::DOUBLE)) AS m FROM rate)),
+pmf AS (SELECT source, m, k, exp(k * ln(r) - r - lgamma(k + 1)) AS p FROM parts, range(0, 400) t(k)),
+cdf AS (SELECT source, m, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM pmf),
+steps AS (SELECT source, m, list(c) AS cs FROM cdf GROUP BY source, m),
 copies AS (
-  SELECT doc_id, d.source, CASE WHEN cs IS NULL THEN 1 ELSE len(list_filter(cs, lambda c: c <= u)) END AS n
-  FROM drawn d LEFT JOIN steps s ON s.source = d.source)
+  SELECT doc_id, d.source, CASE WHEN cs IS NULL THEN 1 ELSE list_sum(list_transform(range(0, CAST(m AS BIGINT)), lambda j:
+    len(list_filter(cs, lambda c: c <= CAST('0x' || substr(md5('{seed}' || CASE WHEN j > 0 THEN '/' || j ELSE '' END || ':' || CAST(doc_id AS VARCHAR)), 1, {HASH_DIGITS}) AS BIGINT) / {16**HASH_DIGITS}.0)))) END AS n
+  FROM documents d LEFT JOIN steps s ON s.source = d.source)
 SELECT d.*, CAST(copy AS INTEGER) AS copy
-FROM copies c JOIN documents d ON d.doc_id = c.doc_id, range(1, c.n + 1) t(copy)"""
+FROM copies c JOIN documents d ON d.doc_id = c.doc_id, range(1, CAST(c.n AS BIGINT) + 1) t(copy)"""

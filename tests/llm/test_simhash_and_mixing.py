@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 
@@ -109,8 +110,10 @@ def expected_copies(rows, targets, seed=17):
         n = 1
         if source in counts:
             rate = targets[source] / whole * sum(counts.values()) / counts[source]
-            u = int(hashlib.md5(f"{seed}:{i}".encode()).hexdigest()[:13], 16) / 16**13
-            n = sum(c <= u for c in mixing.poisson_cdf(rate))
+            parts, n = max(1, math.ceil(rate / 32)), 0
+            for j in range(parts):
+                u = int(hashlib.md5(f"{seed}{f'/{j}' if j else ''}:{i}".encode()).hexdigest()[:13], 16) / 16**13
+                n += sum(c <= u for c in mixing.poisson_cdf(rate / parts))
         out += [(i, k + 1) for k in range(n)]
     return sorted(out)
 
@@ -137,6 +140,23 @@ def test_mix_edges(spark):
     assert [r.copy for r in mixing.mix(clash, TARGETS).collect()] == [1]
 
 
+def test_one_row_against_many_has_a_short_plan_and_the_copies_of_the_sql(spark, duck):
+    rows = 20_000
+    docs = spark.range(rows).selectExpr("id AS doc_id", "'t' AS text", "if(id = 7, 'a', 'b') AS source")
+    mixed = mixing.mix(docs, {"a": 1.0, "b": 1.0})
+    plan_size = lambda df: len(df._jdf.queryExecution().optimizedPlan().toString())
+    assert plan_size(mixed) < 1.2 * plan_size(mixing.mix(docs.limit(100), {"a": 1.0, "b": 1.0}))
+    expected = expected_copies([(i, "a" if i == 7 else "b") for i in range(rows)], {"a": 1.0, "b": 1.0})
+    got = sorted((r.doc_id, r.copy) for r in mixed.select("doc_id", "copy").collect())
+    assert got == expected
+    alone = [c for i, c in got if i == 7]
+    assert len(alone) == max(alone) and abs(len(alone) - rows / 2) < 5 * math.sqrt(rows / 2)
+    own = duck.cursor()
+    own.execute(f"CREATE TEMP TABLE documents AS SELECT i AS doc_id, CASE WHEN i = 7 THEN 'a' ELSE 'b' END AS source FROM range({rows}) t(i)")
+    sql = mixing.mix_sql({"a": 1.0, "b": 1.0})
+    assert sorted(own.execute(f"SELECT doc_id, copy FROM ({sql})").fetchall()) == expected
+
+
 def test_poisson_steps_have_the_rate_as_their_mean():
     for rate in (0.05, 0.9, 3.0, 40.0):
         steps = mixing.poisson_cdf(rate)

@@ -37,10 +37,10 @@ def poisson_cdf(rate: float) -> list[float]:
     """P(X <= k) for k = 0, 1, ... up to where a 52-bit uniform number cannot reach."""
     total, out = 0.0, []
     for k in range(int(rate + 40 * math.sqrt(rate)) + 40):
-        total += math.exp(k * math.log(rate) - rate - math.lgamma(k + 1))
-        out.append(total)
-        if k > rate and total >= 1 - 2.0**-53:
+        before, total = total, total + math.exp(k * math.log(rate) - rate - math.lgamma(k + 1))
+        if k > rate and total == before:
             break
+        out.append(total)
     return out
 
 

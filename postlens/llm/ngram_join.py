@@ -7,18 +7,24 @@ go last in that order: a bounded table of the most frequent ones is counted over
 documents and sent to the tasks. The order only decides how many candidates there are.
 
 1. Index lists: gram -> sets with it in their prefix, with size and position. Entries
-   without a partner of a size that can link fall away. Within a list a pair is skipped
-   by size, by position (what is left after the positions cannot reach the overlap), and
-   by a histogram of each set, finer for larger sets, whose common part bounds the overlap
-   from above. No bound skips a pair that links.
+   without a partner of a size that can link fall away. A list is ordered by bands of
+   size, then by position, and cut in blocks; a probe skips every block in which no size
+   fits or whose earliest position leaves too few grams for the overlap. In the blocks
+   it opens, a pair is skipped by its own sizes and positions, and by a histogram of each
+   set, finer for larger sets, whose common part bounds the overlap from above. No bound
+   skips a pair that links.
 2. What is left connects sets to candidate groups, each list passing on only the edges
-   that connect its members. Long lists are cut in blocks, and each pair of blocks is a
+   that connect its members. Long lists are cut in parts, and each pair of parts is a
    unit of its own, so no task holds a hot list.
-3. In each group one set is the pivot. Every other set is reduced to its difference from
-   the pivot, and the answer for two sets x, y is derived from those: x and y differ in
-   exactly the grams in which their differences differ, |x ^ y| = |(x ^ c) ^ (y ^ c)|.
-   All pairs of a group are decided that way, again in pairs of blocks, and only edges
-   that connect are passed on. Their connected components are the classes.
+3. In each group one set is the pivot. Every other set is sent as its difference from
+   the pivot: x and y differ in exactly the grams in which their differences differ,
+   |x ^ y| = |(x ^ c) ^ (y ^ c)|. A large group is cut in parts, the pivot goes to each
+   of them, and pairs of parts are the units.
+4. In a unit, a set's answers are its numbers of common grams with all sets. They start
+   from those of the nearest set that has been answered (at first the pivot, whose
+   answers are all zero): the index lists of the grams that only the earlier set has are
+   taken off, and those that only the new one has are added. Only edges that connect are
+   passed on. Their connected components are the classes.
 
 All links between different sets are decided exactly (up to a collision of 64-bit
 hashes); pairs inside a class are never written out.
@@ -48,8 +54,10 @@ HOT_GRAMS = 1 << 16
 HOT_IN_CHUNK = 3
 CHUNK_GRAMS = 1 << 20
 LIST_BLOCK = 1024
+SKIP_BLOCK = 32
 GROUP_BLOCK = 256
 GROUP_GRAMS = 1 << 20
+SALTS = 256
 BINS = (64, 256, 1024, 4096)
 FULL_BIN = 65535
 KNOWN_SETS = 1 << 18
@@ -372,18 +380,19 @@ EDGES = "a long, b long"
 
 
 def _spread(links) -> list[tuple[int, int]]:
-    """Edges that connect what `links(i, rest)` connects: it gives which of `rest` link with i."""
+    """Edges that connect what links connect.
+
+    `links.first()` takes a row that no edge has reached (-1: there is none), and
+    `links.reached(i)` takes those of them that link with i.
+    """
     edges: list[tuple[int, int]] = []
-    rest = links.everything()
-    while len(rest):
-        queue, rest = [rest[0]], rest[1:]
-        while queue and len(rest):
+    while (seed := links.first()) >= 0:
+        queue = [seed]
+        while queue:
             i = queue.pop()
-            hit = links(i, rest)
-            found = rest[hit]
-            edges += [(i, j) for j in found.tolist()]
-            queue += found.tolist()
-            rest = rest[~hit]
+            found = links.reached(i).tolist()
+            edges += [(i, j) for j in found]
+            queue += found
     return edges
 
 
@@ -400,16 +409,44 @@ def _may_link(n, pos, bins, i, j, num: int, den: int) -> np.ndarray:
 
 
 class _ListLinks:
-    """The pairs of one index list, `rows` of all, that may link."""
-
-    def __init__(self, rows, n, pos, bins: Histograms, num: int, den: int):
-        self.rows, self.n, self.pos, self.bins, self.num, self.den = rows, n, pos, bins, num, den
+    """The pairs of one index list, `rows` of all, that may link, by blocks of the list.
 
-    def everything(self) -> np.ndarray:
-        return self.rows[np.argsort(self.n[self.rows], kind="stable")]
+    Each block has the sizes in it and the most grams that any entry has left after its position.
+    """
 
-    def __call__(self, i: int, rest: np.ndarray) -> np.ndarray:
-        return _may_link(self.n, self.pos, self.bins, rest, np.int64(i), self.num, self.den)
+    def __init__(self, rows, n, pos, bins: Histograms, num: int, den: int):
+        self.n, self.pos, self.bins, self.num, self.den = n, pos, bins, num, den
+        # Sizes in a band can all link with each other, so within one the position decides.
+        band = np.floor(np.log(n[rows]) / max(np.log(den / num), 1e-3))
+        rows = rows[np.lexsort((pos[rows], band))]
+        start = np.arange(0, len(rows), SKIP_BLOCK)
+        self.low, self.high = np.minimum.reduceat(n[rows], start), np.maximum.reduceat(n[rows], start)
+        self.left = np.maximum.reduceat((n - pos)[rows], start)
+        shape = (len(start), min(SKIP_BLOCK, len(rows)))
+        self.table = np.resize(rows, shape)
+        self.open = np.arange(self.table.size).reshape(shape) < len(rows)  # entries that no edge has reached
+
+    def first(self) -> int:
+        at = np.unravel_index(self.open.argmax(), self.open.shape)
+        if not self.open[at]:
+            return -1
+        self.open[at] = False
+        return int(self.table[at])
+
+    def blocks(self, i: int) -> np.ndarray:
+        """The blocks that may hold a partner of entry i."""
+        n, left = self.n[i], self.n[i] - self.pos[i]
+        fits = (self.den * self.high >= self.num * n) & (self.den * n >= self.num * self.low)
+        return np.flatnonzero(fits & (np.minimum(self.left, left) >= needed(n, self.low, self.num, self.den)))
+
+    def reached(self, i: int) -> np.ndarray:
+        blocks = self.blocks(i)
+        block, column = np.nonzero(self.open[blocks])
+        block = blocks[block]
+        rest = self.table[block, column]
+        hit = _may_link(self.n, self.pos, self.bins, rest, np.int64(i), self.num, self.den)
+        self.open[block[hit], column[hit]] = False
+        return rest[hit]
 
 
 def _list_edges(num: int, den: int):
@@ -503,7 +540,11 @@ def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class _GroupLinks:
-    """Pairs that reach the threshold, derived from the differences from the pivot."""
+    """Pairs that reach the threshold, a set's answers derived from those of the nearest set answered before it.
+
+    The answers of a unit's sets are kept until its end: a square of numbers, of about twice
+    GROUP_BLOCK rows.
+    """
 
     def __init__(self, n: np.ndarray, diffs: list[np.ndarray], num: int, den: int):
         self.n, self.num, self.den = n, num, den
@@ -515,17 +556,51 @@ class _GroupLinks:
         self.by_set = np.split(code, np.searchsorted(owner, np.arange(1, len(diffs))))
         order = np.argsort(code, kind="stable")
         self.owners = owner[order]
-        self.first = np.searchsorted(code[order], np.arange(len(gram) + 1))
-
-    def everything(self) -> np.ndarray:
-        return np.argsort(self.size, kind="stable")
-
-    def __call__(self, i: int, rest: np.ndarray) -> np.ndarray:
-        lists = [self.owners[self.first[c] : self.first[c + 1]] for c in self.by_set[i].tolist()]
-        common = np.bincount(np.concatenate(lists), minlength=len(self.n)) if lists else np.zeros(len(self.n), np.int64)
-        apart = self.size[rest] + self.size[i] - 2 * common[rest]
+        self.list_at = np.searchsorted(code[order], np.arange(len(gram) + 1))
+        self.open = np.ones(len(diffs), bool)  # sets that no edge has reached
+        self.answers: dict[int, np.ndarray] = {}
+        self.shared = np.array([len(c) for c in self.by_set], np.int64)
+        self.nearest = np.full(len(diffs), -1)  # the pivot
+        self.apart = self.shared.copy()  # from the nearest, in grams that have lists
+
+    def first(self) -> int:
+        """The set with the least to correct."""
+        left = np.flatnonzero(self.open)
+        if not len(left):
+            return -1
+        i = int(left[self.apart[left].argmin()])
+        self.open[i] = False
+        return i
+
+    def _counted(self, codes: np.ndarray) -> np.ndarray:
+        """How many of these grams each set has."""
+        lists = [self.owners[self.list_at[c] : self.list_at[c + 1]] for c in codes.tolist()]
+        return np.bincount(np.concatenate(lists), minlength=len(self.n)) if lists else np.zeros(len(self.n), np.int64)
+
+    def answered(self, i: int) -> np.ndarray:
+        """The grams that set i has in common with each set."""
+        base = int(self.nearest[i])
+        if base < 0:
+            common = self._counted(self.by_set[i])
+        else:
+            new = np.setdiff1d(self.by_set[i], self.by_set[base], assume_unique=True)
+            gone = np.setdiff1d(self.by_set[base], self.by_set[i], assume_unique=True)
+            common = self.answers[base] + self._counted(new) - self._counted(gone)
+        self.answers[i] = common.astype(np.int32)
+        apart = self.shared + self.shared[i] - 2 * common
+        nearer = apart < self.apart
+        self.nearest[nearer], self.apart[nearer] = i, apart[nearer]
+        return common
+
+    def reached(self, i: int) -> np.ndarray:
+        rest = np.flatnonzero(self.open)
+        if not len(rest):
+            return rest
+        apart = self.size[rest] + self.size[i] - 2 * self.answered(i)[rest]
         both = self.n[rest] + self.n[i]
-        return (both - apart) // 2 >= needed(self.n[rest], self.n[i], self.num, self.den)
+        found = rest[(both - apart) // 2 >= needed(self.n[rest], self.n[i], self.num, self.den)]
+        self.open[found] = False
+        return found
 
 
 def _group_edges(num: int, den: int):
@@ -550,6 +625,19 @@ def _candidates(postings: DataFrame, bins: DataFrame, num: int, den: int) -> Dat
     return saved(components(units.mapInArrow(lean(_list_edges(num, den)), EDGES)), "candidates")
 
 
+def _in_parts(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Rows with the number of parts of their group, and which of them is their own.
+
+    Groups of one part need no look-up. The rows of a larger one, of over GROUP_BLOCK rows or
+    so, meet its number at SALTS places, so that no task holds a hot group.
+    """
+    large = sizes.filter("parts > 1").select("root", "parts", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("sid", F.lit("salt")), F.lit(SALTS)).cast("int"))
+    parts = F.coalesce("parts", F.lit(1))
+    mine = F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int")
+    return salted.join(large, ["root", "salt"], "left").drop("salt").withColumn("parts", parts).withColumn("mine", mine)
+
+
 def _links(docs: DataFrame, sets: DataFrame, groups: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """Edges between sets that connect exactly the sets that links connect."""
     first = sets.groupBy("sid").agg(F.min(F.struct("key", "tkey")).alias("first"))
@@ -558,13 +646,16 @@ def _links(docs: DataFrame, sets: DataFrame, groups: DataFrame, n: int, num: int
     texts = possible(docs.select("key", "tkey", "text"), wanted, "tkey").join(wanted, ["key", "tkey"])
     texts = texts.select("root", "sid", "text")
     members = saved(texts.mapInArrow(lean(_members(n)), MEMBERS), "members", batch_rows=1000)
-    pivots = members.filter("root = sid").groupBy("root").agg(F.min("grams").alias("pivot"))
-    diffs = saved(members.join(pivots, "root").mapInArrow(lean(_differences), DIFFERENCES), "differences", batch_rows=500)
+    sizes = members.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / GROUP_BLOCK).cast("int").alias("parts"))
+    pivots = members.filter("root = sid").groupBy("root").agg(F.min("grams").alias("pivot")).join(sizes, "root")
+    pivots = pivots.select("root", "pivot", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("mine"))
+    diffs = _in_parts(members, sizes).join(pivots, ["root", "mine"]).mapInArrow(lean(_differences), DIFFERENCES)
+    diffs = saved(diffs, "differences", batch_rows=500)
     sizes = diffs.groupBy("root").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("diff")).alias("bytes"))
-    blocks = F.greatest(F.ceil(F.col("rows") / GROUP_BLOCK), F.ceil(F.col("bytes") / (8 * GROUP_GRAMS)))
-    sized = diffs.join(sizes.select("root", blocks.cast("int").alias("blocks")), "root")
-    mine = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
-    units = sized.select("*", mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("k"))
+    parts = F.greatest(F.ceil(F.col("rows") / GROUP_BLOCK), F.ceil(F.col("bytes") / (8 * GROUP_GRAMS)))
+    units = _in_parts(diffs, sizes.select("root", parts.cast("int").alias("parts"))).select(
+        "*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("k")
+    )
     units = units.select(
         "root", "sid", "n", "diff", F.least("mine", "k").alias("part"), F.greatest("mine", "k").alias("other")
     )

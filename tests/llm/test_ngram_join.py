@@ -107,3 +107,68 @@ def test_components_of_random_graphs(spark):
             root[a] = root[b] = min(root[a], root[b])
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: root[x] for e in edges if e[0] != e[1] for x in e}
+
+
+def linked_classes(edges, count):
+    root = list(range(count))
+    for a, b in edges:
+        old, new = max(root[a], root[b]), min(root[a], root[b])
+        root = [new if r == old else r for r in root]
+    return root
+
+
+@pytest.mark.parametrize("num", [50, 80, 90])
+def test_skipped_blocks_hold_no_pair_that_may_link(monkeypatch, num):
+    monkeypatch.setattr(ngram_join, "SKIP_BLOCK", 4)
+    rng = np.random.default_rng(num)
+    skipped = 0
+    for count in (1, 3, 4, 5, 90):
+        n = np.sort(rng.integers(20, 200, count))
+        pos = (rng.random(count) * [ngram_join.prefix_size(int(x), num, 100) for x in n]).astype(np.int64)
+        own = [np.unique(rng.integers(0, 2**64, int(x), np.uint64)) for x in n]
+        bins = ngram_join.Histograms([ngram_join.histogram(x, num, 100) for x in own])
+        bins.common = lambda a, b, least: least  # sizes and positions alone decide
+        rows = np.arange(count)
+        links = ngram_join._ListLinks(rows, n, pos, bins, num, 100)
+        every = []
+        for i in range(count):
+            hit = rows[ngram_join._may_link(n, pos, bins, rows, np.int64(i), num, 100)]
+            inside = links.table[links.blocks(i)].ravel()
+            assert set(hit) <= set(inside.tolist())
+            skipped += len(links.table) - len(links.blocks(i))
+            every += [(i, int(j)) for j in hit]
+        found = ngram_join._spread(links)
+        assert linked_classes(found, count) == linked_classes(every, count)
+        assert len(found) == count - len(set(linked_classes(every, count)))
+    assert skipped > 100
+
+
+def test_answers_derived_from_a_near_set_equal_whole_intersections():
+    rng = np.random.default_rng(5)
+    pools = [rng.integers(0, 2**64, 120, np.uint64) for _ in range(4)]
+    sets = [np.unique(np.r_[rng.choice(pools[i % 4], 100, False), rng.integers(0, 2**64, 3, np.uint64)]) for i in range(40)]
+    sets.append(np.zeros(0, np.uint64))  # the pivot's own difference
+    links = ngram_join._GroupLinks(np.full(41, 200), sets, 90, 100)
+    order = []
+    counted = links._counted
+    read = []
+    links._counted = lambda codes: (read.append(len(codes)), counted(codes))[1]
+    for _ in range(41):
+        order.append(links.first())
+        common = links.answered(order[-1])
+        for j in range(41):
+            if j != order[-1]:
+                assert common[j] == len(np.intersect1d(sets[order[-1]], sets[j]))
+    assert links.first() == -1 and sorted(order) == list(range(41))
+    assert sum(read) < 0.7 * sum(len(s) for s in sets)  # fewer lists than counting each set anew
+    assert (links.nearest[order[-8:]] >= 0).all()
+
+
+def test_large_groups_meet_their_pivot_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "GROUP_BLOCK", 4)
+    rows = spark.range(101).selectExpr("IF(id < 100, 7L, 8L) root", "id sid")
+    sizes = rows.groupBy("root").count().selectExpr("root", "CAST(ceil(count / 4) AS INT) parts")
+    got = ngram_join._in_parts(rows, sizes).collect()
+    assert len(got) == 101 and {r.parts for r in got if r.root == 7} == {25}
+    assert [(r.parts, r.mine) for r in got if r.root == 8] == [(1, 0)]
+    assert len({r.mine for r in got if r.root == 7}) > 15

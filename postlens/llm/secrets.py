@@ -3,9 +3,13 @@
 The base kinds are found by their patterns. A further kind, `markov`, comes from two
 first-order character models: one of random strings, trained on the values that the
 base patterns found, and one of ordinary identifiers, trained on words outside of
-them that are shorter than a run (whole texts of a sample of `sample_rows` rows, drawn by hash). A run of token
-characters that is long enough and touches no base span is added if its mean log-
-likelihood ratio per character pair exceeds a threshold. Pairs are smoothed towards the share of
+them that are shorter than a piece (whole texts of a sample of `sample_rows` rows, drawn by
+hash). Candidates are looked for in the text with its base spans blanked out, so that what
+is beside a base span is one too. A long run of token characters is added whole if its mean
+log-likelihood ratio per character pair exceeds `threshold`. In the other runs each piece
+between separators, from `min_piece` characters on, is added if its ratios add up to more
+than `evidence`: a random string at the end of a path counts by itself, a short one needs
+more in each pair. No added span touches a base span. Pairs are smoothed towards the share of
 their second character; without any sample both models are equal and nothing is added.
 
 All of it is column expressions. Positions come from splitting a text at its matches:
@@ -33,14 +37,52 @@ BASE = {
     "hex": r"[0-9a-f]{16,}",
 }
 MARKOV = "markov"
+CANDIDATES = ("run", "piece")
 MIN_VALUE = 12
 PRIOR = 20
 ALPHABET = string.ascii_letters + string.digits + "+/_.=-"
 _RUN = r"[A-Za-z0-9+/_.=-]"
+_PIECE = r"[A-Za-z0-9+]"
 _IDENTIFIER = r"[A-Za-z_][A-Za-z0-9_.-]{5,}"
 
 
-def scan(docs: DataFrame, id_col: str, text_col: str, min_run: int, sample_rows: int) -> DataFrame:
+def _blanked(rows: DataFrame) -> DataFrame:
+    """Rows with `rest`, the text with every base match replaced by as many spaces, so that places stay the same.
+
+    One projection for each step, so that no pattern is looked for twice.
+    """
+    rest = F.col("rest")
+    rows = rows.withColumn("rest", F.col("text"))
+    for kind, pattern in BASE.items():
+        value = F.regexp_extract_all(rest, F.lit(pattern), F.lit(2)) if kind == "assign" else F.col("whole")
+        zipped = F.arrays_zip(F.split(rest, pattern, -1).alias("part"), F.col("whole"), value.alias("value"))
+        least = MIN_VALUE if kind == "assign" else 0
+
+        def kept(x: Column) -> Column:
+            found = F.coalesce(x["whole"], F.lit(""))
+            blank = F.repeat(F.lit(" "), F.char_length(found))
+            return F.concat(x["part"], F.when(F.char_length(x["value"]) >= least, blank).otherwise(found))
+
+        rows = rows.withColumn("whole", F.regexp_extract_all(rest, F.lit(pattern), F.lit(0)))
+        rows = rows.withColumn("rest", F.when(F.size("whole") > 0, F.array_join(F.transform(zipped, kept), "")).otherwise(rest))
+    return rows.drop("whole")
+
+
+def _matches(text: Column, pattern: str, group: int = 0) -> Column:
+    """(gap, size, value) of each match and of the end of the text, null if nothing matches."""
+    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
+    zipped = F.arrays_zip(F.split(text, pattern, -1).alias("part"), whole.alias("whole"), value.alias("value"))
+    spans = F.transform(
+        zipped,
+        lambda x: F.struct(
+            F.char_length(x["part"]).alias("gap"), F.char_length(x["whole"]).alias("size"), x["value"].alias("value")
+        ),
+    )
+    return F.when(F.size(whole) > 0, spans)
+
+
+def scan(docs: DataFrame, id_col: str, text_col: str, min_run: int, min_piece: int, sample_rows: int) -> DataFrame:
     """One row per document: each kind's matches, the lengths around them, and sample identifiers."""
     total = max(1, docs.count())
     rows = docs.select(
@@ -48,30 +90,19 @@ def scan(docs: DataFrame, id_col: str, text_col: str, min_run: int, sample_rows:
         F.col(f"`{id_col}`").alias("doc_id"),
         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
     )
-    patterns = {**BASE, MARKOV: _RUN + "{" + str(min_run) + ",}"}
-    found = rows.select("*", *[F.regexp_extract_all("text", F.lit(p), F.lit(0)).alias(k) for k, p in patterns.items()])
-    columns = []
-    for kind, pattern in patterns.items():
-        parts = F.split("text", pattern, -1)
-        value = F.regexp_extract_all("text", F.lit(pattern), F.lit(2)) if kind == "assign" else F.col(kind)
-        zipped = F.arrays_zip(parts.alias("part"), F.col(kind).alias("whole"), value.alias("value"))
-        spans = F.transform(
-            zipped,
-            lambda x: F.struct(
-                F.char_length(x["part"]).alias("gap"), F.char_length(x["whole"]).alias("size"), x["value"].alias("value")
-            ),
-        )
-        columns.append(F.when(F.size(kind) > 0, spans).alias(kind))
+    found = _blanked(rows)
+    columns = [_matches(F.col("text"), pattern, 2 if kind == "assign" else 0).alias(kind) for kind, pattern in BASE.items()]
+    columns.append(_matches(F.col("rest"), f"{_RUN}{{{min_run},}}").alias("run"))
+    columns.append(_matches(F.col("rest"), f"{_PIECE}{{{min_piece},}}").alias("piece"))
     drawn = F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(1 << 30)) < int(min(1.0, sample_rows / total) * (1 << 30))
-    outside = F.regexp_replace("text", "|".join(f"(?:{p})" for p in BASE.values()), " ")
-    identifiers = F.when(drawn, F.regexp_extract_all(outside, F.lit(_IDENTIFIER), F.lit(0)))
+    identifiers = F.when(drawn, F.regexp_extract_all("rest", F.lit(_IDENTIFIER), F.lit(0)))
     return saved(found.select("row", "doc_id", *columns, identifiers.alias("identifiers")), "secrets")
 
 
 def placed(found: DataFrame) -> DataFrame:
     """(row, kind, kind_no, start, end, value) of all matches, by kind."""
     order = Window.partitionBy("row", "kind_no").orderBy("i")
-    kinds = [*BASE, MARKOV]
+    kinds = [*BASE, *CANDIDATES]
 
     def numbered(n: int, kind: str) -> Column:
         return F.transform(
@@ -117,8 +148,8 @@ def _transitions(counts: list[list[int]]) -> list[float]:
     return [(row[b] + PRIOR * share[b]) / (sum(row) + PRIOR) for row in counts for b in range(size)]
 
 
-def mean_ratio(value: Column, ratio: list[float]) -> Column:
-    """Mean log-likelihood ratio of a string's character pairs."""
+def total_ratio(value: Column, ratio: list[float]) -> Column:
+    """Log-likelihood ratios of a string's character pairs, added up."""
     table = F.split(F.lit(",".join(repr(x) for x in ratio)), ",").cast("array<double>")
     codes = F.transform(F.split(value, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
     steps = F.zip_with(
@@ -126,7 +157,14 @@ def mean_ratio(value: Column, ratio: list[float]) -> Column:
         F.slice(codes, F.lit(2), F.greatest(F.size(codes) - 1, F.lit(0))),
         lambda a, b: F.get(table, a * len(ALPHABET) + b),
     )
-    return F.aggregate(steps, F.lit(0.0), lambda t, x: t + F.coalesce(x, F.lit(0.0))) / F.greatest(F.size(steps), F.lit(1))
+    return F.aggregate(steps, F.lit(0.0), lambda t, x: t + F.coalesce(x, F.lit(0.0)))
+
+
+def _apart(spans: DataFrame, others: DataFrame) -> DataFrame:
+    """The spans that touch none of the others in their text."""
+    o = others.select(F.col("row").alias("o_row"), F.col("start").alias("o_start"), F.col("end").alias("o_end"))
+    touches = (F.col("row") == F.col("o_row")) & (F.col("start") < F.col("o_end")) & (F.col("o_start") < F.col("end"))
+    return spans.join(o, touches, "left_anti")
 
 
 def find_secrets(
@@ -135,24 +173,28 @@ def find_secrets(
     text_col: str = "text",
     min_run: int = 20,
     threshold: float = 1.0,
+    min_piece: int = 12,
+    evidence: float = 12.0,
     sample_rows: int = 20_000,
 ) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, n_markov, base_sha256, spans) for every row."""
-    found = scan(docs, id_col, text_col, min_run, sample_rows)
+    found = scan(docs, id_col, text_col, min_run, min_piece, sample_rows)
     matches = saved(placed(found), "spans")
     base = matches.filter(
-        (F.col("kind") != MARKOV) & ((F.col("kind") != "assign") | (F.char_length("value") >= MIN_VALUE))
+        F.col("kind").isin(*BASE) & ((F.col("kind") != "assign") | (F.char_length("value") >= MIN_VALUE))
     )
-    words = found.select(F.explode("identifiers").alias("value")).filter(F.char_length("value") < min_run)
-    values = base.select("value")
-    ratio = train(values, words)
-    runs = matches.filter(F.col("kind") == MARKOV)
-    random = runs.filter(mean_ratio(F.col("value"), ratio) > threshold)
-    # A run that touches a base span of its document is no new one.
-    b = base.select(F.col("row").alias("b_row"), F.col("start").alias("b_start"), F.col("end").alias("b_end"))
-    touches = (F.col("row") == F.col("b_row")) & (F.col("start") < F.col("b_end")) & (F.col("b_start") < F.col("end"))
-    added = random.join(b, touches, "left_anti")
-    spans = base.unionByName(added)
+    words = found.select(F.explode("identifiers").alias("value")).filter(F.char_length("value") < min_piece)
+    ratio = train(base.select("value"), words)
+    scored = matches.filter(F.col("kind").isin(*CANDIDATES)).withColumn("total", total_ratio(F.col("value"), ratio))
+    pairs = F.greatest(F.char_length("value") - 1, F.lit(1))
+    enough = F.when(F.col("kind") == "run", F.col("total") / pairs > threshold).otherwise(F.col("total") > evidence)
+    spans_of = ["row", "kind_no", "kind", "start", "end"]
+    random = saved(scored.filter(enough).select(*spans_of), "random")
+    runs = random.filter("kind = 'run'")
+    pieces = _apart(random.filter("kind = 'piece'"), runs)
+    # A base span of one kind can begin inside one of another kind, and its end is then not blanked out.
+    added = _apart(runs.unionByName(pieces), base).withColumn("kind_no", F.lit(len(BASE))).withColumn("kind", F.lit(MARKOV))
+    spans = base.select(*spans_of).unionByName(added)
     said = lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))
     every = F.sort_array(F.collect_list(F.struct("start", "kind_no", "end", "kind")))
     per_row = spans.groupBy("row").agg(

@@ -68,6 +68,83 @@ def test_markov_models_tell_random_strings_from_identifiers(spark):
     assert rows[151].spans == ""
 
 
+def brute_markov(texts, min_run=20, threshold=1.0, min_piece=12, evidence=12.0):
+    """Spans (start, end) that the models add in each text; every text is in the sample."""
+    spans = [[], *[[] for _ in texts[1:]]]
+    rests, counts = [], {"random": Counter(), "identifier": Counter()}
+    for i, text in enumerate(texts):
+        rest = text
+        for kind, pattern in PATTERNS.items():
+            ok = lambda m: (len(m[2]) >= 12) if kind == "assign" else len(m[0]) >= LEAST[kind]  # noqa: B023, E731
+            for m in filter(ok, pattern.finditer(text)):
+                spans[i].append((m.start(), m.end()))
+                counts["random"].update(zip(m[2] if kind == "assign" else m[0], (m[2] if kind == "assign" else m[0])[1:]))
+            rest = pattern.sub(lambda m: " " * len(m[0]) if ok(m) else m[0], rest)
+        rests.append(rest)
+        for word in re.findall(r"[A-Za-z_][A-Za-z0-9_.-]{5,}", rest):
+            if len(word) < min_piece:
+                counts["identifier"].update(zip(word, word[1:]))
+    signs = secrets.ALPHABET
+
+    def log(label, a, b):
+        seen = lambda y: sum(counts[label][x, y] for x in signs) + 0.5
+        share = seen(b) / sum(map(seen, signs))
+        return math.log((counts[label][a, b] + 20 * share) / (sum(counts[label][a, y] for y in signs) + 20))
+
+    ratios = {}
+
+    def total(value):
+        for pair in zip(value, value[1:]):
+            if pair not in ratios:
+                ratios[pair] = log("random", *pair) - log("identifier", *pair)
+        return sum(ratios[p] for p in zip(value, value[1:]))
+
+    for base, rest in zip(spans, rests):
+        runs = [m.span() for m in re.finditer(r"[A-Za-z0-9+/_.=-]{%d,}" % min_run, rest) if total(m[0]) / (len(m[0]) - 1) > threshold]
+        pieces = [m.span() for m in re.finditer(r"[A-Za-z0-9+]{%d,}" % min_piece, rest) if total(m[0]) > evidence]
+        pieces = [(a, b) for a, b in pieces if not any(a < d and c < b for c, d in runs)]
+        yield sorted((a, b) for a, b in runs + pieces if not any(a < d and c < b for c, d in base))
+
+
+def test_markov_spans_equal_brute_force(spark):
+    rng = random.Random(21)
+    signs = string.ascii_letters + string.digits
+    drawn = lambda n: "".join(rng.choice(signs) for _ in range(n))
+    plain = ["customer_address", "maximum.retry", "internationalization", "settings", "configuration-value", "interval", "opt/local/share"]
+    texts = []
+    for _ in range(120):
+        parts = [rng.choice(plain) for _ in range(6)]
+        parts += rng.choice([[f"password={drawn(24)}"], [f"token: {drawn(14)}é{drawn(16)}"], [f"secret={drawn(9)}"], ["0123456789abcdef" + drawn(20)]])
+        parts += rng.choice([[drawn(rng.randrange(8, 30))], [f"/home/{plain[0]}/{drawn(15)}/end"], [f"{drawn(16)}-{drawn(5)}"], ["🙂" + drawn(13)], []])
+        rng.shuffle(parts)
+        texts.append(" ".join(parts))
+    texts += ["", "AKIA" + "B7" * 9 + "/" + drawn(18), "api_key=" + drawn(20) + ":" + drawn(20)]
+    want = list(brute_markov(texts))
+    rows = {r.doc_id: r for r in secrets.find_secrets(documents(spark, texts).repartition(4)).collect()}
+    for i, spans in enumerate(want):
+        got = sorted(tuple(map(int, x.split(":")[1:])) for x in rows[i].spans.split(",") if x.startswith("markov"))
+        assert got == spans, texts[i]
+        assert rows[i].n_markov == len(spans)
+    found = sum(map(len, want))
+    assert found > 60 and any(b - a < 20 for spans in want for a, b in spans)
+
+
+def test_random_strings_in_paths_and_beside_base_spans(spark):
+    rng = random.Random(4)
+    signs = string.ascii_letters + string.digits
+    drawn = lambda n: "".join(rng.choice(signs) for _ in range(n))
+    short = ["customer", "address_line", "maximum", "retry", "interval", "national", "settings", "configure", "values"]
+    texts = [f"password={drawn(24)} of {rng.choice(short)} {rng.choice(short)}" for _ in range(150)]
+    path = "/usr/local/configuration/settings/customer/national/"
+    end, beside, small = drawn(16), drawn(18), drawn(13)
+    texts += [path + end, f"0123456789abcdef/{beside} x", f"see {small}", path + "internationalization"]
+    rows = {r.doc_id: r.spans for r in secrets.find_secrets(documents(spark, texts)).collect()}
+    assert rows[150] == f"markov:{len(path)}:{len(path) + 16}"
+    assert rows[151] == "hex:0:16,markov:17:35"
+    assert rows[152] == "markov:4:17"
+    assert rows[153] == ""
+
+
 def test_secrets_edges(spark):
     assert secrets.find_secrets(documents(spark, [])).collect() == []
     rows = secrets.find_secrets(documents(spark, ["token=abcdefghijklmnop"] * 2 + [None], [None, None, 1])).collect()

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from postlens.catalog.ml_queries import _HASHED_SQL, _STOP_SQL, _TOKENS_SQL, held_out, train_and_test, trained
+from postlens.catalog.ml_queries import _HASHED_SQL, _STOP_SQL, _TOKENS_SQL, filled_labels, held_out, train_and_test, trained
 from postlens.catalog.registry import query
-from postlens.catalog.tables import texts, with_labels, with_posts
-from postlens.operators import calibration, certificate, classifier, cleaning, term_bayes, word_vectors
+from postlens.catalog.tables import KW0, KW1, RULE_SQL, texts, with_labels, with_posts
+from postlens.operators import calibration, certificate, classifier, cleaning, linear_tables, rules, term_bayes, word_vectors
 
 BINS, WIDTH = 20, 4.0
 
@@ -227,3 +227,50 @@ def c22_out_of_fold(spark, sf_dir):
     train, _ = train_and_test(spark, sf_dir)
     scored = classifier.out_of_fold(train, classifier.feature_stages(), "post_id", max_iter=20)
     return scored.select("post_id", "label", "fold", "reg", F.col("prediction").isin(0, 1, 2).alias("predicted"))
+
+
+# --- predictions by joins and sums ----------------------------------------
+
+
+def scored_by_tables(spark, rows, model):
+    return linear_tables.score_linear(tokens(rows), linear_tables.linear_tables(spark, model), "post_id")
+
+
+@query("c14_scored_by_tables", with_posts("SELECT post_id, true AS same, true AS close FROM posts"))
+def c14_by_tables(spark, sf_dir):
+    """The model's class and confidence of every post are those that its weights give by joins and sums."""
+    model = trained(spark, sf_dir)
+    rows = texts(spark, sf_dir)
+    scored = classifier.with_confidence(classifier.score(rows, model)).select(
+        "post_id", F.col("prediction").cast("int").alias("given"), F.col("confidence").alias("sure")
+    )
+    both = scored.join(scored_by_tables(spark, rows, model), "post_id", "full_outer")
+    near = F.coalesce(F.abs(F.col("sure") - F.col("confidence")) < 1e-9, F.lit(False))
+    return both.select("post_id", F.col("given").eqNullSafe(F.col("prediction")).alias("same"), near.alias("close"))
+
+
+@query(
+    "c15_filled_by_tables",
+    with_posts("SELECT label AS known, true AS same, count(*) AS rows FROM posts GROUP BY label"),
+)
+def c15_by_tables(spark, sf_dir):
+    """Labels that are filled in are those that the weights give by joins and sums; known ones stay."""
+    mine = scored_by_tables(spark, texts(spark, sf_dir), trained(spark, sf_dir)).select("post_id", "prediction")
+    both = filled_labels(spark, sf_dir).join(mine, "post_id", "left")
+    same = F.col("label").eqNullSafe(F.coalesce("known", "prediction"))
+    return both.groupBy("known", same.alias("same")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query(
+    "c23_differ_by_tables",
+    with_posts(f"SELECT {RULE_SQL} AS rule, true AS same, count(*) AS rows FROM posts GROUP BY 1"),
+)
+def c23_by_tables(spark, sf_dir):
+    """The rows in which the model retrained on the rule's labels differs from them are those that its weights give."""
+    ruled = rules.classify_first(texts(spark, sf_dir), "text", KW0, KW1, out="rule")
+    model, differ = classifier.retrain(ruled, "rule")
+    mine = scored_by_tables(spark, ruled, model).select("post_id", "prediction")
+    listed = differ.select("post_id", F.col("prediction").alias("given"))
+    both = ruled.select("post_id", "rule").join(mine, "post_id", "left").join(listed, "post_id", "left")
+    same = F.coalesce("given", "rule").eqNullSafe(F.col("prediction"))
+    return both.groupBy("rule", same.alias("same")).agg(F.count(F.lit(1)).alias("rows"))

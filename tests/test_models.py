@@ -11,7 +11,7 @@ from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from postlens.operators import calibration, certificate, classifier, term_bayes, word_vectors
+from postlens.operators import calibration, certificate, classifier, linear_tables, term_bayes, word_vectors
 
 WORDS = [f"w{i}" for i in range(30)]
 
@@ -189,3 +189,41 @@ def test_terms_behind_buckets(spark, tokens):
     assert all(r.collides == (per_bucket[r.bucket] > 1) for r in found) and any(r.collides for r in found)
     one = classifier.hashing_tf(buckets=16).transform(tokens.filter("post_id = 901")).first().raw_features
     assert set(one.indices) == {r.bucket for r in found if r.term in ("never", "seen")}
+
+
+def linear_rows(spark, classes):
+    rng = random.Random(classes)
+    rows = [(i, i % classes, " ".join(rng.choice(WORDS[i % classes * 6 : i % classes * 6 + 14]) for _ in range(rng.randrange(25)))) for i in range(120)]
+    return spark.createDataFrame([*rows, (200, None, ""), (201, None, "never seen w1 W1 w1"), (202, None, None)], "post_id long, label int, text string")
+
+
+@pytest.mark.parametrize("classes", [2, 3])
+@pytest.mark.parametrize("buckets", [16, 20_000])
+def test_scores_from_tables_equal_the_models(spark, classes, buckets):
+    df = linear_rows(spark, classes)
+    model = classifier.fit_classifier(df, [*classifier.feature_stages(buckets=buckets), classifier.logistic()])
+    scored = classifier.with_confidence(classifier.score(df, model))
+    want = {r.post_id: (int(r.prediction), r.confidence, vector) for r, vector in ((r, r.probability.toArray()) for r in scored.collect())}
+    got = linear_tables.score_linear(scored.select("post_id", "filtered"), linear_tables.linear_tables(spark, model), "post_id").collect()
+    assert len(got) == len(want) == 123
+    for r in got:
+        label, confidence, vector = want[r.post_id]
+        assert r.prediction == label and abs(r.confidence - confidence) < 1e-9
+        e = [math.exp(s - max(r.scores)) for s in r.scores]
+        assert max(abs(a / sum(e) - b) for a, b in zip(e, vector)) < 1e-9
+
+
+def test_tables_show_a_changed_prediction(spark):
+    df = linear_rows(spark, 3)
+    one, other = (classifier.fit_classifier(df, [*classifier.feature_stages(), classifier.logistic(max_iter=n, reg=g)]) for n, g in ((100, 0.01), (1, 5.0)))
+    scored = classifier.score(df, one).select("post_id", "filtered", F.col("prediction").alias("given"))
+    mine = linear_tables.score_linear(scored, linear_tables.linear_tables(spark, other), "post_id")
+    assert scored.join(mine, "post_id").filter("given <> prediction").count() > 0
+    assert linear_tables.score_linear(scored.limit(0), linear_tables.linear_tables(spark, one), "post_id").collect() == []
+
+
+def test_tables_of_another_model_are_refused(spark):
+    df = linear_rows(spark, 3)
+    model = classifier.fit_classifier(df, [*classifier.feature_stages(), classifier.model_stage("bayes")])
+    with pytest.raises(ValueError):
+        linear_tables.linear_tables(spark, model)

@@ -68,18 +68,17 @@ def _blanked(rows: DataFrame) -> DataFrame:
     return rows.drop("whole")
 
 
-def _matches(text: Column, pattern: str, group: int = 0) -> Column:
-    """(gap, size, value) of each match and of the end of the text, null if nothing matches."""
-    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
-    zipped = F.arrays_zip(F.split(text, pattern, -1).alias("part"), whole.alias("whole"), value.alias("value"))
+def _matches(text: str, kind: str, pattern: str) -> Column:
+    """(gap, size, value) of each match in the column `kind` and of the end of the text, null if nothing matches."""
+    value = F.regexp_extract_all(text, F.lit(pattern), F.lit(2)) if kind == "assign" else F.col(kind)
+    zipped = F.arrays_zip(F.split(text, pattern, -1).alias("part"), F.col(kind).alias("whole"), value.alias("value"))
     spans = F.transform(
         zipped,
         lambda x: F.struct(
             F.char_length(x["part"]).alias("gap"), F.char_length(x["whole"]).alias("size"), x["value"].alias("value")
         ),
     )
-    return F.when(F.size(whole) > 0, spans)
+    return F.when(F.size(kind) > 0, spans).alias(kind)
 
 
 def scan(docs: DataFrame, id_col: str, text_col: str, min_run: int, min_piece: int, sample_rows: int) -> DataFrame:
@@ -90,10 +89,10 @@ def scan(docs: DataFrame, id_col: str, text_col: str, min_run: int, min_piece: i
         F.col(f"`{id_col}`").alias("doc_id"),
         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
     )
-    found = _blanked(rows)
-    columns = [_matches(F.col("text"), pattern, 2 if kind == "assign" else 0).alias(kind) for kind, pattern in BASE.items()]
-    columns.append(_matches(F.col("rest"), f"{_RUN}{{{min_run},}}").alias("run"))
-    columns.append(_matches(F.col("rest"), f"{_PIECE}{{{min_piece},}}").alias("piece"))
+    patterns = {kind: ("text", pattern) for kind, pattern in BASE.items()}
+    patterns |= {"run": ("rest", f"{_RUN}{{{min_run},}}"), "piece": ("rest", f"{_PIECE}{{{min_piece},}}")}
+    found = _blanked(rows).select("*", *[F.regexp_extract_all(t, F.lit(p), F.lit(0)).alias(k) for k, (t, p) in patterns.items()])
+    columns = [_matches(t, k, p) for k, (t, p) in patterns.items()]
     drawn = F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(1 << 30)) < int(min(1.0, sample_rows / total) * (1 << 30))
     identifiers = F.when(drawn, F.regexp_extract_all("rest", F.lit(_IDENTIFIER), F.lit(0)))
     return saved(found.select("row", "doc_id", *columns, identifiers.alias("identifiers")), "secrets")

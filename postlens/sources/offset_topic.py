@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark import cloudpickle
@@ -29,6 +30,10 @@ FORMAT = "offset_topic"
 SCHEMA = "value string, partition int, offset long"
 EARLIEST, LATEST = -2, -1
 FILE_MESSAGES = 1_000_000
+# What a task reads and hands on at once.
+BUFFER = 1 << 20
+BATCH_MESSAGES = 256
+BATCH_BYTES = 1 << 22
 
 
 def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
@@ -70,6 +75,18 @@ class Footers:
         return (min(b.min for b in bounds), max(b.max for b in bounds) + 1) if bounds else (0, 0)
 
 
+def packs(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbours whose sizes add up to `limit` at most, or of one larger item."""
+    start = total = 0
+    for i, size in enumerate(sizes):
+        if i > start and total + size > limit:
+            yield start, i
+            start, total = i, 0
+        total += size
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
 @dataclass
 class Slice(InputPartition):
     partition: int
@@ -112,13 +129,26 @@ class TopicReader(DataSourceStreamReader):
         return out
 
     def read(self, part: InputPartition) -> Iterator[pa.RecordBatch]:
+        """The messages of a slice, a page of the file at a time: a task never holds the file, nor a row group of it."""
         system, _ = _filesystem(self.path)
-        wanted = [("offset", ">=", part.first), ("offset", "<", part.end)]
         for path in part.files:
             with system.open_input_file(path) as file:
-                table = pq.read_table(file, columns=["value", "offset"], filters=wanted)
-            numbered = pa.table({"value": table["value"].cast(pa.string()), "partition": pa.array([part.partition] * len(table), pa.int32()), "offset": table["offset"]})
-            yield from numbered.to_batches(max_chunksize=10_000)
+                messages = pq.ParquetFile(file, buffer_size=BUFFER, pre_buffer=False)
+                footer = messages.metadata
+                at = footer.schema.names.index("offset")
+                bounds = [footer.row_group(g).column(at).statistics for g in range(footer.num_row_groups)]
+                groups = [g for g, b in enumerate(bounds) if b.max >= part.first and b.min < part.end]
+                batches = messages.iter_batches(BATCH_MESSAGES, row_groups=groups, columns=["value", "offset"], use_threads=False) if groups else ()
+                for batch in batches:
+                    wanted = pc.and_(pc.greater_equal(batch["offset"], part.first), pc.less(batch["offset"], part.end))
+                    kept = batch.filter(wanted)
+                    for start, end in packs(pc.binary_length(kept["value"]).fill_null(0).to_pylist(), BATCH_BYTES):
+                        rows = kept.slice(start, end - start)
+                        yield pa.RecordBatch.from_arrays(
+                            [rows["value"].cast(pa.string()), pa.array([part.partition] * len(rows), pa.int32()), rows["offset"]],
+                            ["value", "partition", "offset"],
+                        )
+        pa.default_memory_pool().release_unused()
 
 
 class OffsetTopic(DataSource):

@@ -1,5 +1,7 @@
 """Landed messages read by partition and offset."""
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -102,6 +104,24 @@ def read_all(spark, path):
     return [(v, p, o) for s in reader.partitions(reader.initialOffset(), reader.latestOffset()) for b in reader.read(s) for v, p, o in zip(*b.to_pydict().values())]
 
 
+def test_a_slice_is_read_in_small_batches_and_never_held_whole(tmp_path):
+    """A file of 160 MB used to be read as one table, with all of its messages in memory."""
+    (tmp_path / "topic" / "partition=0").mkdir(parents=True)
+    path = str(tmp_path / "topic" / "partition=0" / "part.parquet")
+    table = pa.table({"value": [f"{i:08d}" * 2_000 for i in range(10_000)], "offset": pa.array(range(10_000), pa.int64())})
+    pq.write_table(table, path, row_group_size=1_000)
+    size = table.nbytes
+    del table
+    reader = offset_topic.TopicReader(str(tmp_path / "topic"), "earliest")
+    assert len(reader.partitions({}, {"0": 10_000})) == 1
+    before, most, seen = pa.total_allocated_bytes(), 0, []
+    for batch in reader.read(offset_topic.Slice(0, 7, 9_990, [path])):
+        most = max(most, pa.total_allocated_bytes() - before)
+        assert batch.column(0).nbytes < 2 * offset_topic.BATCH_BYTES
+        seen += batch.column(2).to_pylist()
+    assert seen == list(range(7, 9_990)) and most < size / 3
+
+
 def test_explicit_offsets_are_checked_before_the_stream_starts(spark, topic):
     with pytest.raises((ValueError, PySparkException)):
         readers.read_stream(spark, offset_topic.FORMAT, path=topic[0], starting_offsets="yesterday")

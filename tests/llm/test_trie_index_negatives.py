@@ -249,6 +249,29 @@ def test_strassen_equals_the_plain_product(leaf):
         assert hard_negatives.strassen(a, b, leaf).tolist() == exact
 
 
+def test_products_are_taken_in_doubles_where_that_is_exact():
+    rng = np.random.default_rng(4)
+    side = lambda n, most: {"vectors": rng.integers(-most, most + 1, (n, 64))}
+    for most, kind in ((256, np.float64), (2**21, np.float64), (2**25, np.int64), (2**40, np.int64)):
+        one, two = side(70, most), side(90, most)
+        a, b = hard_negatives._factors(one, two)
+        exact = one["vectors"].astype(object) @ two["vectors"].astype(object).T
+        assert a.dtype == b.dtype == kind and (most > 2**30 or (hard_negatives.strassen(a, b) == exact).all())
+
+
+def test_blocks_grow_with_the_tables_so_that_rows_are_copied_to_few_cells(spark, monkeypatch):
+    """Blocks of a fixed size copy a row once for so many of them: the copies were the square of the table."""
+    cells = []
+    monkeypatch.setattr(hard_negatives, "ANCHOR_BLOCK", 2)
+    monkeypatch.setattr(hard_negatives, "CANDIDATE_BLOCK", 3)
+    monkeypatch.setattr(hard_negatives, "_cells", lambda a, n, c, m, plain=hard_negatives._cells: cells.append((n, m)) or plain(a, n, c, m))
+    rows = [(i, [float(i % 9), float(i % 5)], i % 3) for i in range(600)]
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    got = hard_negatives.mine(hard_negatives.quantised(spark.createDataFrame(rows, VECTOR_SCHEMA), label), F.col("vec_id") % 50 == 0)
+    assert sorted(tuple(r)[:6] for r in got.collect()) == sorted(mined(rows))
+    assert cells == [(hard_negatives.ANCHOR_BLOCKS, 60)] * 2
+
+
 def test_heaps_merge_to_the_same_whatever_the_order():
     rng = np.random.default_rng(1)
     scores, ids = rng.integers(0, 6, (9, 200)), rng.integers(0, 50, 200)

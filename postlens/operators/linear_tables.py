@@ -15,7 +15,7 @@ from pyspark.ml.feature import HashingTF, IDFModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.operators.classifier import term_buckets
+from postlens.operators.classifier import hashing_tf
 from postlens.session import written
 
 
@@ -55,16 +55,16 @@ def linear_tables(spark: SparkSession, model: PipelineModel) -> LinearTables:
 def score_linear(df: DataFrame, tables: LinearTables, key: str) -> DataFrame:
     """(key, scores, prediction, confidence) of every row; `key` is unique.
 
-    Terms are counted per row first, and each different term is hashed once. Terms without a
-    weight count for no class. Ties go to the smaller class.
+    Terms are counted by bucket within their row, so that what is joined to the weights, a row
+    per bucket, needs no shuffle, and a task passes on a sum for each of its rows. Buckets
+    without a weight count for no class. Ties go to the smaller class.
     """
-    bags = df.select(F.col(key).alias("_key"), F.explode(tables.words).alias("term")).groupBy("_key", "term").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    bags = written(bags, "bags")
-    terms = term_buckets(bags.select("term").distinct(), tables.buckets).join(tables.weights, "bucket").select("term", "w")
+    terms = F.array_compact(F.coalesce(F.col(tables.words), F.array().cast("array<string>")))
+    counted = hashing_tf("_words", "_counts", tables.buckets).transform(df.select(F.col(key).alias("_key"), terms.alias("_words")))
+    counts = F.unwrap_udt("_counts")
+    bags = counted.select("_key", F.explode(F.arrays_zip(counts["indices"].alias("bucket"), counts["values"].alias("n"))).alias("e"))
     classes = range(len(tables.intercepts))
-    sums = bags.join(terms, "term").groupBy("_key").agg(*[F.sum(F.col("n") * F.col("w")[c]).alias(f"s{c}") for c in classes])
+    sums = bags.select("_key", "e.bucket", "e.n").join(tables.weights, "bucket").groupBy("_key").agg(*[F.sum(F.col("n") * F.col("w")[c]).alias(f"s{c}") for c in classes])
     rows = df.select(key).join(sums, F.col(key) == F.col("_key"), "left")
     totals = F.array(*[F.coalesce(f"s{c}", F.lit(0.0)) + F.lit(float(tables.intercepts[c])) for c in classes])
     best = F.array_max("scores")

@@ -54,16 +54,17 @@ def score_terms(df: DataFrame, model: TermBayes, key: str) -> DataFrame:
     training count for no class. Ties go to the smaller class. `confidence` is the
     posterior of the prediction, `margin` how far its score is above the next one's.
     `key` is unique. What a class lacks is added by the number of known terms, so the join
-    has a row per term of a text and not one per class.
+    has a row per term of a text and not one per class. Terms go to the join as they stand:
+    counting them by text first would shuffle and hold them once more.
     """
     classes = model.classes.orderBy("label").collect()  # a row per class
     if not classes:
         raise ValueError("nothing was learned: no labelled rows")
     over = [F.sum(F.when(F.col("label") == c["label"], F.col("log_prob") - F.lit(c["log_unseen"]))) for c in classes]
     wide = model.terms.groupBy("term").agg(F.array(*[F.coalesce(x, F.lit(0.0)) for x in over]).alias("over"))
-    bags = df.select(F.col(key).alias("_key"), F.explode(model.words).alias("term")).groupBy("_key", "term").agg(F.count(F.lit(1)).alias("n"))
-    sums = bags.join(wide, "term").groupBy("_key").agg(
-        F.sum("n").alias("known"), *[F.sum(F.col("n") * F.col("over")[i]).alias(f"s{i}") for i in range(len(classes))]
+    found = df.select(F.col(key).alias("_key"), F.explode(model.words).alias("term")).join(wide, "term")
+    sums = found.groupBy("_key").agg(
+        F.count(F.lit(1)).alias("known"), *[F.sum(F.col("over")[i]).alias(f"s{i}") for i in range(len(classes))]
     )
     rows = df.select(key).join(sums, F.col(key) == F.col("_key"), "left")
 

@@ -27,12 +27,17 @@ def pair_counts(df: DataFrame, words: str = "filtered", window: int = WINDOW, mi
     """
     ahead = F.transform(words, lambda w, i: F.struct(w.alias("word"), F.slice(F.col(words), i + 2, F.lit(window)).alias("near")))
     pairs = df.select(F.explode(ahead).alias("p")).select("p.word", F.explode("p.near").alias("context"))
-    forward = pairs.groupBy("word", "context").agg(F.count(F.lit(1)).alias("n"))
-    backward = forward.select(F.col("context").alias("word"), F.col("word").alias("context"), "n")
-    both = forward.unionByName(backward).groupBy("word", "context").agg(F.sum("n").alias("n"))
     often = df.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("c"))
-    often = often.filter(F.col("c") >= min_count).select("word")
-    return both.join(often, "word", "left_semi").join(often.withColumnRenamed("word", "context"), "context", "left_semi")
+    often = written(often.filter(F.col("c") >= min_count).select("word"), "often")
+    # Either way of a pair gives the same key, so a pair is shuffled and counted once; rare words are dropped before both ways are made.
+    one, two = F.least("word", "context"), F.greatest("word", "context")
+    counted = pairs.groupBy(one.alias("word"), two.alias("context")).agg(F.count(F.lit(1)).alias("n"))
+    kept = counted.join(often, "word", "left_semi").join(often.withColumnRenamed("word", "context"), "context", "left_semi")
+    # A word next to itself is a pair in both ways.
+    kept = kept.withColumn("n", F.when(F.col("word") == F.col("context"), 2 * F.col("n")).otherwise(F.col("n")))
+    ways = F.array(F.struct("word", "context"), F.struct(F.col("context").alias("word"), F.col("word").alias("context")))
+    ways = F.when(F.col("word") == F.col("context"), F.slice(ways, 1, 1)).otherwise(ways)
+    return kept.select(F.explode(ways).alias("p"), "n").select("p.word", "p.context", "n")
 
 
 def positive_pmi(counts: DataFrame) -> DataFrame:

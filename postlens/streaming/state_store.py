@@ -89,19 +89,34 @@ def write_batch(
 
     keys = KeyStore(spark, f"{state_dir}/{KEYS}", "post_id")
     if dedup:
-        # Scored once into a folder of its own, whose size then tells Spark how to join.
-        incoming_path = f"{state_dir}/_incoming/{own}"
-        batch.write.mode("overwrite").partitionBy(SIDE).parquet(incoming_path)
-        incoming = stored_at(incoming_path)
-        good = dedup_first(incoming.filter(~F.col(SIDE)), "post_id", ["timestamp", "source", "text"])
-        if dedup == "keyed":
-            new = keys.unseen(good, batch_id).select(*batch.columns)
-        else:
-            earlier = _read(spark, _table(state_dir, CLASSIFIED), batch.schema).filter(
-                (F.col("batch_id") < batch_id) & ~F.col(SIDE)
-            )
-            new = st.absent(earlier, good, "post_id").select(*batch.columns)
-        batch = new.unionByName(incoming.filter(F.col(SIDE)).select(*batch.columns))
+        earlier = _read(spark, _table(state_dir, CLASSIFIED), batch.schema).filter((F.col("batch_id") < batch_id) & ~F.col(SIDE))
+
+        def unseen(rows: DataFrame) -> DataFrame:
+            return keys.unseen(rows, batch_id) if dedup == "keyed" else st.absent(earlier, rows, "post_id")
+
+        # Keys alone tell what is new. Texts are shuffled only where a new key repeats within the
+        # batch, or where some keys are new and others not and the new ones are many.
+        good, bad = batch.filter(~F.col(SIDE)), batch.filter(F.col(SIDE))
+        keys_path = f"{state_dir}/_incoming_keys/{own}"
+        good.groupBy("post_id").agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(keys_path)
+        counted = spark.read.schema(T.StructType([batch.schema["post_id"], T.StructField("n", T.LongType())])).parquet(keys_path)
+        # Written, so that its size tells Spark how to join.
+        new_path = f"{state_dir}/_incoming_new/{own}"
+        unseen(counted).select("post_id", "n").write.mode("overwrite").parquet(new_path)
+        new = spark.read.schema(counted.schema).parquet(new_path)
+        sums = new.agg(F.count(F.lit(1)).alias("keys"), F.sum("n").alias("rows")).first()
+        if not sums["keys"]:
+            batch = bad
+        elif sums["keys"] < counted.count():
+            known = new.withColumnRenamed("post_id", "_new_key")
+            batch = good.join(known, F.col("post_id").eqNullSafe(F.col("_new_key")), "left_semi").unionByName(bad)
+        if sums["keys"] and sums["rows"] > sums["keys"]:
+            # Scored once into a folder of its own.
+            incoming_path = f"{state_dir}/_incoming/{own}"
+            batch.write.mode("overwrite").partitionBy(SIDE).parquet(incoming_path)
+            incoming = stored_at(incoming_path)
+            first = dedup_first(incoming.filter(~F.col(SIDE)), "post_id", ["timestamp", "source", "text"])
+            batch = first.select(*batch.columns).unionByName(incoming.filter(F.col(SIDE)).select(*batch.columns))
     batch.write.mode("overwrite").partitionBy(SIDE).parquet(rows_path)
     stored = stored_at(rows_path).filter(~F.col(SIDE))
 

@@ -1,10 +1,13 @@
 """How often the texts are gone through: learners and scorers must not split them again for each pass."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlens.operators import classifier, linear_tables, term_bayes, word_vectors
+from __spark_entry__ import queries
+from postlens.operators import classifier, linear_tables, term_bayes, word_vectors, words
 from postlens.streaming import state_store
 
 DATA = [(i, i % 3, f"{'alpha beta' if i % 3 else 'gamma'} w{i % 7} w{i % 5} delta") for i in range(60)]
@@ -88,3 +91,35 @@ def test_a_batch_without_new_repeats_stores_no_second_copy_of_its_texts(spark, t
     assert stored() == [(0, 1), (0, 2), (0, 3), (2, 4), (3, 5), (3, 6)]
     state_store.write_batch(batch([1, 2, 3]), 1, state, dedup)
     assert stored() == [(0, 1), (0, 2), (0, 3), (2, 4), (3, 5), (3, 6)]
+
+
+def test_grams_are_counted_without_a_table_of_all_of_a_map_task(spark, sf_dir):
+    """Every map task used to hold all of its grams, nearly all of them rare, and to sort and spill them."""
+    plan = queries()["c19_tfidf_ngram_features"](spark, sf_dir)._jdf.queryExecution().toString().split("Physical Plan")[-1]
+    above, below = plan.split("Exchange", 1)
+    assert "Aggregate" in above and "Aggregate" not in below
+
+
+@pytest.mark.parametrize("n", [1, 2, 3])
+@pytest.mark.parametrize("slice_bytes", [1, 1 << 25])
+def test_grams_of_texts_that_cross_slices(spark, slice_bytes, n, monkeypatch):
+    monkeypatch.setattr(words, "SLICE_BYTES", slice_bytes)
+    batch_rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch_rows)
+    texts = [["a", "b", "a", "b", "a", "é", "a b"], [], ["b"], None, ["a", "a"], ["c"] * 9, ["b", "a"]]
+    df = spark.createDataFrame([(t,) for t in texts], "filtered array<string>").coalesce(1)
+    wanted = Counter(" ".join(t[i : i + k]) for t in texts if t for k in range(1, n + 1) for i in range(len(t) - k + 1))
+    try:
+        for rows in ("1", "2", "5", before):
+            spark.conf.set(batch_rows, rows)
+            assert {tuple(r) for r in words.gram_counts(df, "filtered", n).collect()} == set(wanted.items())
+    finally:
+        spark.conf.set(batch_rows, before)
+
+
+def test_counted_grams_are_those_of_the_stages(spark):
+    df = spark.createDataFrame([("The Token's free, the FREE token; ŒUVRE x y_1 2 token",), ("",), ("the",), ("Éa éA b",)], "text string")
+    staged = classifier.Pipeline(stages=classifier.ngram_stages(n=3)[:-3]).fit(df).transform(df)
+    wanted = Counter(g for r in staged.collect() for g in r["grams"])
+    assert {tuple(r) for r in classifier.ngram_counts(df, n=3).collect()} == set(wanted.items())
+    assert classifier.ngram_counts(df.limit(0)).collect() == []

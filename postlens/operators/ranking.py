@@ -16,7 +16,7 @@ def _columns(order: Sequence[str | Column]) -> list[Column]:
 
 
 def top_per_group(
-    df: DataFrame, group: Sequence[str], n: int, order: Sequence[str | Column], salts: int = SALTS
+    df: DataFrame, group: Sequence[str], n: int, order: Sequence[str | Column], salts: int = SALTS, by_task: bool = False
 ) -> DataFrame:
     """The first `n` rows of every group in the given order.
 
@@ -24,11 +24,13 @@ def top_per_group(
     because the first `n` rows of a group are among the first `n` of their parts; the
     rest, at most `salts * n` rows of a group, is ranked once more. The plan is the same
     for any `n`. Where Spark itself limits groups in the map tasks, the first step moves
-    few rows. Rows that are equal in all columns share a part.
+    few rows. Rows that are equal in all columns share a part, or with `by_task` those of a
+    map task, which then sends `n` rows of a group where it would send `salts` times as many.
     """
     order = _columns(order)
     hashable = [name for name, kind in df.dtypes if "map<" not in kind]
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashable]), F.lit(salts)))
+    dealt = F.spark_partition_id() if by_task else F.xxhash64(*[F.col(f"`{c}`") for c in hashable])
+    salted = df.withColumn("_salt", F.pmod(dealt, F.lit(salts)))
     part = Window.partitionBy(*group, "_salt").orderBy(*order)
     cut = salted.withColumn("_rn", F.row_number().over(part)).filter(F.col("_rn") <= n).drop("_salt", "_rn")
     whole = Window.partitionBy(*group).orderBy(*order)

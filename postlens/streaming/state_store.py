@@ -19,11 +19,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postlens.functions.text import WORD_PATTERN
 from postlens.operators import heavy_hitters, rank_summary
 from postlens.operators import state as st
 from postlens.operators.latency import with_latency
 from postlens.operators.ranking import dedup_first
-from postlens.operators.words import explode_words, filter_words
+from postlens.operators.words import explode_words
 from postlens.schema import STATE_SCHEMAS, STATE_TABLES
 from postlens.sources.codec import BAD
 from postlens.streaming.key_store import KeyStore
@@ -169,8 +170,8 @@ def read_top_keywords(
     """The first `n` keywords of every class, exact; stored posts are read only where the summaries leave a word open."""
     merged = heavy_hitters.merge(read_summary(spark, state_dir, KEYWORD_SUMMARY), size)
     posts = read_classified(spark, state_dir, T.StructType.fromDDL("category int, text string"))
-    occurrences = filter_words(explode_words(posts, ["category"])).select("category", F.col("word").alias("keyword"), F.lit(1).alias("frequency"))
-    return heavy_hitters.exact_top(merged, occurrences, n)
+    occurrences = explode_words(posts, ["category"]).select("category", F.col("word").alias("keyword"), F.lit(1).alias("frequency"))
+    return heavy_hitters.exact_top(merged, occurrences, n, F.col("keyword").rlike(WORD_PATTERN))
 
 
 def read_classified(spark: SparkSession, state_dir: str, schema: T.StructType) -> DataFrame:

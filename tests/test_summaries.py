@@ -65,6 +65,37 @@ def test_top_is_exact_and_recounts_only_if_bounds_need_it(spark, size, n, recoun
         assert any(r.low < r.high for r in found) and not any(r.open for r in found)
 
 
+def reads_counted(spark, whole):
+    """The words of a counter as rows of one occurrence each, and a count of how often a row was read."""
+    reads = spark.sparkContext.accumulator(0)
+    rows = [(c, w, 1) for (c, w), k in whole.items() for _ in range(k)]
+    rdd = spark.sparkContext.parallelize(rows, 2).map(lambda r: (reads.add(1), r)[1])
+    return spark.createDataFrame(rdd, COUNTS), reads, len(rows)
+
+
+@pytest.mark.parametrize("classes", [[0], [1], [0, 1]])
+def test_occurrences_are_read_once_with_words_that_are_left_out(spark, classes):
+    """They used to be read once for the words in doubt and once more for the open classes, even if there were none."""
+    # The first class has a word in doubt, the second is open.
+    listed = [(0, "a", 5, 5, 2), (0, "b", 3, 6, 2), (0, None, 0, 2, 2), (1, "x", 1, 1, 4), (1, None, 0, 4, 4)]
+    summary = spark.createDataFrame([r for r in listed if r[0] in classes], heavy_hitters.SUMMARY_SCHEMA).coalesce(1)
+    whole = Counter({(0, "a"): 5, (0, "b"): 6, (0, "c"): 2, (1, "x"): 1, (1, "y"): 4})
+    occurrences, reads, rows = reads_counted(spark, whole + Counter({(0, "left out"): 9, (1, "left out"): 9}))
+    top = heavy_hitters.exact_top(summary, occurrences, 1, F.col("keyword") != "left out")
+    assert {tuple(r) for r in top.collect()} == {r for r in [(0, "b", 6), (1, "y", 4)] if r[0] in classes}
+    assert reads.value == rows
+
+
+def test_a_summary_reads_its_counts_once(spark):
+    whole = sum(batches(3), Counter())
+    occurrences, reads, rows = reads_counted(spark, whole)
+    counts = occurrences.groupBy("category", "keyword").agg(F.sum("frequency").alias("frequency"))
+    plan = heavy_hitters.summarize(counts, 12)._jdf.queryExecution().toString().split("Physical Plan")[-1]
+    assert plan.count("Scan ExistingRDD") == 1
+    got = heavy_hitters.summarize(counts, 12).collect()
+    assert sum(r.keyword is None for r in got) == 2 and sum(r.keyword is not None for r in got) == 24
+
+
 def test_summary_of_nothing_and_of_few_words(spark):
     empty = heavy_hitters.summarize(counted(spark, {}), 3)
     assert empty.collect() == []

@@ -27,53 +27,54 @@ covered whole. Packets of hashes and texts are compressed for the shuffles.
 Edge cases: a null text is empty. A text of fewer bytes than `min_len` stays whole. A
 null id comes after all others; equal ids are ordered by a hash of the text, and of
 rows that repeat id and text one is the first. Only id and text are read. Texts are
-scanned in segments, and may hold any bytes. An empty table gives no rows.
+scanned one after the other in segments, and may hold any bytes. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlens.llm.common import mixed, payload, possible, saved, text_key
+from postlens.llm.common import mixed, payload, possible, saved, smaller, text_key
 
 MIN_LEN = 100
 GRAM = 24
-SEGMENT = 1 << 20
+SEGMENT = 1 << 14
+SLICE_BYTES = 1 << 22
 CHUNK_ANCHORS = 1 << 19
-CHUNK_RUNS = 1 << 15
+CHUNK_RUNS = 1 << 16
 CHUNK_WINDOWS = 1 << 17
 HOT_WINDOWS = 1 << 17
 LAST = (1 << 63) - 1
 _BASE = np.uint64(0x9E3779B97F4A7C55)
+_SPREAD = np.uint64(0x94D049BB133111EB)
 _LOW = np.uint64(0xFFFFFFFF)
 
 
 def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
-    """A hash of the `size` bytes from each place on, built up from halves."""
-    done = None
-    covered = 0
-    block, width, factor = mixed(data.astype(np.uint64) + np.uint64(1)), 1, int(_BASE)
-    while True:
-        if size & width:
-            if done is None:
-                done, covered = block, width
-            else:
-                n = len(data) - covered - width + 1
-                done = (done[:n] * _BASE) ^ (block[covered : covered + n] + (done[:n] >> np.uint64(31)))
-                covered += width
-        if covered == size:
-            return mixed(done)
-        n = max(0, len(data) - 2 * width + 1)
-        block = block[:n] * np.uint64(factor) + block[width : width + n]
-        block ^= block >> np.uint64(29)
-        width, factor = 2 * width, factor * factor % (1 << 64)
+    """A hash of the `size` bytes from each place on, taken in words of eight bytes; the last word may overlap the one before."""
+    n = max(0, len(data) - size + 1)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    words = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,)).astype(np.uint64)
+    if size < 8:
+        return mixed((words[:n] & np.uint64((1 << 8 * size) - 1)) + _BASE)
+    done = words[:n] * _BASE
+    for at in [*range(8, size - 8, 8), *[size - 8][: size - 8]]:
+        done ^= done >> np.uint64(32)
+        done += words[at : at + n]
+        done *= _BASE
+    done ^= done >> np.uint64(29)
+    done *= _SPREAD
+    done ^= done >> np.uint64(32)
+    return done
 
 
 def least_in_windows(values: np.ndarray, width: int) -> np.ndarray:
@@ -86,22 +87,45 @@ def least_in_windows(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-def runs(text: bytes, min_len: int) -> tuple[np.ndarray, ...]:
-    """(hash, anchor, first window, last window) for each run of windows with one anchor."""
+def _bytes(column: pa.Array) -> tuple[np.ndarray, ...]:
+    """(all bytes, start, size) of strings without nulls."""
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    start, data = offsets - offsets[0], column.buffers()[2]
+    flat = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data else np.zeros(0, np.uint8)
+    return flat, start[:-1], np.diff(start)
+
+
+def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """`count` numbers from each `first` on."""
+    return np.arange(count.sum()) + np.repeat(first - (np.cumsum(count) - count), count)
+
+
+def runs(data: np.ndarray, start: np.ndarray, size: np.ndarray, min_len: int) -> tuple[np.ndarray, ...]:
+    """(text, hash, anchor, first window, last window) for each run of windows with one anchor, in the texts that follow one another in `data`."""
     gram = min(GRAM, max(1, min_len // 4))
     found = []
-    for at in range(0, max(0, len(text) - min_len + 1), SEGMENT):
-        data = np.frombuffer(text, np.uint8, min(len(text) - at, SEGMENT + min_len - 1), at)
-        hashed = gram_hashes(data, gram)
+    for at in range(0, max(0, len(data) - min_len + 1), SEGMENT):
+        hashed = gram_hashes(data[at : at + SEGMENT + min_len - 1], gram)
         keyed = (hashed & ~_LOW) | np.arange(len(hashed), dtype=np.uint64)
         place = (least_in_windows(keyed, min_len - gram + 1) & _LOW).astype(np.int64)
-        first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-        last = np.r_[first[1:], len(place)] - 1
+        first = np.concatenate([[0], np.flatnonzero(place[1:] != place[:-1]) + 1])
         anchor = place[first]
-        found.append((hashed[anchor], anchor + at, first + at, last + at))
+        found.append((hashed[anchor], anchor + at, first + at))
     if not found:
-        return np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3
-    return tuple(np.concatenate(x) for x in zip(*found))
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3
+    hashed, anchor, first = (np.concatenate(x) for x in zip(*found))
+    # A run may go on in the next segment.
+    whole = np.r_[True, anchor[1:] != anchor[:-1]]
+    hashed, anchor, first = hashed[whole], anchor[whole], first[whole]
+    # Windows over the end of a text are none of its own.
+    text = np.flatnonzero(size >= min_len)
+    low, high = start[text], start[text] + size[text] - min_len
+    from_, to = np.searchsorted(first, low, "right") - 1, np.searchsorted(first, high, "right")
+    here, text = _ranges(from_, to - from_), np.repeat(text, to - from_)
+    last = np.minimum(np.r_[first[1:] - 1, len(data)][here], np.repeat(high, to - from_))
+    first = np.maximum(first[here], start[text])
+    return text, hashed[here], anchor[here] - start[text], first - start[text], last - start[text]
 
 
 def earlier_factor(suffixes: np.ndarray, position: np.ndarray) -> np.ndarray:
@@ -130,6 +154,30 @@ def earlier_factor(suffixes: np.ndarray, position: np.ndarray) -> np.ndarray:
     return out
 
 
+def _merged(key: np.ndarray, tkey: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The spans of each text in order, those that touch in one."""
+    order = np.lexsort((start, tkey, key))
+    key, tkey, start, end = key[order], tkey[order], start[order], end[order]
+    if not len(order):
+        return key, tkey, start, end
+    other = np.r_[True, (key[1:] != key[:-1]) | (tkey[1:] != tkey[:-1])]
+    # Texts take turns in value, so that a running end never reaches over a border.
+    turn = np.cumsum(other) * (int(end.max()) + 1)
+    reach = np.maximum.accumulate(end + turn) - turn
+    first = np.flatnonzero(other | np.r_[True, start[1:] > reach[:-1]])
+    return key[first], tkey[first], start[first], reach[np.r_[first[1:], len(order)] - 1]
+
+
+def _earliest(data: pa.Array, key: np.ndarray, tkey: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the earliest of equal strings are, and where those at other places are."""
+    code = data.dictionary_encode().indices.to_numpy()
+    order = np.lexsort((first, tkey, key, code))
+    leads = np.r_[True, code[order][1:] != code[order][:-1]][: len(order)]
+    own = order[leads][np.cumsum(leads) - 1]
+    other = (key[order] != key[own]) | (tkey[order] != tkey[own]) | (first[order] != first[own])
+    return order[leads], order[other]
+
+
 def _batch(schema: str, *columns) -> pa.RecordBatch:
     kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
     named = [f.split() for f in schema.split(", ")]
@@ -178,21 +226,20 @@ def _anchors(min_len: int, buckets: int):
             rows = list(chunk_rows(*[np.concatenate(x) for x in zip(*chunk)]))
             return _batch(ANCHORS, *zip(*rows))
 
-        for batch in batches:
-            for tkey, text in zip(batch.column("tkey").to_pylist(), batch.column("text")):
-                if tkey in known:
-                    continue
-                known.add(tkey)
-                hashed, anchor, *_ = runs(text.as_py(), min_len)
-                if not len(hashed):
-                    continue
-                chunk.append((hashed, np.full(len(hashed), tkey, np.int64), anchor))
-                held += len(hashed)
-                if held > CHUNK_ANCHORS:
-                    yield flush()
-                    chunk.clear()
-                    known.clear()
-                    held = 0
+        for batch in smaller(batches, "text", SLICE_BYTES):
+            # Adds a key and tells whether it is new.
+            new = [t not in known and not known.add(t) for t in batch.column("tkey").to_pylist()]
+            batch = batch.filter(pa.array(new, pa.bool_()))
+            text, hashed, anchor, *_ = runs(*_bytes(batch.column("text")), min_len)
+            if not len(hashed):
+                continue
+            chunk.append((hashed, batch.column("tkey").to_numpy()[text], anchor))
+            held += len(hashed)
+            if held > CHUNK_ANCHORS:
+                yield flush()
+                chunk.clear()
+                known.clear()
+                held = 0
         if chunk:
             yield flush()
 
@@ -264,48 +311,73 @@ def _unpacked(column: pa.Array) -> Iterator[bytes]:
         yield unpack.decompress(x.as_py())
 
 
-RUNS = "gram long, key long, tkey long, first long, bytes binary"
+RUNS = "gram long, key long, tkey long, first long, size long, bytes binary"
+
+
+def _covered_rows(key: np.ndarray, tkey: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Spans as rows of runs without gram and bytes."""
+    if len(key):
+        yield _batch(RUNS, pa.nulls(len(key), pa.int64()), key, tkey, start, end - start, pa.nulls(len(key), pa.binary()))
+
+
+def _texts_and_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(key, tkey, lists of places, text) of about `SLICE_BYTES` bytes of texts at a time."""
+    held: list[tuple] = []
+    size = 0
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("key", "tkey", "places")]
+        for row in zip(*columns, _unpacked(batch.column("packed"))):
+            held.append(row)
+            size += len(row[3])
+            if size > SLICE_BYTES:
+                yield tuple(zip(*held))
+                held, size = [], 0
+    if held:
+        yield tuple(zip(*held))
 
 
 def _runs_of_repeats(min_len: int):
     """The bytes under each run of a repeated anchor.
 
-    Of equal runs in a chunk only the earliest is sent as bytes; the others (gram null)
-    are covered, and come with the number of their bytes.
+    Of equal runs in a chunk only the earliest is sent as bytes; the others (gram and
+    bytes null) are covered, those that touch as one.
     """
 
     def repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: dict[tuple[int, bytes], tuple[int, int, int]] = {}
-        covered: list[tuple[int, int, int, int]] = []
+        chunk: list[tuple] = []
+        held = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            if sent:
-                rows = [(g, *place, data) for (g, data), place in sent.items()]
-                yield _batch(RUNS, *zip(*rows))
-            if covered:
-                rows = [(None, k, t, f, n.to_bytes(8, "little")) for k, t, f, n in covered]
-                yield _batch(RUNS, *zip(*rows))
-
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("key", "tkey", "places")]
-            for key, tkey, lists, text in zip(*columns, _unpacked(batch.column("packed"))):
-                wanted = np.frombuffer(b"".join(lists), np.uint32)
-                hashed, anchor, first, last = runs(text, min_len)
-                here = np.isin(anchor, wanted)
-                for g, a, b in zip(hashed[here].view(np.int64).tolist(), first[here].tolist(), last[here].tolist()):
-                    data = text[a : b + min_len]
-                    place = (key, tkey, a)
-                    known = sent.get((g, data))
-                    if known is None:
-                        sent[g, data] = place
-                    elif known != place:
-                        sent[g, data], later = min(known, place), max(known, place)
-                        covered.append((*later, len(data)))
-                if len(sent) + len(covered) > CHUNK_RUNS:
-                    yield from flush()
-                    sent.clear()
-                    covered.clear()
-        yield from flush()
+            gram, key, tkey, first = (np.concatenate(x) for x in list(zip(*chunk))[:4])
+            data = pa.concat_arrays([x[4] for x in chunk])
+            size = pc.binary_length(data).to_numpy().astype(np.int64)
+            sent, later = _earliest(data, key, tkey, first)
+            yield _batch(RUNS, gram[sent], key[sent], tkey[sent], first[sent], size[sent], data.take(pa.array(sent)))
+            yield from _covered_rows(*_merged(key[later], tkey[later], first[later], (first + size)[later]))
+
+        for keys, tkeys, lists, texts in _texts_and_lists(batches):
+            places = [b"".join(some) for some in lists]
+            count = np.array([len(some) // 4 for some in places])
+            wanted = np.sort(np.repeat(np.arange(len(texts)), count) << 32 | np.frombuffer(b"".join(places), np.uint32))
+            size = np.array([len(t) for t in texts])
+            start = np.cumsum(size) - size
+            flat = b"".join(texts)
+            text, hashed, anchor, first, last = runs(np.frombuffer(flat, np.uint8), start, size, min_len)
+            place = text << 32 | anchor
+            here = np.searchsorted(wanted, place, "right") > np.searchsorted(wanted, place)
+            text, hashed, first, last = text[here], hashed[here], first[here], last[here]
+            if not len(text):
+                continue
+            at, to = (first + start[text]).tolist(), (last + start[text] + min_len).tolist()
+            data = pa.array([flat[a:b] for a, b in zip(at, to)], pa.binary())
+            chunk.append((hashed.view(np.int64), np.array(keys, np.int64)[text], np.array(tkeys, np.int64)[text], first, data))
+            held += len(text)
+            if held > CHUNK_RUNS:
+                yield from flush()
+                chunk.clear()
+                held = 0
+        if chunk:
+            yield from flush()
 
     return repeats
 
@@ -313,17 +385,31 @@ def _runs_of_repeats(min_len: int):
 SPANS = "key long, tkey long, start long, end long"
 
 
-def _suffixes(group: list[tuple[int, int, int, bytes]], min_len: int) -> tuple[np.ndarray, ...]:
-    """(key, tkey, start, hash, bytes, whether it has an earlier factor) for each window of runs (key, tkey, first, bytes)."""
-    keys, tkeys, firsts = (np.array(x, np.int64) for x in list(zip(*group))[:3])
-    size = np.array([len(run[3]) for run in group])
-    flat = np.frombuffer(b"".join(run[3] for run in group), np.uint8)
-    n = size - min_len + 1
-    owner = np.repeat(np.arange(len(group)), n)
-    within = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
-    at = (np.cumsum(size) - size)[owner] + within
-    windows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(flat, min_len)[at]).view(f"S{min_len}").ravel()
-    key, tkey, start = keys[owner], tkeys[owner], firsts[owner] + within
+def _shared(values: np.ndarray) -> np.ndarray:
+    """Whether a value is there more than once."""
+    order = np.argsort(values)
+    same = values[order][1:] == values[order][:-1]
+    out = np.zeros(len(values), bool)
+    out[order[1:][same]] = out[order[:-1][same]] = True
+    return out
+
+
+def _suffixes(key: np.ndarray, tkey: np.ndarray, first: np.ndarray, data: pa.Array, min_len: int) -> tuple[np.ndarray, ...]:
+    """(key, tkey, start, hash, bytes, whether it has an earlier factor) for each window of runs in order of their places.
+
+    Windows whose hash no other one has are equal to none: only the others are sorted.
+    """
+    order = np.lexsort((first, tkey, key))
+    flat, at, size = _bytes(data)
+    n = (size - min_len + 1)[order]
+    owner = np.repeat(order, n)
+    within = _ranges(np.zeros(len(n), np.int64), n)
+    at = at[owner] + within
+    hashed = gram_hashes(flat, min_len)[at]
+    key, tkey, start = key[owner], tkey[owner], first[owner] + within
+    again = np.flatnonzero(_shared(hashed))
+    windows = np.lib.stride_tricks.sliding_window_view(flat, min_len)
+    sorted_ = np.ascontiguousarray(windows[at[again]]).view(f"S{min_len}").ravel()
     order = np.lexsort((start, tkey, key))
     # The same place of a row that repeats id and text has the same position.
     new = np.zeros(len(order), np.int64)
@@ -331,7 +417,9 @@ def _suffixes(group: list[tuple[int, int, int, bytes]], min_len: int) -> tuple[n
         new[1:] |= column[order][1:] != column[order][:-1]
     position = np.empty(len(order), np.int64)
     position[order] = np.cumsum(new)
-    return key, tkey, start, gram_hashes(flat, min_len)[at].view(np.int64), windows, earlier_factor(windows, position)
+    hit = np.zeros(len(at), bool)
+    hit[again] = earlier_factor(sorted_, position[again])
+    return key, tkey, start, hashed, at, hit
 
 
 def _stretches(key: np.ndarray, tkey: np.ndarray, start: np.ndarray, hit: np.ndarray, min_len: int) -> tuple[np.ndarray, ...]:
@@ -342,36 +430,36 @@ def _stretches(key: np.ndarray, tkey: np.ndarray, start: np.ndarray, hit: np.nda
     return key[first], tkey[first], start[first], start[last] + min_len
 
 
+def _held(batches: list[pa.RecordBatch]) -> tuple:
+    """(gram, key, tkey, first, bytes) of runs."""
+    rows = pa.Table.from_batches(batches).combine_chunks()
+    [data] = rows.column("bytes").chunks or [pa.array([], pa.binary())]
+    return *[rows.column(c).to_numpy() for c in ("gram", "key", "tkey", "first")], data
+
+
 def _single_windows(min_len: int):
     """Runs as single windows, each with the hash of its bytes as its gram.
 
     Of equal windows in a chunk only the earliest is sent as bytes; the others (gram
-    null) are covered, and come with the number of their bytes.
+    and bytes null) are covered.
     """
 
-    def cut(group: list[tuple[int, int, int, bytes]]) -> Iterator[pa.RecordBatch]:
-        key, tkey, start, hashed, windows, hit = _suffixes(group, min_len)
-        *place, end = _stretches(key, tkey, start, hit, min_len)
-        if len(end):
-            sizes = [n.to_bytes(8, "little") for n in (end - place[2]).tolist()]
-            yield _batch(RUNS, [None] * len(end), *place, sizes)
+    def cut(_, keys: np.ndarray, tkeys: np.ndarray, firsts: np.ndarray, data: pa.Array) -> Iterator[pa.RecordBatch]:
+        key, tkey, start, hashed, at, hit = _suffixes(keys, tkeys, firsts, data, min_len)
+        yield from _covered_rows(*_stretches(key, tkey, start, hit, min_len))
+        flat = _bytes(data)[0].tobytes()
         left = np.flatnonzero(~hit)
         for some in np.split(left, range(10000, len(left), 10000)):
-            raw = windows[some].tobytes()
-            yield _batch(RUNS, hashed[some], key[some], tkey[some], start[some], [raw[i : i + min_len] for i in range(0, len(raw), min_len)])
+            single = [flat[a : a + min_len] for a in at[some].tolist()]
+            yield _batch(RUNS, hashed.view(np.int64)[some], key[some], tkey[some], start[some], np.full(len(some), min_len), single)
 
     def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: list[tuple[int, int, int, bytes]] = []
-        windows = 0
         for batch in batches:
-            for row in zip(*[batch.column(c).to_pylist() for c in ("key", "tkey", "first", "bytes")]):
-                group.append(row)
-                windows += len(row[3]) - min_len + 1
-                if windows > CHUNK_WINDOWS:
-                    yield from cut(group)
-                    group, windows = [], 0
-        if group:
-            yield from cut(group)
+            windows = np.cumsum(batch.column("size").to_numpy() - min_len + 1)
+            cuts = np.searchsorted(windows, np.arange(CHUNK_WINDOWS, windows[-1] if len(windows) else 0, CHUNK_WINDOWS))
+            for a, b in zip([0, *cuts], [*cuts, len(windows)]):
+                if b > a:
+                    yield from cut(*_held([batch.slice(a, b - a)]))
 
     return single
 
@@ -380,7 +468,7 @@ def dealt_runs(found: DataFrame, min_len: int) -> DataFrame:
     """The runs found, those of hot grams as single windows: no gram is left with more windows than one task takes,
     other than equal ones of different chunks."""
     sent = found.filter("gram IS NOT NULL")
-    n = F.octet_length("bytes").cast("long") - (min_len - 1)
+    n = F.col("size") - (min_len - 1)
     hot = saved(sent.groupBy("gram").agg(F.sum(n).alias("n")).filter(F.col("n") > HOT_WINDOWS).select("gram"), "hot")
     if hot.isEmpty():
         return found
@@ -392,44 +480,44 @@ def dealt_runs(found: DataFrame, min_len: int) -> DataFrame:
 def _matches(min_len: int):
     """Removed spans of the runs of each gram; input is sorted by gram."""
 
-    def matched(group: list[tuple[int, int, int, int, bytes]]) -> Iterator[pa.RecordBatch]:
-        """Of runs (gram, key, tkey, first, bytes) of whole grams."""
-        earliest: dict[tuple[int, bytes], tuple[int, int, int]] = {}
-        singles: list[tuple[int, int, int, bytes]] = []
-        spans: list[tuple[int, int, int, int]] = []
-        variants: dict[int, int] = {}
-        for gram, key, tkey, first, data in group:
-            if len(data) == min_len:
-                singles.append((key, tkey, first, data))
-                variants[gram] = variants.get(gram, 0) + 1
-                continue
-            place = (key, tkey, first)
-            known = earliest.setdefault((gram, data), place)
-            if known != place:
-                earliest[gram, data], later = min(known, place), max(known, place)
-                spans.append((*later, later[2] + len(data)))
-        for gram, _ in earliest:
-            variants[gram] = variants.get(gram, 0) + 1
-        several = sorted((*place, data) for (gram, data), place in earliest.items() if variants[gram] > 1)
-        several += singles
-        if several:
-            key, tkey, start, _, _, hit = _suffixes(several, min_len)
-            spans.extend(zip(*[x.tolist() for x in _stretches(key, tkey, start, hit, min_len)]))
-        if spans:
-            yield _batch(SPANS, *zip(*spans))
+    def matched(gram: np.ndarray, key: np.ndarray, tkey: np.ndarray, first: np.ndarray, data: pa.Array) -> Iterator[pa.RecordBatch]:
+        """Of runs of whole grams."""
+        size = pc.binary_length(data).to_numpy().astype(np.int64)
+        group = np.cumsum(np.r_[False, gram[1:] != gram[:-1]])
+        longer, single = np.flatnonzero(size > min_len), np.flatnonzero(size == min_len)
+        kept, later = (longer[x] for x in _earliest(data.take(pa.array(longer)), key[longer], tkey[longer], first[longer]))
+        spans = [(key[later], tkey[later], first[later], (first + size)[later])]
+        left = np.r_[kept, single]
+        several = left[np.bincount(group[left], minlength=group[-1] + 1)[group[left]] > 1]
+        if len(several):
+            key, tkey, start, _, _, hit = _suffixes(key[several], tkey[several], first[several], data.take(pa.array(several)), min_len)
+            spans.append(_stretches(key, tkey, start, hit, min_len))
+        columns = _merged(*[np.concatenate(x) for x in zip(*spans)])
+        if len(columns[0]):
+            yield _batch(SPANS, *columns)
 
     def matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: list[tuple[int, int, int, int, bytes]] = []
-        windows = 0
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            for row in zip(*[c.to_pylist() for c in batch.columns]):
-                if windows > CHUNK_WINDOWS and row[0] != group[-1][0]:
-                    yield from matched(group)
-                    group, windows = [], 0
-                group.append(row)
-                windows += len(row[4]) - min_len + 1
-        if group:
-            yield from matched(group)
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            if held[0].column("gram")[0] == batch.column("gram")[-1]:
+                continue
+            rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            gram = rows.column("gram").to_numpy()
+            windows = np.cumsum(rows.column("size").to_numpy() - min_len + 1)
+            # Cut between grams, after `CHUNK_WINDOWS` windows or more; the last gram may go on.
+            border = np.flatnonzero(gram[1:] != gram[:-1]) + 1
+            at = 0
+            while at < border[-1]:
+                reached = windows[at - 1] if at else 0
+                to = border[min(np.searchsorted(windows[border - 1], reached + CHUNK_WINDOWS), len(border) - 1)]
+                yield from matched(*_held([rows.slice(at, to - at)]))
+                at = to
+            held = [rows.slice(at)]
+        if held:
+            yield from matched(*_held(held))
 
     return matches
 
@@ -439,25 +527,24 @@ KEPT = "key long, tkey long, n_removed long, n_spans long, kept binary"
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = []
-        columns = [batch.column(c).to_pylist() for c in ("key", "tkey", "spans")]
-        for key, tkey, spans, text in zip(*columns, _unpacked(batch.column("packed"))):
-            at = removed = n = 0
+        spans = batch.column("spans")
+        owner, flat = np.repeat(np.arange(len(spans)), pc.list_value_length(spans).to_numpy()), spans.flatten()
+        start, end = (pc.struct_field(flat, name).to_numpy() for name in ("start", "end"))
+        owner, _, start, end = _merged(owner, owner, start, end)
+        removed = np.bincount(owner, end - start, minlength=len(spans)).astype(np.int64)
+        count = np.bincount(owner, minlength=len(spans))
+        kept = []
+        starts, ends = iter(start.tolist()), iter(end.tolist())
+        for n, text in zip(count.tolist(), _unpacked(batch.column("packed"))):
+            at = 0
             pieces = []
-            end = -1
-            for span in spans:  # sorted by start
-                if span["start"] > end:
-                    pieces.append(text[at : span["start"]])
-                    n += 1
-                    end = span["start"]
-                if span["end"] > end:
-                    removed += span["end"] - end
-                    end = span["end"]
-                at = end
+            for begin, at_ in zip(islice(starts, n), islice(ends, n)):
+                pieces.append(text[at:begin])
+                at = at_
             pieces.append(text[at:])
-            rows.append((key, tkey, removed, n, b"".join(pieces)))
-        if rows:
-            yield _batch(KEPT, *zip(*rows))
+            kept.append(b"".join(pieces))
+        if kept:
+            yield _batch(KEPT, batch.column("key"), batch.column("tkey"), removed, count, kept)
 
 
 def removed_texts(docs: DataFrame, min_len: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -493,7 +580,7 @@ def removed_texts(docs: DataFrame, min_len: int, id_col: str, text_col: str) ->
     dealt = dealt_runs(found, min_len)
     sent = dealt.filter("gram IS NOT NULL").repartition("gram").sortWithinPartitions("gram")
     spans = sent.mapInArrow(_matches(min_len), SPANS).unionByName(
-        dealt.filter("gram IS NULL").select("key", "tkey", "first", "bytes").mapInArrow(_covered, SPANS)
+        dealt.filter("gram IS NULL").select("key", "tkey", F.col("first").alias("start"), (F.col("first") + F.col("size")).alias("end"))
     )
     grouped = spans.groupBy("key", "tkey").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
     grouped = saved(grouped, "spans")
@@ -501,13 +588,6 @@ def removed_texts(docs: DataFrame, min_len: int, id_col: str, text_col: str) ->
     return marked, kept
 
 
-def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        first = batch.column("first").to_numpy()
-        size = [int.from_bytes(x, "little") for x in batch.column("bytes").to_pylist()]
-        yield _batch(SPANS, batch.column("key"), batch.column("tkey"), first, first + np.array(size, np.int64))
-
-
 def suffix_dedup(docs: DataFrame, min_len: int = MIN_LEN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for every row."""
     marked, kept = removed_texts(docs, min_len, id_col, text_col)

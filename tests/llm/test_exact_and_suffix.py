@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_data import documents, with_clashes, words
 
@@ -123,3 +124,60 @@ def test_previous_and_next_smaller_positions():
     suffixes = np.array([f"{x:04d}".encode() for x in texts], "S4")
     expected = [any(texts[j] == texts[i] and position[j] < position[i] for j in range(500)) for i in range(500)]
     assert suffix_dedup.earlier_factor(suffixes, position).tolist() == expected
+
+
+@pytest.mark.parametrize("segment", [7, 64, 1 << 14])
+def test_runs_of_texts_in_a_row(segment, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SEGMENT", segment)
+    rng = random.Random(segment)
+    passage = words(rng, 20, 50).encode()
+    texts = [b"", passage, b"short", passage, b"\x00" * 90, words(rng, 9).encode() + passage, passage[:40], passage[:39]]
+    size = np.array([len(t) for t in texts])
+    start = np.cumsum(size) - size
+    columns = suffix_dedup.runs(np.frombuffer(b"".join(texts), np.uint8), start, size, 40)
+    found = list(zip(*[x.tolist() for x in columns]))
+    windows, anchors = [], {}
+    for text, hashed, anchor, first, last in found:
+        for w in range(first, last + 1):
+            assert w <= anchor <= w + 30
+            windows.append((text, w))
+            anchors.setdefault(texts[text][w : w + 40], set()).add((hashed, anchor - w))
+    assert windows == [(i, w) for i, t in enumerate(texts) for w in range(len(t) - 39)]
+    assert all(len(x) == 1 for x in anchors.values())
+    # A run goes on in the next segment.
+    assert len({(t, a) for t, _, a, *_ in found}) == len(found)
+
+
+@pytest.mark.parametrize("size", [1, 3, 7, 8, 9, 16, 24, 25])
+def test_gram_hashes_tell_strings_apart(size):
+    data = np.random.default_rng(size).integers(0, 2, 3000).astype(np.uint8)
+    grams = [data[i : i + size].tobytes() for i in range(len(data) - size + 1)]
+    hashed = suffix_dedup.gram_hashes(data, size).tolist()
+    assert len(set(zip(grams, hashed))) == len(set(grams)) == len(set(hashed))
+    assert not len(suffix_dedup.gram_hashes(data[:size - 1], size))
+
+
+def test_covered_runs_that_touch_are_one_row():
+    rng = random.Random(4)
+    passage = words(rng, 300, 50)
+    texts = [f"{x} {passage}".encode() for x in ("one", "other", "third")]
+    places = [np.arange(len(t), dtype=np.uint32).tobytes() for t in texts]
+    [packed] = suffix_dedup._packed([pa.RecordBatch.from_pydict({"key": [1, 2, 3], "tkey": [7, 8, 9], "text": texts})])
+    batch = pa.RecordBatch.from_pydict({**{c: packed.column(c) for c in packed.schema.names}, "places": [[p] for p in places]})
+    rows = pa.Table.from_batches(suffix_dedup._runs_of_repeats(40)(iter([batch]))).to_pylist()
+    covered = [r for r in rows if r["gram"] is None]
+    assert [(r["key"], r["tkey"], r["bytes"]) for r in covered] == [(2, 8, None), (3, 9, None)]
+    assert all(r["first"] < 60 and r["first"] + r["size"] == len(texts[r["key"] - 1]) for r in covered)
+
+
+def test_only_windows_that_share_a_hash_are_sorted(monkeypatch):
+    rng = random.Random(5)
+    passage = words(rng, 30, 50).encode()
+    data = pa.array([words(rng, 30, 50).encode() + passage[:60], passage, words(rng, 30, 50).encode()])
+    first = np.array([5, 0, 0])
+    sorted_ = []
+    whole = suffix_dedup.earlier_factor
+    monkeypatch.setattr(suffix_dedup, "earlier_factor", lambda s, p: sorted_.append(len(s)) or whole(s, p))
+    key, _, start, *_, hit = suffix_dedup._suffixes(np.array([3, 4, 5]), np.array([1, 1, 1]), first, data, 40)
+    assert sorted_ == [2 * 21]
+    assert list(zip(key[hit].tolist(), start[hit].tolist())) == [(4, w) for w in range(21)]

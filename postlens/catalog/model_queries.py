@@ -66,13 +66,10 @@ lengths AS (SELECT word, sum(x * x) / {word_vectors.NONZEROS} AS l FROM entries
 )
 def c21_vectors(spark, sf_dir):
     """Counts, weights and squared vector length of every word with a vector, over all posts."""
-    weighted = word_vectors.positive_pmi(word_vectors.pair_counts(tokens(texts(spark, sf_dir))))
+    weighted = word_vectors.positive_pmi(word_vectors.pair_counts(tokens(texts(spark, sf_dir)), by_word=True))
     vectors = word_vectors.projected(weighted)
     length = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
-    sums = weighted.groupBy("word").agg(
-        F.max("word_n").alias("n"), F.count(F.lit(1)).alias("contexts"), F.count_if(F.col("ppmi") > 0).alias("positive"),
-        F.round(F.sum("ppmi"), 4).alias("weight"), F.round(F.max("ppmi"), 6).alias("largest"),
-    )
+    sums = word_vectors.weight_sums(weighted).withColumns({"weight": F.round("weight", 4), "largest": F.round("largest", 6)})
     return sums.join(vectors.select("word", length.alias("l")), "word", "left").select(
         "word", "n", "contexts", "positive", "weight", "largest", F.round(F.coalesce("l", F.lit(0.0)), 3).alias("length")
     )

@@ -1,12 +1,23 @@
 """Word vectors from counts: what stands near a word, weighted and projected.
 
-Joins and aggregates only: nothing is gathered in one task and no vocabulary goes to
-the driver. Counts are exact and a vector depends on the texts, the seed and the sizes
-alone, so another partitioning gives the same vectors up to the order of sums.
+Words are numbered, and pairs are counted as numbers. Nothing is gathered in one task,
+and no vocabulary goes to the driver: only the counts and drawn places of a block of
+words of bounded size at a time, for all tasks. Counts are exact and a vector depends
+on the texts, the seed and the sizes alone, so another partitioning gives the same
+vectors up to the order of sums.
 """
 
 from __future__ import annotations
 
+import sys
+import uuid
+from collections.abc import Callable, Iterator
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -14,34 +25,291 @@ from pyspark.sql import functions as F
 
 from postlens.session import written
 
+# Functions travel to the workers by value: they need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 WINDOW = 5
 MIN_COUNT = 5
 SIZE = 100
 NONZEROS = 8
+# Bytes of words that a task counts at once, contexts in one row, rows passed on at once, and words whose numbers are sent to all tasks at once.
+SLICE_BYTES = 1 << 23
+ROW_CONTEXTS = 1 << 16
+BATCH_ROWS = 1 << 14
+BLOCK_WORDS = 1 << 21
+
+
+SLICES = "slice string, code int, word string, n long, codes binary, near binary"
+PACKETS = "bucket int, id long, word string, keys binary, counts binary"
+COUNTS = "id long, word string, word_n long, contexts array<int>, ns array<long>"
+
+
+def _codes(window: int, limit: int):
+    """Slices of `limit` bytes of (place, word): a row with the words as numbers, and one for each of the words with its count.
+
+    A text may go on in the next slice, which begins with the last `window` words again; they are not counted twice.
+    """
+
+    def slice_rows(rows: pa.Table, skip: int) -> Iterator[pa.RecordBatch]:
+        name = uuid.uuid4().hex
+        coded = rows.column("word").combine_chunks().dictionary_encode()
+        codes = coded.indices.fill_null(-1).to_numpy().astype(np.int32)
+        near = np.minimum(rows.column("place").to_numpy(), window).astype(np.int32)
+        packed = [_packed(x) for x in (codes, near)]
+        yield _batch(SLICES, [name], [None], [None], [skip], [packed[0]], [packed[1]])
+        counted = codes[skip:]
+        n = np.bincount(counted[counted >= 0], minlength=len(coded.dictionary))
+        for at in range(0, len(n), BATCH_ROWS):
+            words = coded.dictionary.slice(at, BATCH_ROWS)
+            none = pa.nulls(len(words), pa.binary())
+            yield _batch(SLICES, [name] * len(words), np.arange(at, at + len(words)), words, n[at : at + BATCH_ROWS], none, none)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, skip, size = [], 0, 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.nbytes
+            if size >= limit:
+                rows = pa.Table.from_batches(held)
+                yield from slice_rows(rows, skip)
+                skip = min(window, rows.num_rows)
+                held, size = rows.slice(rows.num_rows - skip).combine_chunks().to_batches(), 0
+        if held:
+            yield from slice_rows(pa.Table.from_batches(held), skip)
+
+    return run
+
+
+def _batch(schema: str, *columns) -> pa.RecordBatch:
+    kinds = {
+        "int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary(), "double": pa.float64(),
+        "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64()), "array<double>": pa.list_(pa.float64()),
+    }
+    named = [f.split() for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, kinds[k]) for c, (_, k) in zip(columns, named)], [n for n, _ in named])
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Length, then the compressed bytes."""
+    raw = values.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd"), kind)
 
 
-def pair_counts(df: DataFrame, words: str = "filtered", window: int = WINDOW, min_count: int = MIN_COUNT) -> DataFrame:
+def _pairs(window: int, span: int):
+    """(word, context) as numbers with their counts, both ways, in packets for each range of `span` words; input is sorted by slice."""
+
+    def pairs(codes: np.ndarray, near: np.ndarray, skip: int, ids: np.ndarray) -> Iterator[tuple]:
+        word = np.r_[ids, -1][codes]
+        keys = []
+        for k in range(1, min(window, len(word) - 1) + 1):
+            # Either word is often, and both stand in one text.
+            at = np.flatnonzero((word[k:] >= 0) & (word[:-k] >= 0) & (near[k:] >= k))
+            at = at[at + k >= skip]
+            one, two = word[at], word[at + k]
+            keys += [one << 32 | two, two << 32 | one]
+        keys = np.sort(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
+        counts, keys = np.diff(np.r_[first, len(keys)]), keys[first]
+        bucket = (keys >> 32) // span
+        border = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]][: len(keys)])
+        for a, b in zip(border, [*border[1:], len(keys)]):
+            # Differences of sorted numbers are small.
+            yield bucket[a], None, None, _packed(np.diff(keys[a:b], prepend=0)), _packed(counts[a:b].astype(np.uint32))
+
+    def of_slice(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        code, whole = rows.column("code").combine_chunks(), rows.filter(pc.is_null(rows.column("code"))).to_pylist()
+        listed = rows.filter(pc.is_valid(code))
+        for row in whole:
+            codes, near = _unpacked(row["codes"], np.int32), _unpacked(row["near"], np.int32)
+            ids = np.full(max(int(codes.max(initial=-1)) + 1, 0), -1, np.int64)
+            ids[listed.column("code").to_numpy()] = listed.column("id").to_numpy()
+            found = list(pairs(codes, near, row["n"], ids))
+            if found:
+                yield _batch(PACKETS, *zip(*found))
+
+    return _sorted_groups("slice", of_slice)
+
+
+def _sorted_groups(key: str, then: Callable) -> Callable:
+    """`then` on all rows of each key, for input that is sorted by it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            column = batch.column(key)
+            ends = pc.run_end_encode(column).run_ends.to_pylist() if batch.num_rows else []
+            for a, b in zip([0, *ends], ends):
+                if held and held[-1].column(key)[0] != column[a]:
+                    yield from then(pa.Table.from_batches(held))
+                    held = []
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield from then(pa.Table.from_batches(held))
+        pa.default_memory_pool().release_unused()
+
+    return run
+
+
+def _summed(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    """The contexts of each word of a bucket with their counts; a word with very many has several rows."""
+    named = rows.filter(pc.is_valid(rows.column("id"))).sort_by("id")
+    packets = rows.filter(pc.is_valid(rows.column("keys")))
+    if not packets.num_rows:
+        return
+    keys = np.concatenate([np.cumsum(_unpacked(x, np.int64)) for x in packets.column("keys").to_pylist()])
+    counts = np.concatenate([_unpacked(x, np.uint32) for x in packets.column("counts").to_pylist()])
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    n = np.add.reduceat(counts[order].astype(np.int64), first)
+    word, context = keys[first] >> 32, (keys[first] & 0xFFFFFFFF).astype(np.int32)
+    start = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+    total = np.add.reduceat(n, start)
+    ids = word[start]
+    names = named.column("word").combine_chunks().take(pa.array(np.searchsorted(named.column("id").to_numpy(), ids)))
+    # No row has more than `ROW_CONTEXTS` contexts.
+    size = np.diff(np.r_[start, len(word)])
+    parts = -(-size // ROW_CONTEXTS)
+    owner = np.repeat(np.arange(len(ids)), parts)
+    begin = start[owner] + ROW_CONTEXTS * (np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts))
+    ends = np.r_[begin[1:], len(word)]
+    at = 0
+    while at < len(owner):
+        to = max(at + 1, int(np.searchsorted(ends, begin[at] + ROW_CONTEXTS, "right")))
+        offsets = pa.array(np.r_[begin[at:to], ends[to - 1]] - begin[at], pa.int32())
+        some = slice(begin[at], ends[to - 1])
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x[some])) for x in (context, n)]
+        yield _batch(COUNTS, ids[owner[at:to]], names.take(pa.array(owner[at:to])), total[owner[at:to]], *lists)
+        at = to
+
+
+def _numbered(often: DataFrame) -> tuple[DataFrame, int]:
+    """The written words as (id, word), numbered from 0 on, and how many there are. The driver gets a count for each part."""
+    rows = written(often.select("word", F.monotonically_increasing_id().alias("at")), "often")
+    counts = {r["part"]: r["n"] for r in rows.groupBy(F.shiftright("at", 33).alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    before = dict(zip(sorted(counts), np.cumsum([0, *[counts[p] for p in sorted(counts)]]).tolist()))
+    offsets = rows.sparkSession.createDataFrame(list(before.items()), "part long, before long")
+    placed = rows.join(F.broadcast(offsets), F.shiftright("at", 33) == F.col("part"))
+    return placed.select((F.col("before") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).alias("id"), "word"), sum(counts.values())
+
+
+def pair_counts(
+    df: DataFrame, words: str = "filtered", window: int = WINDOW, min_count: int = MIN_COUNT, by_word: bool = False
+) -> DataFrame:
     """(word, context, n): how often a word stands at most `window` words from another, both ways.
 
     Words that occur fewer than `min_count` times take up their places but are not counted.
+    `by_word` gives the written rows (id, word, word_n, contexts, ns) instead: the numbers of a
+    word's contexts and how often each occurs, in one row, or several if there are very many.
+
+    A map task turns slices of bounded size into numbers. Of a slice's words, only one of a
+    kind is shuffled, to learn whether it is rare and what its number is; pairs are counted
+    as numbers slice by slice, and summed up for ranges of words.
     """
-    ahead = F.transform(words, lambda w, i: F.struct(w.alias("word"), F.slice(F.col(words), i + 2, F.lit(window)).alias("near")))
-    pairs = df.select(F.explode(ahead).alias("p")).select("p.word", F.explode("p.near").alias("context"))
-    often = df.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("c"))
-    often = written(often.filter(F.col("c") >= min_count).select("word"), "often")
-    # Either way of a pair gives the same key, so a pair is shuffled and counted once; rare words are dropped before both ways are made.
-    one, two = F.least("word", "context"), F.greatest("word", "context")
-    counted = pairs.groupBy(one.alias("word"), two.alias("context")).agg(F.count(F.lit(1)).alias("n"))
-    kept = counted.join(often, "word", "left_semi").join(often.withColumnRenamed("word", "context"), "context", "left_semi")
-    # A word next to itself is a pair in both ways.
-    kept = kept.withColumn("n", F.when(F.col("word") == F.col("context"), 2 * F.col("n")).otherwise(F.col("n")))
-    ways = F.array(F.struct("word", "context"), F.struct(F.col("context").alias("word"), F.col("word").alias("context")))
-    ways = F.when(F.col("word") == F.col("context"), F.slice(ways, 1, 1)).otherwise(ways)
-    return kept.select(F.explode(ways).alias("p"), "n").select("p.word", "p.context", "n")
+    spark = df.sparkSession
+    # Not `explode`: see `explode_tokens`. A null word takes up its place.
+    placed = df.select(F.posexplode_outer(words).alias("place", "word")).filter("place IS NOT NULL")
+    slices = written(placed.mapInArrow(_codes(window, SLICE_BYTES), SLICES), "slices")
+    listed = slices.filter("code IS NOT NULL").select("slice", "code", "word", "n")
+    often = listed.groupBy("word").agg(F.sum("n").alias("c")).filter(F.col("c") >= min_count)
+    vocabulary, size = _numbered(often)
+    if size >= 1 << 31:
+        raise ValueError("more than 2^31 words")
+    span = max(1, -(-size // (4 * int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    known = listed.join(vocabulary, "word").select("slice", "code", "id", F.lit(None).cast("long").alias("n"), *[F.lit(None).cast("binary").alias(c) for c in ("codes", "near")])
+    whole = slices.filter("code IS NULL").select("slice", "code", F.lit(None).cast("long").alias("id"), "n", "codes", "near")
+    packets = known.unionByName(whole).repartition("slice").sortWithinPartitions("slice").mapInArrow(_pairs(window, span), PACKETS)
+    bucket = (F.col("id") / F.lit(span)).cast("int").alias("bucket")
+    names = vocabulary.select(bucket, "id", "word", *[F.lit(None).cast("binary").alias(c) for c in ("keys", "counts")])
+    dealt = packets.unionByName(names).repartition("bucket").sortWithinPartitions("bucket")
+    counts = written(dealt.mapInArrow(_sorted_groups("bucket", _summed), COUNTS), "pair-counts")
+    return counts if by_word else _rows(counts, F.struct(F.col("ns").alias("n"))).select("word", "context", "n")
+
+
+def _words(by_word: DataFrame) -> DataFrame:
+    """(id, word, word_n) of the rows by word."""
+    return by_word.select("id", "word", "word_n").dropDuplicates(["id"])
+
+
+def _rows(by_word: DataFrame, values: Column) -> DataFrame:
+    """A row for each pair, with the context's name; `values` is a struct of arrays."""
+    fields = by_word.select(values.alias("v")).schema["v"].dataType.names
+    zipped = F.arrays_zip("contexts", *[values[f].alias(f) for f in fields])
+    pairs = by_word.select("word", "word_n", F.explode(zipped).alias("p")).select("word", "word_n", F.col("p.contexts").cast("long").alias("id"), *[F.col("p")[f].alias(f) for f in fields])
+    names = _words(by_word).select("id", F.col("word").alias("context"), F.col("word_n").alias("context_n"))
+    return pairs.join(names, "id").drop("id")
+
+
+def _with_blocks(rows: DataFrame, table: DataFrame, width: int, then: Callable, schema: str) -> DataFrame:
+    """`then(block, first, batches)` for the rows, once for each block of `BLOCK_WORDS` words' numbers: an array of `width` columns.
+
+    `table` is (id, values). A block of bounded size at a time is sent to all tasks.
+    """
+    spark = rows.sparkSession
+    most = table.agg(F.max("id").alias("m")).first()["m"]
+    parts = []
+    for first in range(0, 1 if most is None else most + 1, BLOCK_WORDS):
+        found = table.filter((F.col("id") >= first) & (F.col("id") < first + BLOCK_WORDS)).toArrow()
+        values = found.column("values").combine_chunks().flatten().to_numpy()
+        block = np.zeros((0 if most is None else min(most + 1 - first, BLOCK_WORDS), width), values.dtype)
+        block[found.column("id").to_numpy() - first] = values.reshape(-1, width)
+        shared = spark.sparkContext.broadcast(block)
+        parts.append(rows.mapInArrow(lambda batches, shared=shared, first=first: then(shared.value, first, batches), schema))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows by word in slices of bounded size."""
+    for batch in batches:
+        reached = np.cumsum(pc.list_value_length(batch.column("contexts")).to_numpy())
+        at = 0
+        while at < batch.num_rows:
+            limit = (reached[at - 1] if at else 0) + 4 * ROW_CONTEXTS
+            to = max(at + 1, int(np.searchsorted(reached, limit, "right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
+def _entries(batch: pa.RecordBatch, first: int, n: int, *names: str) -> tuple:
+    """Row and values of the entries of a batch whose context is among the `n` from `first` on."""
+    contexts = batch.column("contexts")
+    owner = np.repeat(np.arange(batch.num_rows), pc.list_value_length(contexts).to_numpy())
+    context = contexts.flatten().to_numpy().astype(np.int64) - first
+    columns = [batch.column(c).flatten().to_numpy() for c in names]
+    here = (context >= 0) & (context < n)
+    return owner[here], context[here], *[c[here] for c in columns]
+
+
+WEIGHTS = "id long, word string, word_n long, contexts array<int>, ns array<long>, context_ns array<long>, ppmi array<double>"
+
+
+def _weigh(total: float):
+    def weigh(block: np.ndarray, first: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _parts(batches):
+            owner, context, n = _entries(batch, first, len(block), "ns")
+            context_n = block[context, 0]
+            by_chance = batch.column("word_n").to_numpy()[owner].astype(np.float64) * context_n / max(total, 1.0)
+            ppmi = np.maximum(np.log(n / by_chance), 0.0)
+            offsets = pa.array(np.searchsorted(owner, np.arange(batch.num_rows + 1)), pa.int32())
+            lists = [(context + first).astype(np.int32), n, context_n, ppmi]
+            yield _batch(WEIGHTS, *batch.columns[:3], *[pa.ListArray.from_arrays(offsets, pa.array(x)) for x in lists])
+
+    return weigh
 
 
 def positive_pmi(counts: DataFrame) -> DataFrame:
-    """(word, context, n, word_n, context_n, ppmi): the log of how much more often than by chance, at least 0."""
+    """(word, context, n, word_n, context_n, ppmi): the log of how much more often than by chance, at least 0.
+
+    Counts by word give (id, word, word_n, contexts, ns, context_ns, ppmi) by word.
+    """
+    if "contexts" in counts.columns:
+        margin = written(_words(counts), "word-counts")
+        total = float(margin.agg(F.coalesce(F.sum("word_n"), F.lit(0)).alias("n")).first()["n"])
+        return _with_blocks(counts, margin.select("id", F.array("word_n").alias("values")), 1, _weigh(total), WEIGHTS)
     counts = written(counts, "pair-counts")
     margin = written(counts.groupBy("word").agg(F.sum("n").alias("word_n")), "word-counts")
     total = float(margin.agg(F.coalesce(F.sum("word_n"), F.lit(0)).alias("n")).first()["n"])
@@ -53,6 +321,26 @@ def positive_pmi(counts: DataFrame) -> DataFrame:
     )
 
 
+SUMS = "word string, n long, contexts long, positive long, weight double, largest double"
+
+
+def weight_sums(weighted: DataFrame) -> DataFrame:
+    """(word, n, contexts, positive, weight, largest) of weights by word: how many contexts, how many of positive weight, their sum and the largest."""
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _parts(batches):
+            owner, _, ppmi = _entries(batch, 0, 1 << 31, "ppmi")
+            some = np.flatnonzero(np.bincount(owner, minlength=batch.num_rows))
+            first = np.searchsorted(owner, some)
+            sums_ = [f.reduceat(x, first) if len(some) else x[:0] for f, x in ((np.add, (ppmi > 0).astype(np.int64)), (np.add, ppmi), (np.maximum, ppmi))]
+            yield _batch(SUMS, *[batch.column(c).take(pa.array(some)) for c in ("word", "word_n")], np.bincount(owner, minlength=batch.num_rows)[some], *sums_)
+
+    found = weighted.select("word", "word_n", "contexts", "ppmi").mapInArrow(sums, SUMS)
+    return found.groupBy("word").agg(
+        F.max("n").alias("n"), F.sum("contexts").alias("contexts"), F.sum("positive").alias("positive"), F.sum("weight").alias("weight"), F.max("largest").alias("largest")
+    )
+
+
 def signature(context: Column, size: int = SIZE, nonzeros: int = NONZEROS, seed: int = 42) -> Column:
     """Where a context adds its weight, and with which sign: `nonzeros` draws from MD5, whatever else there is."""
 
@@ -65,14 +353,40 @@ def signature(context: Column, size: int = SIZE, nonzeros: int = NONZEROS, seed:
     return F.transform(F.sequence(F.lit(1), F.lit(nonzeros)), draw)
 
 
+VECTORS = "word string, x array<double>"
+
+
+def _project(size: int):
+    def project(block: np.ndarray, first: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _parts(batches):
+            owner, context, ppmi = _entries(batch, first, len(block), "ppmi")
+            used = ppmi > 0
+            some, owner = np.unique(owner[used], return_inverse=True)
+            x = np.zeros(len(some) * size)
+            for drawn in block[context[used]].T:
+                # A draw's place, and in the last bit its sign.
+                x += np.bincount(owner * size + (drawn >> 1), ppmi[used] * (2.0 * (drawn & 1) - 1.0), minlength=len(x))
+            offsets = pa.array(np.arange(len(some) + 1) * size, pa.int32())
+            yield _batch(VECTORS, batch.column("word").take(pa.array(some)), pa.ListArray.from_arrays(offsets, pa.array(x)))
+
+    return project
+
+
 def projected(weighted: DataFrame, size: int = SIZE, nonzeros: int = NONZEROS, seed: int = 42) -> DataFrame:
     """(word, vector): each word's row of weights through a sparse random projection to `size` numbers."""
+    scale = nonzeros**-0.5
+    if "contexts" in weighted.columns:
+        drawn = F.transform(signature(F.col("word"), size, nonzeros, seed), lambda s: 2 * s["place"] + (s["sign"] > 0).cast("int"))
+        signs = _words(weighted).select("id", drawn.alias("values"))
+        found = _with_blocks(weighted.select("word", "contexts", "ppmi"), signs, nonzeros, _project(size), VECTORS)
+        # Few words have more than one row.
+        added = F.reduce("xs", F.array_repeat(F.lit(0.0), size), lambda a, x: F.zip_with(a, x, lambda p, q: p + q))
+        return found.groupBy("word").agg(F.collect_list("x").alias("xs")).select("word", F.transform(added, lambda x: x * F.lit(scale)).alias("vector"))
     used = weighted.filter("ppmi > 0")
     signs = used.select("context").distinct().withColumn("s", signature(F.col("context"), size, nonzeros, seed))
     drawn = used.join(signs, "context").select("word", "ppmi", F.explode("s").alias("s"))
     summed = drawn.groupBy("word", F.col("s.place").alias("place")).agg(F.sum(F.col("ppmi") * F.col("s.sign")).alias("x"))
     entries = summed.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("place", "x"))).alias("at"))  # `size` at most
-    scale = nonzeros**-0.5
     vector = F.transform(
         F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.coalesce(F.try_element_at("at", i), F.lit(0.0)) * F.lit(scale)
     )
@@ -84,7 +398,7 @@ def fit_word_vectors(
     size: int = SIZE, nonzeros: int = NONZEROS, seed: int = 42,
 ) -> DataFrame:
     """(word, vector) of every word that occurs `min_count` times, written to the shared folder."""
-    weighted = positive_pmi(pair_counts(df, words, window, min_count))
+    weighted = positive_pmi(pair_counts(df, words, window, min_count, by_word=True))
     return written(projected(weighted, size, nonzeros, seed), "word-vectors")
 
 

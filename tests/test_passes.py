@@ -1,5 +1,6 @@
 """How often the texts are gone through: learners and scorers must not split them again for each pass."""
 
+import random
 from collections import Counter
 
 import pytest
@@ -123,3 +124,52 @@ def test_counted_grams_are_those_of_the_stages(spark):
     wanted = Counter(g for r in staged.collect() for g in r["grams"])
     assert {tuple(r) for r in classifier.ngram_counts(df, n=3).collect()} == set(wanted.items())
     assert classifier.ngram_counts(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("sizes", [(1, 3, 5), (1 << 23, 1 << 16, 1 << 21)])
+def test_word_pairs_of_texts_that_cross_slices(spark, sizes, monkeypatch):
+    for name, size in zip(("SLICE_BYTES", "ROW_CONTEXTS", "BLOCK_WORDS"), sizes):
+        monkeypatch.setattr(word_vectors, name, size)
+    rng = random.Random(8)
+    texts = [[rng.choice("abcdefghijklmé") for _ in range(rng.randrange(14))] for _ in range(40)] + [None, [], ["a", None, "b", "", ""], ["rare"]]
+    df = spark.createDataFrame([(t,) for t in texts], "filtered array<string>").coalesce(2)
+    often = Counter(w for t in texts if t for w in t if w is not None)
+    wanted = Counter()
+    for t in (t for t in texts if t):
+        wanted.update((a, b) for i, a in enumerate(t) for j, b in enumerate(t) if 0 < abs(i - j) <= 3)
+    wanted = {p: n for p, n in wanted.items() if all(often[w] >= 2 for w in p)}
+    batch_rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch_rows)
+    try:
+        for rows in ("2", before):
+            spark.conf.set(batch_rows, rows)
+            counts = word_vectors.pair_counts(df, window=3, min_count=2)
+            assert {(r["word"], r["context"]): r["n"] for r in counts.collect()} == wanted
+        by_word = word_vectors.positive_pmi(word_vectors.pair_counts(df, window=3, min_count=2, by_word=True))
+    finally:
+        spark.conf.set(batch_rows, before)
+    by_row = word_vectors.positive_pmi(counts)
+    one, two = ({r["word"]: r["vector"] for r in word_vectors.projected(w, size=7).collect()} for w in (by_word, by_row))
+    assert one.keys() == two.keys() and all(one[w] == pytest.approx(two[w], abs=1e-9) for w in one)
+    sums = {r["word"]: tuple(r)[1:] for r in word_vectors.weight_sums(by_word).collect()}
+    rows = by_row.collect()
+    assert sums.keys() == {r["word"] for r in rows}
+    for word, found in sums.items():
+        own = [r for r in rows if r["word"] == word]
+        weights = [r["ppmi"] for r in own]
+        assert found == pytest.approx((own[0]["word_n"], len(own), sum(w > 0 for w in weights), sum(weights), max(weights)))
+
+
+def test_word_pairs_of_no_texts(spark):
+    df = spark.createDataFrame([], "filtered array<string>")
+    assert word_vectors.pair_counts(df).collect() == [] and word_vectors.fit_word_vectors(df).collect() == []
+
+
+def test_word_pairs_are_not_rows_before_they_are_counted(spark, monkeypatch):
+    """Each pair used to be a row of two strings, shuffled and joined to the words that are often."""
+    df = spark.createDataFrame([(["a", "b"] * 2000,)] * 3, "filtered array<string>").coalesce(1)
+    stored = {}
+    whole = word_vectors.written
+    monkeypatch.setattr(word_vectors, "written", lambda rows, name: stored.setdefault(name, whole(rows, name)))
+    assert {tuple(r) for r in word_vectors.pair_counts(df).collect()} == {("a", "a", 23982), ("b", "b", 23982), ("a", "b", 35973), ("b", "a", 35973)}
+    assert {name: rows.count() for name, rows in stored.items()} == {"slices": 3, "often": 2, "pair-counts": 2}

@@ -66,7 +66,7 @@ lengths AS (SELECT word, sum(x * x) / {word_vectors.NONZEROS} AS l FROM entries
 )
 def c21_vectors(spark, sf_dir):
     """Counts, weights and squared vector length of every word with a vector, over all posts."""
-    weighted = word_vectors.positive_pmi(word_vectors.pair_counts(tokens(texts(spark, sf_dir)), by_word=True))
+    weighted = word_vectors.positive_pmi(word_vectors.pair_counts(tokens(texts(spark, sf_dir)), packed=True))
     vectors = word_vectors.projected(weighted)
     length = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
     sums = word_vectors.weight_sums(weighted).withColumns({"weight": F.round("weight", 4), "largest": F.round("largest", 6)})

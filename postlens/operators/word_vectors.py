@@ -32,16 +32,16 @@ WINDOW = 5
 MIN_COUNT = 5
 SIZE = 100
 NONZEROS = 8
-# Bytes of words that a task counts at once, contexts in one row, rows passed on at once, and words whose numbers are sent to all tasks at once.
-SLICE_BYTES = 1 << 23
-ROW_CONTEXTS = 1 << 16
+# Bytes of words that a task counts at once, contexts in one pack, rows passed on at once, and words whose numbers are sent to all tasks at once.
+SLICE_BYTES = 1 << 24
+PACK_CONTEXTS = 1 << 16
 BATCH_ROWS = 1 << 14
 BLOCK_WORDS = 1 << 21
 
 
-SLICES = "slice string, code int, word string, n long, codes binary, near binary"
+SLICES = "slice long, code int, word string, n long, codes binary, near binary"
 PACKETS = "bucket int, id long, word string, keys binary, counts binary"
-COUNTS = "id long, word string, word_n long, contexts array<int>, ns array<long>"
+COUNTS = "ids array<long>, words array<string>, word_ns array<long>, sizes array<int>, contexts binary, ns binary"
 
 
 def _codes(window: int, limit: int):
@@ -51,7 +51,7 @@ def _codes(window: int, limit: int):
     """
 
     def slice_rows(rows: pa.Table, skip: int) -> Iterator[pa.RecordBatch]:
-        name = uuid.uuid4().hex
+        name = uuid.uuid4().int >> 65
         coded = rows.column("word").combine_chunks().dictionary_encode()
         codes = coded.indices.fill_null(-1).to_numpy().astype(np.int32)
         near = np.minimum(rows.column("place").to_numpy(), window).astype(np.int32)
@@ -83,7 +83,7 @@ def _codes(window: int, limit: int):
 def _batch(schema: str, *columns) -> pa.RecordBatch:
     kinds = {
         "int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary(), "double": pa.float64(),
-        "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64()), "array<double>": pa.list_(pa.float64()),
+        "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64()), "array<double>": pa.list_(pa.float64()), "array<string>": pa.list_(pa.string()),
     }
     named = [f.split() for f in schema.split(", ")]
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, kinds[k]) for c, (_, k) in zip(columns, named)], [n for n, _ in named])
@@ -95,6 +95,11 @@ def _packed(values: np.ndarray) -> bytes:
     return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
 
 
+def _steps(contexts: np.ndarray) -> np.ndarray:
+    """The differences of contexts, which are small where they are sorted."""
+    return np.diff(contexts.astype(np.int32), prepend=np.int32(0))
+
+
 def _unpacked(data: bytes, kind: type) -> np.ndarray:
     return np.frombuffer(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd"), kind)
 
@@ -155,7 +160,7 @@ def _sorted_groups(key: str, then: Callable) -> Callable:
 
 
 def _summed(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-    """The contexts of each word of a bucket with their counts; a word with very many has several rows."""
+    """The contexts of the words of a bucket with their counts, in packs of bounded size; a word with more than `BLOCK_WORDS` is in several."""
     named = rows.filter(pc.is_valid(rows.column("id"))).sort_by("id")
     packets = rows.filter(pc.is_valid(rows.column("keys")))
     if not packets.num_rows:
@@ -171,19 +176,16 @@ def _summed(rows: pa.Table) -> Iterator[pa.RecordBatch]:
     total = np.add.reduceat(n, start)
     ids = word[start]
     names = named.column("word").combine_chunks().take(pa.array(np.searchsorted(named.column("id").to_numpy(), ids)))
-    # No row has more than `ROW_CONTEXTS` contexts.
     size = np.diff(np.r_[start, len(word)])
-    parts = -(-size // ROW_CONTEXTS)
+    parts = -(-size // BLOCK_WORDS)
     owner = np.repeat(np.arange(len(ids)), parts)
-    begin = start[owner] + ROW_CONTEXTS * (np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts))
+    begin = start[owner] + BLOCK_WORDS * (np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts))
     ends = np.r_[begin[1:], len(word)]
     at = 0
     while at < len(owner):
-        to = max(at + 1, int(np.searchsorted(ends, begin[at] + ROW_CONTEXTS, "right")))
-        offsets = pa.array(np.r_[begin[at:to], ends[to - 1]] - begin[at], pa.int32())
-        some = slice(begin[at], ends[to - 1])
-        lists = [pa.ListArray.from_arrays(offsets, pa.array(x[some])) for x in (context, n)]
-        yield _batch(COUNTS, ids[owner[at:to]], names.take(pa.array(owner[at:to])), total[owner[at:to]], *lists)
+        to = max(at + 1, int(np.searchsorted(ends, begin[at] + PACK_CONTEXTS, "right")))
+        some, own = slice(begin[at], ends[to - 1]), owner[at:to]
+        yield _batch(COUNTS, [ids[own]], [names.take(pa.array(own)).to_pylist()], [total[own]], [(ends - begin)[at:to]], [_packed(_steps(context[some]))], [_packed(n[some])])
         at = to
 
 
@@ -198,13 +200,13 @@ def _numbered(often: DataFrame) -> tuple[DataFrame, int]:
 
 
 def pair_counts(
-    df: DataFrame, words: str = "filtered", window: int = WINDOW, min_count: int = MIN_COUNT, by_word: bool = False
+    df: DataFrame, words: str = "filtered", window: int = WINDOW, min_count: int = MIN_COUNT, packed: bool = False
 ) -> DataFrame:
     """(word, context, n): how often a word stands at most `window` words from another, both ways.
 
     Words that occur fewer than `min_count` times take up their places but are not counted.
-    `by_word` gives the written rows (id, word, word_n, contexts, ns) instead: the numbers of a
-    word's contexts and how often each occurs, in one row, or several if there are very many.
+    `packed` gives the written packs (ids, words, word_ns, sizes, contexts, ns) instead: some words,
+    and for each of them the numbers of its contexts and how often each occurs.
 
     A map task turns slices of bounded size into numbers. Of a slice's words, only one of a
     kind is shuffled, to learn whether it is rare and what its number is; pairs are counted
@@ -227,29 +229,29 @@ def pair_counts(
     names = vocabulary.select(bucket, "id", "word", *[F.lit(None).cast("binary").alias(c) for c in ("keys", "counts")])
     dealt = packets.unionByName(names).repartition("bucket").sortWithinPartitions("bucket")
     counts = written(dealt.mapInArrow(_sorted_groups("bucket", _summed), COUNTS), "pair-counts")
-    return counts if by_word else _rows(counts, F.struct(F.col("ns").alias("n"))).select("word", "context", "n")
+    if packed:
+        return counts
+    names = _words(counts).select("id", F.col("word").alias("context"))
+    return counts.mapInArrow(_rows, "word string, id long, n long").join(names, "id").select("word", "context", "n")
 
 
-def _words(by_word: DataFrame) -> DataFrame:
-    """(id, word, word_n) of the rows by word."""
-    return by_word.select("id", "word", "word_n").dropDuplicates(["id"])
+def _words(packs: DataFrame) -> DataFrame:
+    """(id, word, word_n) of the words of packs."""
+    zipped = F.arrays_zip(F.col("ids").alias("id"), F.col("words").alias("word"), F.col("word_ns").alias("word_n"))
+    return packs.select(F.inline(zipped)).dropDuplicates(["id"])
 
 
-def _rows(by_word: DataFrame, values: Column) -> DataFrame:
-    """A row for each pair, with the context's name; `values` is a struct of arrays."""
-    fields = by_word.select(values.alias("v")).schema["v"].dataType.names
-    zipped = F.arrays_zip("contexts", *[values[f].alias(f) for f in fields])
-    pairs = by_word.select("word", "word_n", F.explode(zipped).alias("p")).select("word", "word_n", F.col("p.contexts").cast("long").alias("id"), *[F.col("p")[f].alias(f) for f in fields])
-    names = _words(by_word).select("id", F.col("word").alias("context"), F.col("word_n").alias("context_n"))
-    return pairs.join(names, "id").drop("id")
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for row, owner, context, n in _entries(batches, 0, 1 << 31, _unpacked, ns=np.int64):
+        yield _batch("word string, id long, n long", pa.array(row["words"], pa.string()).take(pa.array(owner)), context, n)
 
 
-def _with_blocks(rows: DataFrame, table: DataFrame, width: int, then: Callable, schema: str) -> DataFrame:
-    """`then(block, first, batches)` for the rows, once for each block of `BLOCK_WORDS` words' numbers: an array of `width` columns.
+def _with_blocks(packs: DataFrame, table: DataFrame, width: int, then: Callable, schema: str) -> list[DataFrame]:
+    """`then(block, first, batches)` for the packs, once for each block of `BLOCK_WORDS` words' numbers: an array of `width` columns.
 
     `table` is (id, values). A block of bounded size at a time is sent to all tasks.
     """
-    spark = rows.sparkSession
+    spark = packs.sparkSession
     most = table.agg(F.max("id").alias("m")).first()["m"]
     parts = []
     for first in range(0, 1 if most is None else most + 1, BLOCK_WORDS):
@@ -258,45 +260,34 @@ def _with_blocks(rows: DataFrame, table: DataFrame, width: int, then: Callable,
         block = np.zeros((0 if most is None else min(most + 1 - first, BLOCK_WORDS), width), values.dtype)
         block[found.column("id").to_numpy() - first] = values.reshape(-1, width)
         shared = spark.sparkContext.broadcast(block)
-        parts.append(rows.mapInArrow(lambda batches, shared=shared, first=first: then(shared.value, first, batches), schema))
-    return reduce(DataFrame.unionByName, parts)
+        parts.append(packs.mapInArrow(lambda batches, shared=shared, first=first: then(shared.value, first, batches), schema))
+    return parts
 
 
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows by word in slices of bounded size."""
+def _entries(batches: Iterator[pa.RecordBatch], first: int, n: int, unpacked: Callable, **kinds: type) -> Iterator[tuple]:
+    """A pack, and the word's place and values of its entries whose context is among the `n` from `first` on."""
     for batch in batches:
-        reached = np.cumsum(pc.list_value_length(batch.column("contexts")).to_numpy())
-        at = 0
-        while at < batch.num_rows:
-            limit = (reached[at - 1] if at else 0) + 4 * ROW_CONTEXTS
-            to = max(at + 1, int(np.searchsorted(reached, limit, "right")))
-            yield batch.slice(at, to - at)
-            at = to
-
-
-def _entries(batch: pa.RecordBatch, first: int, n: int, *names: str) -> tuple:
-    """Row and values of the entries of a batch whose context is among the `n` from `first` on."""
-    contexts = batch.column("contexts")
-    owner = np.repeat(np.arange(batch.num_rows), pc.list_value_length(contexts).to_numpy())
-    context = contexts.flatten().to_numpy().astype(np.int64) - first
-    columns = [batch.column(c).flatten().to_numpy() for c in names]
-    here = (context >= 0) & (context < n)
-    return owner[here], context[here], *[c[here] for c in columns]
+        for i in range(batch.num_rows):
+            [row] = batch.slice(i, 1).to_pylist()
+            owner = np.repeat(np.arange(len(row["sizes"])), row["sizes"])
+            context = np.cumsum(unpacked(row["contexts"], np.int32), dtype=np.int64) - first
+            here = (context >= 0) & (context < n)
+            yield row, owner[here], context[here], *[unpacked(row[c], kind)[here] for c, kind in kinds.items()]
 
 
-WEIGHTS = "id long, word string, word_n long, contexts array<int>, ns array<long>, context_ns array<long>, ppmi array<double>"
+WEIGHTS = f"{COUNTS}, context_ns binary, ppmi binary"
 
 
 def _weigh(total: float):
     def weigh(block: np.ndarray, first: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _parts(batches):
-            owner, context, n = _entries(batch, first, len(block), "ns")
+        for row, owner, context, n in _entries(batches, first, len(block), _unpacked, ns=np.int64):
             context_n = block[context, 0]
-            by_chance = batch.column("word_n").to_numpy()[owner].astype(np.float64) * context_n / max(total, 1.0)
+            by_chance = np.array(row["word_ns"], np.float64)[owner] * context_n / max(total, 1.0)
             ppmi = np.maximum(np.log(n / by_chance), 0.0)
-            offsets = pa.array(np.searchsorted(owner, np.arange(batch.num_rows + 1)), pa.int32())
-            lists = [(context + first).astype(np.int32), n, context_n, ppmi]
-            yield _batch(WEIGHTS, *batch.columns[:3], *[pa.ListArray.from_arrays(offsets, pa.array(x)) for x in lists])
+            sizes = np.bincount(owner, minlength=len(row["ids"]))
+            # Not compressed, as they are not stored.
+            raw = [[x.tobytes()] for x in (_steps(context + first), n, context_n, ppmi)]
+            yield _batch(WEIGHTS, *[[row[c]] for c in ("ids", "words", "word_ns")], [sizes], *raw)
 
     return weigh
 
@@ -304,12 +295,12 @@ def _weigh(total: float):
 def positive_pmi(counts: DataFrame) -> DataFrame:
     """(word, context, n, word_n, context_n, ppmi): the log of how much more often than by chance, at least 0.
 
-    Counts by word give (id, word, word_n, contexts, ns, context_ns, ppmi) by word.
+    Packed counts give packs with `context_ns` and `ppmi` as well.
     """
     if "contexts" in counts.columns:
         margin = written(_words(counts), "word-counts")
         total = float(margin.agg(F.coalesce(F.sum("word_n"), F.lit(0)).alias("n")).first()["n"])
-        return _with_blocks(counts, margin.select("id", F.array("word_n").alias("values")), 1, _weigh(total), WEIGHTS)
+        return reduce(DataFrame.unionByName, _with_blocks(counts, margin.select("id", F.array("word_n").alias("values")), 1, _weigh(total), WEIGHTS))
     counts = written(counts, "pair-counts")
     margin = written(counts.groupBy("word").agg(F.sum("n").alias("word_n")), "word-counts")
     total = float(margin.agg(F.coalesce(F.sum("word_n"), F.lit(0)).alias("n")).first()["n"])
@@ -325,17 +316,18 @@ SUMS = "word string, n long, contexts long, positive long, weight double, larges
 
 
 def weight_sums(weighted: DataFrame) -> DataFrame:
-    """(word, n, contexts, positive, weight, largest) of weights by word: how many contexts, how many of positive weight, their sum and the largest."""
+    """(word, n, contexts, positive, weight, largest) of packed weights: how many contexts, how many of positive weight, their sum and the largest."""
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _parts(batches):
-            owner, _, ppmi = _entries(batch, 0, 1 << 31, "ppmi")
-            some = np.flatnonzero(np.bincount(owner, minlength=batch.num_rows))
-            first = np.searchsorted(owner, some)
-            sums_ = [f.reduceat(x, first) if len(some) else x[:0] for f, x in ((np.add, (ppmi > 0).astype(np.int64)), (np.add, ppmi), (np.maximum, ppmi))]
-            yield _batch(SUMS, *[batch.column(c).take(pa.array(some)) for c in ("word", "word_n")], np.bincount(owner, minlength=batch.num_rows)[some], *sums_)
-
-    found = weighted.select("word", "word_n", "contexts", "ppmi").mapInArrow(sums, SUMS)
+        for row, owner, _, ppmi in _entries(batches, 0, 1 << 31, np.frombuffer, ppmi=np.float64):
+            some, first, contexts = np.unique(owner, return_index=True, return_counts=True)
+            if len(some):
+                words = pa.array(row["words"], pa.string()).take(pa.array(some))
+                total = np.array(row["word_ns"])[some]
+                positive = np.add.reduceat((ppmi > 0).astype(np.int64), first)
+                yield _batch(SUMS, words, total, contexts, positive, np.add.reduceat(ppmi, first), np.maximum.reduceat(ppmi, first))
+
+    found = weighted.select("words", "word_ns", "sizes", "contexts", "ppmi").mapInArrow(sums, SUMS)
     return found.groupBy("word").agg(
         F.max("n").alias("n"), F.sum("contexts").alias("contexts"), F.sum("positive").alias("positive"), F.sum("weight").alias("weight"), F.max("largest").alias("largest")
     )
@@ -358,8 +350,7 @@ VECTORS = "word string, x array<double>"
 
 def _project(size: int):
     def project(block: np.ndarray, first: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _parts(batches):
-            owner, context, ppmi = _entries(batch, first, len(block), "ppmi")
+        for row, owner, context, ppmi in _entries(batches, first, len(block), np.frombuffer, ppmi=np.float64):
             used = ppmi > 0
             some, owner = np.unique(owner[used], return_inverse=True)
             x = np.zeros(len(some) * size)
@@ -367,7 +358,7 @@ def _project(size: int):
                 # A draw's place, and in the last bit its sign.
                 x += np.bincount(owner * size + (drawn >> 1), ppmi[used] * (2.0 * (drawn & 1) - 1.0), minlength=len(x))
             offsets = pa.array(np.arange(len(some) + 1) * size, pa.int32())
-            yield _batch(VECTORS, batch.column("word").take(pa.array(some)), pa.ListArray.from_arrays(offsets, pa.array(x)))
+            yield _batch(VECTORS, pa.array(row["words"], pa.string()).take(pa.array(some)), pa.ListArray.from_arrays(offsets, pa.array(x)))
 
     return project
 
@@ -377,11 +368,13 @@ def projected(weighted: DataFrame, size: int = SIZE, nonzeros: int = NONZEROS, s
     scale = nonzeros**-0.5
     if "contexts" in weighted.columns:
         drawn = F.transform(signature(F.col("word"), size, nonzeros, seed), lambda s: 2 * s["place"] + (s["sign"] > 0).cast("int"))
-        signs = _words(weighted).select("id", drawn.alias("values"))
-        found = _with_blocks(weighted.select("word", "contexts", "ppmi"), signs, nonzeros, _project(size), VECTORS)
-        # Few words have more than one row.
-        added = F.reduce("xs", F.array_repeat(F.lit(0.0), size), lambda a, x: F.zip_with(a, x, lambda p, q: p + q))
-        return found.groupBy("word").agg(F.collect_list("x").alias("xs")).select("word", F.transform(added, lambda x: x * F.lit(scale)).alias("vector"))
+        signs = written(_words(weighted).select("id", drawn.alias("values")), "signs")
+        parts = _with_blocks(weighted.select("words", "sizes", "contexts", "ppmi"), signs, nonzeros, _project(size), VECTORS)
+        found = parts[0]
+        if len(parts) > 1:  # else a word is in one pack
+            added = F.reduce("xs", F.array_repeat(F.lit(0.0), size), lambda a, x: F.zip_with(a, x, lambda p, q: p + q))
+            found = reduce(DataFrame.unionByName, parts).groupBy("word").agg(F.collect_list("x").alias("xs")).select("word", added.alias("x"))
+        return found.select("word", F.transform("x", lambda x: x * F.lit(scale)).alias("vector"))
     used = weighted.filter("ppmi > 0")
     signs = used.select("context").distinct().withColumn("s", signature(F.col("context"), size, nonzeros, seed))
     drawn = used.join(signs, "context").select("word", "ppmi", F.explode("s").alias("s"))
@@ -398,7 +391,7 @@ def fit_word_vectors(
     size: int = SIZE, nonzeros: int = NONZEROS, seed: int = 42,
 ) -> DataFrame:
     """(word, vector) of every word that occurs `min_count` times, written to the shared folder."""
-    weighted = positive_pmi(pair_counts(df, words, window, min_count, by_word=True))
+    weighted = positive_pmi(pair_counts(df, words, window, min_count, packed=True))
     return written(projected(weighted, size, nonzeros, seed), "word-vectors")
 
 

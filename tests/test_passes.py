@@ -128,7 +128,7 @@ def test_counted_grams_are_those_of_the_stages(spark):
 
 @pytest.mark.parametrize("sizes", [(1, 3, 5), (1 << 23, 1 << 16, 1 << 21)])
 def test_word_pairs_of_texts_that_cross_slices(spark, sizes, monkeypatch):
-    for name, size in zip(("SLICE_BYTES", "ROW_CONTEXTS", "BLOCK_WORDS"), sizes):
+    for name, size in zip(("SLICE_BYTES", "PACK_CONTEXTS", "BLOCK_WORDS"), sizes):
         monkeypatch.setattr(word_vectors, name, size)
     rng = random.Random(8)
     texts = [[rng.choice("abcdefghijklmé") for _ in range(rng.randrange(14))] for _ in range(40)] + [None, [], ["a", None, "b", "", ""], ["rare"]]
@@ -145,13 +145,13 @@ def test_word_pairs_of_texts_that_cross_slices(spark, sizes, monkeypatch):
             spark.conf.set(batch_rows, rows)
             counts = word_vectors.pair_counts(df, window=3, min_count=2)
             assert {(r["word"], r["context"]): r["n"] for r in counts.collect()} == wanted
-        by_word = word_vectors.positive_pmi(word_vectors.pair_counts(df, window=3, min_count=2, by_word=True))
+        packed = word_vectors.positive_pmi(word_vectors.pair_counts(df, window=3, min_count=2, packed=True))
     finally:
         spark.conf.set(batch_rows, before)
     by_row = word_vectors.positive_pmi(counts)
-    one, two = ({r["word"]: r["vector"] for r in word_vectors.projected(w, size=7).collect()} for w in (by_word, by_row))
+    one, two = ({r["word"]: r["vector"] for r in word_vectors.projected(w, size=7).collect()} for w in (packed, by_row))
     assert one.keys() == two.keys() and all(one[w] == pytest.approx(two[w], abs=1e-9) for w in one)
-    sums = {r["word"]: tuple(r)[1:] for r in word_vectors.weight_sums(by_word).collect()}
+    sums = {r["word"]: tuple(r)[1:] for r in word_vectors.weight_sums(packed).collect()}
     rows = by_row.collect()
     assert sums.keys() == {r["word"] for r in rows}
     for word, found in sums.items():

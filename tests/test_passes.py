@@ -173,3 +173,17 @@ def test_word_pairs_are_not_rows_before_they_are_counted(spark, monkeypatch):
     monkeypatch.setattr(word_vectors, "written", lambda rows, name: stored.setdefault(name, whole(rows, name)))
     assert {tuple(r) for r in word_vectors.pair_counts(df).collect()} == {("a", "a", 23982), ("b", "b", 23982), ("a", "b", 35973), ("b", "a", 35973)}
     assert {name: rows.count() for name, rows in stored.items()} == {"slices": 3, "often": 2, "pair-counts": 2}
+
+
+def test_word_vectors_are_fitted_without_rows_for_pairs(spark, monkeypatch):
+    """The fit behind `c21_alt_models` used to store, shuffle and join a row for each pair, and eight for its draws."""
+    rng = random.Random(9)
+    df = spark.createDataFrame([([rng.choice("abcdefghij") for _ in range(60)],) for _ in range(30)], "filtered array<string>").coalesce(1)
+    stored = []
+    whole = word_vectors.written
+    monkeypatch.setattr(word_vectors, "written", lambda rows, name: stored.append(whole(rows, name)) or stored[-1])
+    one = {r["word"]: r["vector"] for r in word_vectors.fit_word_vectors(df, size=9).collect()}
+    assert max(rows.count() for rows in stored) <= 11
+    by_row = word_vectors.projected(word_vectors.positive_pmi(word_vectors.pair_counts(df)), size=9)
+    two = {r["word"]: r["vector"] for r in by_row.collect()}
+    assert one.keys() == two.keys() and all(one[w] == pytest.approx(two[w], abs=1e-9) for w in one)
